@@ -264,22 +264,21 @@ def q_sink_replace_group(spark, sf_dir):
 
 # --- ads (streaming) ---------------------------------------------------------------
 
-def _events_path(sf_dir: str) -> str:
-    # The file stream source watches a folder or a glob; the fixture is one
-    # file, addressed as a one-item glob (a plain file path is refused).
-    return f"{sf_dir.rstrip('/')}/{{events}}.parquet"
+def _line_stream(spark, sf_dir) -> DataFrame:
+    """The ad log of ``sf_dir`` as a file stream of raw text lines."""
+    return ads_stream.line_files(spark, _fx(spark, sf_dir).ad_log_path())
 
 
 def q_ads_stream_parse(spark, sf_dir):
     root = run_dir(spark, "ads-parse")
-    lines = ads_stream.event_file_lines(spark, _events_path(sf_dir))
+    lines = _line_stream(spark, sf_dir)
     ads_stream.start_parse_to_files(lines, f"{root}/out", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/out").select("event_id", "ts_ms", "province", "city", "userid", "adid")
 
 
 def q_ads_city_running(spark, sf_dir):
     root = run_dir(spark, "ads-city")
-    lines = ads_stream.event_file_lines(spark, _events_path(sf_dir))
+    lines = _line_stream(spark, sf_dir)
     clicks = ads_stream.parsed_clicks(lines)
     ads_stream.start_city_running(clicks, root, f"{root}/_checkpoint", top_n=P.top_ads)
     return ads_stream.city_running_table(spark, root)
@@ -287,7 +286,7 @@ def q_ads_city_running(spark, sf_dir):
 
 def q_ads_minute_trend(spark, sf_dir):
     root = run_dir(spark, "ads-minute")
-    lines = ads_stream.event_file_lines(spark, _events_path(sf_dir))
+    lines = _line_stream(spark, sf_dir)
     clicks = ads_stream.parsed_clicks(lines)
     ads_stream.start_minute_trend(clicks, root, f"{root}/_checkpoint")
     return ads_stream.minute_trend_table(spark, root)

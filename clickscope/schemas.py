@@ -51,6 +51,12 @@ AD_CLICK = T.StructType([
     T.StructField("adid", T.LongType()),
 ])
 
+# The raw ad log: one text line per click (plus the event id of the fixture).
+AD_LOG = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("value", T.StringType()),
+])
+
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),

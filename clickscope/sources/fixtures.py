@@ -7,10 +7,14 @@ one pass over the scanned columns, and Catalyst prunes the unused ones.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.schemas import CITY_INFO
+from clickscope.schemas import AD_LOG, CITY_INFO, PRODUCT_INFO, USER_INFO, VISIT_LOG
 
 # The city dimension of the original jobs (city_id, city_name, area).
 CITY_ROWS = [
@@ -122,30 +126,116 @@ def ad_log_lines(events: DataFrame) -> DataFrame:
     )
 
 
+# Bump when a derivation above changes: it keys the materialized copies.
+FIXTURE_VERSION = "1"
+
+
+def _source_signature(sf_dir: str) -> str:
+    parts = [FIXTURE_VERSION, os.path.abspath(sf_dir)]
+    for name in ("events", "customer", "part"):
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        try:
+            st = os.stat(path)
+            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+        except OSError:
+            parts.append(f"{name}:?")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def _fs_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _fs_rename(spark: SparkSession, src: str, dst: str) -> bool:
+    jvm = spark._jvm
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(d.getParent())
+    return bool(fs.rename(s, d))
+
+
 class Fixture:
-    """Lazy accessors for the derived tables of one scale-factor folder."""
+    """The derived tables of one scale-factor folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    On first use in a session the derived tables are written once to the
+    shared working folder (``spark.checkpoint.dir``) - the visit log
+    partitioned by ``date``, the ad log as raw text lines - and every query
+    then scans those tables, as the original jobs scan their Hive tables: a
+    ``date`` range prunes partitions and pushes into the Parquet scan.  Each
+    table is written to a staging folder and published by rename, so a
+    failed or concurrent build never leaves a partial table behind."""
+
+    _cache: dict[tuple[int, str], str] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
+        self._root = None
 
+    # raw derivations (lazy, no materialization)
     def events(self) -> DataFrame:
         return table(self.spark, self.sf_dir, "events")
 
+    def _derived(self) -> dict:
+        return {
+            "visit_log": lambda: visit_log_from_events(self.events()),
+            "users": lambda: users_from_customer(table(self.spark, self.sf_dir, "customer")),
+            "products": lambda: products_from_part(table(self.spark, self.sf_dir, "part")),
+            "ad_log": lambda: ad_log_lines(self.events()),
+        }
+
+    def root(self) -> str:
+        if self._root is None:
+            key = (id(self.spark.sparkContext), os.path.abspath(self.sf_dir))
+            root = Fixture._cache.get(key)
+            if root is None:
+                from clickscope.session import work_dir
+                root = f"{work_dir(self.spark).rstrip('/')}/fixture-{_source_signature(self.sf_dir)}"
+                self._build(root)
+                Fixture._cache[key] = root
+            self._root = root
+        return self._root
+
+    def _build(self, root: str) -> None:
+        for name, make in self._derived().items():
+            target = f"{root}/{name}"
+            if _fs_exists(self.spark, f"{target}/_SUCCESS"):
+                continue
+            staging = f"{root}/_staging/{name}-{uuid.uuid4().hex[:8]}"
+            df = make()
+            w = df.write.mode("overwrite")
+            if name == "visit_log":
+                # one file set per day: date-range scans prune whole folders
+                w = df.repartition("date").write.mode("overwrite").partitionBy("date")
+            w.parquet(staging)
+            if not _fs_rename(self.spark, staging, target) and not _fs_exists(self.spark, f"{target}/_SUCCESS"):
+                raise RuntimeError(f"could not publish fixture table {target}")
+
+    def _read(self, name: str, schema=None) -> DataFrame:
+        if not self.materialize:
+            return self._derived()[name]()
+        r = self.spark.read
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(f"{self.root()}/{name}")
+
     def visit_log(self) -> DataFrame:
-        return visit_log_from_events(self.events())
+        return self._read("visit_log", VISIT_LOG).select(*VISIT_LOG.fieldNames())
 
     def users(self) -> DataFrame:
-        return users_from_customer(table(self.spark, self.sf_dir, "customer"))
+        return self._read("users", USER_INFO)
 
     def products(self) -> DataFrame:
-        return products_from_part(table(self.spark, self.sf_dir, "part"))
+        return self._read("products", PRODUCT_INFO)
 
     def cities(self) -> DataFrame:
         return cities(self.spark)
 
     def ad_log(self) -> DataFrame:
-        return ad_log_lines(self.events())
+        return self._read("ad_log", AD_LOG)
 
-    def ad_clicks(self) -> DataFrame:
-        return ad_clicks_from_events(self.events())
+    def ad_log_path(self) -> str:
+        return f"{self.root()}/ad_log"

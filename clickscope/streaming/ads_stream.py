@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickscope.operators import ads, sinks
-from clickscope.schemas import EVENTS
+from clickscope.schemas import AD_LOG, EVENTS
 from clickscope.session import run_dir
 from clickscope.sources.fixtures import ad_log_lines
 
@@ -56,6 +56,15 @@ def event_file_lines(spark: SparkSession, events_path: str, max_files_per_trigge
     return ad_log_lines(r.parquet(events_path))
 
 
+def line_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw log lines ``(event_id, value)`` from a folder of Parquet files
+    (a topic dump); each new file is new input."""
+    r = spark.readStream.schema(AD_LOG)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r.parquet(path)
+
+
 def parsed_clicks(lines: DataFrame) -> DataFrame:
     """ST1 on a stream: valid parsed clicks (``event_id`` kept when present)."""
     p = ads.parse_log_lines(lines)

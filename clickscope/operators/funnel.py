@@ -80,8 +80,10 @@ def funnel_conversion(actions: DataFrame, flow: Sequence[int], rounded: bool = T
 def funnel_string(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id") -> DataFrame:
     """JOB4: the rounded funnel as one string ``1_2=0.50|2_3=...`` in step order."""
     f = funnel_conversion(actions, flow, True, tie_break)
-    item = F.concat(F.col("pair"), F.lit("="),
-                    F.coalesce(F.format_string("%.2f", F.col("rate")), F.lit("null")))
+    # format_string('%.2f', NULL) gives 'nu' (Java formats null with the
+    # precision), so null rates take their own branch
+    rate = F.when(F.col("rate").isNotNull(), F.format_string("%.2f", F.col("rate"))).otherwise(F.lit("null"))
+    item = F.concat(F.col("pair"), F.lit("="), rate)
     return (f.select("step", item.alias("item"))
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", "item"))),
                                           lambda s: s["item"]), "|").alias("convert_rate")))

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickscope.functions.exprs import half_up_ratio, raw_ratio
+from clickscope.operators.ordered import DEFAULT_HOT_GROUP_ROWS, next_in_group
 
 
 def flow_steps(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
@@ -26,23 +27,27 @@ def flow_steps(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def page_transitions(actions: DataFrame, tie_break: str = "event_id") -> DataFrame:
+def page_transitions(actions: DataFrame, tie_break: str = "event_id",
+                     hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
     """WIN4: for each action, ``page_id + '_' + next page_id`` of the same
     session in time order (``tie_break`` orders same-second actions); the last
-    action of a session has no pair and is dropped."""
-    w = Window.partitionBy("session_id").orderBy("action_time", tie_break)
-    nxt = F.lead("page_id").over(w)
-    return (actions.select("session_id", tie_break, "page_id", nxt.alias("_next"))
-            .where(F.col("_next").isNotNull())
+    action of a session has no pair and is dropped.
+
+    The successor is a window ``lead`` per session; sessions larger than
+    ``hot_group_rows`` are split over many tasks (see ``ordered``)."""
+    base = actions.select("session_id", "action_time", tie_break, "page_id")
+    nxt = next_in_group(base, "session_id", ["action_time", tie_break], "page_id", "_next", hot_group_rows)
+    return (nxt.where(F.col("_next").isNotNull())
             .select("session_id", tie_break,
                     F.concat(F.col("page_id").cast("string"), F.lit("_"), F.col("_next").cast("string")).alias("pair")))
 
 
-def page_pairs(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id") -> DataFrame:
+def page_pairs(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id",
+               hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
     """FLT7 + AGG11: transitions that are steps of the target flow, counted."""
     spark = actions.sparkSession
     steps = F.broadcast(flow_steps(spark, flow).select("pair"))
-    return (page_transitions(actions, tie_break).join(steps, "pair", "left_semi")
+    return (page_transitions(actions, tie_break, hot_group_rows).join(steps, "pair", "left_semi")
             .groupBy("pair").agg(F.count(F.lit(1)).alias("cnt")))
 
 

@@ -7,14 +7,12 @@ streams."""
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.session import local_path
-
 # --- pure merge semantics ---------------------------------------------------
 
 
@@ -77,11 +75,22 @@ def show(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
-def _exists(path: str) -> bool:
-    p = local_path(path)
-    if "://" in p:
-        return False
-    return os.path.exists(p)
+def _fs(spark, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def has_batches(spark, root: str) -> bool:
+    """True when at least one ``batch_id=N`` folder is published under ``root``."""
+    p, fs = _fs(spark, f"{root.rstrip('/')}/batch_id=*")
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def publish_batch(df: DataFrame, root: str, batch_id: int) -> bool:
@@ -92,21 +101,20 @@ def publish_batch(df: DataFrame, root: str, batch_id: int) -> bool:
     ``root`` (batch or a streaming file source) therefore see every batch
     once.  Rename is atomic on local disks and HDFS; on object stores use a
     transactional table format instead."""
+    spark = df.sparkSession
     target = f"{root.rstrip('/')}/batch_id={batch_id}"
-    if _exists(target):
+    if _exists(spark, target):
         return False
-    staging = f"{root.rstrip('/')}/_staging/batch_id={batch_id}"
+    staging = f"{root.rstrip('/')}/_staging/batch_id={batch_id}-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(staging)
-    src, dst = local_path(staging), local_path(target)
-    if "://" in src:
-        jvm = df.sparkSession._jvm
-        hconf = df.sparkSession._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(staging)
-        fs = path.getFileSystem(hconf)
-        fs.rename(path, jvm.org.apache.hadoop.fs.Path(target))
-    else:
-        os.makedirs(os.path.dirname(dst), exist_ok=True)
-        os.rename(src, dst)
+    src, fs = _fs(spark, staging)
+    dst, _ = _fs(spark, target)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        if _exists(spark, target):  # a concurrent attempt published it first
+            fs.delete(src, True)
+            return False
+        raise RuntimeError(f"could not publish {target}")
     return True
 
 
@@ -126,5 +134,5 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: str = "batch_id"
     return rows.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
 
 
-__all__ = ["upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
+__all__ = ["has_batches", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
            "save_table", "show", "publish_batch", "read_batches", "latest_per_key"]

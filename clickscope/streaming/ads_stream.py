@@ -94,13 +94,11 @@ def blacklist_snapshot(spark: SparkSession, counts_root: str, threshold: int,
     schema = T.StructType([T.StructField("date", T.StringType()), T.StructField("userid", T.LongType()),
                            T.StructField("adid", T.LongType()), T.StructField("click_count", T.LongType()),
                            T.StructField("batch_id", T.LongType())])
-    try:
-        rows = sinks.read_batches(spark, counts_root, schema)
-        if before_batch is not None:
-            rows = rows.where(F.col("batch_id") < before_batch)
-        rows.limit(0).collect()  # resolve the path now: no published batch yet -> empty
-    except Exception:
+    if not sinks.has_batches(spark, counts_root):
         return spark.createDataFrame([], T.StructType([T.StructField("userid", T.LongType())]))
+    rows = sinks.read_batches(spark, counts_root, schema)
+    if before_batch is not None:
+        rows = rows.where(F.col("batch_id") < before_batch)
     totals = rows.groupBy(*ads.KEY_USER).agg(F.sum("click_count").alias("click_count"))
     return ads.blacklist_from_counts(totals, threshold)
 

@@ -41,38 +41,45 @@ def col_of(c) -> Column:
 
 # --- predicates (FLT1-FLT3) --------------------------------------------------
 
+# The predicates below are filter conditions: a null data value yields null,
+# which ``where`` treats as false.  They are left as plain comparisons (no
+# ``coalesce`` wrapper) so Spark can push them into the Parquet scan.
+
 def between_or_true(c, low, high) -> Column:
-    """Inclusive range test; no predicate when either bound is missing,
-    false when the data value is null."""
+    """Inclusive range test; no predicate when either bound is missing;
+    a null data value does not pass."""
     if low is None or high is None:
         return F.lit(True)
-    return F.coalesce(col_of(c).between(F.lit(low), F.lit(high)), F.lit(False))
+    return col_of(c).between(F.lit(low), F.lit(high))
 
 
 def in_any(c, values: Sequence[str] | None) -> Column:
-    """Single-valued field is one of ``values``; true when no values given,
-    false for null or the ``-1`` sentinel."""
+    """Single-valued field is one of ``values``; true when no values given;
+    null and the ``-1`` sentinel do not pass."""
     if not values:
         return F.lit(True)
-    x = col_of(c).cast("string")
-    return F.coalesce((x != "-1") & x.isin(list(values)), F.lit(False))
+    vals = [v for v in values if str(v) != "-1"]
+    if not vals:
+        return F.lit(False)
+    return col_of(c).cast("string").isin(vals)
 
 
 def csv_overlap(c, values: Sequence[str] | None) -> Column:
     """A csv field shares at least one whole item with ``values``
-    (exact match per item, so 12 does not match 112)."""
+    (exact match per item, so 12 does not match 112); null or ``-1`` do not pass."""
     if not values:
         return F.lit(True)
     x = col_of(c).cast("string")
     items = F.split(x, ",")
     param = F.array(*[F.lit(str(v)) for v in values])
-    return F.coalesce((x != "-1") & F.arrays_overlap(items, param), F.lit(False))
+    return (x != "-1") & F.arrays_overlap(items, param)
 
 
 def equal_or_true(c, value) -> Column:
+    """Equality with ``value``; true when no value given; null does not pass."""
     if value is None or value == "":
         return F.lit(True)
-    return F.coalesce(col_of(c).cast("string") == F.lit(str(value)), F.lit(False))
+    return col_of(c).cast("string") == F.lit(str(value))
 
 
 # --- bucket labels (PRJ3) ---------------------------------------------------

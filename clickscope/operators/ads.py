@@ -16,25 +16,29 @@ KEY_PROVINCE = ["date", "province", "adid"]
 PROVINCE_GROUP = ["date", "province"]
 
 
+# Fixed format of an ad log line: ``ts_ms province city userid adid`` separated
+# by single spaces; the numbers are integers of at most 18 digits (always fit
+# a bigint), province and city any non-blank text.
+LOG_LINE_PATTERN = r"^-?[0-9]{1,18} [^ ]+ [^ ]+ -?[0-9]{1,18} -?[0-9]{1,18}$"
+
+
 def parse_log_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """ST1 / FN17: split ``ts_ms province city userid adid``.
 
     Adds ``ts_ms, province, city, userid, adid``, the event time ``ts`` and
-    ``valid`` (false for lines that do not have five fields or whose numbers
-    do not parse).  Other columns of ``lines`` are kept."""
+    ``valid`` (false for lines not of that form; their fields are null).
+    Validity is one anchored regex over the line, so a pushed-down
+    ``where valid`` does not repeat the split; the fields come from one
+    ``split`` in the projection.  Other columns of ``lines`` are kept."""
+    ok = F.coalesce(F.col(value).rlike(LOG_LINE_PATTERN), F.lit(False))
     parts = F.split(F.col(value), " ")
-    ts_ms = parts[0].try_cast("bigint")
-    userid = F.try_element_at(parts, F.lit(4)).try_cast("bigint")
-    adid = F.try_element_at(parts, F.lit(5)).try_cast("bigint")
-    ok = (F.size(parts) == 5) & ts_ms.isNotNull() & userid.isNotNull() & adid.isNotNull()
-    ok = F.coalesce(ok, F.lit(False))
     return lines.select(
         "*",
-        F.when(ok, ts_ms).alias("ts_ms"),
-        F.when(ok, F.try_element_at(parts, F.lit(2))).alias("province"),
-        F.when(ok, F.try_element_at(parts, F.lit(3))).alias("city"),
-        F.when(ok, userid).alias("userid"),
-        F.when(ok, adid).alias("adid"),
+        F.when(ok, parts[0].try_cast("bigint")).alias("ts_ms"),
+        F.when(ok, parts[1]).alias("province"),
+        F.when(ok, parts[2]).alias("city"),
+        F.when(ok, parts[3].try_cast("bigint")).alias("userid"),
+        F.when(ok, parts[4].try_cast("bigint")).alias("adid"),
         ok.alias("valid"),
     ).withColumn("ts", F.timestamp_millis(F.col("ts_ms")))
 

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.functions.exprs import int_div
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
@@ -21,14 +20,14 @@ def sample_quota(sessions: DataFrame, sample_size: int) -> DataFrame:
 
     ``per_day = sample_size div days``; an hour draws
     ``min(cnt, cnt * per_day div day_cnt)`` (exact integer arithmetic).
-    ``days`` is a scalar sub-query (one number, evaluated once), the day
-    total a window over the date only - both over the tiny per-hour table."""
+    ``per_day`` is one scalar sub-query (evaluated once), the day total a
+    window over the date - both over the tiny per-hour table."""
     hours = sessions_per_hour(sessions)
-    days = hours.select(F.count_distinct("date")).scalar()
-    per_day = int_div(F.lit(int(sample_size)).cast("bigint"), days)
-    day_cnt = F.sum("cnt").over(Window.partitionBy("date"))
-    quota = F.least(F.col("cnt"), int_div(F.col("cnt") * per_day, day_cnt))
-    return hours.withColumn("quota", quota.cast("bigint"))
+    per_day = hours.select(F.expr(f"{int(sample_size)} div count(DISTINCT date)")).scalar()
+    return (hours.withColumn("per_day", per_day)
+            .withColumn("day_cnt", F.sum("cnt").over(Window.partitionBy("date")))
+            .select("date", "hour", "cnt",
+                    F.expr("least(cnt, (cnt * per_day) div day_cnt)").cast("bigint").alias("quota")))
 
 
 def session_sample(sessions: DataFrame, sample_size: int, seed: str) -> DataFrame:

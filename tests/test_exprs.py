@@ -11,6 +11,11 @@ def _one(spark, expr, data, schema):
     return [r[0] for r in spark.createDataFrame(data, schema).select(expr.alias("x")).collect()]
 
 
+def _passes(spark, pred, data, schema):
+    """Which rows a predicate keeps under ``where`` (null counts as false)."""
+    return [bool(v) for v in _one(spark, pred, data, schema)]
+
+
 def test_visit_bucket_edges(spark):
     cases = {0: None, 1: "1s_3s", 3: "1s_3s", 4: "4s_6s", 6: "4s_6s", 7: "7s_9s", 9: "7s_9s", 10: "10s_30s",
              30: "10s_30s", 31: "30s_60s", 60: "30s_60s", 61: "1m_3m", 180: "1m_3m", 181: "3m_10m", 600: "3m_10m",
@@ -46,21 +51,22 @@ def test_half_up_ratio_matches_decimal(spark, pairs):
 
 def test_between_missing_bounds_and_null(spark):
     data = [(25,), (19,), (None,)]
-    assert _one(spark, X.between_or_true("a", 20, 50), data, "a int") == [True, False, False]
-    assert _one(spark, X.between_or_true("a", None, 50), data, "a int") == [True, True, True]
+    assert _passes(spark, X.between_or_true("a", 20, 50), data, "a int") == [True, False, False]
+    assert _passes(spark, X.between_or_true("a", None, 50), data, "a int") == [True, True, True]
 
 
 def test_in_any_and_equal(spark):
     data = [("a",), ("-1",), (None,), ("c",)]
-    assert _one(spark, X.in_any("s", ("a", "b")), data, "s string") == [True, False, False, False]
-    assert _one(spark, X.in_any("s", None), data, "s string") == [True] * 4
-    assert _one(spark, X.equal_or_true("s", "c"), data, "s string") == [False, False, False, True]
-    assert _one(spark, X.equal_or_true("s", ""), data, "s string") == [True] * 4
+    assert _passes(spark, X.in_any("s", ("a", "b")), data, "s string") == [True, False, False, False]
+    assert _passes(spark, X.in_any("s", ("a", "-1")), data, "s string") == [True, False, False, False]
+    assert _passes(spark, X.in_any("s", None), data, "s string") == [True] * 4
+    assert _passes(spark, X.equal_or_true("s", "c"), data, "s string") == [False, False, False, True]
+    assert _passes(spark, X.equal_or_true("s", ""), data, "s string") == [True] * 4
 
 
 def test_csv_overlap_is_whole_item(spark):
     data = [("112,5",), ("12",), ("",), (None,), ("3,12,40",)]
-    assert _one(spark, X.csv_overlap("s", ("12",)), data, "s string") == [False, True, False, False, True]
+    assert _passes(spark, X.csv_overlap("s", ("12",)), data, "s string") == [False, True, False, False, True]
 
 
 def test_kv_get(spark):

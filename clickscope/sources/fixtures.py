@@ -127,7 +127,7 @@ def ad_log_lines(events: DataFrame) -> DataFrame:
 
 
 # Bump when a derivation above changes: it keys the materialized copies.
-FIXTURE_VERSION = "1"
+FIXTURE_VERSION = "2"
 
 
 def _source_signature(sf_dir: str) -> str:
@@ -208,8 +208,13 @@ class Fixture:
             df = make()
             w = df.write.mode("overwrite")
             if name == "visit_log":
-                # one file set per day: date-range scans prune whole folders
-                w = df.repartition("date").write.mode("overwrite").partitionBy("date")
+                # partitioned by day, so date ranges prune whole folders; range
+                # partitioning on (date, session_id) keeps a day's rows in few
+                # files and each session's rows together, while a large day
+                # is still split over several writers
+                n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                w = (df.repartitionByRange(n, "date", "session_id").write.mode("overwrite")
+                     .partitionBy("date"))
             w.parquet(staging)
             if not _fs_rename(self.spark, staging, target) and not _fs_exists(self.spark, f"{target}/_SUCCESS"):
                 raise RuntimeError(f"could not publish fixture table {target}")

@@ -78,6 +78,19 @@ def _event_time(df: DataFrame, watermark: str | None) -> DataFrame:
     return df.withWatermark("ts", watermark) if watermark else df
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep large stream state off-heap in RocksDB with changelog checkpoints,
+    unless the session already names a provider other than the default."""
+    current = spark.conf.get(_PROVIDER_KEY, None) or ""
+    if current == "" or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER_KEY, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def _run(writer, trigger: dict, await_end: bool):
     q = writer.trigger(**trigger).start()
     if await_end:
@@ -149,6 +162,7 @@ def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark:
     The grouping carries a one-day event-time window, so state of a day is
     dropped once the watermark passes it; the published totals remain."""
     spark = clicks.sparkSession
+    use_rocksdb_state(spark)
     running_root, top_root = f"{root}/city_running", f"{root}/province_top"
     c = _event_time(clicks, watermark)
     agg = (c.groupBy(F.window("ts", "1 day").alias("day"), "province", "city", "adid")
@@ -157,12 +171,19 @@ def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark:
                    "click_count"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if not sinks.publish_batch(df, running_root, batch_id):
-            return
-        touched = df.select(*ads.PROVINCE_GROUP).distinct()
-        current = city_running_table(spark, root).join(touched, ads.PROVINCE_GROUP, "left_semi")
-        top = ads.province_top(ads.province_counts(current), top_n)
-        sinks.publish_batch(top, top_root, batch_id)
+        df = df.persist()  # used by the publish and by the touched groups
+        try:
+            if df.isEmpty():  # e.g. the no-data batch that only advances the watermark
+                return
+            if not sinks.publish_batch(df, running_root, batch_id):
+                return
+            if top_n:
+                touched = df.select(*ads.PROVINCE_GROUP).distinct()
+                current = city_running_table(spark, root).join(touched, ads.PROVINCE_GROUP, "left_semi")
+                top = ads.province_top(ads.province_counts(current), top_n)
+                sinks.publish_batch(top, top_root, batch_id)
+        finally:
+            df.unpersist()
 
     w = agg.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _run(w, trigger or {"availableNow": True}, await_end)
@@ -188,13 +209,19 @@ def start_minute_trend(clicks: DataFrame, root: str, checkpoint: str, watermark:
     """ST5a: per-(minute, ad) counts in the state store (update mode); rows
     older than the watermark are dropped and reported in the query progress
     (``numRowsDroppedByWatermark``)."""
+    use_rocksdb_state(clicks.sparkSession)
     c = _event_time(clicks, watermark)
     agg = c.groupBy(ads.minute_window(F.col("ts")).alias("w"), "adid").agg(F.count(F.lit(1)).alias("click_count"))
     out = agg.select(F.date_format("w.start", "yyyyMMdd").alias("date"), F.date_format("w.start", "HH").alias("hour"),
                      F.date_format("w.start", "mm").alias("minute"), "adid", "click_count")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        sinks.publish_batch(df, f"{root}/minute_trend", batch_id)
+        df = df.persist()
+        try:
+            if not df.isEmpty():
+                sinks.publish_batch(df, f"{root}/minute_trend", batch_id)
+        finally:
+            df.unpersist()
 
     w = out.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _run(w, trigger or {"availableNow": True}, await_end)

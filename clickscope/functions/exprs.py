@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "between_or_true", "in_any", "equal_or_true", "csv_overlap",
     "visit_bucket", "step_bucket", "VISIT_BUCKETS", "STEP_BUCKETS", "half_up_ratio", "raw_ratio",
-    "parse_time", "format_time", "format_date", "format_date_key", "format_minute", "date_hour",
+    "parse_time", "parse_date_key", "today", "yesterday", "is_not_empty", "format_time", "format_date", "format_date_key", "format_minute", "date_hour",
     "seconds_between", "int_div", "is_empty", "trim_comma", "pad2", "kv_get", "kv_set", "json_field",
     "concat_long_string", "group_concat_distinct", "csv_to_longs", "before", "after",
     "area_level", "product_status",
@@ -140,6 +140,20 @@ def parse_time(c) -> Column:
     return F.try_to_timestamp(col_of(c), F.lit(TIME_FORMAT))
 
 
+def parse_date_key(c) -> Column:
+    """``yyyyMMdd`` text -> date; null when malformed."""
+    return F.try_to_date(col_of(c), F.lit("yyyyMMdd"))
+
+
+def today() -> Column:
+    """FN4: today's date as ``yyyy-MM-dd`` (session time zone)."""
+    return F.date_format(F.current_date(), "yyyy-MM-dd")
+
+
+def yesterday() -> Column:
+    return F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd")
+
+
 def format_time(c) -> Column:
     return F.date_format(col_of(c), TIME_FORMAT)
 
@@ -179,6 +193,10 @@ def is_empty(c) -> Column:
     return F.coalesce(col_of(c), F.lit("")) == ""
 
 
+def is_not_empty(c) -> Column:
+    return F.coalesce(col_of(c), F.lit("")) != ""
+
+
 def trim_comma(c) -> Column:
     return F.regexp_replace(col_of(c), r"^,+|,+$", "")
 

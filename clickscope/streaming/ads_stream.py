@@ -247,12 +247,20 @@ def start_parse_to_files(lines: DataFrame, out: str, checkpoint: str, trigger: d
 def run_ads_job(spark: SparkSession, lines: DataFrame, threshold: int = 100, top_n: int = 3,
                 root: str | None = None, trigger: dict | None = None, await_end: bool = True) -> dict:
     """JOB6: stage A then stage B (city running + top-n, minute trend).
-    With the default ``availableNow`` trigger each stage drains its input and
-    stops; returns the folders to read results from."""
+
+    With the default ``availableNow`` trigger and ``await_end`` each stage
+    drains its input and stops, in order.  With ``await_end=False`` (e.g. a
+    ``processingTime`` trigger) the three queries run side by side: stage B
+    picks up each batch folder stage A publishes.  Returns the output root
+    and the query handles."""
     root = root or run_dir(spark, "ads")
     ck = f"{root}/_checkpoints"
-    start_blacklist_stage(lines, root, threshold, f"{ck}/stage_a", trigger, await_end)
-    clean = clean_click_stream(spark, root)
-    start_city_running(clean, root, f"{ck}/city", top_n=top_n, trigger=trigger, await_end=await_end)
-    start_minute_trend(clean_click_stream(spark, root), root, f"{ck}/minute", trigger=trigger, await_end=await_end)
-    return {"root": root}
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/clean")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    qa = start_blacklist_stage(lines, root, threshold, f"{ck}/stage_a", trigger, await_end)
+    qb = start_city_running(clean_click_stream(spark, root), root, f"{ck}/city", top_n=top_n, trigger=trigger,
+                            await_end=await_end)
+    qc = start_minute_trend(clean_click_stream(spark, root), root, f"{ck}/minute", trigger=trigger,
+                            await_end=await_end)
+    return {"root": root, "queries": [qa, qb, qc]}

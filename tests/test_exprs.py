@@ -119,3 +119,12 @@ def test_group_concat_distinct(spark):
     df = spark.createDataFrame([("x", "b"), ("x", "a"), ("x", "b"), ("y", "c")], "k string, v string")
     got = {r.k: r.s for r in df.groupBy("k").agg(X.group_concat_distinct("v").alias("s")).collect()}
     assert got == {"x": "a,b", "y": "c"}
+
+
+def test_date_keys_and_today(spark):
+    import datetime as dt
+    r = spark.createDataFrame([("20240131", "x")], "a string, b string").select(
+        X.parse_date_key("a").alias("d"), X.parse_date_key("b").alias("bad"), X.today().alias("t"),
+        X.yesterday().alias("y"), X.is_empty("b").alias("e"), X.is_not_empty("b").alias("ne")).first()
+    assert r.d == dt.date(2024, 1, 31) and r.bad is None
+    assert len(r.t) == 10 and r.y < r.t and (r.e, r.ne) == (False, True)

@@ -109,3 +109,21 @@ def test_replayed_batch_adds_nothing(spark, scratch):
     ST.start_blacklist_stage(ST.line_files(spark, src), root, 100, os.path.join(scratch, "ck2"))
     totals = spark.read.parquet(f"{root}/user_counts").groupBy().sum("click_count").first()[0]
     assert totals == 2
+
+
+def test_job_queries_side_by_side(spark, scratch):
+    """Stage A and stage B started together; stage B follows stage A's folders."""
+    fx = Fixture(spark, SF)
+    root = os.path.join(scratch, "job")
+    job = ST.run_ads_job(spark, ST.line_files(spark, fx.ad_log_path()), threshold=10**9, root=root,
+                         trigger={"processingTime": "1 second"}, await_end=False)
+    qa, qb, qc = job["queries"]
+    try:
+        qa.processAllAvailable()
+        qb.processAllAvailable()
+        qc.processAllAvailable()
+    finally:
+        for q in job["queries"]:
+            q.stop()
+    clicks = AD.parse_log_lines(fx.ad_log()).where("valid")
+    assert rows(ST.city_running_table(spark, root)) == rows(AD.city_counts(clicks))

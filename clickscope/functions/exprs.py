@@ -142,7 +142,7 @@ def parse_time(c) -> Column:
 
 def parse_date_key(c) -> Column:
     """``yyyyMMdd`` text -> date; null when malformed."""
-    return F.try_to_date(col_of(c), F.lit("yyyyMMdd"))
+    return F.try_to_date(col_of(c), "yyyyMMdd")
 
 
 def today() -> Column:

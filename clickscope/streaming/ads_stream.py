@@ -15,6 +15,8 @@ skipped and restarts resume from the checkpoint.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,34 +102,121 @@ def _run(writer, trigger: dict, await_end: bool):
 
 # --- stage A: blacklist + clean clicks ------------------------------------------
 
-def blacklist_snapshot(spark: SparkSession, counts_root: str, threshold: int,
-                       before_batch: int | None = None) -> DataFrame:
-    """Users whose cumulative (date, user, ad) count, summed over the published
-    per-batch counts (``batch_id < before_batch``), exceeds ``threshold``."""
-    schema = T.StructType([T.StructField("date", T.StringType()), T.StructField("userid", T.LongType()),
-                           T.StructField("adid", T.LongType()), T.StructField("click_count", T.LongType()),
-                           T.StructField("batch_id", T.LongType())])
-    if not sinks.has_batches(spark, counts_root):
-        return spark.createDataFrame([], T.StructType([T.StructField("userid", T.LongType())]))
-    rows = sinks.read_batches(spark, counts_root, schema)
-    if before_batch is not None:
-        rows = rows.where(F.col("batch_id") < before_batch)
-    totals = rows.groupBy(*ads.KEY_USER).agg(F.sum("click_count").alias("click_count"))
-    return ads.blacklist_from_counts(totals, threshold)
+COUNTS_SCHEMA = T.StructType([T.StructField("date", T.StringType()), T.StructField("userid", T.LongType()),
+                              T.StructField("adid", T.LongType()), T.StructField("click_count", T.LongType())])
+BLACK_SCHEMA = T.StructType([T.StructField("userid", T.LongType())])
+
+
+def _ls_batch_ids(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Ids of the published ``prefix=N`` folders under ``root`` (a listing of
+    folder names only, never of data)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix}=*")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    ids = []
+    for st in found:
+        name = st.getPath().getName()
+        try:
+            ids.append(int(name.split("=", 1)[1]))
+        except ValueError:
+            pass
+    return sorted(ids)
+
+
+def _totals_as_of(spark: SparkSession, root: str, before_batch: int | None):
+    """Cumulative (date, user, ad) counts over batches ``< before_batch`` and the
+    users blacklisted in compacted history: the newest compaction
+    ``user_totals/upto=C`` (C <= before_batch) plus the per-batch counts of
+    batches C .. before_batch-1."""
+    counts_root, totals_root = f"{root}/user_counts", f"{root}/user_totals"
+    upto = [c for c in _ls_batch_ids(spark, totals_root, "upto") if before_batch is None or c <= before_batch]
+    base = upto[-1] if upto else 0
+    parts, black = [], []
+    if upto:
+        parts.append(spark.read.schema(COUNTS_SCHEMA).parquet(f"{totals_root}/upto={base}/counts"))
+        black.append(spark.read.schema(BLACK_SCHEMA).parquet(f"{totals_root}/upto={base}/blacklist"))
+    tail = [b for b in _ls_batch_ids(spark, counts_root, "batch_id")
+            if b >= base and (before_batch is None or b < before_batch)]
+    if tail:
+        parts.append(spark.read.schema(COUNTS_SCHEMA).parquet(*[f"{counts_root}/batch_id={b}" for b in tail]))
+    if not parts:
+        return None, black
+    allc = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    totals = allc.groupBy(*ads.KEY_USER).agg(F.sum("click_count").cast("bigint").alias("click_count"))
+    return totals, black
+
+
+def blacklist_snapshot(spark: SparkSession, root: str, threshold: int, before_batch: int | None = None) -> DataFrame:
+    """Users whose cumulative (date, user, ad) count over the batches
+    ``< before_batch`` exceeds ``threshold`` (all published batches when
+    ``before_batch`` is None)."""
+    totals, black = _totals_as_of(spark, root, before_batch)
+    sets = list(black)
+    if totals is not None:
+        sets.append(ads.blacklist_from_counts(totals, threshold))
+    if not sets:
+        return spark.createDataFrame([], BLACK_SCHEMA)
+    out = sets[0]
+    for extra in sets[1:]:
+        out = out.unionByName(extra)
+    return out.distinct()
+
+
+def compact_totals(spark: SparkSession, root: str, upto: int, threshold: int, retain_days: int | None) -> bool:
+    """Write ``user_totals/upto=N``: totals of batches ``< upto`` for the last
+    ``retain_days`` event days (all when None) and the blacklist so far.
+    Published by rename; an existing compaction is left as it is."""
+    target = f"{root}/user_totals/upto={upto}"
+    jvm = spark._jvm
+    tp = jvm.org.apache.hadoop.fs.Path(target)
+    fs = tp.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(tp):
+        return False
+    totals, black = _totals_as_of(spark, root, upto)
+    if totals is None:
+        return False
+    totals = totals.persist()
+    try:
+        blacklist = blacklist_snapshot(spark, root, threshold, upto)
+        keep = totals
+        if retain_days is not None:
+            newest = totals.select(F.max("date")).scalar()
+            cutoff = F.date_format(F.date_sub(F.to_date(newest, "yyyyMMdd"), int(retain_days)), "yyyyMMdd")
+            keep = totals.where(F.col("date") >= cutoff)
+        staging = f"{root}/user_totals/_staging/upto={upto}-{uuid.uuid4().hex[:8]}"
+        keep.write.mode("overwrite").parquet(f"{staging}/counts")
+        blacklist.write.mode("overwrite").parquet(f"{staging}/blacklist")
+        sp = jvm.org.apache.hadoop.fs.Path(staging)
+        fs.mkdirs(tp.getParent())
+        if not fs.rename(sp, tp):
+            fs.delete(sp, True)
+            return False
+        return True
+    finally:
+        totals.unpersist()
 
 
 def start_blacklist_stage(lines: DataFrame, root: str, threshold: int, checkpoint: str,
-                          trigger: dict | None = None, await_end: bool = True):
-    """Stage A (ST2, FLT8, SNK2, SNK5 as derived view, rejects)."""
+                          trigger: dict | None = None, await_end: bool = True, compact_every: int = 100,
+                          retain_days: int | None = 2):
+    """Stage A (ST2, FLT8, SNK2, SNK5 as derived view, rejects).
+
+    Every ``compact_every`` batches the per-batch counts are compacted, so a
+    batch's blacklist snapshot reads one compaction plus fewer than
+    ``compact_every`` small folders, however long the stream has run.
+    Totals older than ``retain_days`` event days leave the compaction (their
+    blacklisted users stay in it)."""
     spark = lines.sparkSession
     counts_root, clean_root, reject_root = f"{root}/user_counts", f"{root}/clean", f"{root}/rejects"
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_totals(spark, root, batch_id, threshold, retain_days)
         parsed = ads.parse_log_lines(df).persist()
         try:
             sinks.publish_batch(parsed.where(~F.col("valid")).select("value"), reject_root, batch_id)
             valid = parsed.where("valid")
-            black = blacklist_snapshot(spark, counts_root, threshold, before_batch=batch_id)
+            black = blacklist_snapshot(spark, root, threshold, before_batch=batch_id)
             clean = ads.exclude_blacklisted(valid, black)
             cols = [c for c in CLEAN_SCHEMA.fieldNames() if c in clean.columns]
             sinks.publish_batch(ads.user_ad_counts(clean), counts_root, batch_id)
@@ -141,7 +230,7 @@ def start_blacklist_stage(lines: DataFrame, root: str, threshold: int, checkpoin
 
 def blacklist_table(spark: SparkSession, root: str, threshold: int) -> DataFrame:
     """The current blacklist (SNK5 as a view over the published counts)."""
-    return blacklist_snapshot(spark, f"{root}/user_counts", threshold)
+    return blacklist_snapshot(spark, root, threshold)
 
 
 def clean_click_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -127,3 +127,31 @@ def test_job_queries_side_by_side(spark, scratch):
             q.stop()
     clicks = AD.parse_log_lines(fx.ad_log()).where("valid")
     assert rows(ST.city_running_table(spark, root)) == rows(AD.city_counts(clicks))
+
+
+def test_compaction_keeps_blacklist_and_totals(spark, scratch):
+    """Batches cut small with compaction every 2 batches: the blacklist seen by
+    each batch is the same as without compaction."""
+    src = os.path.join(scratch, "src")
+    day = 86_400_000
+    batches = [
+        [f"{T0} p0 c0 7 1"] * 2,                 # b0: user 7 at 2 clicks
+        [f"{T0} p0 c0 7 1", f"{T0} p0 c0 8 1"],  # b1: user 7 at 3 -> blacklisted from b2 on
+        [f"{T0} p0 c0 7 1", f"{T0 + 3 * day} p0 c0 8 1"],   # b2: user 7 dropped
+        [f"{T0 + 3 * day} p0 c0 8 1"] * 2,       # b3: user 8 at 3 on day 4
+        [f"{T0 + 3 * day} p0 c0 8 1", f"{T0 + 3 * day} p0 c0 9 2"],  # b4: user 8 dropped
+    ]
+    for i, b in enumerate(batches):
+        _lit_lines(spark, b, 100 * i).coalesce(1).write.mode("append").parquet(src)
+    outs = {}
+    for every in (0, 2):
+        root = os.path.join(scratch, f"a{every}")
+        ST.start_blacklist_stage(ST.line_files(spark, src, max_files_per_trigger=1), root, 2,
+                                 os.path.join(scratch, f"ck{every}"), compact_every=every, retain_days=1)
+        outs[every] = (rows(spark.read.parquet(f"{root}/clean"), "batch_id", "userid"),
+                       rows(ST.blacklist_table(spark, root, 2)))
+    assert outs[0] == outs[2]
+    clean, black = outs[2]
+    assert black == [(7,), (8,)]
+    assert (2, 7) not in clean and (4, 8) not in clean and (4, 9) in clean
+    assert os.path.isdir(os.path.join(scratch, "a2", "user_totals", "upto=2"))

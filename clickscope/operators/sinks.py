@@ -134,5 +134,64 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: str = "batch_id"
     return rows.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
 
 
-__all__ = ["has_batches", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
+__all__ = ["VersionedTable", "has_batches", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
            "save_table", "show", "publish_batch", "read_batches", "latest_per_key"]
+
+
+class VersionedTable:
+    """A Parquet table updated by read-merge-write without overwriting the
+    folder being read: each update writes ``root/v=N+1`` (staging + rename)
+    from version N merged with the batch; readers take the newest complete
+    version.  Binds the merge semantics above (SNK2-SNK4) to storage outside
+    a stream; old versions are pruned after ``keep`` newer ones exist."""
+
+    def __init__(self, spark, root: str, schema=None, keep: int = 3):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schema = schema
+        self.keep = keep
+
+    def _versions(self) -> list[int]:
+        p, fs = _fs(self.spark, f"{self.root}/v=*")
+        out = []
+        for st in fs.globStatus(p) or []:
+            name = st.getPath().getName()
+            try:
+                v = int(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/_SUCCESS")):
+                out.append(v)
+        return sorted(out)
+
+    def version(self) -> int | None:
+        v = self._versions()
+        return v[-1] if v else None
+
+    def read(self) -> DataFrame | None:
+        v = self.version()
+        if v is None:
+            return None
+        r = self.spark.read
+        if self.schema is not None:
+            r = r.schema(self.schema)
+        return r.parquet(f"{self.root}/v={v}")
+
+    def update(self, batch: DataFrame, merge) -> int:
+        """Write ``merge(current, batch)`` (or the batch alone for a new
+        table) as the next version; returns the new version number."""
+        current = self.read()
+        new = batch if current is None else merge(current, batch)
+        v = (self.version() or 0) + 1
+        staging = f"{self.root}/_staging/v={v}-{uuid.uuid4().hex[:8]}"
+        new.write.mode("overwrite").parquet(staging)
+        src, fs = _fs(self.spark, staging)
+        dst, _ = _fs(self.spark, f"{self.root}/v={v}")
+        fs.mkdirs(dst.getParent())
+        if not fs.rename(src, dst):
+            fs.delete(src, True)
+            raise RuntimeError(f"concurrent update of {self.root} (version {v} exists)")
+        for old in self._versions()[:-self.keep]:
+            p, _ = _fs(self.spark, f"{self.root}/v={old}")
+            fs.delete(p, True)
+        return v

@@ -72,3 +72,17 @@ def test_save_table(spark, scratch):
     SK.save_table(df, path)
     SK.save_table(df, path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_versioned_table_updates(spark, scratch):
+    keys = ["date", "province", "adid"]
+    t = SK.VersionedTable(spark, os.path.join(scratch, "vt"), keep=2)
+    assert t.read() is None
+    t.update(spark.createDataFrame([("d", "p", 1, 5)], SCHEMA), lambda o, b: SK.upsert_add(o, b, keys))
+    t.update(spark.createDataFrame([("d", "p", 1, 2), ("d", "p", 2, 1)], SCHEMA),
+             lambda o, b: SK.upsert_add(o, b, keys))
+    assert rows(t.read()) == [("d", "p", 1, 7), ("d", "p", 2, 1)]
+    t.update(spark.createDataFrame([("d", "p", 9, 9)], SCHEMA), lambda o, b: SK.replace_group(o, b, ["date", "province"]))
+    assert rows(t.read()) == [("d", "p", 9, 9)]
+    assert t.version() == 3
+    assert sorted(os.listdir(os.path.join(scratch, "vt"))) == ["_staging", "v=2", "v=3"]

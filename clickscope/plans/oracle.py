@@ -175,8 +175,8 @@ prov_top AS (
   SELECT date, province, adid, click_count FROM (
     SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn FROM prov_counts) t
   WHERE rn <= {P.top_ads}),
-half_old AS (SELECT * FROM ad_clicks WHERE event_id % 2 = 0),
-half_new AS (SELECT * FROM ad_clicks WHERE event_id % 2 = 1)
+half_old AS (SELECT * FROM ad_clicks WHERE ts < TIMESTAMP '{R.SINK_CUT}'),
+half_new AS (SELECT * FROM ad_clicks WHERE ts >= TIMESTAMP '{R.SINK_CUT}')
 """
 
 

@@ -167,7 +167,7 @@ class Fixture:
     table is written to a staging folder and published by rename, so a
     failed or concurrent build never leaves a partial table behind."""
 
-    _cache: dict[tuple[int, str], str] = {}
+    _cache: dict[tuple, str] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
@@ -189,7 +189,8 @@ class Fixture:
 
     def root(self) -> str:
         if self._root is None:
-            key = (id(self.spark.sparkContext), os.path.abspath(self.sf_dir))
+            sc = self.spark.sparkContext
+            key = (id(sc), sc.getCheckpointDir(), os.path.abspath(self.sf_dir))
             root = Fixture._cache.get(key)
             if root is None:
                 from clickscope.session import work_dir

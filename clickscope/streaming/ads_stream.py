@@ -242,17 +242,36 @@ def clean_click_stream(spark: SparkSession, root: str, max_files_per_trigger: in
 
 # --- stage B: running totals, province top-3, minute trend ----------------------
 
+CITY_SCHEMA = T.StructType([T.StructField("date", T.StringType()), T.StructField("province", T.StringType()),
+                            T.StructField("city", T.StringType()), T.StructField("adid", T.LongType()),
+                            T.StructField("click_count", T.LongType())])
+TOP_SCHEMA = T.StructType([T.StructField("date", T.StringType()), T.StructField("province", T.StringType()),
+                           T.StructField("adid", T.LongType()), T.StructField("click_count", T.LongType())])
+
+
+def _city_log(spark: SparkSession, root: str, compact_every: int = 100) -> sinks.BatchLog:
+    return sinks.BatchLog(spark, f"{root}/city_running", ads.KEY_CITY, "latest", "date", compact_every, CITY_SCHEMA)
+
+
+def _top_log(spark: SparkSession, root: str, compact_every: int = 100) -> sinks.BatchLog:
+    return sinks.BatchLog(spark, f"{root}/province_top", ads.PROVINCE_GROUP, "group", "date", compact_every,
+                          TOP_SCHEMA)
+
+
 def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark: str | None = "1 day",
-                       top_n: int = 3, trigger: dict | None = None, await_end: bool = True):
+                       top_n: int = 3, trigger: dict | None = None, await_end: bool = True,
+                       compact_every: int = 100):
     """ST3 + ST4: running totals per (day, province, city, ad) in the state
     store (update mode); each batch publishes the changed totals and, for the
     (date, province) groups it touched, the new top-``n`` ads (replace-group).
 
     The grouping carries a one-day event-time window, so state of a day is
-    dropped once the watermark passes it; the published totals remain."""
+    dropped once the watermark passes it; the published totals remain.  The
+    top-``n`` refresh reads the current totals of the touched groups only:
+    the newest compaction (partitioned by day) plus the recent batches."""
     spark = clicks.sparkSession
     use_rocksdb_state(spark)
-    running_root, top_root = f"{root}/city_running", f"{root}/province_top"
+    running, tops = _city_log(spark, root, compact_every), _top_log(spark, root, compact_every)
     c = _event_time(clicks, watermark)
     agg = (c.groupBy(F.window("ts", "1 day").alias("day"), "province", "city", "adid")
            .agg(F.count(F.lit(1)).alias("click_count"))
@@ -264,13 +283,13 @@ def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark:
         try:
             if df.isEmpty():  # e.g. the no-data batch that only advances the watermark
                 return
-            if not sinks.publish_batch(df, running_root, batch_id):
+            if not running.publish(df, batch_id):
                 return
             if top_n:
                 touched = df.select(*ads.PROVINCE_GROUP).distinct()
-                current = city_running_table(spark, root).join(touched, ads.PROVINCE_GROUP, "left_semi")
+                current = running.view(before=batch_id + 1).join(touched, ads.PROVINCE_GROUP, "left_semi")
                 top = ads.province_top(ads.province_counts(current), top_n)
-                sinks.publish_batch(top, top_root, batch_id)
+                tops.publish(top, batch_id)
         finally:
             df.unpersist()
 
@@ -280,35 +299,44 @@ def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark:
 
 def city_running_table(spark: SparkSession, root: str) -> DataFrame:
     """Current running totals: the newest published total of each key."""
-    rows = sinks.read_batches(spark, f"{root}/city_running")
-    return sinks.latest_per_key(rows, ads.KEY_CITY).select(*ads.KEY_CITY, F.col("click_count").cast("bigint"))
+    return _city_log(spark, root).view().select(*ads.KEY_CITY, F.col("click_count").cast("bigint"))
 
 
 def province_top_table(spark: SparkSession, root: str) -> DataFrame:
     """Current province top-n: per (date, province) the rows of the newest
     batch that refreshed the group (replace-group semantics)."""
-    rows = sinks.read_batches(spark, f"{root}/province_top")
-    newest = rows.groupBy(*ads.PROVINCE_GROUP).agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ads.PROVINCE_GROUP + ["batch_id"], "left_semi").select(
-        "date", "province", "adid", F.col("click_count").cast("bigint"))
+    return _top_log(spark, root).view().select("date", "province", "adid", F.col("click_count").cast("bigint"))
+
+
+MINUTE_KEYS = ["date", "hour", "minute", "adid"]
+MINUTE_SCHEMA = T.StructType([T.StructField("date", T.StringType()), T.StructField("hour", T.StringType()),
+                              T.StructField("minute", T.StringType()), T.StructField("adid", T.LongType()),
+                              T.StructField("click_count", T.LongType())])
+
+
+def _minute_log(spark: SparkSession, root: str, compact_every: int = 100) -> sinks.BatchLog:
+    return sinks.BatchLog(spark, f"{root}/minute_trend", MINUTE_KEYS, "latest", "date", compact_every, MINUTE_SCHEMA)
 
 
 def start_minute_trend(clicks: DataFrame, root: str, checkpoint: str, watermark: str | None = "1 hour",
-                       trigger: dict | None = None, await_end: bool = True):
+                       trigger: dict | None = None, await_end: bool = True, compact_every: int = 100):
     """ST5a: per-(minute, ad) counts in the state store (update mode); rows
     older than the watermark are dropped and reported in the query progress
     (``numRowsDroppedByWatermark``)."""
-    use_rocksdb_state(clicks.sparkSession)
+    spark = clicks.sparkSession
+    use_rocksdb_state(spark)
     c = _event_time(clicks, watermark)
     agg = c.groupBy(ads.minute_window(F.col("ts")).alias("w"), "adid").agg(F.count(F.lit(1)).alias("click_count"))
     out = agg.select(F.date_format("w.start", "yyyyMMdd").alias("date"), F.date_format("w.start", "HH").alias("hour"),
                      F.date_format("w.start", "mm").alias("minute"), "adid", "click_count")
 
+    log = _minute_log(spark, root, compact_every)
+
     def batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
             if not df.isEmpty():
-                sinks.publish_batch(df, f"{root}/minute_trend", batch_id)
+                log.publish(df, batch_id)
         finally:
             df.unpersist()
 
@@ -317,9 +345,8 @@ def start_minute_trend(clicks: DataFrame, root: str, checkpoint: str, watermark:
 
 
 def minute_trend_table(spark: SparkSession, root: str) -> DataFrame:
-    rows = sinks.read_batches(spark, f"{root}/minute_trend")
-    keys = ["date", "hour", "minute", "adid"]
-    return sinks.latest_per_key(rows, keys).select(*keys, F.col("click_count").cast("bigint"))
+    """Current per-minute counts: the newest published count of each key."""
+    return _minute_log(spark, root).view().select(*MINUTE_KEYS, F.col("click_count").cast("bigint"))
 
 
 def start_parse_to_files(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,

@@ -155,3 +155,18 @@ def test_compaction_keeps_blacklist_and_totals(spark, scratch):
     assert black == [(7,), (8,)]
     assert (2, 7) not in clean and (4, 8) not in clean and (4, 9) in clean
     assert os.path.isdir(os.path.join(scratch, "a2", "user_totals", "upto=2"))
+
+
+def test_stage_b_compaction_matches_batch(spark, scratch):
+    """City totals and province top-3 with a compaction every 2 batches."""
+    fx = Fixture(spark, SF)
+    src = os.path.join(scratch, "src")
+    _write_chunks(spark, fx.ad_log(), src, 5)
+    root = os.path.join(scratch, "b")
+    clicks = ST.parsed_clicks(ST.line_files(spark, src, max_files_per_trigger=1))
+    ST.start_city_running(clicks, root, os.path.join(scratch, "ck"), compact_every=2)
+    parsed = AD.parse_log_lines(fx.ad_log()).where("valid")
+    assert rows(ST.city_running_table(spark, root)) == rows(AD.city_counts(parsed))
+    want_top = rows(AD.province_top(AD.province_counts(AD.city_counts(parsed)), 3))
+    assert rows(ST.province_top_table(spark, root)) == want_top
+    assert os.path.isdir(os.path.join(root, "city_running", "_compact", "upto=4"))

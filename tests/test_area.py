@@ -40,3 +40,25 @@ def test_top3_and_unknown_product(spark):
     assert ("华东", "A_Level", 10, "Self") in top
     assert ("华中", "B_Level", 13, "Third Party") in top
     assert ("西北", "C_Level", 14, "Self") in top
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from clickscope.sources.fixtures import CITY_ROWS  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 4)), min_size=1, max_size=60), st.integers(1, 7))
+def test_city_infos_independent_of_partitioning(spark, clicks, parts):
+    df = spark.createDataFrame(clicks, "city_id bigint, click_product_id bigint")
+    a = rows(A.area_product_clicks(A.area_base(df, cities(spark))))
+    b = rows(A.area_product_clicks(A.area_base(df.repartition(parts), cities(spark))))
+    assert a == b
+    info = {cid: (f"{cid}:{name}", area) for cid, name, area in CITY_ROWS}
+    want = {}
+    for cid, pid in clicks:
+        label, area = info[cid]
+        cnt, labels = want.get((area, pid), (0, set()))
+        want[(area, pid)] = (cnt + 1, labels | {label})
+    assert a == sorted((ar, pid, cnt, ",".join(sorted(ls))) for (ar, pid), (cnt, ls) in want.items())

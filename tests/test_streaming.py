@@ -170,3 +170,15 @@ def test_stage_b_compaction_matches_batch(spark, scratch):
     want_top = rows(AD.province_top(AD.province_counts(AD.city_counts(parsed)), 3))
     assert rows(ST.province_top_table(spark, root)) == want_top
     assert os.path.isdir(os.path.join(root, "city_running", "_compact", "upto=4"))
+
+
+def test_events_folder_source(spark, scratch):
+    """The stream derives log lines from a folder of raw event files."""
+    src = os.path.join(scratch, "events")
+    spark.read.parquet(f"{SF}/events.parquet").coalesce(1).write.parquet(src)
+    out = os.path.join(scratch, "parsed")
+    ST.start_parse_to_files(ST.event_file_lines(spark, src), out, os.path.join(scratch, "ck"))
+    got = spark.read.parquet(out)
+    assert got.count() == spark.read.parquet(f"{SF}/events.parquet").count()
+    assert rows(got.select("event_id", "userid")) == rows(Fixture(spark, SF).ad_log().select(
+        "event_id", F.expr("CAST(split(value, ' ')[3] AS BIGINT)").alias("userid")))

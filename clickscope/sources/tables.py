@@ -26,3 +26,16 @@ def area_clicks(visit_log: DataFrame, params: TaskParams) -> DataFrame:
     return (actions_in_range(visit_log, params)
             .where(F.col("click_product_id") != -1)
             .select("city_id", "click_product_id"))
+
+
+def load(spark, source: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """A table by catalog name (``db.table`` / ``table``) or a path.
+
+    Catalog tables go through ``spark.table`` so partition pruning and
+    pushdown come from the catalog's layout; paths are read with ``fmt``."""
+    if "/" not in source and ":" not in source:
+        return spark.table(source)
+    r = spark.read.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
+    return r.load(source)

@@ -11,7 +11,8 @@ from clickscope.session import get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[*]", 8, app_name="clickscope-tests")
+    s = get_spark("local[*]", 8, app_name="clickscope-tests",
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="clickscope-test-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         # tests only: the cluster names spark.checkpoint.dir itself

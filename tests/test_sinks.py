@@ -86,3 +86,21 @@ def test_versioned_table_updates(spark, scratch):
     assert rows(t.read()) == [("d", "p", 9, 9)]
     assert t.version() == 3
     assert sorted(os.listdir(os.path.join(scratch, "vt"))) == ["_staging", "v=2", "v=3"]
+
+
+def test_save_as_catalog_table_and_load(spark):
+    from clickscope.plans.jobs import session_report
+    from clickscope.params import FIXTURE_PARAMS
+    from clickscope.sources.fixtures import Fixture
+    from clickscope.sources.tables import load
+
+    fx = Fixture(spark, "/root/testdata/sf0.001")
+    SK.save_table(fx.visit_log(), "user_visit_action", as_table=True)
+    SK.save_table(fx.visit_log(), "user_visit_action", as_table=True)  # drop-and-save again
+    SK.save_table(fx.users(), "user_info", as_table=True)
+    acts, users = load(spark, "user_visit_action"), load(spark, "user_info")
+    assert acts.count() == 1000
+    from clickscope.plans.jobs import SessionReport
+    stats = SessionReport(acts, users, FIXTURE_PARAMS).stats().first()
+    assert stats["session_count"] == session_report(spark, "/root/testdata/sf0.001", FIXTURE_PARAMS).stats().first()[
+        "session_count"]

@@ -36,3 +36,26 @@ def test_funnel_and_area_to_jdbc(spark):
     assert back.count() == 6
     area = spark.read.jdbc(url, "area_top3_product", properties=props)
     assert area.count() == QUERIES["area_top3"](spark, SF).count()
+
+
+def test_cli_commands(spark, scratch):
+    from clickscope import cli
+
+    fx = Fixture(spark, SF)
+    root = fx.root()
+    out = os.path.join(scratch, "cli")
+    params = '{"startDate": "2024-01-01", "endDate": "2024-01-31", "startAge": "20", "endAge": "50", ' \
+             '"targetPageFlow": "1,2,3,4,5,6,7"}'
+    tid = cli.main(["session-report", "--visit-log", f"{root}/visit_log", "--users", f"{root}/users",
+                    "--params", params, "--out", out, "--task-id", "c1"], spark=spark)
+    assert tid == "c1"
+    assert spark.read.parquet(f"{out}/session_aggr_stat").first()["session_count"] == 88
+    cli.main(["page-conversion", "--visit-log", f"{root}/visit_log", "--params", params, "--out", out], spark=spark)
+    assert spark.read.parquet(f"{out}/page_split_convert_rate").count() == 6
+    cli.main(["area-top3", "--visit-log", f"{root}/visit_log", "--products", f"{root}/products", "--out", out],
+             spark=spark)
+    assert spark.read.parquet(f"{out}/area_top3_product").count() > 0
+    sroot = cli.main(["ads-stream", "--lines", fx.ad_log_path(), "--out", os.path.join(scratch, "ads"),
+                      "--trigger", "once", "--threshold", "2"], spark=spark)
+    from clickscope.streaming import ads_stream as ST
+    assert ST.city_running_table(spark, sroot).count() > 0

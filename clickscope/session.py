@@ -54,14 +54,14 @@ def work_dir(spark: SparkSession) -> str:
     is unset (local tests) a fresh folder is created and registered.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="clickscope-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
-    return d
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    # the cluster's folder when it names one (registered so checkpoint() works);
+    # a fresh local folder only when nothing is set, as in tests
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="clickscope-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

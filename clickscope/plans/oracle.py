@@ -252,7 +252,15 @@ BODIES: dict[str, str] = {
     "product_status": """SELECT product_id, CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' THEN 'Self'
         ELSE 'Third Party' END AS product_status FROM products""",
     "json_field": "SELECT product_id, json_extract_string(extend_info, '$.product_status') AS value FROM products",
-    "kv_get": f"""SELECT event_id, CASE WHEN coalesce(search_keyword, '') <> '' THEN search_keyword END AS value FROM visit_log""",
+    "kv_get": f"""SELECT event_id, string_split(pair_text, '=')[2] AS value FROM (SELECT event_id,
+        list_filter(string_split(record, '|'),
+                    lambda p: len(string_split(p, '=')) = 2 AND string_split(p, '=')[1] = {_q(R.KV_FIELD)}
+                              AND string_split(p, '=')[2] <> '')[1] AS pair_text
+      FROM (SELECT event_id,
+                   'sessionid=' || session_id || '|searchKeywords=' || coalesce(search_keyword, '')
+                   || '|clickCategoryIds=' || CASE WHEN click_category_id <> -1 THEN CAST(click_category_id AS VARCHAR) ELSE '' END
+                   || '|pageid=' || CAST(page_id AS VARCHAR) AS record
+            FROM visit_log) r) k""",
     "area_top3": """SELECT area, CASE WHEN area IN ('华北', '华东') THEN 'A_Level' WHEN area IN ('华中', '华南') THEN 'B_Level'
         WHEN area IN ('西南', '西北') THEN 'C_Level' ELSE 'D_Level' END AS area_level,
         pid, city_infos, click_count, product_name, product_status FROM (

@@ -97,6 +97,20 @@ def minute_trend(clicks: DataFrame) -> DataFrame:
                     F.date_format(start, "mm").alias("minute"), "adid", "click_count")
 
 
+def sliding_from_minutes(per_minute: DataFrame, window_minutes: int = 60) -> DataFrame:
+    """ST5b from per-minute counts ``(m, adid, c)``: each minute count is
+    spread to the ``window_minutes`` windows that contain it and summed."""
+    offs = F.sequence(F.lit(0), F.lit(window_minutes - 1))
+    spread = per_minute.select("adid", "c", "m", F.explode(offs).alias("o"))
+    spread = spread.select("adid", "c", F.expr("m - make_dt_interval(0, 0, o, 0)").alias("ws"))
+    g = spread.groupBy("ws", "adid").agg(F.sum("c").cast("bigint").alias("click_count"))
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return g.select(F.date_format("ws", fmt).alias("window_start"),
+                    F.date_format(F.expr(f"ws + make_dt_interval(0, 0, {int(window_minutes)}, 0)"), fmt)
+                    .alias("window_end"),
+                    "adid", "click_count")
+
+
 def sliding_hour(clicks: DataFrame, window_minutes: int = 60) -> DataFrame:
     """ST5b: clicks per (60-minute window sliding by 1 minute, ad).
 
@@ -106,11 +120,4 @@ def sliding_hour(clicks: DataFrame, window_minutes: int = 60) -> DataFrame:
     minute and ad, not on the raw clicks."""
     per_min = clicks.groupBy(F.date_trunc("minute", F.col("ts")).alias("m"), "adid") \
                     .agg(F.count(F.lit(1)).alias("c"))
-    offs = F.sequence(F.lit(0), F.lit(window_minutes - 1))
-    spread = per_min.select("adid", "c", "m", F.explode(offs).alias("o"))
-    spread = spread.select("adid", "c", F.expr("m - make_dt_interval(0, 0, o, 0)").alias("ws"))
-    g = spread.groupBy("ws", "adid").agg(F.sum("c").cast("bigint").alias("click_count"))
-    fmt = "yyyy-MM-dd HH:mm:ss"
-    return g.select(F.date_format("ws", fmt).alias("window_start"),
-                    F.date_format(F.expr(f"ws + INTERVAL {window_minutes} MINUTES"), fmt).alias("window_end"),
-                    "adid", "click_count")
+    return sliding_from_minutes(per_min, window_minutes)

@@ -349,6 +349,16 @@ def minute_trend_table(spark: SparkSession, root: str) -> DataFrame:
     return _minute_log(spark, root).view().select(*MINUTE_KEYS, F.col("click_count").cast("bigint"))
 
 
+def sliding_hour_table(spark: SparkSession, root: str, window_minutes: int = 60) -> DataFrame:
+    """ST5b on the stream: 60-minute windows sliding by one minute, derived
+    from the per-minute state output (state stays one row per minute and
+    ad, not one per window)."""
+    m = minute_trend_table(spark, root)
+    ts = F.to_timestamp(F.concat_ws("", "date", "hour", "minute"), "yyyyMMddHHmm")
+    return ads.sliding_from_minutes(m.select(ts.alias("m"), "adid", F.col("click_count").alias("c")),
+                                    window_minutes)
+
+
 def start_parse_to_files(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                          await_end: bool = True):
     """ST1 as a stateless stream into a Parquet file sink (exactly-once via

@@ -40,6 +40,7 @@ def test_job_equals_batch_over_many_files(spark, scratch):
     assert rows(ST.city_running_table(spark, root)) == rows(AD.city_counts(clicks))
     assert rows(ST.province_top_table(spark, root)) == rows(AD.province_top(AD.province_counts(AD.city_counts(clicks)), 3))
     assert rows(ST.minute_trend_table(spark, root)) == rows(AD.minute_trend(clicks))
+    assert rows(ST.sliding_hour_table(spark, root)) == rows(AD.sliding_hour(clicks))
     # four micro-batches were published
     batches = {r.batch_id for r in spark.read.parquet(f"{root}/clean").select("batch_id").distinct().collect()}
     assert batches == {0, 1, 2, 3}

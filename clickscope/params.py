@@ -21,10 +21,10 @@ class TaskParams:
     strings compared with the ``date`` column of the visit log.
     """
 
-    start_date: str | None = "2024-01-01"
-    end_date: str | None = "2024-01-31"
-    start_age: int | None = 20
-    end_age: int | None = 50
+    start_date: str | None = None
+    end_date: str | None = None
+    start_age: int | None = None
+    end_age: int | None = None
     professionals: str | None = None
     cities: str | None = None
     sex: str | None = None
@@ -87,5 +87,7 @@ class TaskParams:
 
 
 # Parameters used by the registered queries on the derived fixture
-# (age 20-50, other filters empty, flow 1..7, N = 1000, blacklist threshold 2).
-FIXTURE_PARAMS = TaskParams(blacklist_threshold=2)
+# (January 2024, age 20-50, other filters empty, flow 1..7, N = 1000,
+# blacklist threshold 2).
+FIXTURE_PARAMS = TaskParams(start_date="2024-01-01", end_date="2024-01-31", start_age=20, end_age=50,
+                            blacklist_threshold=2)

@@ -26,12 +26,12 @@ from clickscope.streaming import ads_stream
 P = FIXTURE_PARAMS
 # Parameters of the single-filter queries (other filters empty).
 RANGE_PARAMS = replace(P, start_date="2024-01-05", end_date="2024-01-20")
-AGE_ONLY = TaskParams(start_age=20, end_age=50)
-KEYWORDS_ONLY = TaskParams(start_age=None, end_age=None, keywords="kw1,kw3")
-SEX_ONLY = TaskParams(start_age=None, end_age=None, sex="male")
-ALL_SIX = TaskParams(start_age=20, end_age=50, professionals="AUTOMOBILE,BUILDING,MACHINERY",
-                     cities=",".join(f"city{i}" for i in range(0, 25, 2)), sex="male",
-                     keywords="kw1,kw3", category_ids=",".join(str(i) for i in range(0, 100, 3)))
+AGE_ONLY = P
+KEYWORDS_ONLY = replace(P, start_age=None, end_age=None, keywords="kw1,kw3")
+SEX_ONLY = replace(P, start_age=None, end_age=None, sex="male")
+ALL_SIX = replace(P, professionals="AUTOMOBILE,BUILDING,MACHINERY",
+                  cities=",".join(f"city{i}" for i in range(0, 25, 2)), sex="male",
+                  keywords="kw1,kw3", category_ids=",".join(str(i) for i in range(0, 100, 3)))
 
 KV_FIELD = "searchKeywords"
 

@@ -151,6 +151,10 @@ def blacklist_snapshot(spark: SparkSession, root: str, threshold: int, before_ba
     ``< before_batch`` exceeds ``threshold`` (all published batches when
     ``before_batch`` is None)."""
     totals, black = _totals_as_of(spark, root, before_batch)
+    return _blacklist_of(spark, totals, black, threshold)
+
+
+def _blacklist_of(spark: SparkSession, totals, black: list, threshold: int) -> DataFrame:
     sets = list(black)
     if totals is not None:
         sets.append(ads.blacklist_from_counts(totals, threshold))
@@ -177,7 +181,7 @@ def compact_totals(spark: SparkSession, root: str, upto: int, threshold: int, re
         return False
     totals = totals.persist()
     try:
-        blacklist = blacklist_snapshot(spark, root, threshold, upto)
+        blacklist = _blacklist_of(spark, totals, black, threshold)
         keep = totals
         if retain_days is not None:
             newest = totals.select(F.max("date")).scalar()

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickscope.session import fs_delete, fs_publish
+
 # --- pure merge semantics ---------------------------------------------------
 
 
@@ -107,15 +109,8 @@ def publish_batch(df: DataFrame, root: str, batch_id: int) -> bool:
         return False
     staging = f"{root.rstrip('/')}/_staging/batch_id={batch_id}-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(staging)
-    src, fs = _fs(spark, staging)
-    dst, _ = _fs(spark, target)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        if _exists(spark, target):  # a concurrent attempt published it first
-            fs.delete(src, True)
-            return False
-        raise RuntimeError(f"could not publish {target}")
-    return True
+    # False when a concurrent attempt of the same batch published first
+    return fs_publish(spark, staging, target)
 
 
 def read_batches(spark, root: str, schema=None) -> DataFrame:
@@ -185,15 +180,10 @@ class VersionedTable:
         v = (self.version() or 0) + 1
         staging = f"{self.root}/_staging/v={v}-{uuid.uuid4().hex[:8]}"
         new.write.mode("overwrite").parquet(staging)
-        src, fs = _fs(self.spark, staging)
-        dst, _ = _fs(self.spark, f"{self.root}/v={v}")
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(src, dst):
-            fs.delete(src, True)
+        if not fs_publish(self.spark, staging, f"{self.root}/v={v}"):
             raise RuntimeError(f"concurrent update of {self.root} (version {v} exists)")
         for old in self._versions()[:-self.keep]:
-            p, _ = _fs(self.spark, f"{self.root}/v={old}")
-            fs.delete(p, True)
+            fs_delete(self.spark, f"{self.root}/v={old}")
         return v
 
 
@@ -277,10 +267,4 @@ class BatchLog:
         if self.partition_by:
             w = w.partitionBy(self.partition_by)
         w.parquet(staging)
-        src, fs = _fs(self.spark, staging)
-        dst, _ = _fs(self.spark, target)
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(src, dst):
-            fs.delete(src, True)
-            return False
-        return True
+        return fs_publish(self.spark, staging, target)

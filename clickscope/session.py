@@ -78,3 +78,43 @@ def ensure_local_dir(path: str) -> None:
     p = local_path(path)
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
+
+
+def _path(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def fs_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return bool(fs.exists(p))
+
+
+def fs_delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def fs_publish(spark: SparkSession, staging: str, target: str) -> bool:
+    """Move a fully written ``staging`` folder to ``target`` atomically.
+
+    Uses a rename that refuses an existing target (a plain file-system
+    rename would move the folder *into* it).  Returns False - and drops the
+    staging copy - when the target already exists, e.g. when another attempt
+    of the same batch published first."""
+    jvm = spark._jvm
+    src, fs = _path(spark, staging)
+    dst, _ = _path(spark, target)
+    fs.mkdirs(dst.getParent())
+    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), spark._jsc.hadoopConfiguration())
+    opts = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        fc.rename(src, dst, opts)
+        return True
+    except Exception:
+        if fs.exists(dst):
+            fs.delete(src, True)
+            return False
+        raise

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickscope.session import fs_exists, fs_publish, work_dir
 from clickscope.schemas import AD_LOG, CITY_INFO, PRODUCT_INFO, USER_INFO, VISIT_LOG
 
 # The city dimension of the original jobs (city_id, city_name, area).
@@ -142,20 +143,6 @@ def _source_signature(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def _fs_rename(spark: SparkSession, src: str, dst: str) -> bool:
-    jvm = spark._jvm
-    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = s.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(d.getParent())
-    return bool(fs.rename(s, d))
-
-
 class Fixture:
     """The derived tables of one scale-factor folder.
 
@@ -193,7 +180,6 @@ class Fixture:
             key = (id(sc), sc.getCheckpointDir(), os.path.abspath(self.sf_dir))
             root = Fixture._cache.get(key)
             if root is None:
-                from clickscope.session import work_dir
                 root = f"{work_dir(self.spark).rstrip('/')}/fixture-{_source_signature(self.sf_dir)}"
                 self._build(root)
                 Fixture._cache[key] = root
@@ -203,7 +189,7 @@ class Fixture:
     def _build(self, root: str) -> None:
         for name, make in self._derived().items():
             target = f"{root}/{name}"
-            if _fs_exists(self.spark, f"{target}/_SUCCESS"):
+            if fs_exists(self.spark, f"{target}/_SUCCESS"):
                 continue
             staging = f"{root}/_staging/{name}-{uuid.uuid4().hex[:8]}"
             df = make()
@@ -217,8 +203,8 @@ class Fixture:
                 w = (df.repartitionByRange(n, "date", "session_id").write.mode("overwrite")
                      .partitionBy("date"))
             w.parquet(staging)
-            if not _fs_rename(self.spark, staging, target) and not _fs_exists(self.spark, f"{target}/_SUCCESS"):
-                raise RuntimeError(f"could not publish fixture table {target}")
+            # False: another build published the same table first (identical content)
+            fs_publish(self.spark, staging, target)
 
     def _read(self, name: str, schema=None) -> DataFrame:
         if not self.materialize:

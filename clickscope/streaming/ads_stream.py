@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from clickscope.operators import ads, sinks
 from clickscope.schemas import AD_LOG, EVENTS
-from clickscope.session import run_dir
+from clickscope.session import fs_publish, run_dir
 from clickscope.sources.fixtures import ad_log_lines
 
 CLEAN_SCHEMA = T.StructType([
@@ -190,12 +190,7 @@ def compact_totals(spark: SparkSession, root: str, upto: int, threshold: int, re
         staging = f"{root}/user_totals/_staging/upto={upto}-{uuid.uuid4().hex[:8]}"
         keep.write.mode("overwrite").parquet(f"{staging}/counts")
         blacklist.write.mode("overwrite").parquet(f"{staging}/blacklist")
-        sp = jvm.org.apache.hadoop.fs.Path(staging)
-        fs.mkdirs(tp.getParent())
-        if not fs.rename(sp, tp):
-            fs.delete(sp, True)
-            return False
-        return True
+        return fs_publish(spark, staging, target)
     finally:
         totals.unpersist()
 

@@ -291,6 +291,11 @@ BODIES: dict[str, str] = {
       UNION ALL SELECT * FROM {_prov_top('half_new')} n2""",
 }
 
+# streaming forms of batch outputs: same result, same SQL
+BODIES["ads_blacklist_stream"] = BODIES["ads_blacklist"]
+BODIES["ads_province_top3_stream"] = BODIES["ads_province_top3"]
+BODIES["ads_sliding_hour_stream"] = BODIES["ads_sliding_hour"]
+
 # queries whose parameters differ from the fixture defaults
 _PREFIX_ARGS = {
     "actions_in_range": dict(start_date=R.RANGE_PARAMS.start_date, end_date=R.RANGE_PARAMS.end_date),

@@ -298,6 +298,29 @@ def q_ads_minute_trend(spark, sf_dir):
     return ads_stream.minute_trend_table(spark, root)
 
 
+def q_ads_blacklist_stream(spark, sf_dir):
+    """ST2 on the stream: stage A over the whole ad log, then the blacklist view."""
+    root = run_dir(spark, "ads-black")
+    ads_stream.start_blacklist_stage(_line_stream(spark, sf_dir), root, P.blacklist_threshold, f"{root}/_checkpoint")
+    return ads_stream.blacklist_table(spark, root, P.blacklist_threshold)
+
+
+def q_ads_province_top3_stream(spark, sf_dir):
+    """ST3 + ST4 on the stream: province top-3 refreshed per micro-batch."""
+    root = run_dir(spark, "ads-top")
+    clicks = ads_stream.parsed_clicks(_line_stream(spark, sf_dir))
+    ads_stream.start_city_running(clicks, root, f"{root}/_checkpoint", top_n=P.top_ads)
+    return ads_stream.province_top_table(spark, root)
+
+
+def q_ads_sliding_hour_stream(spark, sf_dir):
+    """ST5b on the stream: sliding hours from the per-minute state output."""
+    root = run_dir(spark, "ads-slide")
+    clicks = ads_stream.parsed_clicks(_line_stream(spark, sf_dir))
+    ads_stream.start_minute_trend(clicks, root, f"{root}/_checkpoint")
+    return ads_stream.sliding_hour_table(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # scans and filters
     "actions_in_range": q_actions_in_range,
@@ -354,6 +377,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_province_top3": q_ads_province_top3,
     "ads_minute_trend": q_ads_minute_trend,
     "ads_sliding_hour": q_ads_sliding_hour,
+    # the same outputs computed by the streaming queries
+    "ads_blacklist_stream": q_ads_blacklist_stream,
+    "ads_province_top3_stream": q_ads_province_top3_stream,
+    "ads_sliding_hour_stream": q_ads_sliding_hour_stream,
     # sinks
     "sink_upsert_add": q_sink_upsert_add,
     "sink_upsert_replace": q_sink_upsert_replace,

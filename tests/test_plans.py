@@ -10,7 +10,8 @@ import pytest
 from clickscope.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-STREAMING = {"ads_stream_parse", "ads_city_running", "ads_minute_trend"}
+STREAMING = {"ads_stream_parse", "ads_city_running", "ads_minute_trend", "ads_blacklist_stream",
+             "ads_province_top3_stream", "ads_sliding_hour_stream"}
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
             "AggregateInPandas", "MapInArrow")
 

@@ -128,3 +128,10 @@ def test_date_keys_and_today(spark):
         X.yesterday().alias("y"), X.is_empty("b").alias("e"), X.is_not_empty("b").alias("ne")).first()
     assert r.d == dt.date(2024, 1, 31) and r.bad is None
     assert len(r.t) == 10 and r.y < r.t and (r.e, r.ne) == (False, True)
+
+
+def test_before_after(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:01", "2024-01-01 00:00:02")], "a string, b string")
+    r = df.select(X.before(X.parse_time("a"), X.parse_time("b")).alias("bf"),
+                  X.after(X.parse_time("a"), X.parse_time("b")).alias("af")).first()
+    assert (r.bf, r.af) == (True, False)

@@ -104,3 +104,8 @@ def test_save_as_catalog_table_and_load(spark):
     stats = SessionReport(acts, users, FIXTURE_PARAMS).stats().first()
     assert stats["session_count"] == session_report(spark, "/root/testdata/sf0.001", FIXTURE_PARAMS).stats().first()[
         "session_count"]
+
+
+def test_show_prints_bounded_preview(spark, capsys):
+    SK.show(spark.createDataFrame([("d", "p", 1, 5)], SCHEMA), 5)
+    assert "click_count" in capsys.readouterr().out

@@ -39,3 +39,10 @@ def test_zero_denominator_is_null(spark):
     # no views of page 7 -> step 1 rate null; 7_1 count 0 -> step 2 rate null
     assert got == [(1, "7_1", 0, None), (2, "1_2", 2, None)]
     assert rows(FN.funnel_string(a, (7, 1, 2))) == [("7_1=null|1_2=null",)]
+
+
+def test_actions_without_time_sort_first(spark):
+    from clickscope.schemas import VISIT_LOG
+    data = [action("s", "2024-01-01 10:00:00", event_id=2, page_id=2),
+            ("2024-01-01", 1, "s", 1, None, None, -1, -1, None, None, None, None, 0, 1)]
+    assert rows(FN.page_transitions(spark.createDataFrame(data, VISIT_LOG))) == [("s", 1, "1_2")]

@@ -91,3 +91,20 @@ def test_bucket_counts_property(spark, data):
     step = sum(v for k, v in counts.items() if not (k.endswith("s") or k.endswith("m")))
     assert visit + zero == n
     assert step == n == len({s for s, _ in data})
+
+
+def test_null_and_malformed_action_times(spark):
+    """Actions without a (valid) time count as steps but do not move the first
+    or last time; a session with no valid time has no visit length/start."""
+    from clickscope.schemas import VISIT_LOG
+    rows_ = [
+        action("a", "2024-01-01 10:00:00", event_id=1),
+        action("a", "2024-01-01 10:00:30", event_id=2),
+        ("2024-01-01", 1, "a", 0, None, None, -1, -1, None, None, None, None, 0, 3),
+        ("2024-01-01", 1, "b", 0, "not a time", None, -1, -1, None, None, None, None, 0, 4),
+    ]
+    summ = {r.session_id: r for r in S.session_summary(spark.createDataFrame(rows_, VISIT_LOG)).collect()}
+    assert (summ["a"].step_length, summ["a"].visit_length, summ["a"].start_time) == (3, 30, "2024-01-01 10:00:00")
+    assert (summ["b"].step_length, summ["b"].visit_length, summ["b"].start_time) == (1, None, None)
+    b = S.with_buckets(S.session_summary(spark.createDataFrame(rows_, VISIT_LOG))).where("session_id = 'b'").first()
+    assert (b.visit_bucket, b.step_bucket) == (None, "1_3")

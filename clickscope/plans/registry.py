@@ -234,7 +234,7 @@ def q_ads_province_counts(spark, sf_dir):
 
 
 def q_ads_province_top3(spark, sf_dir):
-    return ads.province_top(ads.province_counts(ads.city_counts(_clicks(spark, sf_dir))), P.top_ads)
+    return _province_top(_clicks(spark, sf_dir))
 
 
 def q_ads_sliding_hour(spark, sf_dir):
@@ -262,10 +262,13 @@ def q_sink_upsert_replace(spark, sf_dir):
     return sinks.upsert_replace(ads.city_counts(old), ads.city_counts(batch), ads.KEY_CITY)
 
 
+def _province_top(clicks: DataFrame) -> DataFrame:
+    return ads.province_top(ads.province_counts(ads.city_counts(clicks)), P.top_ads)
+
+
 def q_sink_replace_group(spark, sf_dir):
     old, batch = _halves(spark, sf_dir)
-    top = lambda c: ads.province_top(ads.province_counts(ads.city_counts(c)), P.top_ads)
-    return sinks.replace_group(top(old), top(batch), ads.PROVINCE_GROUP)
+    return sinks.replace_group(_province_top(old), _province_top(batch), ads.PROVINCE_GROUP)
 
 
 # --- ads (streaming) ---------------------------------------------------------------

@@ -17,7 +17,7 @@ import argparse
 import json
 import sys
 
-from clickscope.params import TaskParams
+from clickscope.params import TaskParams, params_from_properties
 from clickscope.plans import reports
 from clickscope.schemas import VISIT_LOG
 from clickscope.session import get_spark
@@ -44,7 +44,8 @@ def main(argv: list[str] | None = None, spark=None) -> str:
         p.add_argument("--visit-log", required=True)
         p.add_argument("--users")
         p.add_argument("--products")
-        p.add_argument("--params")
+        p.add_argument("--params", help="JSON task parameter object")
+        p.add_argument("--params-file", help="properties file whose task.params.json holds the parameters")
         p.add_argument("--task-id")
         p.add_argument("--out", required=True)
         p.add_argument("--jdbc-driver")
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None, spark=None) -> str:
                 q.awaitTermination()
         return job["root"]
 
-    params = _params(a.params)
+    params = params_from_properties(a.params_file) if a.params_file else _params(a.params)
     # paths: the visit-log schema keeps a `date` partition column a string
     visit_log = load(spark, a.visit_log, schema=VISIT_LOG).select(*VISIT_LOG.fieldNames())
     write = _writer(a.out, a.jdbc_driver)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
 from dataclasses import dataclass, field
 
 
@@ -76,6 +79,8 @@ class TaskParams:
         }
         kwargs = {}
         for src, dst in names.items():
+            if src not in obj:
+                continue  # absent: keep the default
             v = obj.get(src)
             if v is None or (isinstance(v, str) and v.strip() == ""):
                 kwargs[dst] = None if dst != "target_page_flow" else ""
@@ -86,6 +91,42 @@ class TaskParams:
         return cls(**kwargs)
 
 
+def read_properties(text: str) -> dict[str, str]:
+    """Java ``.properties`` text -> dict: ``#``/``!`` comments, ``=`` or ``:``
+    separators, backslash line continuations."""
+    props: dict[str, str] = {}
+    logical, buf = [], ""
+    for raw in text.splitlines():
+        line = raw.strip() if not buf else raw.lstrip()
+        if not buf and (not line or line[0] in "#!"):
+            continue
+        if line.endswith("\\") and not line.endswith("\\\\"):
+            buf += line[:-1]
+            continue
+        logical.append(buf + line)
+        buf = ""
+    if buf:
+        logical.append(buf)
+    for line in logical:
+        m = re.match(r"([^=:\s]+)\s*[=:]\s*(.*)$", line)
+        if m:
+            props[m.group(1)] = m.group(2).strip()
+    return props
+
+
+def _relaxed_json(text: str) -> dict:
+    """JSON whose object keys may be unquoted (``{startAge: 20, ...}``)."""
+    quoted = re.sub(r'([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:', r'\1"\2":', text)
+    return json.loads(quoted)
+
+
+def params_from_properties(source: str, key: str = "task.params.json") -> TaskParams:
+    """``TaskParams`` from a properties file (path or text) whose ``key`` holds
+    the JSON parameter object, as the original jobs were configured."""
+    text = open(source, encoding="utf-8").read() if os.path.exists(source) else source
+    return TaskParams.from_json(_relaxed_json(read_properties(text)[key]))
+
+
 # Parameters used by the registered queries on the derived fixture
 # (January 2024, age 20-50, other filters empty, flow 1..7, N = 1000,
 # blacklist threshold 2).

@@ -27,3 +27,16 @@ def test_params_from_json():
                               "keywords": "kw1, kw2", "categoryIds": "", "targetPageFlow": "1,2,3"})
     assert (p.start_age, p.end_age, p.sex, p.professional_list, p.keyword_list, p.category_list, p.flow) == (
         20, 50, "male", None, ("kw1", "kw2"), None, (1, 2, 3))
+
+
+def test_params_from_properties(tmp_path):
+    from clickscope.params import params_from_properties
+    text = ("# run settings\njdbc.url=jdbc:x\n"
+            "task.params.json={startDate:\"2024-03-01\", \\\n   endDate:\"2024-03-09\", \\\n"
+            "   startAge: 18, \\\n   endAge: 40, \\\n   cities: \"\", \\\n   sex:\"female\"}\n")
+    f = tmp_path / "job.properties"
+    f.write_text(text)
+    p = params_from_properties(str(f))
+    assert (p.start_date, p.end_date, p.start_age, p.end_age, p.city_list, p.sex) == (
+        "2024-03-01", "2024-03-09", 18, 40, None, "female")
+    assert p.flow == (1, 2, 3, 4, 5, 6, 7)  # absent key keeps the default flow

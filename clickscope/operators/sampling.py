@@ -15,6 +15,12 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
             .groupBy("date", "hour").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def sessions_per_day(sessions: DataFrame) -> DataFrame:
+    """AGG8 (per date): sessions by start date."""
+    return (sessions.select(F.substring("start_time", 1, 10).alias("date"))
+            .groupBy("date").agg(F.count(F.lit(1)).alias("cnt")))
+
+
 def sample_quota(sessions: DataFrame, sample_size: int) -> DataFrame:
     """SMP1: sessions to draw per (date, hour).
 

@@ -48,3 +48,9 @@ def test_sample_detail(spark):
                                    "session_id string, start_time string, search_keywords string, "
                                    "click_category_ids string")
     assert [r.session_id for r in SM.session_sample_detail(acts, sample, 10).collect()] == ["x"]
+
+
+def test_sessions_per_day_and_hour(spark):
+    s = _sessions(spark, {("2024-01-01", "00"): 3, ("2024-01-01", "05"): 2, ("2024-01-02", "05"): 4})
+    assert rows(SM.sessions_per_day(s)) == [("2024-01-01", 5), ("2024-01-02", 4)]
+    assert rows(SM.sessions_per_hour(s)) == [("2024-01-01", "00", 3), ("2024-01-01", "05", 2), ("2024-01-02", "05", 4)]

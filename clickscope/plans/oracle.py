@@ -230,6 +230,7 @@ BODIES: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn FROM sess_cat) t
       WHERE rn <= 10""".replace("10", str(P.top_sessions)),
     "sessions_per_hour": "SELECT * FROM hours",
+    "sessions_per_day": "SELECT substr(start_time, 1, 10) AS date, CAST(count(*) AS BIGINT) AS cnt FROM sess_f GROUP BY 1",
     "sample_quota": "SELECT * FROM quota",
     "session_sample": "SELECT * FROM sample",
     "session_sample_detail": """SELECT session_id, user_id, page_id, action_time, search_keyword, click_category_id, click_product_id,

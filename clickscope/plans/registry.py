@@ -108,6 +108,10 @@ def q_sessions_per_hour(spark, sf_dir):
     return sampling.sessions_per_hour(_report(spark, sf_dir).filtered)
 
 
+def q_sessions_per_day(spark, sf_dir):
+    return sampling.sessions_per_day(_report(spark, sf_dir).filtered)
+
+
 def q_sample_quota(spark, sf_dir):
     return sampling.sample_quota(_report(spark, sf_dir).filtered, P.sample_size)
 
@@ -350,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_sessions_per_category": q_top_sessions_per_category,
     # sampling
     "sessions_per_hour": q_sessions_per_hour,
+    "sessions_per_day": q_sessions_per_day,
     "sample_quota": q_sample_quota,
     "session_sample": q_session_sample,
     "session_sample_detail": q_session_sample_detail,

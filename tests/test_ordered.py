@@ -46,3 +46,18 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, t int, id bigint, v int")
     assert next_in_group(df, "g", ["t", "id"], "v", "nxt", 0).count() == 0
     assert next_in_group(df.where(F.lit(False)), "g", ["t", "id"], "v", "nxt", 5).count() == 0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5), st.integers(0, 9)),
+                min_size=1, max_size=80),
+       st.sampled_from([0, 1, 5]), st.integers(1, 6))
+def test_successor_property(spark, items, hot, parts):
+    data = [(g, t, i, v) for i, (g, t, v) in enumerate(items)]
+    df = spark.createDataFrame(data, "g string, t int, id bigint, v int").repartition(parts)
+    got = {r.id: r.nxt for r in next_in_group(df, "g", ["t", "id"], "v", "nxt", hot).collect()}
+    assert got == _brute(data)

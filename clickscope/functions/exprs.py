@@ -207,10 +207,12 @@ def pad2(c) -> Column:
 
 def kv_get(c, field: str, delimiter: str = "|") -> Column:
     """Value of ``field`` in a ``k=v<delim>k=v`` string: the first pair whose key
-    matches and that splits into exactly a key and a non-empty value."""
+    matches and that splits into exactly a key and a value, where trailing
+    ``=`` are ignored as a Java ``split`` ignores trailing empty parts
+    (``k=`` has no value, ``k=v=`` has value ``v``, ``k=a=b`` is skipped)."""
     pairs = F.split(col_of(c), "\\" + delimiter if delimiter in "|.^$*+?()[]{}\\" else delimiter)
-    kv = F.transform(pairs, lambda p: F.split(p, "="))
-    ok = F.filter(kv, lambda a: (F.size(a) == 2) & (a[0] == F.lit(field)) & (a[1] != F.lit("")))
+    kv = F.transform(pairs, lambda p: F.split(F.regexp_replace(p, "=+$", ""), "="))
+    ok = F.filter(kv, lambda a: (F.size(a) == 2) & (a[0] == F.lit(field)))
     return F.try_element_at(ok, F.lit(1))[1]
 
 

@@ -253,10 +253,10 @@ BODIES: dict[str, str] = {
     "product_status": """SELECT product_id, CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' THEN 'Self'
         ELSE 'Third Party' END AS product_status FROM products""",
     "json_field": "SELECT product_id, json_extract_string(extend_info, '$.product_status') AS value FROM products",
-    "kv_get": f"""SELECT event_id, string_split(pair_text, '=')[2] AS value FROM (SELECT event_id,
+    "kv_get": f"""SELECT event_id, string_split(rtrim(pair_text, '='), '=')[2] AS value FROM (SELECT event_id,
         list_filter(string_split(record, '|'),
-                    lambda p: len(string_split(p, '=')) = 2 AND string_split(p, '=')[1] = {_q(R.KV_FIELD)}
-                              AND string_split(p, '=')[2] <> '')[1] AS pair_text
+                    lambda p: len(string_split(rtrim(p, '='), '=')) = 2
+                              AND string_split(rtrim(p, '='), '=')[1] = {_q(R.KV_FIELD)})[1] AS pair_text
       FROM (SELECT event_id,
                    'sessionid=' || session_id || '|searchKeywords=' || coalesce(search_keyword, '')
                    || '|clickCategoryIds=' || CASE WHEN click_category_id <> -1 THEN CAST(click_category_id AS VARCHAR) ELSE '' END

@@ -70,9 +70,9 @@ def test_csv_overlap_is_whole_item(spark):
 
 
 def test_kv_get(spark):
-    data = [("a=1|b=2|a=3",), ("b=|a=x",), ("a=1=2|a=y",), ("c=1",), (None,)]
-    assert _one(spark, X.kv_get("s", "a"), data, "s string") == ["1", "x", "y", None, None]
-    assert _one(spark, X.kv_get("s", "b"), data, "s string") == ["2", None, None, None, None]
+    data = [("a=1|b=2|a=3",), ("b=|a=x",), ("a=1=2|a=y",), ("c=1",), (None,), ("a=v=|a=w",), ("a==|=a|a=z|",)]
+    assert _one(spark, X.kv_get("s", "a"), data, "s string") == ["1", "x", "y", None, None, "v", "z"]
+    assert _one(spark, X.kv_get("s", "b"), data, "s string") == ["2", None, None, None, None, None, None]
 
 
 def test_kv_set_keeps_order(spark):

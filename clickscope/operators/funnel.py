@@ -60,7 +60,8 @@ def start_page_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
 
 
 def funnel_conversion(actions: DataFrame, flow: Sequence[int], rounded: bool = True,
-                      tie_break: str = "event_id") -> DataFrame:
+                      tie_break: str = "event_id",
+                      hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
     """WIN5 / JOB2 / JOB3: per flow step, the pair count and its ratio to the
     previous step (to the start page's views for step 1).  A step without
     transitions counts 0; a zero denominator gives a null rate.
@@ -70,7 +71,7 @@ def funnel_conversion(actions: DataFrame, flow: Sequence[int], rounded: bool = T
     needed."""
     spark = actions.sparkSession
     steps = flow_steps(spark, flow)
-    pairs = page_pairs(actions, flow, tie_break).select("pair", "cnt")
+    pairs = page_pairs(actions, flow, tie_break, hot_group_rows).select("pair", "cnt")
     pv = start_page_pv(actions, flow).select(F.lit("pv").alias("pair"), F.col("pv").alias("cnt"))
     counts = F.broadcast(pairs.unionByName(pv))
     cur = counts.select(F.col("pair"), F.col("cnt").alias("cur_cnt"))
@@ -82,9 +83,10 @@ def funnel_conversion(actions: DataFrame, flow: Sequence[int], rounded: bool = T
     return j.select("step", "pair", "cnt", rate.alias("rate"))
 
 
-def funnel_string(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id") -> DataFrame:
+def funnel_string(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id",
+                  hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
     """JOB4: the rounded funnel as one string ``1_2=0.50|2_3=...`` in step order."""
-    f = funnel_conversion(actions, flow, True, tie_break)
+    f = funnel_conversion(actions, flow, True, tie_break, hot_group_rows)
     # format_string('%.2f', NULL) gives 'nu' (Java formats null with the
     # precision), so null rates take their own branch
     rate = F.when(F.col("rate").isNotNull(), F.format_string("%.2f", F.col("rate"))).otherwise(F.lit("null"))

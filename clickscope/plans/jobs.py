@@ -61,7 +61,7 @@ def session_report(spark: SparkSession, sf_dir: str, params: TaskParams) -> Sess
 def page_conversion(spark: SparkSession, sf_dir: str, params: TaskParams, rounded: bool = True) -> DataFrame:
     """JOB2 / JOB3."""
     acts = actions_in_range(Fixture(spark, sf_dir).visit_log(), params)
-    return funnel.funnel_conversion(acts, params.flow, rounded)
+    return funnel.funnel_conversion(acts, params.flow, rounded, hot_group_rows=params.hot_group_rows)
 
 
 def area_top3_job(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:

@@ -129,11 +129,11 @@ def q_session_sample_detail(spark, sf_dir):
 # --- funnel -------------------------------------------------------------------------
 
 def q_page_transitions(spark, sf_dir):
-    return funnel.page_transitions(_actions(spark, sf_dir))
+    return funnel.page_transitions(_actions(spark, sf_dir), hot_group_rows=P.hot_group_rows)
 
 
 def q_page_pairs(spark, sf_dir):
-    return funnel.page_pairs(_actions(spark, sf_dir), P.flow)
+    return funnel.page_pairs(_actions(spark, sf_dir), P.flow, hot_group_rows=P.hot_group_rows)
 
 
 def q_start_page_pv(spark, sf_dir):
@@ -141,15 +141,15 @@ def q_start_page_pv(spark, sf_dir):
 
 
 def q_funnel_conversion(spark, sf_dir):
-    return funnel.funnel_conversion(_actions(spark, sf_dir), P.flow, rounded=True)
+    return funnel.funnel_conversion(_actions(spark, sf_dir), P.flow, rounded=True, hot_group_rows=P.hot_group_rows)
 
 
 def q_funnel_conversion_raw(spark, sf_dir):
-    return funnel.funnel_conversion(_actions(spark, sf_dir), P.flow, rounded=False)
+    return funnel.funnel_conversion(_actions(spark, sf_dir), P.flow, rounded=False, hot_group_rows=P.hot_group_rows)
 
 
 def q_funnel_string(spark, sf_dir):
-    return funnel.funnel_string(_actions(spark, sf_dir), P.flow)
+    return funnel.funnel_string(_actions(spark, sf_dir), P.flow, hot_group_rows=P.hot_group_rows)
 
 
 # --- area ---------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer
 
-from . import sentencepiece_codec, sharding, simhash
+from . import language_id, quality_classifier, quality_rules, sentencepiece_codec, sharding, simhash
 from .common import documents
 
 
@@ -13,6 +13,21 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_groups(documents(spark, sf_dir), shingle=4, radius=4)
 
 
+def op4_quality_classifier(spark, sf_dir):
+    """Quality score of every document; learned from the labels of three folds."""
+    return quality_classifier.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_quality_rules(spark, sf_dir):
+    """Measures and verdict of every document under the policy v2."""
+    return quality_rules.quality(documents(spark, sf_dir), "v2")
+
+
+def op6_language_id(spark, sf_dir):
+    """Language of every document; learned from three folds."""
+    return language_id.predictions(documents(spark, sf_dir))
+
+
 def op9_sentencepiece(spark, sf_dir):
     """Ids and round trip of every document with the 32k merge-type model."""
     return sentencepiece_codec.encode_documents(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
@@ -23,6 +38,6 @@ def op10_sharding(spark, sf_dir):
     return sharding.shards(documents(spark, sf_dir), sharding.LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op9_sentencepiece, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op4_quality_classifier, op5_quality_rules, op6_language_id, op9_sentencepiece, op10_sharding)}
 
-ORACLE = {"op10_sharding": sharding.ORACLE}
+ORACLE = {"op5_quality_rules": quality_rules.ORACLE, "op10_sharding": sharding.ORACLE}

@@ -31,7 +31,7 @@ from .common import prepared, texts
 
 SPACE = "▁"
 #: Chunks and pairs remembered by one worker; beyond it the older half is forgotten.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 
 
 class Codec:
@@ -58,11 +58,15 @@ class Codec:
         self.automaton = ahocorasick.Automaton()
         for p, i in self.piece.items():
             if len(p) == 1 or self.merged(p) == [p]:  # else no text ever merges into it
-                self.automaton.add_word(p, (i, len(p)))
+                self.automaton.add_word(p, i)
         self.automaton.make_automaton()
+        # of each piece its length, and the longest piece that it begins with (-1: none)
+        self.size = {i: len(p) for p, i in self.piece.items()}
+        self.shorter = {i: next((self.piece[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.automaton), -1)
+                        for p, i in self.piece.items()}
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[list[int], str]] = {}
-        self.older: dict[str, tuple[list[int], str]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by plain merging: best score first, then leftmost."""
@@ -89,42 +93,33 @@ class Codec:
     def known_run(self, s: str) -> list[int]:
         """Pieces of a text all of whose characters are pieces."""
         n = len(s)
-        at: list = [None] * n
-        for end, got in self.automaton.iter(s):
-            start = end - got[1] + 1
-            if at[start] is None:
-                at[start] = [got]
-            else:
-                at[start].append(got)  # shortest first
+        size, shorter, pairs = self.size, self.shorter, self.pairs
+        longest = [0] * n
+        for end, i in self.automaton.iter(s):
+            longest[end - size[i] + 1] = i  # ends ascend, so the longest stays
         out: list[int] = []
-        back: list[tuple[int, int]] = []  # of each piece its place, and which of the pieces there it is
         alive = bytearray(b"\x01") * (n + 1)
-        pairs, pos, last = self.pairs, 0, -1
-        here = at[0]
-        k = len(here) - 1
+        pos, last, i = 0, -1, longest[0]
         while True:
-            while k >= 0:
-                i, size = here[k]
-                if alive[pos + size]:
+            while i >= 0:
+                if alive[pos + size[i]]:
                     if last < 0:
                         break
                     ok = pairs.get(last << 32 | i)
                     if self.compatible(last, i) if ok is None else ok:
                         break
-                k -= 1
-            if k < 0:  # nothing goes on from here: take the last piece back, try a shorter one
+                i = shorter[i]
+            if i < 0:  # nothing goes on from here: take the last piece back, try a shorter one
                 alive[pos] = 0
-                out.pop()
-                pos, k = back.pop()
-                last, here, k = out[-1] if out else -1, at[pos], k - 1
+                i = out.pop()
+                pos -= size[i]
+                last, i = out[-1] if out else -1, shorter[i]
                 continue
             out.append(i)
-            back.append((pos, k))
-            pos += size
+            pos += size[i]
             if pos == n:
                 return out
-            last, here = i, at[pos]
-            k = len(here) - 1
+            last, i = i, longest[pos]
 
     def chunk(self, s: str) -> list[int]:
         if self.alphabet.issuperset(s):
@@ -150,7 +145,7 @@ class Codec:
                 got = self.older.get(c)
                 if got is None:
                     own = self.chunk(c)
-                    got = own, " ".join(map(str, own))
+                    got = tuple(own), " ".join(map(str, own))
                 if len(c) < 64:
                     if len(known) >= REMEMBERED:
                         self.older, known = known, {}

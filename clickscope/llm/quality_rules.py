@@ -33,7 +33,7 @@ RULES = {
     "symbols": "10 * n_symbols > n_words",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 14 * n_words",
-    "dup_lines": "10 * n_dup_lines > 3 * n_lines",
+    "dup_lines": "2 * n_dup_lines > n_lines",
     "capitals": "2 * n_capitals > n_letters",
     "marks": "10 * n_marks > 3 * n_words",
     "few_alpha_words": "10 * n_alpha_words < 7 * n_words",

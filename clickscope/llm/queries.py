@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer
 
-from . import language_id, quality_classifier, quality_rules, sentencepiece_codec, sharding, simhash
+from . import (decontamination, language_id, line_dedup, quality_classifier, quality_rules, sentencepiece_codec,
+               sharding, simhash, substring_dedup)
 from .common import documents
 
 
@@ -13,6 +14,16 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_groups(documents(spark, sf_dir), shingle=4, radius=4)
 
 
+def op2_line_dedup(spark, sf_dir):
+    """Lines that every document loses to recurring templates."""
+    return line_dedup.summary(documents(spark, sf_dir))
+
+
+def op3_decontamination(spark, sf_dir):
+    """Benchmark passages found in documents: one row per (doc_id, item_id)."""
+    return decontamination.matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_quality_classifier(spark, sf_dir):
     """Quality score of every document; learned from the labels of three folds."""
     return quality_classifier.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -28,6 +39,12 @@ def op6_language_id(spark, sf_dir):
     return language_id.predictions(documents(spark, sf_dir))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    """Words that every document loses to passages of documents with smaller ids."""
+    # how long the repeated passages are is the operator's own output: its sampled starts have no like in SQL
+    return substring_dedup.dedup(documents(spark, sf_dir)).drop("longest")
+
+
 def op9_sentencepiece(spark, sf_dir):
     """Ids and round trip of every document with the 32k merge-type model."""
     return sentencepiece_codec.encode_documents(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
@@ -38,6 +55,13 @@ def op10_sharding(spark, sf_dir):
     return sharding.shards(documents(spark, sf_dir), sharding.LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_quality_classifier, op5_quality_rules, op6_language_id, op9_sentencepiece, op10_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_line_dedup, op3_decontamination, op4_quality_classifier, op5_quality_rules, op6_language_id,
+    op7_substring_dedup, op9_sentencepiece, op10_sharding)}
 
-ORACLE = {"op5_quality_rules": quality_rules.ORACLE, "op10_sharding": sharding.ORACLE}
+ORACLE = {
+    "op2_line_dedup": line_dedup.ORACLE,
+    "op5_quality_rules": quality_rules.ORACLE,
+    "op7_substring_dedup": substring_dedup.ORACLE,
+    "op10_sharding": sharding.ORACLE,
+}

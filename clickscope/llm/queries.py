@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer
 
-from . import (decontamination, language_id, line_dedup, quality_classifier, quality_rules, sentencepiece_codec,
+from . import (decontamination, language_id, language_model, line_dedup, quality_classifier, quality_rules, sentencepiece_codec,
                sharding, simhash, substring_dedup)
 from .common import documents
 
@@ -45,6 +45,11 @@ def op7_substring_dedup(spark, sf_dir):
     return substring_dedup.dedup(documents(spark, sf_dir)).drop("longest")
 
 
+def op8_lm_scoring(spark, sf_dir):
+    """log10 probability of every document under the hierarchical Pitman-Yor model."""
+    return language_model.scores(documents(spark, sf_dir))
+
+
 def op9_sentencepiece(spark, sf_dir):
     """Ids and round trip of every document with the 32k merge-type model."""
     return sentencepiece_codec.encode_documents(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
@@ -57,7 +62,7 @@ def op10_sharding(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_line_dedup, op3_decontamination, op4_quality_classifier, op5_quality_rules, op6_language_id,
-    op7_substring_dedup, op9_sentencepiece, op10_sharding)}
+    op7_substring_dedup, op8_lm_scoring, op9_sentencepiece, op10_sharding)}
 
 ORACLE = {
     "op2_line_dedup": line_dedup.ORACLE,

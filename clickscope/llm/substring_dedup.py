@@ -43,7 +43,7 @@ PER_BUCKET = 1_500_000
 BUCKETS = 12
 LAST = np.iinfo(np.int64).max
 #: A start is followed upwards if its hash is the least of those up to SPARSE places away.
-SPARSE = 12
+SPARSE = 24
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 

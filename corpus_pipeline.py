@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickscope.llm import decontamination, language_id, line_dedup, sentencepiece_codec, simhash
 from clickscope.llm.common import documents, written
@@ -20,8 +21,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its text without recurring lines; n_chars as before."""
-    return line_dedup.without_recurring(docs)
+    """Every document, its text without recurring lines and n_chars of what is left."""
+    return line_dedup.without_recurring(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

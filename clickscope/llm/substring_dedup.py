@@ -38,8 +38,8 @@ from .common import mix64, pack, prepared, texts, unpack, written
 
 WINDOW = 13
 #: Text bytes of one chunk; windows of one bucket.
-CHUNK = 8_000_000
-PER_BUCKET = 1_500_000
+CHUNK = 4_000_000
+PER_BUCKET = 750_000
 BUCKETS = 12
 LAST = np.iinfo(np.int64).max
 #: A start is followed upwards if its hash is the least of those up to SPARSE places away.
@@ -89,20 +89,12 @@ class Chunk:
         return first[by], bucket[by], place[entry]
 
 
-def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
-    """Packed rows: per (chunk, bucket) the window hashes and their documents; per chunk (bucket -1) its texts."""
+def _chunks(docs: DataFrame) -> DataFrame:
+    """(chunk, head, body): ids and sizes, and the packed texts, of CHUNK bytes or one longer text."""
     def emit(name, ids, raw):
-        c = Chunk(np.array(ids, np.int64), raw)
-        first, bucket, _ = c.entries(buckets)
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows = []
-        for b in np.flatnonzero(np.diff(cut)).tolist():
-            own = first[cut[b]:cut[b + 1]]
-            docs_of, n = np.unique(c.doc[own], return_counts=True)
-            rows.append((name, b, pack(np.stack([c.ids[docs_of], n])), (c.hash[own] // np.uint64(buckets)).tobytes()))
-        sizes = np.array([len(t) for t in c.raw], np.int64)
-        rows.append((name, -1, pack(np.stack([c.ids, sizes])), zstandard.ZstdCompressor(level=3).compress(b"".join(c.raw))))
-        return pd.DataFrame(rows, columns=["chunk", "bucket", "head", "body"])
+        sizes = np.array([len(t) for t in raw], np.int64)
+        return pd.DataFrame([(name, pack(np.stack([np.array(ids, np.int64), sizes])),
+                              zstandard.ZstdCompressor(level=3).compress(b"".join(raw)))], columns=["chunk", "head", "body"])
 
     def run(batches):
         task, k = TaskContext.get().partitionId(), 0
@@ -120,7 +112,31 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
         if ids:
             yield emit(f"{task}-{k}", ids, raw)
 
-    return texts(docs).mapInPandas(run, "chunk string, bucket int, head binary, body binary")
+    return texts(docs).mapInPandas(run, "chunk string, head binary, body binary")
+
+
+def _opened(head: bytes, body: bytes) -> Chunk:
+    ids, sizes = unpack(head, np.int64).reshape(2, -1)
+    joined, cut = zstandard.ZstdDecompressor().decompress(body), np.cumsum([0, *sizes])
+    return Chunk(ids, [joined[a:b] for a, b in zip(cut, cut[1:])])
+
+
+def _sent(chunks: DataFrame, buckets: int) -> DataFrame:
+    """(chunk, bucket, head, body): the distinct windows of a chunk by bucket, their documents and hashes."""
+    def run(batches):
+        for pdf in batches:
+            for name, head, body in zip(pdf["chunk"], pdf["head"], pdf["body"]):
+                c = _opened(head, body)
+                first, bucket, _ = c.entries(buckets)
+                cut = np.searchsorted(bucket, np.arange(buckets + 1))
+                rows = []
+                for b in np.flatnonzero(np.diff(cut)).tolist():
+                    own = first[cut[b]:cut[b + 1]]
+                    docs_of, n = np.unique(c.doc[own], return_counts=True)
+                    rows.append((name, b, pack(np.stack([c.ids[docs_of], n])), (c.hash[own] // np.uint64(buckets)).tobytes()))
+                yield pd.DataFrame(rows, columns=["chunk", "bucket", "head", "body"])
+
+    return chunks.mapInPandas(run, "chunk string, bucket int, head binary, body binary")
 
 
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -152,9 +168,7 @@ def _judge(buckets: int):
     def judge(bits: pd.DataFrame, text: pd.DataFrame, keep_text: bool) -> pd.DataFrame:
         rows, longer = [], []
         for head, body in zip(text["head"], text["body"]):
-            ids, sizes = unpack(head, np.int64).reshape(2, -1)
-            joined, cut = zstandard.ZstdDecompressor().decompress(body), np.cumsum([0, *sizes])
-            c = Chunk(ids, [joined[a:b] for a, b in zip(cut, cut[1:])])
+            c = _opened(head, body)
             first, bucket, entry = c.entries(buckets)
             smaller, other = np.zeros(len(first), bool), np.zeros(len(first), bool)
             edge = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -239,18 +253,17 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     prepared(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, -(-size // (6 * PER_BUCKET)))  # about six bytes a word
-    sent = written(_chunks(docs, buckets), "substring-chunks")
+    chunks = written(_chunks(docs), "substring-chunks")
     # a task for each bucket and then for each chunk: their packed rows are large, so they must not be coalesced
-    chunks = max(1, sent.where("bucket = -1").count())
-    bits = (sent.where("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket")
+    n_chunks = max(1, chunks.count())
+    bits = (_sent(chunks, buckets).repartition(buckets, "bucket").groupBy("bucket")
             .applyInPandas(_meet, "chunk string, bucket int, bits binary"))
     judge, schema = _judge(buckets)
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return judge(a, b, keep_text)
 
-    texts_of = sent.where("bucket = -1").repartition(chunks, "chunk")
-    found = written(bits.repartition(chunks, "chunk").groupBy("chunk").cogroup(texts_of.groupBy("chunk"))
+    found = written(bits.repartition(n_chunks, "chunk").groupBy("chunk").cogroup(chunks.repartition(n_chunks, "chunk").groupBy("chunk"))
                     .applyInPandas(run, schema), "substring-found")
     own = found.where("h is null")
     longest = written(_double(found), "substring-longest").withColumnRenamed("doc_id", "__id")

@@ -121,6 +121,11 @@ def half_up_ratio(num: str, den: str, scale: int = 2) -> Column:
     return F.expr(f"CASE WHEN {d} <> 0 THEN CAST(({n} * {2 * p} + {d}) div (2 * {d}) AS DOUBLE) / {p} END")
 
 
+def round_half_up(c, scale: int = 0) -> Column:
+    """FN7: a number rounded HALF_UP to ``scale`` digits (from its shortest decimal form)."""
+    return F.round(col_of(c).cast("double"), scale)
+
+
 def int_div(a, b) -> Column:
     """Exact integer division of non-negative columns (``a div b``) for operands
     that may be sub-query columns: ``(a - a % b) / b`` is an exact quotient."""
@@ -202,7 +207,14 @@ def trim_comma(c) -> Column:
 
 
 def pad2(c) -> Column:
-    return F.lpad(col_of(c).cast("string"), 2, "0")
+    """FN10: text of two characters as it is, any other behind one ``0``."""
+    s = col_of(c).cast("string")
+    return F.when(F.length(s) == 2, s).otherwise(F.concat(F.lit("0"), s))
+
+
+def _quoted(delimiter: str) -> str:
+    """A delimiter of any length as a literal regular expression."""
+    return "".join("\\" + ch if ch in "|.^$*+?()[]{}\\" else ch for ch in delimiter)
 
 
 def kv_get(c, field: str, delimiter: str = "|") -> Column:
@@ -210,7 +222,7 @@ def kv_get(c, field: str, delimiter: str = "|") -> Column:
     matches and that splits into exactly a key and a value, where trailing
     ``=`` are ignored as a Java ``split`` ignores trailing empty parts
     (``k=`` has no value, ``k=v=`` has value ``v``, ``k=a=b`` is skipped)."""
-    pairs = F.split(col_of(c), "\\" + delimiter if delimiter in "|.^$*+?()[]{}\\" else delimiter)
+    pairs = F.split(col_of(c), _quoted(delimiter))
     kv = F.transform(pairs, lambda p: F.split(F.regexp_replace(p, "=+$", ""), "="))
     ok = F.filter(kv, lambda a: (F.size(a) == 2) & (a[0] == F.lit(field)))
     return F.try_element_at(ok, F.lit(1))[1]
@@ -218,8 +230,7 @@ def kv_get(c, field: str, delimiter: str = "|") -> Column:
 
 def kv_set(c, field: str, value, delimiter: str = "|") -> Column:
     """Replace the value of ``field`` in a ``k=v`` string, keeping pair order."""
-    pattern = "\\" + delimiter if delimiter in "|.^$*+?()[]{}\\" else delimiter
-    pairs = F.split(col_of(c), pattern)
+    pairs = F.split(col_of(c), _quoted(delimiter))
     v = value if isinstance(value, Column) else F.lit(str(value))
     new = F.transform(pairs, lambda p: F.when(F.split(p, "=")[0] == F.lit(field),
                                               F.concat(F.lit(field + "="), v)).otherwise(p))
@@ -227,8 +238,9 @@ def kv_set(c, field: str, value, delimiter: str = "|") -> Column:
 
 
 def json_field(c, field: str) -> Column:
-    """``get_json_field``: one top-level field of a JSON string, as text."""
-    return F.get_json_object(col_of(c), f"$.{field}")
+    """``get_json_field``: one top-level field of a JSON string, as text; a dot in
+    the name is part of the name."""
+    return F.get_json_object(col_of(c), f"$['{field}']")
 
 
 def concat_long_string(v1, v2, sep: str = ":") -> Column:

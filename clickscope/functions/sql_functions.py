@@ -17,7 +17,7 @@ SQL_FUNCTIONS = {
         "RETURNS STRING RETURN concat(CAST(v1 AS STRING), split, v2)"),
     "get_json_field": (
         "CREATE OR REPLACE TEMPORARY FUNCTION get_json_field(json STRING, field STRING) "
-        "RETURNS STRING RETURN get_json_object(json, concat('$.', field))"),
+        "RETURNS STRING RETURN get_json_object(json, concat('$[''', field, ''']'))"),
 }
 
 

@@ -16,29 +16,25 @@ KEY_PROVINCE = ["date", "province", "adid"]
 PROVINCE_GROUP = ["date", "province"]
 
 
-# Fixed format of an ad log line: ``ts_ms province city userid adid`` separated
-# by single spaces; the numbers are integers of at most 18 digits (always fit
-# a bigint), province and city any non-blank text.
-LOG_LINE_PATTERN = r"^-?[0-9]{1,18} [^ ]+ [^ ]+ -?[0-9]{1,18} -?[0-9]{1,18}$"
-
-
 def parse_log_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """ST1 / FN17: split ``ts_ms province city userid adid``.
 
     Adds ``ts_ms, province, city, userid, adid``, the event time ``ts`` and
     ``valid`` (false for lines not of that form; their fields are null).
-    Validity is one anchored regex over the line, so a pushed-down
-    ``where valid`` does not repeat the split; the fields come from one
-    ``split`` in the projection.  Other columns of ``lines`` are kept."""
-    ok = F.coalesce(F.col(value).rlike(LOG_LINE_PATTERN), F.lit(False))
+    A line is valid with five fields or more (further ones and a trailing blank
+    are passed over), any bigint as its numbers and no empty province or city.
+    Other columns of ``lines`` are kept."""
     parts = F.split(F.col(value), " ")
+    at = [F.get(parts, F.lit(k)) for k in range(5)]
+    ts, user, ad = (at[k].try_cast("bigint") for k in (0, 3, 4))
+    ok = F.coalesce(ts.isNotNull() & user.isNotNull() & ad.isNotNull() & (at[1] != "") & (at[2] != ""), F.lit(False))
     return lines.select(
         "*",
-        F.when(ok, parts[0].try_cast("bigint")).alias("ts_ms"),
-        F.when(ok, parts[1]).alias("province"),
-        F.when(ok, parts[2]).alias("city"),
-        F.when(ok, parts[3].try_cast("bigint")).alias("userid"),
-        F.when(ok, parts[4].try_cast("bigint")).alias("adid"),
+        F.when(ok, ts).alias("ts_ms"),
+        F.when(ok, at[1]).alias("province"),
+        F.when(ok, at[2]).alias("city"),
+        F.when(ok, user).alias("userid"),
+        F.when(ok, ad).alias("adid"),
         ok.alias("valid"),
     ).withColumn("ts", F.timestamp_millis(F.col("ts_ms")))
 

@@ -9,9 +9,9 @@ from clickscope.functions.exprs import area_level, concat_long_string, group_con
 
 
 def area_base(clicks: DataFrame, cities: DataFrame) -> DataFrame:
-    """JON4: clicks joined with the city dimension.  The dimension is the
-    fixed 10-row table, so the broadcast is bounded by construction."""
-    return (clicks.join(F.broadcast(cities), "city_id", "inner")
+    """JON4: clicks joined with the city dimension (any caller's table: it is
+    broadcast when its measured size allows it)."""
+    return (clicks.join(cities, "city_id", "inner")
             .select("city_id", "city_name", "area", F.col("click_product_id").alias("pid")))
 
 

@@ -52,7 +52,7 @@ def _range_lead(df: DataFrame, group: str, order: Sequence[str], value: str, out
                  .drop("_succ_link"))
     nxt = numbered.select(F.col("_rid").alias("_succ"), F.col(group).alias("_ngroup"), F.col(value).alias("_nvalue"))
     j = with_succ.join(nxt, "_succ", "left")
-    same = F.col("_ngroup") == F.col(group)
+    same = F.col("_ngroup").eqNullSafe(F.col(group))  # null is a group, as in the window
     return (j.withColumn(out, F.when(same, F.col("_nvalue")))
             .drop("_succ", "_rid", "_ngroup", "_nvalue"))
 
@@ -72,10 +72,11 @@ def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str, o
     if hot_group_rows <= 0:
         return _range_lead(df, group, order, value, out)
     hot = (df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_group_rows).select(group))
+           .where(F.col("_n") > hot_group_rows).select(F.col(group).alias("_hot")))
     # a one-row probe decides whether the split is needed at all
     if not hot.take(1):
         return _window_lead(df, group, order, value, out)
-    normal = df.join(hot, group, "left_anti")
-    heavy = df.join(hot, group, "left_semi")
+    is_hot = F.col(group).eqNullSafe(F.col("_hot"))  # a large null group is hot like any other
+    normal = df.join(hot, is_hot, "left_anti")
+    heavy = df.join(hot, is_hot, "left_semi")
     return _window_lead(normal, group, order, value, out).unionByName(_range_lead(heavy, group, order, value, out))

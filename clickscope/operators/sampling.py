@@ -58,12 +58,9 @@ def session_sample(sessions: DataFrame, sample_size: int, seed: str) -> DataFram
 
 
 def session_sample_detail(actions: DataFrame, sample: DataFrame, sample_size: int) -> DataFrame:
-    """SMP3: full action rows of the sampled sessions.  The sample holds at
-    most ``sample_size`` sessions, so it is broadcast for the semi-join when
-    that bound is small."""
+    """SMP3: full action rows of the sampled sessions (``sample_size`` at most); the
+    semi-join broadcasts them when their measured size allows it."""
     ids = sample.select("session_id")
-    if sample_size <= 1_000_000:
-        ids = F.broadcast(ids)
     return actions.join(ids, "session_id", "left_semi").select(
         "session_id", "user_id", "page_id", "action_time", "search_keyword", "click_category_id",
         "click_product_id", "order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids")

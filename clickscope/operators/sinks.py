@@ -123,10 +123,10 @@ def read_batches(spark, root: str, schema=None) -> DataFrame:
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: str = "batch_id") -> DataFrame:
     """The row of the newest batch for each key (upsert-replace over published
-    batches).  ``max_by`` per key: one aggregate, no window sort."""
+    batches).  One ``max_by`` per column, so fixed-width values stay in a hash
+    aggregate (a struct would make it sort-based)."""
     vals = [c for c in rows.columns if c not in set(keys) | {order}]
-    packed = F.max_by(F.struct(*vals), F.col(order)).alias("_v")
-    return rows.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
+    return rows.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in vals])
 
 
 __all__ = ["BatchLog", "VersionedTable", "has_batches", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
@@ -163,8 +163,8 @@ class VersionedTable:
         v = self._versions()
         return v[-1] if v else None
 
-    def read(self) -> DataFrame | None:
-        v = self.version()
+    def read(self, version: int | None = None) -> DataFrame | None:
+        v = self.version() if version is None else version
         if v is None:
             return None
         r = self.spark.read
@@ -175,9 +175,10 @@ class VersionedTable:
     def update(self, batch: DataFrame, merge) -> int:
         """Write ``merge(current, batch)`` (or the batch alone for a new
         table) as the next version; returns the new version number."""
-        current = self.read()
+        base = self.version()  # read once: a version published meanwhile makes this update fail, not vanish
+        current = self.read(base)
         new = batch if current is None else merge(current, batch)
-        v = (self.version() or 0) + 1
+        v = (base or 0) + 1
         staging = f"{self.root}/_staging/v={v}-{uuid.uuid4().hex[:8]}"
         new.write.mode("overwrite").parquet(staging)
         if not fs_publish(self.spark, staging, f"{self.root}/v={v}"):
@@ -225,12 +226,19 @@ class BatchLog:
         return sorted(out)
 
     def publish(self, df: DataFrame, batch_id: int) -> bool:
-        """Publish one batch; on every ``compact_every``-th batch first compact
-        the history before it."""
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.compact(batch_id)
+        """Publish one batch; first compact the history before it when
+        ``compact_every`` folders or more have come since the last compaction."""
+        if self.compact_every:
+            base = max([c for c in self._ids("_compact/upto") if c <= batch_id], default=0)
+            if sum(base <= b < batch_id for b in self._ids("batch_id")) >= self.compact_every:
+                self.compact(batch_id)
         return publish_batch(df, self.root, batch_id)
 
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows of one published batch."""
+        r = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return r.parquet(f"{self.root}/batch_id={batch_id}")
+
     def _merge(self, rows: DataFrame) -> DataFrame:
         if self.mode == "latest":
             return latest_per_key(rows, self.keys)

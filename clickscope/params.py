@@ -35,7 +35,7 @@ class TaskParams:
     category_ids: str | None = None
     target_page_flow: str = "1,2,3,4,5,6,7"
     # stratified session sample: total sessions to draw over all days
-    sample_size: int = 1000
+    sample_size: int = 100
     # seed prepended to the session id before hashing; fixes the sample
     sample_seed: str = "42"
     # top-k sizes
@@ -118,8 +118,10 @@ def read_properties(text: str) -> dict[str, str]:
 
 
 def _relaxed_json(text: str) -> dict:
-    """JSON whose object keys may be unquoted (``{startAge: 20, ...}``)."""
-    quoted = re.sub(r'([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:', r'\1"\2":', text)
+    """JSON whose object keys may be unquoted (``{startAge: 20, ...}``); quoted
+    text is passed over whole."""
+    quoted = re.sub(r'"(?:[^"\\]|\\.)*"|([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:',
+                    lambda m: f'{m[1]}"{m[2]}":' if m[2] else m[0], text)
     return json.loads(quoted)
 
 
@@ -134,4 +136,4 @@ def params_from_properties(source: str, key: str = "task.params.json") -> TaskPa
 # (January 2024, age 20-50, other filters empty, flow 1..7, N = 1000,
 # blacklist threshold 2).
 FIXTURE_PARAMS = TaskParams(start_date="2024-01-01", end_date="2024-01-31", start_age=20, end_age=50,
-                            blacklist_threshold=2)
+                            sample_size=1000, blacklist_threshold=2)

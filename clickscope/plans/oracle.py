@@ -294,6 +294,27 @@ BODIES: dict[str, str] = {
 
 # streaming forms of batch outputs: same result, same SQL
 BODIES["ads_blacklist_stream"] = BODIES["ads_blacklist"]
+BODIES["ads_city_running_multi"] = BODIES["ads_city_running"]
+BODIES["ads_minute_trend_multi"] = BODIES["ads_minute_trend"]
+
+
+def _fed_back(select: str, parts: int = 4, threshold: int = 2) -> str:
+    """The ad log in ``parts`` (event_id modulo); each part without the users over the threshold so far."""
+    ctes = ["c0 AS (SELECT * FROM ad_clicks WHERE event_id % 4 = 0)"]
+    for k in range(parts):
+        so_far = " UNION ALL ".join(f"SELECT * FROM c{j}" for j in range(k + 1))
+        ctes.append(f"b{k} AS (SELECT DISTINCT userid FROM (SELECT userid FROM ({so_far}) x "
+                    f"GROUP BY date, userid, adid HAVING count(*) > {threshold}) y)")
+        if k + 1 < parts:
+            ctes.append(f"c{k + 1} AS (SELECT * FROM ad_clicks WHERE event_id % {parts} = {k + 1} "
+                        f"AND userid NOT IN (SELECT userid FROM b{k}))")
+    every = " UNION ALL ".join(f"SELECT * FROM c{j}" for j in range(parts))
+    return f"SELECT * FROM (WITH {', '.join(ctes)} {select.format(last=f'b{parts - 1}', every=every)}) z"
+
+
+BODIES["ads_blacklist_multi"] = _fed_back("SELECT userid FROM {last}")
+BODIES["ads_job"] = _fed_back("SELECT date, province, city, adid, CAST(count(*) AS BIGINT) AS click_count "
+                              "FROM ({every}) e GROUP BY 1, 2, 3, 4")
 BODIES["ads_province_top3_stream"] = BODIES["ads_province_top3"]
 BODIES["ads_sliding_hour_stream"] = BODIES["ads_sliding_hour"]
 

@@ -329,6 +329,53 @@ def q_ads_sliding_hour_stream(spark, sf_dir):
     return ads_stream.sliding_hour_table(spark, root)
 
 
+#: The multi-batch keys feed the ad log in so many parts (event_id modulo): every
+#: part has clicks of all days, so each but the first arrives out of order.
+STREAM_PARTS = 4
+
+
+def _fed_in_parts(spark, sf_dir, root, start) -> None:
+    """Append part after part to one folder and let the stream resume from its
+    checkpoint after each: one micro-batch a part, compaction in between."""
+    log = _fx(spark, sf_dir).ad_log()
+    for k in range(STREAM_PARTS):
+        log.where(F.col("event_id") % STREAM_PARTS == k).write.mode("append").parquet(f"{root}/in")
+        start(ads_stream.line_files(spark, f"{root}/in"))
+
+
+def q_ads_city_running_multi(spark, sf_dir):
+    """ST3 over several out-of-order micro-batches, compacted every two."""
+    root = run_dir(spark, "ads-city-multi")
+    _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.start_city_running(
+        ads_stream.parsed_clicks(lines), root, f"{root}/_checkpoint", top_n=P.top_ads, compact_every=2))
+    return ads_stream.city_running_table(spark, root)
+
+
+def q_ads_minute_trend_multi(spark, sf_dir):
+    """ST5a over several out-of-order micro-batches, compacted every two."""
+    root = run_dir(spark, "ads-minute-multi")
+    _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.start_minute_trend(
+        ads_stream.parsed_clicks(lines), root, f"{root}/_checkpoint", compact_every=2))
+    return ads_stream.minute_trend_table(spark, root)
+
+
+def q_ads_blacklist_multi(spark, sf_dir):
+    """ST2 over several micro-batches: a user black-listed by one part has no
+    clicks in the next; compacted every two."""
+    root = run_dir(spark, "ads-black-multi")
+    _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.start_blacklist_stage(
+        lines, root, P.blacklist_threshold, f"{root}/_checkpoint", compact_every=2))
+    return ads_stream.blacklist_table(spark, root, P.blacklist_threshold)
+
+
+def q_ads_job(spark, sf_dir):
+    """JOB6 as one job over several micro-batches with blacklist feedback: the running totals."""
+    root = run_dir(spark, "ads-job")
+    _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.run_ads_job(
+        spark, lines, threshold=P.blacklist_threshold, top_n=P.top_ads, root=root))
+    return ads_stream.city_running_table(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # scans and filters
     "actions_in_range": q_actions_in_range,
@@ -390,6 +437,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_blacklist_stream": q_ads_blacklist_stream,
     "ads_province_top3_stream": q_ads_province_top3_stream,
     "ads_sliding_hour_stream": q_ads_sliding_hour_stream,
+    # several out-of-order micro-batches
+    "ads_blacklist_multi": q_ads_blacklist_multi,
+    "ads_city_running_multi": q_ads_city_running_multi,
+    "ads_minute_trend_multi": q_ads_minute_trend_multi,
+    "ads_job": q_ads_job,
     # sinks
     "sink_upsert_add": q_sink_upsert_add,
     "sink_upsert_replace": q_sink_upsert_replace,

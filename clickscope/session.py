@@ -43,21 +43,26 @@ def apply_session_conf(spark: SparkSession) -> None:
     for k, v in SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked conf: leave as the cluster set it
-            pass
+        except Exception as e:
+            now = spark.conf.get(k, None)
+            if now != v:  # a locked setting may stay only if it says the same
+                raise RuntimeError(f"{k} must be {v}, the session holds it at {now}") from e
 
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` as the cluster names it; only when it
-    is unset (local tests) a fresh folder is created and registered.
+    is unset on a local master (tests) a fresh folder is created and registered.
+    Elsewhere a folder of one machine would lose rows, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     # the cluster's folder when it names one (registered so checkpoint() works);
     # a fresh local folder only when nothing is set, as in tests
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="clickscope-ckpt-"))

@@ -197,14 +197,16 @@ def compact_totals(spark: SparkSession, root: str, upto: int, threshold: int, re
 
 def start_blacklist_stage(lines: DataFrame, root: str, threshold: int, checkpoint: str,
                           trigger: dict | None = None, await_end: bool = True, compact_every: int = 100,
-                          retain_days: int | None = 2):
+                          retain_days: int | None = None):
     """Stage A (ST2, FLT8, SNK2, SNK5 as derived view, rejects).
 
     Every ``compact_every`` batches the per-batch counts are compacted, so a
     batch's blacklist snapshot reads one compaction plus fewer than
     ``compact_every`` small folders, however long the stream has run.
-    Totals older than ``retain_days`` event days leave the compaction (their
-    blacklisted users stay in it)."""
+    By default every total stays, so the result does not depend on when a
+    compaction runs.  With ``retain_days`` set, totals older than that many event
+    days leave the compaction (their blacklisted users stay in it): only for
+    sources that never deliver older days."""
     spark = lines.sparkSession
     counts_root, clean_root, reject_root = f"{root}/user_counts", f"{root}/clean", f"{root}/rejects"
 
@@ -257,16 +259,19 @@ def _top_log(spark: SparkSession, root: str, compact_every: int = 100) -> sinks.
                           TOP_SCHEMA)
 
 
-def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark: str | None = "1 day",
+def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark: str | None = None,
                        top_n: int = 3, trigger: dict | None = None, await_end: bool = True,
                        compact_every: int = 100):
     """ST3 + ST4: running totals per (day, province, city, ad) in the state
     store (update mode); each batch publishes the changed totals and, for the
     (date, province) groups it touched, the new top-``n`` ads (replace-group).
 
-    The grouping carries a one-day event-time window, so state of a day is
-    dropped once the watermark passes it; the published totals remain.  The
-    top-``n`` refresh reads the current totals of the touched groups only:
+    By default state never expires, so a late click counts however late it is
+    and the totals do not depend on batch cuts (state is one row per key, in
+    RocksDB).  A ``watermark`` bounds the state and drops later clicks; set
+    it only for sources whose delay it covers.  Both outputs are published on
+    every attempt of a batch (each is idempotent), so a run that dies between
+    them loses neither.  The top-``n`` refresh reads the current totals of the touched groups only:
     the newest compaction (partitioned by day) plus the recent batches."""
     spark = clicks.sparkSession
     use_rocksdb_state(spark)
@@ -282,10 +287,9 @@ def start_city_running(clicks: DataFrame, root: str, checkpoint: str, watermark:
         try:
             if df.isEmpty():  # e.g. the no-data batch that only advances the watermark
                 return
-            if not running.publish(df, batch_id):
-                return
-            if top_n:
-                touched = df.select(*ads.PROVINCE_GROUP).distinct()
+            running.publish(df, batch_id)
+            if top_n:  # also on a replay: the first attempt may have died before this
+                touched = running.batch(batch_id).select(*ads.PROVINCE_GROUP).distinct()
                 current = running.view(before=batch_id + 1).join(touched, ads.PROVINCE_GROUP, "left_semi")
                 top = ads.province_top(ads.province_counts(current), top_n)
                 tops.publish(top, batch_id)
@@ -317,10 +321,11 @@ def _minute_log(spark: SparkSession, root: str, compact_every: int = 100) -> sin
     return sinks.BatchLog(spark, f"{root}/minute_trend", MINUTE_KEYS, "latest", "date", compact_every, MINUTE_SCHEMA)
 
 
-def start_minute_trend(clicks: DataFrame, root: str, checkpoint: str, watermark: str | None = "1 hour",
+def start_minute_trend(clicks: DataFrame, root: str, checkpoint: str, watermark: str | None = None,
                        trigger: dict | None = None, await_end: bool = True, compact_every: int = 100):
-    """ST5a: per-(minute, ad) counts in the state store (update mode); rows
-    older than the watermark are dropped and reported in the query progress
+    """ST5a: per-(minute, ad) counts in the state store (update mode).  By default
+    state never expires and late clicks count; with a ``watermark`` later rows
+    are dropped and reported in the query progress
     (``numRowsDroppedByWatermark``)."""
     spark = clicks.sparkSession
     use_rocksdb_state(spark)

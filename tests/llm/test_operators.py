@@ -1,0 +1,339 @@
+"""Each operator against a brute-force version on a small corpus with awkward rows."""
+
+import collections
+import hashlib
+import math
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clickscope.llm import (components, decontamination, language_id, language_model, line_dedup, quality_classifier,
+                            quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup)
+
+from .helpers import SCHEMA, corpus, order, plain
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return corpus(spark).cache()
+
+
+@pytest.fixture()
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def sorted_rows(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=order)
+
+
+# --- 1 SimHash ---------------------------------------------------------------------
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    runs = [b" ".join(words[k:k + 4]) for k in range(len(words) - 3)] or [b" ".join(words)]
+    h = [xxhash.xxh64_intdigest(r, 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_groups(rows, radius=4):
+    fp = [brute_fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def root(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+    for a in range(len(rows)):
+        for b in range(a):
+            if (fp[a] ^ fp[b]).bit_count() <= radius:
+                group[root(a)] = root(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[root(k)] = min(least.get(root(k), i), i)
+    return [(i, f"{fp[k]:016x}", least.get(root(k))) for k, (i, _) in enumerate(rows)]
+
+
+def test_simhash_equals_brute_force(docs):
+    got = sorted_rows(simhash.near_groups(docs), "doc_id", "fingerprint", "component_id")
+    assert got == sorted(brute_groups(plain(docs)), key=order)
+
+
+def test_simhash_keep_one(docs, empty):
+    rows = plain(docs)
+    gone = {i for i, _, c in brute_groups(rows) if i is not None and c < i}
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {i for i, _ in plain(kept)} == {i for i, _ in rows if i is not None} - gone
+    assert simhash.near_groups(empty).count() == 0
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.integers(0, 2 ** 32), st.integers(2, 60), st.booleans())
+def test_tile_links_finds_every_link(seed, n, one_strip):
+    g = np.random.default_rng(seed)
+    base = g.integers(0, 2 ** 63, 4, dtype=np.uint64)
+    f = base[g.integers(0, 4, n)]
+    for _ in range(5):
+        f = f ^ (np.uint64(1) << g.integers(0, 64, n, dtype=np.uint64)) * g.integers(0, 2, n, dtype=np.uint64)
+    f = np.unique(f)
+    a, b = (f, None) if one_strip else (f[::2], f[1::2])
+    u, v = simhash.tile_links(a, b, 4)
+    pairs = [(x, y) for x in a.tolist() for y in (a if b is None else b).tolist() if (x ^ y).bit_count() <= 4]
+
+    def groups(edges):
+        label = {int(x): int(x) for x in f}
+        for _ in range(len(f)):
+            for x, y in edges:
+                label[x] = label[y] = min(label[x], label[y])
+        return label
+    assert groups(pairs) == groups(list(zip(u.tolist(), v.tolist())))
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(30)] + [(7, 7), (200, 201), (201, 200)]
+    got = dict(map(tuple, components.components(spark.createDataFrame(edges, "u long, v long")).collect()))
+    assert got == {**{k: 0 for k in range(1, 41)}, **{100 + k: 100 for k in range(1, 30)}, 201: 200}
+
+
+# --- 2 line dedup --------------------------------------------------------------------
+
+def test_line_dedup_drops_templates_and_keeps_the_first(spark, empty):
+    line = "Updated {} by Anna on the server"
+    rows = [(k, f"own words of text number{'x' * k} here\n{line.format(k)}\nlast", "en") for k in range(10, 17)]
+    df = corpus(spark, [])
+    df = df.unionByName(spark.createDataFrame([(i, t, g, "s", 1, 0.5, "t", 1, 2) for i, t, g in [(100 + i, t, g) for i, t, g in rows]], SCHEMA))
+    out = {r["doc_id"]: r["text"] for r in line_dedup.without_recurring(df).collect()}
+    assert "Updated" in out[110] and all("Updated" not in out[100 + k] for k in range(11, 17))
+    assert "last" in out[111] and "own words" in out[112]  # short lines and unique ones stay
+    assert out[1].startswith("Page 12") and not out[2].startswith("Page 12")
+    assert out[50] is None and out[51] == "" and out[52] == " \n\t "
+    assert line_dedup.without_recurring(df).columns == df.columns
+    assert line_dedup.summary(empty).count() == 0
+
+
+# --- 3 decontamination -----------------------------------------------------------------
+
+def test_decontamination_finds_edited_passages(spark, docs, empty):
+    rng = np.random.default_rng(2)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choice(vocabulary, n))) for k, n in enumerate([4, 5, 12, 15, 20, 30, 45, 59] * 6)]
+    rows, truth = [], set()
+    for k, text in items:
+        words = text.split()
+        most = int(decontamination.MAX_EDIT * len(words) + 1e-9)
+        for e in {0, most // 2, most}:
+            w = list(words)
+            for _ in range(e):
+                at = int(rng.integers(0, len(w)))
+                how = int(rng.integers(0, 3))
+                w[at:at + 1] = [["zz"], [], [w[at], "yy"]][how]
+            doc_id = 1000 + len(rows)
+            rows.append((doc_id, ("Some words before, " + " ".join(w).upper() + ". And after!"), "en"))
+            truth.add((doc_id, k))
+    df = corpus(spark, rows)
+    bench = spark.createDataFrame([*items, (900, None), (901, ""), (902, "...")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.matches(df, bench).collect()}
+    every = set()
+    known = {}
+    code = lambda t: [known.setdefault(w, len(known)) for w in decontamination.words(t)]
+    for i, t in plain(df):
+        for k, item in items:
+            p = code(item)
+            if decontamination.edits(p, code(t))[0] <= int(decontamination.MAX_EDIT * len(p) + 1e-9):
+                every.add((i, k))
+    assert truth <= every and got <= every
+    assert len(got & every) >= 0.97 * len(every)
+    left = {i for i, _ in plain(decontamination.clean(df, bench))}
+    assert left == {i for i, _ in plain(df)} - {i for i, _ in got}
+    assert decontamination.matches(empty, bench).count() == 0
+    assert decontamination.matches(docs, bench.where("false")).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=9), st.lists(st.integers(0, 3), max_size=14))
+def test_edits_is_the_semi_global_distance(pattern, region):
+    row = [0] * (len(region) + 1)
+    for k, p in enumerate(pattern):
+        new = [k + 1]
+        for j, w in enumerate(region):
+            new.append(min(row[j] + (p != w), row[j + 1] + 1, new[j] + 1))
+        row = new
+    best, end = decontamination.edits(pattern, region)
+    assert best == min(row) and row[end] == best
+
+
+# --- 4 and 6 learned operators ------------------------------------------------------------
+
+def test_quality_classifier_separates_and_scores_all(spark):
+    rng = np.random.default_rng(1)
+    good = [f"{a}{b}" for a in "abcde" for b in ("ter", "lon", "mi", "sa")]
+    rows = []
+    for k in range(400):
+        n = int(rng.integers(60, 200))
+        rows.append((k, " ".join(rng.choice(good, n)) if k % 2 else " ".join(["SPAM!!"] * n), None, "s", 1, 0.5, "t", 1, 2))
+    rows += [(1000, None, None, "s", 1, 0.5, "t", 1, 2), (1001, "", None, "s", 1, 0.5, "t", 1, 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(400)] + [(1, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = quality_classifier.scores(df, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
+    held = [r for r in got if r["held_out"] and r["doc_id"] < 1000]
+    assert held and all(r["predicted"] == r["doc_id"] % 2 for r in held)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    prior = quality_classifier.scores(df, labels.where("false")).collect()
+    assert {r["score"] for r in prior} == {0.5}
+
+
+def test_language_id(docs, empty):
+    got = {r["doc_id"]: r for r in language_id.predictions(docs).collect()}
+    assert got[50]["lang_pred"] == got[51]["lang_pred"] == got[52]["lang_pred"] == got[59]["lang_pred"] == "und"
+    assert all(got[k]["lang_pred"] == ("en" if k % 2 else "fr") for k in range(40))
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    kept = language_id.accepted(docs)
+    assert kept.columns == docs.columns and {50, 51, 52, 59}.isdisjoint(i for i, _ in plain(kept))
+    assert set(range(40)) <= {i for i, _ in plain(kept)}
+    assert language_id.predictions(empty).count() == 0
+
+
+# --- 5 quality rules ------------------------------------------------------------------------
+
+def test_quality_rules_and_ablations(docs, empty):
+    found = quality_rules.ledger(docs).cache()
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert rows[50]["n_words"] == 0 and rows[59]["n_symbols"] == 3
+    kept = {v: {r["doc_id"] for r in quality_rules.verdicts(found, v).where("kept").collect()} for v in quality_rules.POLICIES}
+    assert kept["v2"] <= kept["v1"] <= kept["base"]
+    total = found.count()
+    for r in quality_rules.ablations(found, "v2").collect():
+        bit = quality_rules.BIT[r["rule"]]
+        assert r["n_failed"] == found.where(f"failed & {bit} != 0").count() and r["n_only"] <= r["n_failed"] <= total
+    assert quality_rules.quality(empty).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=20))
+def test_repeated_words(words):
+    runs = collections.Counter(tuple(words[k:k + 3]) for k in range(len(words) - 2))
+    covered = {k + j for k in range(len(words) - 2) if runs[tuple(words[k:k + 3])] > 1 for j in range(3)}
+    assert quality_rules.repeated_words(words) == len(covered)
+
+
+# --- 7 substring dedup -------------------------------------------------------------------------
+
+def test_substring_dedup_equals_brute_force(docs, empty):
+    rows = plain(docs)
+    rank = lambda i: math.inf if i is None else i
+    first = {}
+    for i, t in rows:
+        w = (t or "").encode().split()
+        for k in range(len(w) - 12):
+            key = tuple(w[k:k + 13])
+            first[key] = min(first.get(key, math.inf), rank(i))
+    want = []
+    for i, t in rows:
+        w = (t or "").encode().split()
+        gone = {k + j for k in range(len(w) - 12) if first[tuple(w[k:k + 13])] < rank(i) for j in range(13)}
+        kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
+        want.append((i, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    got = substring_dedup.dedup(docs)
+    assert sorted_rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(want, key=order)
+    longest = {r["doc_id"]: r["longest"] for r in got.collect()}
+    assert longest[54] == longest[55] == 13 * 128 and longest[0] == 0  # 3000 words hold 1664 but not 3328
+    assert substring_dedup.dedup(empty).count() == 0
+
+
+# --- 8 language model ---------------------------------------------------------------------------
+
+def test_language_model_base_and_score(docs, empty):
+    rows = plain(docs)
+    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    tokens = [((t or "").encode().lower().split() + [b"\n"]) for _, t in rows]
+    count = collections.Counter(w for (i, _), ts in zip(rows, tokens) if not fold(i) for w in ts)
+    total, distinct = sum(count.values()), len(count)
+    want = sorted(((i, fold(i), len(ts), sum(w in count for w in ts), total,
+                    round(sum(math.log10((count[w] + 1) / (total + distinct + 1)) for w in ts), 6))
+                   for (i, _), ts in zip(rows, tokens)), key=order)
+    got = language_model.scores(docs).collect()
+    assert sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6))
+                   for r in got), key=order) == want
+    assert all(r["score"] < 0 for r in got)
+    words = [r for r in got if r["n_tokens"] > 20]
+    assert sum(r["score"] for r in words) > sum(r["base_score"] for r in words)
+    assert language_model.scores(empty).count() == 0
+
+
+def test_seating_and_probabilities():
+    rng = np.random.default_rng(3)
+    c = np.array([0, 1, 2, 50, 1000, 100_000])
+    t = np.mean([language_model.seat(rng, c, np.full(6, 0.4), 0.6) for _ in range(40)], axis=0)
+    assert t[0] == 0 and t[1] == 1 and all(np.diff(t) >= 0) and t[5] < 1000
+    row = {"words": np.array([5, 9], np.uint64).tobytes(), "many": language_model.pack(np.array([2, 1], np.uint32)),
+           "contexts": language_model.pack(np.array([1, 258, 1], np.uint16)), "counts": language_model.pack(np.array([4, 2, 3], np.int64)),
+           "bucket": 0}
+    r = language_model.Restaurants(row, 2)
+    sums = r.sums().groupby(["level", "place"]).sum().reset_index()
+    T = language_model.Totals(sums.itertuples(index=False))
+    for context in (1, 258, 7):  # over both words and the unknown one, every context sums to one
+        p = r.probability(T, np.array([0, 1, -1]), np.full(3, context))
+        assert abs(p.sum() - 1) < 1e-9
+
+
+# --- 9 SentencePiece ------------------------------------------------------------------------------
+
+def test_codec_equals_the_library(docs, empty):
+    c = sentencepiece_codec.codec(MODEL)
+    want = []
+    for i, t in plain(docs):
+        ids = c.sp.encode(t or "", add_eos=True)
+        want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256(c.sp.decode(ids).encode()).hexdigest()))
+    got = sentencepiece_codec.encode_documents(docs, MODEL)
+    assert sorted_rows(got, *got.columns) == sorted(want, key=order)
+    trip = sentencepiece_codec.with_round_trip(docs, MODEL)
+    assert set(docs.columns) <= set(trip.columns) and trip.count() == docs.count()
+    assert sentencepiece_codec.encode_documents(empty, MODEL).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abeinorst  \n\té漢▁<>0x1😀"), max_size=60))
+def test_codec_on_any_text(text):
+    c = sentencepiece_codec.codec(MODEL)
+    assert c.encode(text)[0] == c.sp.encode(text, add_eos=True)
+
+
+# --- 10 sharding -------------------------------------------------------------------------------------
+
+def test_shards_fit_and_split_only_the_oversized(docs, empty):
+    limit = 4000
+    rows = sharding.shards(docs, limit).collect()
+    assert len(rows) == docs.count()
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["shard_id"]].append(r)
+    for shard, own in by.items():
+        size = sum(r["bytes"] for r in own)
+        assert all(r["shard_bytes"] == size for r in own)
+        assert size <= limit or len(own) == 1 and own[0]["oversized"]
+        if shard and "+" not in shard:  # the bucket one bit shorter did not fit
+            assert sum(r["bytes"] for r in rows if r["shard_id"].startswith(shard[:-1])) > limit
+    assert sharding.shards(empty).count() == 0
+    assert {r["shard_id"] for r in sharding.shards(docs, 10 ** 9).collect()} == {""}
+
+
+def test_repeated_ids_overflow(spark):
+    df = spark.createDataFrame([(7, "x" * 100)] * 90 + [(8, "y" * 30)] + [(7, "z" * 900)] * 3, "doc_id long, text string").repartition(3)
+    rows = sharding.shards(df, 1000).collect()
+    size = collections.Counter()
+    for r in rows:
+        size[r["shard_id"]] += r["bytes"]
+    assert len(rows) == 94 and max(size.values()) <= 1000 and all(size[r["shard_id"]] == r["shard_bytes"] for r in rows)

@@ -43,7 +43,7 @@ PER_BUCKET = 750_000
 BUCKETS = 12
 LAST = np.iinfo(np.int64).max
 #: A start is followed upwards if its hash is the least of those up to SPARSE places away.
-SPARSE = 24
+SPARSE = 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -206,10 +206,13 @@ def _longer(c: Chunk, repeated: np.ndarray) -> pd.DataFrame:
     ok = np.zeros(c.n, bool)
     ok[c.at[repeated]] = True
     far = np.where(ok, full, np.uint64(0xFFFFFFFFFFFFFFFF))
-    least = far.copy()
-    for k in range(1, SPARSE + 1):
-        least[k:] = np.minimum(least[k:], far[:-k])
-        least[:-k] = np.minimum(least[:-k], far[k:])
+    # least of the 2 * SPARSE + 1 hashes around a place, by spans of doubling length
+    none = np.full(SPARSE, np.uint64(0xFFFFFFFFFFFFFFFF))
+    least, span = np.concatenate([none, far, none]), 1
+    while span < 2 * SPARSE + 1:
+        step = min(span, 2 * SPARSE + 1 - span)
+        least = np.minimum(least[:-step], least[step:])
+        span += step
     owner = np.repeat(np.arange(len(c.size)), c.size)
     room = (c.start + c.size)[owner] - np.arange(c.n)
     start = ok & (far == least) & (c.ids != LAST)[owner]

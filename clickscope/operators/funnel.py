@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickscope.functions.exprs import half_up_ratio, raw_ratio
-from clickscope.operators.ordered import DEFAULT_HOT_GROUP_ROWS, next_in_group
+from clickscope.operators.ordered import next_in_group
 
 
 def flow_steps(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
@@ -27,27 +27,27 @@ def flow_steps(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def page_transitions(actions: DataFrame, tie_break: str = "event_id",
-                     hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
+def page_transitions(actions: DataFrame, tie_break: str = "event_id") -> DataFrame:
     """WIN4: for each action, ``page_id + '_' + next page_id`` of the same
     session in time order (``tie_break`` orders same-second actions); the last
     action of a session has no pair and is dropped.
 
-    The successor is a window ``lead`` per session; sessions larger than
-    ``hot_group_rows`` are split over many tasks (see ``ordered``)."""
+    The successor is taken minute by minute, then from the last action of a
+    minute to the next one, so a hot session is split over many tasks (see
+    ``ordered``)."""
     base = actions.select("session_id", "action_time", tie_break, "page_id")
-    nxt = next_in_group(base, "session_id", ["action_time", tie_break], "page_id", "_next", hot_group_rows)
+    nxt = next_in_group(base, "session_id", ["action_time", tie_break], "page_id", "_next",
+                        slice_by=F.substring("action_time", 1, len("yyyy-MM-dd HH:mm")))
     return (nxt.where(F.col("_next").isNotNull())
             .select("session_id", tie_break,
                     F.concat(F.col("page_id").cast("string"), F.lit("_"), F.col("_next").cast("string")).alias("pair")))
 
 
-def page_pairs(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id",
-               hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
+def page_pairs(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id") -> DataFrame:
     """FLT7 + AGG11: transitions that are steps of the target flow, counted."""
     spark = actions.sparkSession
     steps = F.broadcast(flow_steps(spark, flow).select("pair"))
-    return (page_transitions(actions, tie_break, hot_group_rows).join(steps, "pair", "left_semi")
+    return (page_transitions(actions, tie_break).join(steps, "pair", "left_semi")
             .groupBy("pair").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -60,8 +60,7 @@ def start_page_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
 
 
 def funnel_conversion(actions: DataFrame, flow: Sequence[int], rounded: bool = True,
-                      tie_break: str = "event_id",
-                      hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
+                      tie_break: str = "event_id") -> DataFrame:
     """WIN5 / JOB2 / JOB3: per flow step, the pair count and its ratio to the
     previous step (to the start page's views for step 1).  A step without
     transitions counts 0; a zero denominator gives a null rate.
@@ -71,7 +70,7 @@ def funnel_conversion(actions: DataFrame, flow: Sequence[int], rounded: bool = T
     needed."""
     spark = actions.sparkSession
     steps = flow_steps(spark, flow)
-    pairs = page_pairs(actions, flow, tie_break, hot_group_rows).select("pair", "cnt")
+    pairs = page_pairs(actions, flow, tie_break).select("pair", "cnt")
     pv = start_page_pv(actions, flow).select(F.lit("pv").alias("pair"), F.col("pv").alias("cnt"))
     counts = F.broadcast(pairs.unionByName(pv))
     cur = counts.select(F.col("pair"), F.col("cnt").alias("cur_cnt"))
@@ -83,10 +82,9 @@ def funnel_conversion(actions: DataFrame, flow: Sequence[int], rounded: bool = T
     return j.select("step", "pair", "cnt", rate.alias("rate"))
 
 
-def funnel_string(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id",
-                  hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
+def funnel_string(actions: DataFrame, flow: Sequence[int], tie_break: str = "event_id") -> DataFrame:
     """JOB4: the rounded funnel as one string ``1_2=0.50|2_3=...`` in step order."""
-    f = funnel_conversion(actions, flow, True, tie_break, hot_group_rows)
+    f = funnel_conversion(actions, flow, True, tie_break)
     # format_string('%.2f', NULL) gives 'nu' (Java formats null with the
     # precision), so null rates take their own branch
     rate = F.when(F.col("rate").isNotNull(), F.format_string("%.2f", F.col("rate"))).otherwise(F.lit("null"))

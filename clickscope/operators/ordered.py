@@ -1,82 +1,36 @@
 """Successor of each row inside a group in a total order (``lead``), safe
 when one group holds a large share of all rows.
 
-Groups up to ``hot_group_rows`` rows use the plain window ``lead`` (hash
-shuffle by group, sort, one pass).  Larger ("hot") groups take a
-range-partitioned path: the rows are range-partitioned on
-``(group, *order)`` - so a hot group is split over many tasks -, sorted
-within partitions and numbered; the numbered rows are checkpointed to the
-shared checkpoint folder (ids stay fixed if a task is re-run), the successor
-of a row is the next id in its partition, or for a partition's last row the
-first row of the next non-empty partition (a table of at most one row per
-partition), and it is fetched with an equi-join on the id, which spreads
-evenly whatever the group sizes.
+Every group is cut into slices of neighbouring rows (a minute of its actions,
+say), and the window sorts one slice, not one group.  The last row of each
+slice then takes the first value of the group's next slice from a second window
+over one row per slice, whose size is bounded by the number of slices, not by
+rows.  There is one path for groups of every size: nothing is counted first,
+and a null group or slice is one like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.session import work_dir
-
-DEFAULT_HOT_GROUP_ROWS = 2_000_000
-_ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in partition
-
-
-def _window_lead(df: DataFrame, group: str, order: Sequence[str], value: str, out: str) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(out, F.lead(value).over(w))
-
-
-def _range_lead(df: DataFrame, group: str, order: Sequence[str], value: str, out: str,
-                partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    work_dir(spark)  # make sure a checkpoint folder is set
-    keys = [group, *order]
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_rid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    part = F.shiftright(F.col("_rid"), _ROW_BITS)
-    bounds = numbered.groupBy(part.alias("_p")).agg(F.min("_rid").alias("_first"), F.max("_rid").alias("_last"))
-    # at most one row per partition: a single ordered window over it is bounded
-    # by the partition count, not by the data
-    link = bounds.select(F.col("_last").alias("_rid"),
-                         F.lead("_first").over(Window.orderBy("_p")).alias("_succ_link"))
-    with_succ = (numbered.join(F.broadcast(link), "_rid", "left")
-                 .withColumn("_succ", F.when(F.col("_succ_link").isNotNull(), F.col("_succ_link"))
-                             .otherwise(F.col("_rid") + 1))
-                 .drop("_succ_link"))
-    nxt = numbered.select(F.col("_rid").alias("_succ"), F.col(group).alias("_ngroup"), F.col(value).alias("_nvalue"))
-    j = with_succ.join(nxt, "_succ", "left")
-    same = F.col("_ngroup").eqNullSafe(F.col(group))  # null is a group, as in the window
-    return (j.withColumn(out, F.when(same, F.col("_nvalue")))
-            .drop("_succ", "_rid", "_ngroup", "_nvalue"))
-
 
 def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str, out: str = "next_value",
-                  hot_group_rows: int | None = DEFAULT_HOT_GROUP_ROWS) -> DataFrame:
+                  *, slice_by: Column) -> DataFrame:
     """``df`` plus ``out`` = ``value`` of the next row of the same ``group`` in
     ``order`` (null for a group's last row).  ``order`` must be a total order
     inside a group (end it with a unique id).
 
-    With ``hot_group_rows`` set, group sizes are counted first (a partial
-    aggregate); groups above it go through the range-partitioned path, the
-    rest through the window.  ``hot_group_rows=None`` always uses the window,
-    ``0`` always the range path."""
-    if hot_group_rows is None:
-        return _window_lead(df, group, order, value, out)
-    if hot_group_rows <= 0:
-        return _range_lead(df, group, order, value, out)
-    hot = (df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_group_rows).select(F.col(group).alias("_hot")))
-    # a one-row probe decides whether the split is needed at all
-    if not hot.take(1):
-        return _window_lead(df, group, order, value, out)
-    is_hot = F.col(group).eqNullSafe(F.col("_hot"))  # a large null group is hot like any other
-    normal = df.join(hot, is_hot, "left_anti")
-    heavy = df.join(hot, is_hot, "left_semi")
-    return _window_lead(normal, group, order, value, out).unionByName(_range_lead(heavy, group, order, value, out))
+    ``slice_by`` must never fall as ``order`` rises (nulls first), such as a prefix
+    of a time text that the order begins with; rows of one group and slice
+    are sorted in one task."""
+    inside = Window.partitionBy(group, "_slice").orderBy(*order)
+    own = (df.withColumn("_slice", slice_by)
+           .select("*", F.lead(value).over(inside).alias(out), F.lead(F.lit(True)).over(inside).alias("_more"),
+                   F.first(value).over(inside).alias("_first")))
+    across = Window.partitionBy(group).orderBy("_slice")
+    ends = own.where("_more IS NULL").withColumn(out, F.lead("_first").over(across))
+    cols = [*df.columns, out]
+    return own.where("_more").select(*cols).unionByName(ends.select(*cols))

@@ -42,9 +42,6 @@ class TaskParams:
     top_categories: int = 10
     top_sessions: int = 10
     top_products: int = 3
-    # sessions above this many actions take the split (range-partitioned)
-    # path of the page successor; None = always the plain window
-    hot_group_rows: int | None = 2_000_000
     # ad stream
     blacklist_threshold: int = 100
     top_ads: int = 3

@@ -64,10 +64,9 @@ def run_page_conversion(spark: SparkSession, visit_log: DataFrame, params: TaskP
     """JOB2 / JOB3 / JOB4: the funnel as rows and as the one-string form."""
     task_id = task_id or str(uuid.uuid4())
     acts = actions_in_range(visit_log, params)
-    hot = params.hot_group_rows
-    write(_tag(funnel.funnel_conversion(acts, params.flow, rounded, hot_group_rows=hot), task_id),
+    write(_tag(funnel.funnel_conversion(acts, params.flow, rounded), task_id),
           "page_split_convert_rate")
-    write(_tag(funnel.funnel_string(acts, params.flow, hot_group_rows=hot), task_id), "page_convert_rate")
+    write(_tag(funnel.funnel_string(acts, params.flow), task_id), "page_convert_rate")
     return task_id
 
 

@@ -1,10 +1,11 @@
 """Behaviour that must not depend on batch cuts, caps or machine-local folders."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickscope import session
 from clickscope.functions import exprs as X
-from clickscope.operators import ads, ordered, sinks
+from clickscope.operators import ads, funnel, ordered, sinks
 from clickscope.params import TaskParams, params_from_properties
 from clickscope.streaming import ads_stream
 
@@ -36,12 +37,21 @@ def test_parameters_keep_quoted_text(spark):
     assert p.keywords == "a, b:c" and p.start_age == 20 and TaskParams().sample_size == 100
 
 
-def test_null_group_has_successors_on_every_path(spark):
-    df = spark.createDataFrame([(None, k, k * 10) for k in range(6)] + [("a", k, k) for k in range(3)], "g string, t int, v int")
-    want = rows(ordered.next_in_group(df, "g", ["t"], "v", hot_group_rows=None).fillna("null", ["g"]).fillna(-1, ["next_value"]))
-    for hot in (0, 4):
-        got = ordered.next_in_group(df, "g", ["t"], "v", hot_group_rows=hot)
-        assert rows(got.fillna("null", ["g"]).fillna(-1, ["next_value"])) == want
+def test_null_groups_and_null_slices_have_successors(spark):
+    times = [None, 0, 1, 2, 3, 4]
+    df = spark.createDataFrame([(g, t, k * 10) for g in (None, "a") for k, t in enumerate(times)], "g string, t int, v int")
+    want = {(g, k * 10): (k + 1) * 10 if k < 5 else None for g in (None, "a") for k in range(6)}
+    for width in (1, 2, 9):
+        got = ordered.next_in_group(df, "g", ["t"], "v", slice_by=F.floor(F.col("t") / width))
+        assert {(r.g, r.v): r.next_value for r in got.collect()} == want
+
+
+def test_null_values_and_malformed_times_are_kept_in_order(spark):
+    data = [("s", t, i, p) for i, (t, p) in enumerate(
+        [("2024-01-01 10:00:01", 1), ("2024-01-01 10:00:59", None), ("2024-01-01 10:01:00", 3), ("bad", 4), ("", 5), (None, 6)])]
+    df = spark.createDataFrame(data, "session_id string, action_time string, event_id long, page_id long")
+    got = {r.event_id: r.pair for r in funnel.page_transitions(df).where("pair is not null").collect()}
+    assert got == {5: "6_5", 4: "5_1", 2: "3_4"}  # null, empty, times, text behind them
 
 
 def test_latest_per_key_is_a_hash_aggregate(spark):

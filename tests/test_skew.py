@@ -52,9 +52,7 @@ def test_hot_session_transitions(spark, skewed):
         items.sort()
         for a, b in zip(items, items[1:]):
             want[f"{a[2]}_{b[2]}"] += 1
-    for hot in (None, 100):  # window only / hot session split
-        got = Counter(r.pair for r in FN.page_transitions(df, hot_group_rows=hot).collect())
-        assert got == want
+    assert Counter(r.pair for r in FN.page_transitions(df).collect()) == want
 
 
 def test_hot_area_top3(spark, skewed):

@@ -5,20 +5,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickscope.functions.exprs import area_level
 from clickscope.functions.sql_functions import register_sql_functions
 from clickscope.params import TaskParams
 from clickscope.sources.fixtures import Fixture
 
 
-def area_top3_sql(spark: SparkSession, sf_dir: str, params: TaskParams, n: int = 3) -> DataFrame:
+def area_top3_sql(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
     fx = Fixture(spark, sf_dir)
     register_sql_functions(spark)
     fx.visit_log().createOrReplaceTempView("user_visit_action")
     fx.products().createOrReplaceTempView("product_info")
     fx.cities().createOrReplaceTempView("city_info")
-    date_filter = ""
+    date_filter, args = "", {"n": params.top_products}
     if params.start_date is not None and params.end_date is not None:
-        date_filter = f"AND date >= '{params.start_date}' AND date <= '{params.end_date}'"
+        date_filter = "AND date >= :start AND date <= :end"
+        args |= {"start": params.start_date, "end": params.end_date}
     return spark.sql(f"""
         WITH clicks AS (
           SELECT city_id, click_product_id AS pid FROM user_visit_action
@@ -36,10 +38,6 @@ def area_top3_sql(spark: SparkSession, sf_dir: str, params: TaskParams, n: int =
           FROM counts a JOIN product_info p ON a.pid = p.product_id),
         ranked AS (
           SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) AS rn FROM info)
-        SELECT area,
-               CASE WHEN area IN ('华北', '华东') THEN 'A_Level'
-                    WHEN area IN ('华中', '华南') THEN 'B_Level'
-                    WHEN area IN ('西南', '西北') THEN 'C_Level'
-                    ELSE 'D_Level' END AS area_level,
-               pid, city_infos, click_count, product_name, product_status
-        FROM ranked WHERE rn <= {int(n)}""")
+        SELECT area, pid, city_infos, click_count, product_name, product_status
+        FROM ranked WHERE rn <= :n""", args).select(
+        "area", area_level("area").alias("area_level"), "pid", "city_infos", "click_count", "product_name", "product_status")

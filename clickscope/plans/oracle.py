@@ -3,16 +3,22 @@
 The derived tables (visit log, users, products, cities, ad clicks) are
 written once more as SQL CTEs over the raw ``events`` / ``customer`` /
 ``part`` views and prefixed to each query, so the oracle shares no code with
-the Spark side.  Ratios use the exact integer HALF_UP form; sums are cast
+the Spark side; fixed values (cities, labels, dates) are written out again, only
+the run parameters are read from the registry.  Ratios use the exact integer HALF_UP form; sums are cast
 back to BIGINT (DuckDB widens them).
 """
 
 from __future__ import annotations
 
-from clickscope.functions.exprs import STEP_BUCKETS, VISIT_BUCKETS
 from clickscope.params import FIXTURE_PARAMS as P
 from clickscope.plans import registry as R
-from clickscope.sources.fixtures import CITY_ROWS, FIXTURE_EPOCH
+
+FIXTURE_EPOCH = "2024-01-01"
+VISIT_BUCKETS = "1s_3s 4s_6s 7s_9s 10s_30s 30s_60s 1m_3m 3m_10m 10m_30m 30m".split()
+STEP_BUCKETS = "1_3 4_6 7_9 10_30 30_60 60".split()
+# city rows as SQL text, in the order of their ids
+CITIES_VALUES = ("(0, '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'), (4, '三亚', '华南'), "
+                 "(5, '武汉', '华中'), (6, '长沙', '华中'), (7, '西安', '西北'), (8, '成都', '西南'), (9, '哈尔滨', '东北')")
 
 
 def _q(s: str) -> str:
@@ -23,9 +29,6 @@ def _in_list(values) -> str:
     return ", ".join(_q(str(v)) for v in values)
 
 
-CITIES_VALUES = ", ".join(f"({cid}, {_q(name)}, {_q(ar)})" for cid, name, ar in CITY_ROWS)
-
-
 def _filter_sql(p) -> str:
     """The six session filters as SQL over ``sess_users`` columns."""
     conds = ["TRUE"]
@@ -175,8 +178,8 @@ prov_top AS (
   SELECT date, province, adid, click_count FROM (
     SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn FROM prov_counts) t
   WHERE rn <= {P.top_ads}),
-half_old AS (SELECT * FROM ad_clicks WHERE ts < TIMESTAMP '{R.SINK_CUT}'),
-half_new AS (SELECT * FROM ad_clicks WHERE ts >= TIMESTAMP '{R.SINK_CUT}')
+half_old AS (SELECT * FROM ad_clicks WHERE hour(ts) < 12),
+half_new AS (SELECT * FROM ad_clicks WHERE hour(ts) >= 12)
 """
 
 
@@ -256,7 +259,7 @@ BODIES: dict[str, str] = {
     "kv_get": f"""SELECT event_id, string_split(rtrim(pair_text, '='), '=')[2] AS value FROM (SELECT event_id,
         list_filter(string_split(record, '|'),
                     lambda p: len(string_split(rtrim(p, '='), '=')) = 2
-                              AND string_split(rtrim(p, '='), '=')[1] = {_q(R.KV_FIELD)})[1] AS pair_text
+                              AND string_split(rtrim(p, '='), '=')[1] = 'searchKeywords')[1] AS pair_text
       FROM (SELECT event_id,
                    'sessionid=' || session_id || '|searchKeywords=' || coalesce(search_keyword, '')
                    || '|clickCategoryIds=' || CASE WHEN click_category_id <> -1 THEN CAST(click_category_id AS VARCHAR) ELSE '' END
@@ -292,6 +295,27 @@ BODIES: dict[str, str] = {
       UNION ALL SELECT * FROM {_prov_top('half_new')} n2""",
 }
 
+BODIES["area_top3_sql"] = BODIES["area_top3"]
+BODIES["scalar_functions"] = """SELECT event_id,
+        strptime(action_time, '%Y-%m-%d %H:%M:%S') < CAST(date AS TIMESTAMP) + INTERVAL 12 HOUR AS before_noon,
+        strptime(action_time, '%Y-%m-%d %H:%M:%S') > CAST(date AS TIMESTAMP) + INTERVAL 12 HOUR AS after_noon,
+        substr(action_time, 1, 10) || '_' || substr(action_time, 12, 2) AS date_hour,
+        search_keyword IS NULL OR search_keyword = '' AS no_keyword,
+        coalesce(order_category_ids, '') AS orders,
+        CASE WHEN length(CAST(page_id * 30 AS VARCHAR)) = 2 THEN '' ELSE '0' END || CAST(page_id * 30 AS VARCHAR) AS padded,
+        CAST(sign(page_id * 25 - 100) * ((abs(page_id * 25 - 100) + 5) // 10) AS DOUBLE) / 10 AS rounded,
+        'sessionid=' || session_id || '|searchKeywords=' || coalesce(search_keyword, '')
+          || '|clickCategoryIds=' || CASE WHEN click_category_id <> -1 THEN CAST(click_category_id AS VARCHAR) ELSE '' END
+          || '|pageid=new' AS record
+      FROM visit_log"""
+BODIES["sink_insert_new"] = f"""SELECT DISTINCT userid FROM (
+        SELECT date, userid, adid FROM ad_clicks GROUP BY 1, 2, 3 HAVING count(*) > {P.blacklist_threshold}) t
+      WHERE userid NOT IN (SELECT userid FROM half_old GROUP BY date, userid, adid HAVING count(*) > {P.blacklist_threshold})"""
+BODIES["sink_lookup_counts"] = """SELECT n.date, n.userid, n.adid, coalesce(o.cnt, 0) AS click_count
+      FROM (SELECT DISTINCT date, userid, adid FROM half_new) n
+      LEFT JOIN (SELECT date, userid, adid, count(*) AS cnt FROM half_old GROUP BY 1, 2, 3) o
+      ON n.date = o.date AND n.userid = o.userid AND n.adid = o.adid"""
+
 # streaming forms of batch outputs: same result, same SQL
 BODIES["ads_blacklist_stream"] = BODIES["ads_blacklist"]
 BODIES["ads_city_running_multi"] = BODIES["ads_city_running"]

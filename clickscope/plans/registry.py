@@ -12,12 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.functions.exprs import area_level, json_field, kv_get, product_status
+from clickscope.functions.exprs import (after, area_level, before, date_hour, is_empty, json_field, kv_get, kv_set, pad2, parse_time,
+                                        product_status, round_half_up, trim_comma)
 from clickscope.operators import ads, area, categories, funnel, sampling, sessions, sinks
 from clickscope.params import FIXTURE_PARAMS, TaskParams
+from clickscope.plans.area_sql import area_top3_sql
 from clickscope.plans.jobs import session_report
 from clickscope.session import run_dir
 from clickscope.sources.fixtures import Fixture
@@ -195,20 +197,40 @@ def q_json_field(spark, sf_dir):
     return _fx(spark, sf_dir).products().select("product_id", json_field("extend_info", "product_status").alias("value"))
 
 
-def kv_record(actions: DataFrame) -> DataFrame:
-    """Each action as a ``k=v|k=v`` record (the original jobs' string record)."""
-    rec = F.concat_ws("|",
+def kv_record() -> Column:
+    """An action as a ``k=v|k=v`` record (the original jobs' string record)."""
+    return F.concat_ws("|",
                       F.concat(F.lit("sessionid="), F.col("session_id")),
                       F.concat(F.lit("searchKeywords="), F.coalesce(F.col("search_keyword"), F.lit(""))),
                       F.concat(F.lit("clickCategoryIds="),
                                F.when(F.col("click_category_id") != -1, F.col("click_category_id").cast("string"))
                                .otherwise(F.lit(""))),
                       F.concat(F.lit("pageid="), F.col("page_id").cast("string")))
-    return actions.select("event_id", rec.alias("record"))
 
 
 def q_kv_get(spark, sf_dir):
-    return kv_record(_actions(spark, sf_dir)).select("event_id", kv_get("record", KV_FIELD).alias("value"))
+    return _actions(spark, sf_dir).select("event_id", kv_get(kv_record(), KV_FIELD).alias("value"))
+
+
+NOON = "12:00:00"
+
+
+def q_scalar_functions(spark, sf_dir):
+    """FN1, FN3, FN7-FN10 and FN12 on every action; each is compared with noon of its day."""
+    acts = _actions(spark, sf_dir)
+    t = parse_time("action_time")
+    noon = parse_time(F.concat("date", F.lit(" " + NOON)))
+    return acts.select("event_id", before(t, noon).alias("before_noon"), after(t, noon).alias("after_noon"),
+                        date_hour(t).alias("date_hour"), is_empty("search_keyword").alias("no_keyword"),
+                        trim_comma(F.concat(F.lit(",,"), F.coalesce("order_category_ids", F.lit("")), F.lit(","))).alias("orders"),
+                        pad2(F.col("page_id") * 30).alias("padded"),
+                        round_half_up(F.col("page_id") * 0.25 - 1, 1).alias("rounded"),
+                        kv_set(kv_record(), "pageid", "new").alias("record"))
+
+
+def q_area_top3_sql(spark, sf_dir):
+    """JOB5 as SQL text: UDF1-UDF3 called from SQL."""
+    return area_top3_sql(spark, sf_dir, P)
 
 
 # --- ads (batch) -----------------------------------------------------------------
@@ -246,15 +268,14 @@ def q_ads_sliding_hour(spark, sf_dir):
     return ads.sliding_hour(_clicks(spark, sf_dir))
 
 
-# The sink keys play "stored table" = clicks before this instant and "new
-# batch" = clicks from it on; keys of that day appear on both sides.
-SINK_CUT = "2024-01-15 12:00:00"
+# The sink keys play "stored table" = clicks of every morning and "new batch" =
+# clicks of every afternoon, so the keys of each day meet.
+SINK_HOUR = 12
 
 
 def _halves(spark, sf_dir):
     c = _clicks(spark, sf_dir)
-    cut = F.to_timestamp(F.lit(SINK_CUT))
-    return c.where(F.col("ts") < cut), c.where(F.col("ts") >= cut)
+    return c.where(F.hour("ts") < SINK_HOUR), c.where(F.hour("ts") >= SINK_HOUR)
 
 
 def q_sink_upsert_add(spark, sf_dir):
@@ -276,6 +297,20 @@ def q_sink_replace_group(spark, sf_dir):
     return sinks.replace_group(_province_top(old), _province_top(batch), ads.PROVINCE_GROUP)
 
 
+def q_sink_insert_new(spark, sf_dir):
+    """Users that the batch's counts bring over the threshold and that are not yet listed."""
+    old, batch = (ads.user_ad_counts(c) for c in _halves(spark, sf_dir))
+    total = sinks.upsert_add(old, batch, ads.KEY_USER)
+    return sinks.insert_new(ads.blacklist_from_counts(old, P.blacklist_threshold),
+                            ads.blacklist_from_counts(total, P.blacklist_threshold), ["userid"])
+
+
+def q_sink_lookup_counts(spark, sf_dir):
+    """The stored count of every key of the batch."""
+    old, batch = (ads.user_ad_counts(c) for c in _halves(spark, sf_dir))
+    return sinks.lookup_counts(batch, old, ads.KEY_USER)
+
+
 # --- ads (streaming) ---------------------------------------------------------------
 
 def _line_stream(spark, sf_dir) -> DataFrame:
@@ -422,7 +457,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_status": q_product_status,
     "json_field": q_json_field,
     "kv_get": q_kv_get,
+    "scalar_functions": q_scalar_functions,
     "area_top3": q_area_top3,
+    "area_top3_sql": q_area_top3_sql,
     # ads
     "ads_stream_parse": q_ads_stream_parse,
     "ads_user_counts": q_ads_user_counts,
@@ -446,4 +483,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_upsert_add": q_sink_upsert_add,
     "sink_upsert_replace": q_sink_upsert_replace,
     "sink_replace_group": q_sink_replace_group,
+    "sink_insert_new": q_sink_insert_new,
+    "sink_lookup_counts": q_sink_lookup_counts,
 }

@@ -50,3 +50,15 @@ def test_entry_smoke(spark):
     df = entry(spark)
     r = df.collect()
     assert len(r) == 1 and r[0]["session_count"] == 88
+
+
+def test_oracle_writes_its_constants_itself(spark, con, monkeypatch):
+    """A wrong city row on the Spark side must not pass."""
+    from clickscope.sources import fixtures
+
+    wrong = [(i, n, "华东" if i == 0 else a) for i, n, a in fixtures.CITY_ROWS]
+    monkeypatch.setattr(fixtures, "CITY_ROWS", wrong)
+    got = {(r.area, r.city_name) for r in queries()["area_base"](spark, SF).select("area", "city_name").collect()}
+    rel = con.sql(oracle_sql()["area_base"])
+    want = {(r[rel.columns.index("area")], r[rel.columns.index("city_name")]) for r in rel.fetchall()}
+    assert got != want

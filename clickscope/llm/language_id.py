@@ -47,7 +47,7 @@ _letters = re.compile(r"[\W\d_]+")
 def grams(text: str | None) -> np.ndarray:
     """4-byte n-grams of the letters of a text (empty: no letter)."""
     words = _letters.sub(" ", text).strip() if text else ""
-    if not words:
+    if not any(map(str.isalpha, words)):  # number signs such as fractions are no letters
         return np.empty(0, np.uint32)
     b = np.frombuffer(f"  {words.lower()}  ".encode(), np.uint8)[1:].astype(np.uint32)
     return b[:-3] | b[1:-2] << 8 | b[2:-1] << 16 | b[3:] << 24

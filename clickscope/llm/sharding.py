@@ -75,6 +75,23 @@ def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     shards), depth, shard_bytes, oversized: one row for each document."""
     rows = written(hashed(docs), "shard-rows")
     found = directory(rows, limit)
+    placed = _placed(rows, found, limit)
+    plain = placed.where("not hot")
+    if found.where(_hot("bytes", limit)).isEmpty():
+        out = plain
+    else:
+        out = plain.unionByName(_overflow(placed.where("hot"), limit))
+    return out.select("doc_id", "bytes", "shard_id", "depth", "shard_bytes",
+                      (F.col("shard_bytes") > limit).alias("oversized"))
+
+
+def _hot(size: str, limit: int) -> str:
+    """Condition on a shard: no bit is left, and it is still too large."""
+    return f"depth = {BITS} and {size} > {limit} and n_rows > 1"
+
+
+def _placed(rows: DataFrame, found: DataFrame, limit: int) -> DataFrame:
+    """``rows`` with their shard by bits alone; ``hot``: it has to overflow."""
     # each depth that is in use is one equi-join key: (depth, prefix)
     depths = [r[0] for r in found.select("depth").distinct().collect()]  # 61 at most
     ways = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix("h", d).alias("prefix")) for d in sorted(depths)])
@@ -82,15 +99,7 @@ def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
         rows.select("doc_id", "bytes", "h", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"))
     placed = way.join(found.withColumnRenamed("bytes", "shard_bytes"), ["depth", "prefix"])
     bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.expr(f"lpad(conv(prefix, 10, 2), depth, '0')"))
-    placed = placed.withColumn("shard_id", bits)
-    hot = f"depth = {BITS} and shard_bytes > {limit} and n_rows > 1"
-    plain = placed.where(f"not ({hot})")
-    if found.where(f"depth = {BITS} and bytes > {limit} and n_rows > 1").isEmpty():
-        out = plain
-    else:
-        out = plain.unionByName(_overflow(placed.where(hot), limit))
-    return out.select("doc_id", "bytes", "shard_id", "depth", "shard_bytes",
-                      (F.col("shard_bytes") > limit).alias("oversized"))
+    return placed.select("*", bits.alias("shard_id"), F.expr(_hot("shard_bytes", limit)).alias("hot"))
 
 
 def _overflow(rows: DataFrame, limit: int) -> DataFrame:
@@ -114,8 +123,8 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
 
 ORACLE = f"""
 with recursive h as (
-  select doc_id, octet_length(encode(text))::bigint as bytes,
-         ('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint as h
+  select doc_id, coalesce(octet_length(encode(text)), 0)::bigint as bytes,
+         ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as h
   from documents),
 b(depth, prefix, bytes, n) as (
   select 0, 0::bigint, sum(bytes)::bigint, count(*) from h
@@ -132,7 +141,14 @@ from h join d on h.h >> (60 - depth) = prefix
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Whole documents (every column) under ``path``/__shard=<id>; each shard is written by one task."""
-    placed = shards(docs, limit).select(F.col("doc_id").alias("__id"), F.col("shard_id").alias("__shard")).distinct()
-    (docs.join(placed, docs["doc_id"].eqNullSafe(F.col("__id"))).drop("__id")
+    """Whole documents (every column), each once, under ``path``/__shard=<id>; each shard
+    is written by one task."""
+    rows = written(hashed(docs), "shard-rows")
+    # rows of one id have one hash, so the id alone finds their shard by bits
+    of = _placed(rows, directory(rows, limit), limit).select("doc_id", "shard_id", "shard_bytes", "hot").distinct()
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"),
+                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
+    whole = whole.join(of, whole["id"].eqNullSafe(of["doc_id"])).select("doc", "bytes", "shard_id", "shard_bytes", "hot")
+    both = whole.where("not hot").unionByName(_overflow(whole.where("hot"), limit))
+    (both.select("doc.*", F.col("shard_id").alias("__shard"))
      .repartition("__shard").write.partitionBy("__shard").parquet(path))

@@ -19,8 +19,8 @@ a template that a third of all documents hold is split by the join.
 
 Cases: a null text stays null, an empty one empty; a document may lose all its
 lines (its text is then empty, the row stays); null ids count as documents and
-come after all others; repeated rows count once per row and are decided alike; an
-empty table gives an empty table; all other columns are kept as they are.
+come after all others; repeated rows (same id and text) count as one document and are
+decided alike; an empty table gives an empty table; all other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -102,7 +102,7 @@ def summary(docs: DataFrame) -> DataFrame:
 
 
 def template_sql(table: str) -> str:
-    """DuckDB: (r, doc_id, line_no, line, tokens, template) of the lines of a table with text."""
+    """DuckDB: (r, id, own, line_no, line, tokens, template) of the lines of a table with text."""
     return f"""
   select *, case when wild(wide) * 2 <= tokens then wide when wild(narrow) * 2 <= tokens then narrow else norm end as template from (
    select *, array_to_string(string_split(narrow, ' ')[1:2], ' ') ||
@@ -110,18 +110,18 @@ def template_sql(table: str) -> str:
    from (select *, case when norm = '' then 0 else length(norm) - length(replace(norm, ' ', '')) + 1 end as tokens,
            regexp_replace(norm, '[^ ]*[0-9@][^ ]*', '<*>', 'g') as narrow
          from (select *, trim(regexp_replace(line, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') as norm
-               from (select r, doc_id, unnest(string_split(text, chr(10))) as line,
+               from (select r, id, own, unnest(string_split(text, chr(10))) as line,
                        generate_subscripts(string_split(text, chr(10)), 1) as line_no from {table}))))""".replace(
         "wild(wide)", "((length(wide) - length(replace(wide, '<*>', ''))) / 3)").replace(
         "wild(narrow)", "((length(narrow) - length(replace(narrow, '<*>', ''))) / 3)")
 
 
 ORACLE = f"""
-with d as (select row_number() over () as r, doc_id, text from documents),
+with d as (select row_number() over () as r, doc_id, coalesce(doc_id, {LAST}) as id, md5(text) as own, text from documents),
 t as ({template_sql('d')}),
-o as (select tokens, template, min(doc_id) as first from t where tokens >= {MIN_TOKENS}
-      group by all having count(distinct r) >= {MIN_DOCS}),
-k as (select t.r, t.line_no, t.line, o.first is not null and t.doc_id > o.first as gone
+o as (select tokens, template, min(id) as first from t where tokens >= {MIN_TOKENS}
+      group by all having count(distinct (id, own)) >= {MIN_DOCS}),
+k as (select t.r, t.line_no, t.line, o.first is not null and t.id > o.first as gone
       from t left join o on t.tokens = o.tokens and t.template = o.template),
 s as (select r, count(*) as n_lines, count(*) filter (gone) as n_dropped,
         coalesce(string_agg(line, chr(10) order by line_no) filter (not gone), '') as kept from k group by r)

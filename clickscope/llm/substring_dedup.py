@@ -276,10 +276,10 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
 
 ORACLE = f"""
-with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
-w as (select r, doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') as s from d, unnest(generate_series(1, len(ws) - {WINDOW - 1})) u(i)),
-f as (select s, min(doc_id) as m from w group by s),
-g as (select distinct r, unnest(generate_series(i, i + {WINDOW - 1})) as p from w join f using (s) where m < doc_id),
+with d as (select row_number() over () as r, doc_id, coalesce(doc_id, {LAST}) as id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+w as (select r, id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') as s from d, unnest(generate_series(1, len(ws) - {WINDOW - 1})) u(i)),
+f as (select s, min(id) as m from w group by s),
+g as (select distinct r, unnest(generate_series(i, i + {WINDOW - 1})) as p from w join f using (s) where m < id),
 k as (select d.r, u.p, d.ws[u.p] as word, g.p is not null as gone
       from d, unnest(generate_series(1, len(ws))) u(p) left join g on g.r = d.r and g.p = u.p),
 a as (select r, count(*) filter (gone) as n_removed, coalesce(string_agg(word, ' ' order by p) filter (not gone), '') as kept from k group by r)

@@ -203,6 +203,7 @@ def test_language_id(docs, empty):
     assert kept.columns == docs.columns and {50, 51, 52, 59}.isdisjoint(i for i, _ in plain(kept))
     assert set(range(40)) <= {i for i, _ in plain(kept)}
     assert language_id.predictions(empty).count() == 0
+    assert not len(language_id.grams("½ ² Ⅷ 12 _")) and len(language_id.grams("½ é"))
 
 
 # --- 5 quality rules ------------------------------------------------------------------------
@@ -337,3 +338,13 @@ def test_repeated_ids_overflow(spark):
     for r in rows:
         size[r["shard_id"]] += r["bytes"]
     assert len(rows) == 94 and max(size.values()) <= 1000 and all(size[r["shard_id"]] == r["shard_bytes"] for r in rows)
+
+
+def test_written_shards_hold_each_row_once(spark, docs, tmp_path):
+    rows = docs.unionByName(spark.createDataFrame([(7, "x" * 100, "en", "s", 1, 0.5, "t", 1, 2)] * 90, SCHEMA)).cache()
+    sharding.write_shards(rows, str(tmp_path / "shards"), 4000)
+    back = spark.read.option("recursiveFileLookup", True).schema(SCHEMA).parquet(str(tmp_path / "shards"))
+    assert sorted(map(tuple, back.collect()), key=order) == sorted(map(tuple, rows.collect()), key=order)
+    shard = spark.read.parquet(str(tmp_path / "shards")).selectExpr("__shard", "octet_length(text) as b").groupBy("__shard").agg(
+        {"b": "sum", "*": "count"}).collect()
+    assert all((r["sum(b)"] or 0) <= 4000 or r["count(1)"] == 1 for r in shard)

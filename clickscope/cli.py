@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import replace
 
 from clickscope.params import TaskParams, params_from_properties
 from clickscope.plans import reports
@@ -32,6 +33,10 @@ def _writer(out: str, driver: str | None):
     return reports.parquet_writer(out)
 
 
+#: Flags of the batch jobs that override the task parameters.
+SETTINGS = ("sample_size", "sample_seed", "top_categories", "top_sessions", "top_products")
+
+
 def _params(text: str | None) -> TaskParams:
     return TaskParams.from_json(json.loads(text)) if text else TaskParams()
 
@@ -49,6 +54,9 @@ def main(argv: list[str] | None = None, spark=None) -> str:
         p.add_argument("--task-id")
         p.add_argument("--out", required=True)
         p.add_argument("--jdbc-driver")
+        for flag in SETTINGS:
+            p.add_argument("--" + flag.replace("_", "-"), type=str if flag == "sample_seed" else int)
+        p.add_argument("--raw-rate", action="store_true", help="page-conversion: rates that are not rounded")
     s = sub.add_parser("ads-stream")
     s.add_argument("--lines", help="folder of Parquet files with a `value` text column")
     s.add_argument("--kafka")
@@ -56,29 +64,35 @@ def main(argv: list[str] | None = None, spark=None) -> str:
     s.add_argument("--out", required=True)
     s.add_argument("--threshold", type=int, default=100)
     s.add_argument("--top", type=int, default=3)
+    s.add_argument("--max-files-per-trigger", type=int, help="files of one micro-batch (all when not given)")
+    s.add_argument("--starting", default="latest", help="Kafka starting offsets")
+    s.add_argument("--max-offsets-per-trigger", type=int, help="Kafka records of one micro-batch (all when not given)")
     s.add_argument("--trigger", default="5 seconds", help="processing-time interval, or 'once' to drain and stop")
     a = ap.parse_args(argv)
     spark = spark or get_spark(app_name=f"clickscope-{a.cmd}")
 
     if a.cmd == "ads-stream":
-        lines = (ads_stream.kafka_lines(spark, a.kafka, a.topic) if a.kafka
-                 else ads_stream.line_files(spark, a.lines))
+        limit = {"maxOffsetsPerTrigger": a.max_offsets_per_trigger} if a.max_offsets_per_trigger else None
+        lines = (ads_stream.kafka_lines(spark, a.kafka, a.topic, a.starting, limit) if a.kafka
+                 else ads_stream.line_files(spark, a.lines, a.max_files_per_trigger))
         once = a.trigger == "once"
         trigger = {"availableNow": True} if once else {"processingTime": a.trigger}
-        job = ads_stream.run_ads_job(spark, lines, a.threshold, a.top, a.out, trigger, await_end=once)
+        job = ads_stream.run_ads_job(spark, lines, a.threshold, a.top, a.out, trigger, await_end=once,
+                                     max_files_per_trigger=a.max_files_per_trigger)
         if not once:
             for q in job["queries"]:
                 q.awaitTermination()
         return job["root"]
 
     params = params_from_properties(a.params_file) if a.params_file else _params(a.params)
+    params = replace(params, **{k: getattr(a, k) for k in SETTINGS if getattr(a, k) is not None})
     # paths: the visit-log schema keeps a `date` partition column a string
     visit_log = load(spark, a.visit_log, schema=VISIT_LOG).select(*VISIT_LOG.fieldNames())
     write = _writer(a.out, a.jdbc_driver)
     if a.cmd == "session-report":
         return reports.run_session_report(spark, visit_log, load(spark, a.users), params, write, a.task_id)
     if a.cmd == "page-conversion":
-        return reports.run_page_conversion(spark, visit_log, params, write, a.task_id)
+        return reports.run_page_conversion(spark, visit_log, params, write, a.task_id, rounded=not a.raw_rate)
     return reports.run_area_top3(spark, visit_log, load(spark, a.products), cities(spark), params, write, a.task_id)
 
 

@@ -88,13 +88,6 @@ def _exists(spark, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def has_batches(spark, root: str) -> bool:
-    """True when at least one ``batch_id=N`` folder is published under ``root``."""
-    p, fs = _fs(spark, f"{root.rstrip('/')}/batch_id=*")
-    found = fs.globStatus(p)
-    return found is not None and len(found) > 0
-
-
 def publish_batch(df: DataFrame, root: str, batch_id: int) -> bool:
     """Write one micro-batch's rows to ``root/batch_id=N`` exactly once.
 
@@ -129,7 +122,7 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: str = "batch_id"
     return rows.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in vals])
 
 
-__all__ = ["BatchLog", "VersionedTable", "has_batches", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
+__all__ = ["BatchLog", "VersionedTable", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
            "save_table", "show", "publish_batch", "read_batches", "latest_per_key"]
 
 

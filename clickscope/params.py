@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 def _csv(value: str | None) -> tuple[str, ...] | None:
@@ -45,7 +45,6 @@ class TaskParams:
     # ad stream
     blacklist_threshold: int = 100
     top_ads: int = 3
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def professional_list(self):
@@ -76,15 +75,20 @@ class TaskParams:
             "professionals": "professionals", "cities": "cities", "sex": "sex",
             "keywords": "keywords", "categoryIds": "category_ids",
             "targetPageFlow": "target_page_flow",
+            # run settings that the original jobs fix in their code
+            "sampleSize": "sample_size", "sampleSeed": "sample_seed", "topCategories": "top_categories",
+            "topSessions": "top_sessions", "topProducts": "top_products",
         }
+        sizes = ("sample_size", "top_categories", "top_sessions", "top_products")
         kwargs = {}
         for src, dst in names.items():
             if src not in obj:
                 continue  # absent: keep the default
             v = obj.get(src)
             if v is None or (isinstance(v, str) and v.strip() == ""):
-                kwargs[dst] = None if dst != "target_page_flow" else ""
-            elif dst in ("start_age", "end_age"):
+                if dst not in (*sizes, "sample_seed"):  # an empty size keeps its default
+                    kwargs[dst] = None if dst != "target_page_flow" else ""
+            elif dst in ("start_age", "end_age", *sizes):
                 kwargs[dst] = int(v)
             else:
                 kwargs[dst] = str(v)

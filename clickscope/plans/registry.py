@@ -322,7 +322,7 @@ def q_ads_stream_parse(spark, sf_dir):
     root = run_dir(spark, "ads-parse")
     lines = _line_stream(spark, sf_dir)
     ads_stream.start_parse_to_files(lines, f"{root}/out", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/out").select("event_id", "ts_ms", "province", "city", "userid", "adid")
+    return spark.read.parquet(f"{root}/out").where("valid = 'true'").select("event_id", "ts_ms", "province", "city", "userid", "adid")
 
 
 def q_ads_city_running(spark, sf_dir):

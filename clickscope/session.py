@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,16 +74,6 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-
-
 def _path(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -40,13 +40,14 @@ CLEAN_SCHEMA = T.StructType([
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
                 options: dict | None = None) -> DataFrame:
-    """Log lines from Kafka (value only).  Needs the Kafka connector on the
-    cluster's classpath."""
+    """Log lines from Kafka; ``event_id`` holds partition and offset (48 bits), so it
+    is unique in the topic.  Needs the Kafka connector on the cluster's classpath."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting))
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    return r.load().select(F.col("offset").alias("event_id"), F.col("value").cast("string").alias("value"))
+    event_id = F.shiftleft(F.col("partition").cast("bigint"), 48).bitwiseOR(F.col("offset"))
+    return r.load().select(event_id.alias("event_id"), F.col("value").cast("string").alias("value"))
 
 
 def event_file_lines(spark: SparkSession, events_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -366,31 +367,34 @@ def sliding_hour_table(spark: SparkSession, root: str, window_minutes: int = 60)
 def start_parse_to_files(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                          await_end: bool = True):
     """ST1 as a stateless stream into a Parquet file sink (exactly-once via
-    the sink's metadata log)."""
-    parsed = parsed_clicks(lines).drop("ts")
-    w = parsed.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    the sink's metadata log): ``valid=true`` holds the clicks, ``valid=false`` the
+    rejected lines (``value``), so that no line is lost."""
+    parsed = ads.parse_log_lines(lines).drop("ts").withColumn("value", F.when(~F.col("valid"), F.col("value")))
+    w = (parsed.writeStream.format("parquet").partitionBy("valid").option("path", out)
+         .option("checkpointLocation", checkpoint))
     return _run(w, trigger or {"availableNow": True}, await_end)
 
 
 # --- whole job ----------------------------------------------------------------
 
 def run_ads_job(spark: SparkSession, lines: DataFrame, threshold: int = 100, top_n: int = 3,
-                root: str | None = None, trigger: dict | None = None, await_end: bool = True) -> dict:
+                root: str | None = None, trigger: dict | None = None, await_end: bool = True,
+                max_files_per_trigger: int | None = None) -> dict:
     """JOB6: stage A then stage B (city running + top-n, minute trend).
 
     With the default ``availableNow`` trigger and ``await_end`` each stage
     drains its input and stops, in order.  With ``await_end=False`` (e.g. a
     ``processingTime`` trigger) the three queries run side by side: stage B
-    picks up each batch folder stage A publishes.  Returns the output root
-    and the query handles."""
+    picks up each batch folder stage A publishes, ``max_files_per_trigger`` files
+    at a time when set.  Returns the output root and the query handles."""
     root = root or run_dir(spark, "ads")
     ck = f"{root}/_checkpoints"
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{root}/clean")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     qa = start_blacklist_stage(lines, root, threshold, f"{ck}/stage_a", trigger, await_end)
-    qb = start_city_running(clean_click_stream(spark, root), root, f"{ck}/city", top_n=top_n, trigger=trigger,
+    qb = start_city_running(clean_click_stream(spark, root, max_files_per_trigger), root, f"{ck}/city", top_n=top_n, trigger=trigger,
                             await_end=await_end)
-    qc = start_minute_trend(clean_click_stream(spark, root), root, f"{ck}/minute", trigger=trigger,
+    qc = start_minute_trend(clean_click_stream(spark, root, max_files_per_trigger), root, f"{ck}/minute", trigger=trigger,
                             await_end=await_end)
     return {"root": root, "queries": [qa, qb, qc]}

@@ -52,6 +52,12 @@ def test_cli_commands(spark, scratch):
     assert spark.read.parquet(f"{out}/session_aggr_stat").first()["session_count"] == 88
     cli.main(["page-conversion", "--visit-log", f"{root}/visit_log", "--params", params, "--out", out], spark=spark)
     assert spark.read.parquet(f"{out}/page_split_convert_rate").count() == 6
+    cli.main(["page-conversion", "--visit-log", f"{root}/visit_log", "--params", params, "--out", f"{out}-raw", "--raw-rate"], spark=spark)
+    raw = [r.rate for r in spark.read.parquet(f"{out}-raw/page_split_convert_rate").collect() if r.rate is not None]
+    assert any(abs(100 * r - round(100 * r)) > 1e-6 for r in raw)
+    cli.main(["session-report", "--visit-log", f"{root}/visit_log", "--users", f"{root}/users", "--params", params,
+              "--out", f"{out}-top", "--top-categories", "4"], spark=spark)
+    assert spark.read.parquet(f"{out}-top/top10_category").count() == 4
     cli.main(["area-top3", "--visit-log", f"{root}/visit_log", "--products", f"{root}/products", "--out", out],
              spark=spark)
     assert spark.read.parquet(f"{out}/area_top3_product").count() > 0

@@ -29,6 +29,11 @@ def test_params_from_json():
         20, 50, "male", None, ("kw1", "kw2"), None, (1, 2, 3))
 
 
+def test_run_settings_from_json():
+    p = TaskParams.from_json({"sampleSize": "7", "sampleSeed": 5, "topCategories": 4, "topSessions": "", "topProducts": None})
+    assert (p.sample_size, p.sample_seed, p.top_categories, p.top_sessions, p.top_products) == (7, "5", 4, 10, 3)
+
+
 def test_params_from_properties(tmp_path):
     from clickscope.params import params_from_properties
     text = ("# run settings\njdbc.url=jdbc:x\n"

@@ -183,3 +183,11 @@ def test_events_folder_source(spark, scratch):
     assert got.count() == spark.read.parquet(f"{SF}/events.parquet").count()
     assert rows(got.select("event_id", "userid")) == rows(Fixture(spark, SF).ad_log().select(
         "event_id", F.expr("CAST(split(value, ' ')[3] AS BIGINT)").alias("userid")))
+
+
+def test_rejected_lines_are_written(spark, scratch):
+    src, out = os.path.join(scratch, "lines"), os.path.join(scratch, "parsed")
+    spark.createDataFrame([(1, "1704067200000 p c 7 8"), (2, "no click"), (3, None)], "event_id long, value string").write.parquet(src)
+    ST.start_parse_to_files(ST.line_files(spark, src, 1), out, os.path.join(scratch, "ck"))
+    got = {r.event_id: (r.valid, r.userid, r.value) for r in spark.read.parquet(out).collect()}
+    assert got == {1: ("true", 7, None), 2: ("false", None, "no click"), 3: ("false", None, None)}

@@ -3,7 +3,7 @@
 The first level takes every window of 13 words of every whole text.  Windows that
 repeat across documents, and no others, are extended to twice the length, the
 repeated ones of these again, until no candidate survives: the last level
-of a document tells how long its repeated passages are.  A word goes
+of a row tells how long its repeated passages are (``longest``).  A word goes
 if a 13-word window over it also starts in a document with a smaller id.
 
 Windows meet by hash.  A task reads its texts in chunks of bounded size, and each
@@ -12,9 +12,8 @@ a window that very many documents hold is sent at most once a chunk.  Per bucket
 the hash one packed array goes over the network, and bits come back.  A hash
 is 64 bits beside those that its bucket fixes: their number grows with the
 corpus, so that equal hashes of unequal windows stay unlikely.  Levels above the
-first look at windows whose first 13 words have the smallest hash nearby (both
-copies of a passage choose the same starts), which is enough to follow a
-passage to its length.
+first take every place where both halves of the longer window repeat; no start is
+left out.  A level keeps the hashes of its candidates alone, not the texts.
 
 Cases: a null text counts as no words (its kept text is empty); texts under 13
 words lose nothing; null ids come after all others; rows with the same id do not
@@ -42,13 +41,11 @@ CHUNK = 4_000_000
 PER_BUCKET = 750_000
 BUCKETS = 12
 LAST = np.iinfo(np.int64).max
-#: A start is followed upwards if its hash is the least of those up to SPARSE places away.
-SPARSE = 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Chunk:
-    """Texts of one chunk, in order of their ids, and their windows."""
+    """Texts of one chunk, in order of their ids, and their windows of the first level."""
 
     def __init__(self, ids: np.ndarray, raw: list[bytes], window: int = WINDOW):
         order = np.argsort(ids, kind="stable")
@@ -68,8 +65,26 @@ class Chunk:
         h = np.zeros(max(0, n - window + 1), np.uint64)
         for k in range(window):  # a polynomial of the word hashes, made even by the finaliser
             h = h * _STEP + w[k:k + len(h)]
-        self.hash = mix64(h)[self.at]
-        self.doc = np.repeat(np.arange(len(parts)), self.size)[self.at] if n else np.zeros(0, np.int64)
+        doc = np.repeat(np.arange(len(parts)), self.size)[self.at] if n else np.zeros(0, np.int64)
+        self.level = Level(self.at, doc, mix64(h)[self.at], self.ids)
+
+
+class Level:
+    """Candidate windows of one chunk and one length: place of each in the chunk, number of its text and hash."""
+
+    def __init__(self, at: np.ndarray, doc: np.ndarray, hash: np.ndarray, ids: np.ndarray):
+        self.at, self.doc, self.hash, self.ids = at, doc, hash, ids
+
+    @classmethod
+    def opened(cls, head: bytes, place: bytes, body: bytes) -> Level:
+        doc, n, ids = unpack(head, np.int64).reshape(3, -1)
+        of = np.full(int(doc.max()) + 1, LAST)
+        of[doc] = ids
+        return cls(np.cumsum(unpack(place, np.int64)), np.repeat(doc, n), np.frombuffer(body, np.uint64), of)
+
+    def packed(self) -> tuple[bytes, bytes, bytes]:
+        doc, n = np.unique(self.doc, return_counts=True)
+        return pack(np.stack([doc, n, self.ids[doc]])), pack(np.diff(self.at, prepend=0)), self.hash.tobytes()
 
     def entries(self, buckets: int):
         """Distinct windows in order of (bucket, document): places in ``at``, bucket of each, and
@@ -88,6 +103,39 @@ class Chunk:
         place[by] = np.arange(len(by))
         return first[by], bucket[by], place[entry]
 
+    def sent(self, name: str, buckets: int) -> pd.DataFrame:
+        first, bucket, _ = self.entries(buckets)
+        cut = np.searchsorted(bucket, np.arange(buckets + 1))
+        rows = []
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            own = first[cut[b]:cut[b + 1]]
+            docs_of, n = np.unique(self.doc[own], return_counts=True)
+            rows.append((name, b, pack(np.stack([self.ids[docs_of], n])), (self.hash[own] // np.uint64(buckets)).tobytes()))
+        return pd.DataFrame(rows, columns=["chunk", "bucket", "head", "body"])
+
+    def verdicts(self, bits: pd.DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each window, whether a smaller, and whether any other, document has it."""
+        first, bucket, entry = self.entries(buckets)
+        smaller, other = np.zeros(len(first), bool), np.zeros(len(first), bool)
+        edge = np.searchsorted(bucket, np.arange(buckets + 1))
+        for b, packed in zip(bits["bucket"].tolist(), bits["bits"]):
+            n = edge[b + 1] - edge[b]
+            got = np.unpackbits(unpack(packed, np.uint8).reshape(2, -1), axis=1, count=int(n)).astype(bool)
+            smaller[edge[b]:edge[b + 1]], other[edge[b]:edge[b + 1]] = got
+        head_id, mine = self.ids[self.doc[first]], self.ids[self.doc]
+        most = np.full(len(first), np.iinfo(np.int64).min)
+        np.maximum.at(most, entry, mine)
+        return smaller[entry] | (head_id[entry] < mine), (other | (most > head_id))[entry]
+
+    def doubled(self, repeated: np.ndarray, half: int) -> Level:
+        """Windows of twice the length ``half`` whose halves both repeat, at every place."""
+        at, doc, h = self.at[repeated], self.doc[repeated], self.hash[repeated]
+        if not len(at):
+            return Level(at, doc, h, self.ids)
+        then = np.minimum(np.searchsorted(at, at + half), len(at) - 1)
+        both = (at[then] == at + half) & (doc[then] == doc)
+        return Level(at[both], doc[both], mix64(h[both] * _STEP ^ h[then[both]]), self.ids)
+
 
 def _chunks(docs: DataFrame) -> DataFrame:
     """(chunk, head, body): ids and sizes, and the packed texts, of CHUNK bytes or one longer text."""
@@ -126,19 +174,21 @@ def _sent(chunks: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for pdf in batches:
             for name, head, body in zip(pdf["chunk"], pdf["head"], pdf["body"]):
-                c = _opened(head, body)
-                first, bucket, _ = c.entries(buckets)
-                cut = np.searchsorted(bucket, np.arange(buckets + 1))
-                rows = []
-                for b in np.flatnonzero(np.diff(cut)).tolist():
-                    own = first[cut[b]:cut[b + 1]]
-                    docs_of, n = np.unique(c.doc[own], return_counts=True)
-                    rows.append((name, b, pack(np.stack([c.ids[docs_of], n])), (c.hash[own] // np.uint64(buckets)).tobytes()))
-                yield pd.DataFrame(rows, columns=["chunk", "bucket", "head", "body"])
+                yield _opened(head, body).level.sent(name, buckets)
 
     return chunks.mapInPandas(run, "chunk string, bucket int, head binary, body binary")
 
 
+def _sent_level(levels: DataFrame, buckets: int) -> DataFrame:
+    """As ``_sent``, of the candidates of a longer level."""
+    def run(batches):
+        for pdf in batches:
+            for name, *packed in zip(pdf["chunk"], pdf["head"], pdf["place"], pdf["body"]):
+                yield Level.opened(*packed).sent(name, buckets)
+
+    return levels.mapInPandas(run, "chunk string, bucket int, head binary, body binary")
+
+
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     """One bucket: for each window sent, whether a smaller, and whether any other, document has it."""
     doc, sizes = [], []
@@ -160,95 +210,81 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
                          "bits": [pack(np.packbits(np.stack([smaller[a:b], other[a:b]]), axis=1)) for a, b in zip(cut, cut[1:])]})
 
 
-def _judge(buckets: int):
-    schema = ("doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, "
-              "place long, level int, h long")
-    columns = [x.split()[0] for x in schema.split(", ")]
-
-    def judge(bits: pd.DataFrame, text: pd.DataFrame, keep_text: bool) -> pd.DataFrame:
-        rows, longer = [], []
-        for head, body in zip(text["head"], text["body"]):
-            c = _opened(head, body)
-            first, bucket, entry = c.entries(buckets)
-            smaller, other = np.zeros(len(first), bool), np.zeros(len(first), bool)
-            edge = np.searchsorted(bucket, np.arange(buckets + 1))
-            for b, packed in zip(bits["bucket"].tolist(), bits["bits"]):
-                n = edge[b + 1] - edge[b]
-                got = np.unpackbits(unpack(packed, np.uint8).reshape(2, -1), axis=1, count=int(n)).astype(bool)
-                smaller[edge[b]:edge[b + 1]], other[edge[b]:edge[b + 1]] = got
-            head_id = c.ids[c.doc[first]]
-            mine = c.ids[c.doc]
-            most = np.full(len(first), np.iinfo(np.int64).min)
-            np.maximum.at(most, entry, mine)
-            repeated = (other | (most > head_id))[entry]
-            gone = smaller[entry] | (head_id[entry] < mine)
-            cover = np.zeros(c.n + 1, np.int64)
-            np.add.at(cover, c.at[gone], 1)
-            np.add.at(cover, c.at[gone] + c.window, -1)
-            cover = np.cumsum(cover[:-1]) > 0
-            for k, (i, t) in enumerate(zip(c.ids.tolist(), c.raw)):
-                words = t.split()
-                own = cover[c.start[k]:c.start[k] + c.size[k]]
-                kept = b" ".join([w for w, g in zip(words, own.tolist()) if not g] if own.any() else words)
-                rows.append((None if i == LAST else i, len(words), int(own.sum()), hashlib.sha256(kept).hexdigest(),
-                             kept.decode() if keep_text else None))
-            longer.append(_longer(c, repeated))
-        out = pd.concat([pd.DataFrame(rows, columns=columns[:5]), *longer])
-        return out.reindex(columns=columns).astype({k: "Int64" for k in ("doc_id", "n_words", "n_removed", "place", "level", "h")})
-
-    return judge, schema
-
-
-def _longer(c: Chunk, repeated: np.ndarray) -> pd.DataFrame:
-    """Hashes of 26, 52, ... words at the sparse starts, as long as both halves repeat in 13-word blocks."""
-    full = np.zeros(c.n, np.uint64)
-    full[c.at] = c.hash
-    ok = np.zeros(c.n, bool)
-    ok[c.at[repeated]] = True
-    far = np.where(ok, full, np.uint64(0xFFFFFFFFFFFFFFFF))
-    # least of the 2 * SPARSE + 1 hashes around a place, by spans of doubling length
-    none = np.full(SPARSE, np.uint64(0xFFFFFFFFFFFFFFFF))
-    least, span = np.concatenate([none, far, none]), 1
-    while span < 2 * SPARSE + 1:
-        step = min(span, 2 * SPARSE + 1 - span)
-        least = np.minimum(least[:-step], least[step:])
-        span += step
-    owner = np.repeat(np.arange(len(c.size)), c.size)
-    room = (c.start + c.size)[owner] - np.arange(c.n)
-    start = ok & (far == least) & (c.ids != LAST)[owner]
-    found, half, level = [], c.window, 0
-    while half < c.n:
-        level += 1
-        ok = ok[:-half] & ok[half:] & (room[:len(ok) - half] >= 2 * half)
-        full = mix64(full[:-half] * _STEP ^ full[half:])
-        at = np.flatnonzero(ok & start[:len(ok)])
-        if not ok.any():
-            break
-        found.append(pd.DataFrame({"doc_id": c.ids[owner[at]], "place": at - c.start[owner[at]], "level": level,
-                                   "h": full[at].view(np.int64)}))
-        half *= 2
-    return pd.concat(found) if found else pd.DataFrame(columns=["doc_id", "place", "level", "h"])
+#: Rows of texts (no ``n``), of texts that a level was reached in (``longest`` alone), and
+#: of a chunk's ``n`` candidates for the next level.
+FOUND = ("chunk string, row long, doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, "
+         "longest long, n long, head binary, place binary, body binary")
+_COLUMNS = [x.split()[0] for x in FOUND.split(", ")]
+
+
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame(rows).reindex(columns=_COLUMNS).astype(
+        {k: "Int64" if k in ("row", "doc_id", "n_words", "n_removed", "longest", "n") else object for k in _COLUMNS})
+
+
+def _next(name: str, level: Level) -> list[dict]:
+    return [{"chunk": name, "n": len(level.at), **dict(zip(("head", "place", "body"), level.packed()))}] if len(level.at) else []
+
+
+def _judge(bits: pd.DataFrame, text: pd.DataFrame, buckets: int, keep_text: bool) -> pd.DataFrame:
+    rows = []
+    for name, head, body in zip(text["chunk"], text["head"], text["body"]):
+        c = _opened(head, body)
+        gone, repeated = c.level.verdicts(bits, buckets)
+        cover = np.zeros(c.n + 1, np.int64)
+        np.add.at(cover, c.at[gone], 1)
+        np.add.at(cover, c.at[gone] + c.window, -1)
+        cover = np.cumsum(cover[:-1]) > 0
+        some = np.bincount(c.level.doc[repeated], minlength=len(c.ids)) > 0
+        for k, (i, t) in enumerate(zip(c.ids.tolist(), c.raw)):
+            words = t.split()
+            own = cover[c.start[k]:c.start[k] + c.size[k]]
+            kept = b" ".join([w for w, g in zip(words, own.tolist()) if not g] if own.any() else words)
+            rows.append({"chunk": name, "row": k, "doc_id": None if i == LAST else i, "n_words": len(words), "n_removed": int(own.sum()),
+                         "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept.decode() if keep_text else None,
+                         "longest": c.window if some[k] else 0})
+        rows += _next(name, c.level.doubled(repeated, c.window))
+    return _frame(rows)
+
+
+def _judge_level(buckets: int, length: int):
+    def judge(bits: pd.DataFrame, level: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for name, *packed in zip(level["chunk"], level["head"], level["place"], level["body"]):
+            own = Level.opened(*packed)
+            _, repeated = own.verdicts(bits, buckets)
+            rows += [{"chunk": name, "row": k, "longest": length} for k in np.unique(own.doc[repeated]).tolist()]
+            rows += _next(name, own.doubled(repeated, length))
+        return _frame(rows)
+
+    return judge
+
+
+def _met(sent: DataFrame, buckets: int, by_chunk: DataFrame, chunks: int, judge) -> DataFrame:
+    """``judge`` of (bits, rows) of each chunk, after its windows met those of all others."""
+    # a task for each bucket and then for each chunk: their packed rows are large, so they must not be coalesced
+    bits = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, "chunk string, bucket int, bits binary")
+    return (bits.repartition(chunks, "chunk").groupBy("chunk").cogroup(by_chunk.repartition(chunks, "chunk").groupBy("chunk"))
+            .applyInPandas(judge, FOUND))
 
 
 def _double(found: DataFrame) -> DataFrame:
-    """(doc_id, longest): the longest window length, 13 times a power of two, that repeats."""
-    ext = found.where("h is not null").select("doc_id", "place", "level", "h")
-    alive, done, level = None, None, 0
+    """(chunk, row, longest): the windows of 26, 52, ... words that repeat, level by level."""
+    done, length = None, WINDOW
     while True:
-        level += 1
-        now = ext.where(F.col("level") == level).select("doc_id", "place", "h")
-        if alive is not None:  # the repeated windows alone are extended to twice the length
-            now = now.join(alive, ["doc_id", "place"], "left_semi")
-        both = written(now.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-                       .where("a < b").select("h"), "substring-repeated")
-        if both.isEmpty():
+        length *= 2
+        levels = found.where("n is not null").select("chunk", "n", "head", "place", "body")
+        size = levels.agg(F.count("*").alias("chunks"), F.sum("n").alias("n")).first()
+        if not size["chunks"]:
             break
-        alive = written(now.join(both, "h").select("doc_id", "place"), "substring-alive")
-        got = alive.select("doc_id").distinct().withColumn("longest", F.lit(WINDOW * 2 ** level).cast("long"))
+        buckets = max(BUCKETS, -(-size["n"] // PER_BUCKET))
+        found = written(_met(_sent_level(levels, buckets), buckets, levels, size["chunks"], _judge_level(buckets, length)),
+                        "substring-level")
+        got = found.where("n is null").select("chunk", "row", "longest")
         done = got if done is None else done.unionByName(got)
     if done is None:
-        return found.where("false").select("doc_id", F.lit(0).cast("long").alias("longest"))
-    return done.groupBy("doc_id").agg(F.max("longest").alias("longest"))
+        return found.where("false").select("chunk", "row", "longest")
+    return done.groupBy("chunk", "row").agg(F.max("longest").alias("longest"))
 
 
 def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
@@ -257,22 +293,16 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, -(-size // (6 * PER_BUCKET)))  # about six bytes a word
     chunks = written(_chunks(docs), "substring-chunks")
-    # a task for each bucket and then for each chunk: their packed rows are large, so they must not be coalesced
-    n_chunks = max(1, chunks.count())
-    bits = (_sent(chunks, buckets).repartition(buckets, "bucket").groupBy("bucket")
-            .applyInPandas(_meet, "chunk string, bucket int, bits binary"))
-    judge, schema = _judge(buckets)
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return judge(a, b, keep_text)
-
-    found = written(bits.repartition(n_chunks, "chunk").groupBy("chunk").cogroup(chunks.repartition(n_chunks, "chunk").groupBy("chunk"))
-                    .applyInPandas(run, schema), "substring-found")
-    own = found.where("h is null")
-    longest = written(_double(found), "substring-longest").withColumnRenamed("doc_id", "__id")
+
+    def judge(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return _judge(a, b, buckets, keep_text)
+
+    found = written(_met(_sent(chunks, buckets), buckets, chunks, max(1, chunks.count()), judge), "substring-found")
+    own = found.where("n is null")
+    longest = written(_double(found), "substring-longest").withColumnRenamed("longest", "__longest")
     cols = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * keep_text
-    return own.join(longest, own["doc_id"] == longest["__id"], "left").select(
-        *cols, F.coalesce("longest", F.when(F.col("n_removed") > 0, WINDOW).otherwise(0)).cast("long").alias("longest"))
+    return own.join(longest, ["chunk", "row"], "left").select(
+        *cols, F.coalesce("__longest", "longest").cast("long").alias("longest"))
 
 
 ORACLE = f"""

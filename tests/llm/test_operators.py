@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import zlib
 
 import numpy as np
@@ -253,6 +254,31 @@ def test_substring_dedup_equals_brute_force(docs, empty):
     assert substring_dedup.dedup(empty).count() == 0
 
 
+def test_substring_longest_of_passages_of_every_length(spark):
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    rows, at = [], 0
+    for n in (12, 13, 25, 26, 27, 39, 51, 52, 53, 60, 77, 103, 104, 105, 120):
+        passage = [word() for _ in range(n)]
+        for i in (at, None if n == 60 else at + 1):
+            rows.append((i, " ".join([word() for _ in range(rng.randrange(150))] + passage + [word() for _ in range(rng.randrange(150))])))
+        at += 2
+    rows.append((1, rows[6][1]))  # a repeated id with another text
+    of = collections.defaultdict(set)
+    for i, t in rows:
+        w = t.split()
+        for size in (13, 26, 52, 104, 208, 416):
+            for k in range(len(w) - size + 1):
+                of[tuple(w[k:k + size])].add(i)
+    want = []
+    for i, t in rows:
+        w = t.split()
+        want.append((i, max([size for size in (13, 26, 52, 104, 208, 416)
+                             for k in range(len(w) - size + 1) if len(of[tuple(w[k:k + size])]) > 1], default=0)))
+    got = substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted_rows(got, "doc_id", "longest") == sorted(want, key=order)
+
+
 # --- 8 language model ---------------------------------------------------------------------------
 
 def test_language_model_base_and_score(docs, empty):

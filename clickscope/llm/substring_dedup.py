@@ -9,9 +9,10 @@ if a 13-word window over it also starts in a document with a smaller id.
 Windows meet by hash.  A task reads its texts in chunks of bounded size, and each
 chunk sends a window once, with the smallest document that has it, so
 a window that very many documents hold is sent at most once a chunk.  Per bucket of
-the hash one packed array goes over the network, and bits come back.  A hash
-is 64 bits beside those that its bucket fixes: their number grows with the
-corpus, so that equal hashes of unequal windows stay unlikely.  Levels above the
+the hash one packed array goes over the network, and bits come back.  The bucket
+comes from a second hash, so a first-level window is compared by 64 bits beside those
+that its bucket fixes: their number grows with the corpus.  Words enter both by their
+64-bit hashes, and a chunk tells its own windows apart by the 64 bits alone.  Levels above the
 first take every place where both halves of the longer window repeat; no start is
 left out.  A level keeps the hashes of its candidates alone, not the texts.
 
@@ -42,6 +43,9 @@ PER_BUCKET = 750_000
 BUCKETS = 12
 LAST = np.iinfo(np.int64).max
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Multiplier of the second hash, and its inverse modulo 2 ** 64.
+_DEAL = 0xD1342543DE82EF95
+_BACK = pow(_DEAL, -1, 1 << 64)
 
 
 class Chunk:
@@ -66,14 +70,26 @@ class Chunk:
         for k in range(window):  # a polynomial of the word hashes, made even by the finaliser
             h = h * _STEP + w[k:k + len(h)]
         doc = np.repeat(np.arange(len(parts)), self.size)[self.at] if n else np.zeros(0, np.int64)
-        self.level = Level(self.at, doc, mix64(h)[self.at], self.ids)
+        self.level = Level(self.at, doc, mix64(h)[self.at], self.ids, _dealing(w, window)[self.at])
+
+
+def _dealing(w: np.ndarray, window: int) -> np.ndarray:
+    """A second hash of every window, independent of the first: differences of one running polynomial."""
+    with np.errstate(over="ignore"):
+        power = np.multiply.accumulate(np.full(len(w), _DEAL, np.uint64))
+        back = np.multiply.accumulate(np.full(len(w), _BACK, np.uint64))
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(w ^ _STEP) * power)])
+        n = max(0, len(w) - window + 1)
+        return mix64((run[window:window + n] - run[:n]) * back[:n])
 
 
 class Level:
-    """Candidate windows of one chunk and one length: place of each in the chunk, number of its text and hash."""
+    """Candidate windows of one chunk and one length: place of each in the chunk, number of its text, hash, and
+    the hash that deals it to a bucket (of longer levels: of the first hash)."""
 
-    def __init__(self, at: np.ndarray, doc: np.ndarray, hash: np.ndarray, ids: np.ndarray):
+    def __init__(self, at: np.ndarray, doc: np.ndarray, hash: np.ndarray, ids: np.ndarray, deal: np.ndarray | None = None):
         self.at, self.doc, self.hash, self.ids = at, doc, hash, ids
+        self.deal = mix64(hash) if deal is None else deal
 
     @classmethod
     def opened(cls, head: bytes, place: bytes, body: bytes) -> Level:
@@ -97,7 +113,7 @@ class Level:
         entry = np.empty(len(h), np.int64)
         entry[order] = own
         first = order[new]  # the smallest document: the sort is stable, documents ascend
-        bucket = (self.hash[first] % np.uint64(buckets)).astype(np.int64)
+        bucket = (self.deal[first] % np.uint64(buckets)).astype(np.int64)
         by = np.lexsort((first, bucket))
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
@@ -110,7 +126,7 @@ class Level:
         for b in np.flatnonzero(np.diff(cut)).tolist():
             own = first[cut[b]:cut[b + 1]]
             docs_of, n = np.unique(self.doc[own], return_counts=True)
-            rows.append((name, b, pack(np.stack([self.ids[docs_of], n])), (self.hash[own] // np.uint64(buckets)).tobytes()))
+            rows.append((name, b, pack(np.stack([self.ids[docs_of], n])), self.hash[own].tobytes()))
         return pd.DataFrame(rows, columns=["chunk", "bucket", "head", "body"])
 
     def verdicts(self, bits: pd.DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:

@@ -279,6 +279,18 @@ def test_substring_longest_of_passages_of_every_length(spark):
     assert sorted_rows(got, "doc_id", "longest") == sorted(want, key=order)
 
 
+def test_substring_bucket_adds_to_the_hash():
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(3000)).encode()
+    a = substring_dedup.Chunk(np.array([1, 2]), [text, b"other words " + text]).level
+    first = a.deal[a.doc == 0]
+    assert np.array_equal(first, a.deal[a.doc == 1][2:]) and len(set(first.tolist())) == len(first) == 2988
+    # two windows with one hash, but different words, lie in different buckets
+    a.hash = np.zeros_like(a.hash)
+    sent = [substring_dedup.Level(a.at[k:k + 1], a.doc[k:k + 1], a.hash[k:k + 1], a.ids, a.deal[k:k + 1]).sent("c", 1000) for k in range(40)]
+    assert len({int(s["bucket"].iloc[0]) for s in sent}) > 30 and {s["body"].iloc[0] for s in sent} == {bytes(8)}
+
+
 # --- 8 language model ---------------------------------------------------------------------------
 
 def test_language_model_base_and_score(docs, empty):

@@ -15,6 +15,8 @@ from clickscope.session import run_dir
 
 #: Rows of one Arrow batch: texts may have 100 kB and more, so batches are small.
 ARROW_ROWS = 256
+#: Column of the number of a row; ids may be null or repeat.
+ROW = "__row"
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -27,9 +29,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text as UTF-8 bytes); every other column is left behind."""
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+def texts(docs: DataFrame, *keys: str) -> DataFrame:
+    """(doc_id, keys, text as UTF-8 bytes); every other column is left behind."""
+    return docs.select("doc_id", *keys, F.col("text").cast("binary").alias("text"))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +42,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number of each row, written so that it stays the same at every read."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
 def pack(a: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, prepared
+from .common import ROW, mix64, numbered, prepared
 
 MAX_EDIT = 0.2
 WALKS, TABLES_PER_WALK, SAMPLED = 8, 4, 3
@@ -280,6 +280,7 @@ class Held:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage."""
-    bad = matches(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__bad")), "left_anti")
+    """``docs`` without the rows that hold a benchmark passage; null and repeated ids are decided row by row."""
+    rows = numbered(docs, "decontamination-rows")
+    bad = matches(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(bad, ROW, "left_anti").select(*docs.columns)

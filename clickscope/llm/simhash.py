@@ -26,10 +26,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, prepared, texts, written
+from .common import ROW, mix64, numbered, prepared, texts, written
 from .components import components
 
 SEED = 42
@@ -62,16 +62,16 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * counts > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 4, *keys: str) -> DataFrame:
+    """(doc_id, keys, fp): the fingerprint as a signed long; ``keys`` are long columns carried along."""
     prepared(docs.sparkSession)
 
     def run(batches):
         for pdf in batches:
             fp = np.array([fingerprint(t, shingle) for t in pdf["text"].tolist()], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), **{k: pdf[k] for k in keys}, "fp": fp.view(np.int64)})
 
-    return texts(docs).mapInPandas(run, "doc_id long, fp long")
+    return texts(docs, *keys).mapInPandas(run, ", ".join(f"{c} long" for c in ("doc_id", *keys, "fp")))
 
 
 def _roots(label: np.ndarray) -> np.ndarray:
@@ -149,26 +149,29 @@ def links(prints: DataFrame, radius: int = 4) -> DataFrame:
     return dealt.groupBy("pair").applyInPandas(compare, "u long, v long")
 
 
-def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
-    own = written(fingerprints(docs, shingle), "simhash-fp")
-    prints = written(own.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
+def _least(own: DataFrame, of: Column, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of every distinct fingerprint, and (root, least): the least ``of`` of every group."""
+    prints = written(own.groupBy("fp").agg(F.min(of).alias("rep")), "simhash-distinct")
     star = components(links(prints, radius))
     grouped = written(prints.join(star, prints["fp"] == star["node"], "left")
                       .select("fp", "rep", F.coalesce("root", "fp").alias("root")), "simhash-root")
-    named = written(grouped.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-group")
-    member = written(grouped.join(named, "root").select("fp", "component_id"), "simhash-member")
+    return grouped.select("fp", "root"), written(grouped.groupBy("root").agg(F.min("rep").alias("least")), "simhash-group")
+
+
+def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
+    own = written(fingerprints(docs, shingle), "simhash-fp")
+    grouped, named = _least(own, F.col("doc_id"), radius)
+    member = written(grouped.join(named, "root").select("fp", F.col("least").alias("component_id")), "simhash-member")
     return own.join(member, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` without the documents whose group has a smaller id.  Rows of one id
-    stay or go together; rows with a null id stay only if their whole group has none."""
-    got = near_groups(docs, shingle, radius)
-    gone = got.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone")), "left_anti")
-    # a null id in a group that has a named document is a copy of it
-    if got.where("doc_id is null and component_id is not null").isEmpty():
-        return kept
-    return kept.where("doc_id is not null")
+    """One row of ``docs`` of each near-copy group: the first of those with its smallest
+    id, or, if no row of the group has an id, its first row.  Rows are told apart by a
+    written number, so null and repeated ids are decided row by row."""
+    rows = numbered(docs, "simhash-rows")
+    own = written(fingerprints(rows, shingle, ROW), "simhash-fp")
+    _, first = _least(own, F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW)), radius)
+    return rows.join(first.select(F.col(f"least.{ROW}").alias(ROW)), ROW, "left_semi").select(*docs.columns)

@@ -1,6 +1,7 @@
 """The stages on a small corpus: order, columns, and what each keeps."""
 
 import corpus_pipeline
+from clickscope.llm import decontamination, simhash
 from clickscope.llm.common import written
 
 from .helpers import corpus, plain
@@ -33,3 +34,18 @@ def test_stages(spark, tmp_path):
             assert {i for i, _ in rows} - {i for i, _ in left} == {70}
         docs = out
     assert corpus_pipeline.run(spark, folder).count() == docs.count()
+
+
+def test_null_and_repeated_ids_are_decided_by_row(spark):
+    item = " ".join(f"bench{k}" for k in range(20))
+    own = [" ".join(f"{n}word{k}" for k in range(40)) for n in "abcdefg"]
+    rows = [(1, own[0]), (None, own[0]), (None, own[1]), (None, own[2]), (None, own[3]), (None, own[3]),
+            (2, own[4]), (7, own[4]), (7, own[5]), (8, own[6]), (8, own[6])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(plain(simhash.keep_one(docs)), key=str)
+    assert left == sorted([(1, own[0]), (None, own[1]), (None, own[2]), (None, own[3]), (2, own[4]), (7, own[5]), (8, own[6])], key=str)
+
+    rows = [(None, own[0]), (None, f"before {item} after"), (None, own[1]), (5, own[2]), (5, f"some {item}"), (6, own[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(plain(decontamination.clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))), key=str)
+    assert left == sorted([rows[0], rows[2], rows[3], rows[5]], key=str)

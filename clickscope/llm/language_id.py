@@ -4,14 +4,15 @@ A text is its letters, lower-cased, words joined by one space; its n-grams are
 runs of four UTF-8 bytes of that.  Counts per (language, n-gram) over all
 learning documents decide which n-grams are common in a language; each language
 then has a Bloom filter of them.  The filters are bit-sliced: one table of
-slots whose bit ``l`` belongs to language ``l``, so the AND of the slots of an
+slots whose bit ``l`` belongs to language ``l`` (a slot has a word for every 63
+languages, whatever their number), so the AND of the slots of an
 n-gram's hashes returns all languages that contain it at once.  Per document
 the bits of each language are counted over all n-grams, false positives are
 taken out with the language's own rate, and the largest share decides.
 
 An n-gram is common in a language at ``MIN_SHARE`` of its n-grams or more, so
 a filter holds at most 1/MIN_SHARE n-grams whatever the corpus; at most
-``SLOTS`` slots are sent to the executors.
+``SLOTS`` slots are sent to the executors, of one word for every 63 languages.
 
 Cases: ``und`` with score 0 for a null text or one without a letter, and for
 every text when nothing could be learned; a text of letters that no filter
@@ -27,7 +28,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc32_of_id, mix64, prepared, written
@@ -39,7 +40,8 @@ SLOTS = 1 << 20
 HASHES = 3
 #: Documents whose best language holds fewer of their n-grams are rejected.
 MIN_COVER = 0.2
-MAX_LANGUAGES = 62
+#: Languages of one word of a slot: a signed long holds them in Spark.
+BITS = 63
 
 _letters = re.compile(r"[\W\d_]+")
 
@@ -89,9 +91,13 @@ class Filters:
 
     def __init__(self, names: list[str], table: np.ndarray, most: int):
         self.names, self.table, self.most = names, table, most
-        full = np.array([np.count_nonzero(table >> np.uint64(k) & np.uint64(1)) for k in range(len(names))]) / SLOTS
+        full = self._held(table) / SLOTS
         self.false = np.minimum(full ** HASHES, 0.999)
 
+    def _held(self, hit: np.ndarray) -> np.ndarray:
+        """How many of the slots have the bit of each language."""
+        return np.array([np.count_nonzero(hit[:, k // BITS] >> np.uint64(k % BITS) & np.uint64(1)) for k in range(len(self.names))])
+
     def decide(self, text: str | None) -> tuple[str, float, float]:
         """(language, score, share of the n-grams that it holds)."""
         g = grams(text)
@@ -101,7 +107,7 @@ class Filters:
         hit = self.table[at[0]]
         for k in range(1, HASHES):
             hit = hit & self.table[at[k]]
-        held = np.array([np.count_nonzero(hit >> np.uint64(k) & np.uint64(1)) for k in range(len(self.names))])
+        held = self._held(hit)
         held = np.maximum(0, (held - len(g) * self.false) / (1 - self.false))
         if held.sum() <= 0:
             return self.names[self.most], 0.0, 0.0
@@ -114,29 +120,35 @@ def learn(docs: DataFrame) -> Filters:
     prepared(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & (crc32_of_id() % 4 != 2))
     counts = written(gram_counts(rows), "lang-grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
     names = [r["lang"] for r in totals]
     if not names:
-        return Filters([], np.zeros(SLOTS, np.uint64), 0)
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.col("n") / r["total"]) for r in totals])
-    bit = F.coalesce(*[F.when(F.col("lang") == n, F.lit(1 << k)) for k, n in enumerate(names)])
-    shares = counts.select("gram", share.alias("share"), bit.cast("long").alias("bit")).where(F.col("share") >= MIN_SHARE)
+        return Filters([], np.zeros((SLOTS, 1), np.uint64), 0)
+    words = -(-len(names) // BITS)
+    of = docs.sparkSession.createDataFrame([(r["lang"], r["total"], k // BITS, 1 << k % BITS) for k, r in enumerate(totals)],
+                                           "lang string, total long, word int, bit long")
+    shares = (counts.join(F.broadcast(of), "lang").select("gram", (F.col("n") / F.col("total")).alias("share"), "word", "bit")
+              .where(F.col("share") >= MIN_SHARE))
     # the masks of common n-grams: at most languages / MIN_SHARE rows
-    masks = (shares.groupBy("gram").agg(F.max("share").alias("top"), F.collect_list(F.struct("share", "bit")).alias("of"))
-             .select("gram", F.aggregate(F.filter("of", lambda x: x["share"] >= RELATIVE * F.col("top")), F.lit(0).cast("long"),
-                                         lambda a, x: a.bitwiseOR(x["bit"])).alias("mask")).toPandas())
-    table = np.zeros(SLOTS, np.uint64)
+    common = (shares.groupBy("gram").agg(F.max("share").alias("top"), F.collect_list(F.struct("share", "word", "bit")).alias("of"))
+              .select("gram", F.filter("of", lambda x: x["share"] >= RELATIVE * F.col("top")).alias("of")))
+    zero = F.lit(0).cast("long")
+
+    def mask(w: int) -> Column:
+        return F.aggregate("of", zero, lambda a, x: a.bitwiseOR(F.when(x["word"] == w, x["bit"]).otherwise(zero))).alias(f"m{w}")
+
+    masks = common.select("gram", *map(mask, range(words))).toPandas()
+    table = np.zeros((SLOTS, words), np.uint64)
     for at in slots(masks["gram"].to_numpy()):
-        np.bitwise_or.at(table, at, masks["mask"].to_numpy().astype(np.uint64))
+        for w in range(words):
+            np.bitwise_or.at(table[:, w], at, masks[f"m{w}"].to_numpy().astype(np.uint64))
     return Filters(names, table, int(np.argmax([r["total"] for r in totals])))
 
 
 def predictor(docs: DataFrame):
     """A column function: text -> struct(lang_pred, score, cover)."""
     spark = prepared(docs.sparkSession)
-    sent = spark.sparkContext.broadcast(learn(docs))  # SLOTS x 8 bytes at most
+    sent = spark.sparkContext.broadcast(learn(docs))  # SLOTS x 8 bytes for every BITS languages
 
     @F.pandas_udf("lang_pred string, score double, cover double")
     def predict(text: pd.Series) -> pd.DataFrame:

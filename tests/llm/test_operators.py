@@ -207,6 +207,19 @@ def test_language_id(docs, empty):
     assert not len(language_id.grams("½ ² Ⅷ 12 _")) and len(language_id.grams("½ é"))
 
 
+def test_language_id_of_seventy_languages(spark):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(70):
+        words = ["".join(rng.choice(letters) for _ in range(7)) for _ in range(12)]
+        rows += [(20 * k + j, " ".join(rng.choice(words) for _ in range(40)), f"l{k:02d}") for j in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predictions(docs).collect()}
+    assert got == {i: g for i, _, g in rows}
+    assert language_id.accepted(docs).count() == len(rows)
+
+
 # --- 5 quality rules ------------------------------------------------------------------------
 
 def test_quality_rules_and_ablations(docs, empty):

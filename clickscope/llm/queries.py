@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer
 
-from . import (decontamination, language_id, language_model, line_dedup, quality_classifier, quality_rules, sentencepiece_codec,
-               sharding, simhash, substring_dedup)
+from clickscope.session import run_dir
+
+from . import (decontamination, divergence_audit, exact_dedup, language_id, language_model, line_dedup, prefix_trie, quality_classifier,
+               quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup)
 from .common import documents
 
 
@@ -60,13 +62,32 @@ def op10_sharding(spark, sf_dir):
     return sharding.shards(documents(spark, sf_dir), sharding.LIMIT)
 
 
+def op11_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_divergence_audit(spark, sf_dir):
+    """Divergence of every (lang, source) group from the language's other sources, and its leading terms."""
+    return divergence_audit.report(documents(spark, sf_dir), min_docs=3, top=200)
+
+
+def op13_exact_dedup(spark, sf_dir):
+    """The row that stays of equal texts, decided by a stream's keyed state."""
+    return exact_dedup.dedup(spark, f"{sf_dir}/documents.parquet", run_dir(spark, "exact-dedup"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_line_dedup, op3_decontamination, op4_quality_classifier, op5_quality_rules, op6_language_id,
-    op7_substring_dedup, op8_lm_scoring, op9_sentencepiece, op10_sharding)}
+    op7_substring_dedup, op8_lm_scoring, op9_sentencepiece, op10_sharding,
+    op11_prefix_trie, op12_divergence_audit, op13_exact_dedup)}
 
 ORACLE = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
     "op10_sharding": sharding.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_divergence_audit": divergence_audit.ORACLE,
+    "op13_exact_dedup": exact_dedup.ORACLE,
 }

@@ -12,13 +12,14 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries()) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
 def same(spark, name, folder, files):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from read_parquet('{folder}/{files}')")
+    con.execute(f"create view conversations as select * from read_parquet('{SF}/conversations.parquet')")
     df = QUERIES[name](spark, folder)
     want = con.execute(ORACLE[name])
     names = [d[0] for d in want.description]
@@ -33,7 +34,7 @@ def test_matches_oracle(spark, name):
     same(spark, name, SF, "documents.parquet")
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - {"op11_prefix_trie"}))  # it reads no documents
 def test_matches_oracle_on_awkward_rows(spark, name, tmp_path):
     """Nulls, empty texts, repeated rows and ids, ties."""
     lines = [(k, "the same line stands here\nand Anna saw 12 of them\n" + "tail " * (k % 3), "en") for k in (80, 81, 82, 82, 82, 83)]

@@ -93,27 +93,53 @@ def minute_trend(clicks: DataFrame) -> DataFrame:
                     F.date_format(start, "mm").alias("minute"), "adid", "click_count")
 
 
+#: Minutes of one block of the sliding windows of an ad (a day).
+BLOCK_MINUTES = 1440
+
+
+def window_changes(per_minute: DataFrame, window_minutes: int = 60) -> DataFrame:
+    """(adid, block, at, change): where the count of the windows that slide over
+    per-minute counts ``(m, adid, c)`` changes; ``at`` counts minutes from the epoch.
+
+    A minute's clicks enter at the first window that holds it (+c) and leave after the
+    last one (-c): two rows.  Windows are cut into blocks, and a count that goes on into
+    the next block enters that again at its start, so each (ad, block) sums by itself."""
+    size = max(BLOCK_MINUTES, int(window_minutes))
+    m = F.expr("floor(unix_seconds(m) / 60)")
+    rows = per_minute.select("adid", "c", (m - int(window_minutes) + 1).alias("enter"), (m + 1).alias("leave"))
+    rows = rows.select("adid", "c", "enter", "leave", F.expr(f"floor(enter / {size})").alias("first"), F.expr(f"floor((leave - 1) / {size})").alias("last"))
+    one = F.struct(F.col("first").alias("block"), F.col("enter").alias("at"), F.col("c").alias("change"))
+    out = F.struct(F.col("last").alias("block"), F.col("leave").alias("at"), (-F.col("c")).alias("change"))
+    again = F.struct(F.col("last").alias("block"), (F.col("last") * size).alias("at"), F.col("c").alias("change"))
+    return rows.select("adid", F.inline(F.when(F.col("first") == F.col("last"), F.array(one, out)).otherwise(F.array(one, again, out))))
+
+
 def sliding_from_minutes(per_minute: DataFrame, window_minutes: int = 60) -> DataFrame:
-    """ST5b from per-minute counts ``(m, adid, c)``: each minute count is
-    spread to the ``window_minutes`` windows that contain it and summed."""
-    offs = F.sequence(F.lit(0), F.lit(window_minutes - 1))
-    spread = per_minute.select("adid", "c", "m", F.explode(offs).alias("o"))
-    spread = spread.select("adid", "c", F.expr("m - make_dt_interval(0, 0, o, 0)").alias("ws"))
-    g = spread.groupBy("ws", "adid").agg(F.sum("c").cast("bigint").alias("click_count"))
+    """ST5b from per-minute counts ``(m, adid, c)``: a running sum of the changes of each
+    (ad, block) holds from one change to the next one or the block's end; only then
+    are its windows written out, one a minute."""
+    size = max(BLOCK_MINUTES, int(window_minutes))
+    w = Window.partitionBy("adid", "block").orderBy("at")
+    sums = window_changes(per_minute, window_minutes).select(
+        "adid", "block", "at", F.sum("change").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("click_count"),
+        F.lead("at").over(w).alias("until"))
+    # of the changes at one minute the last one leads to the next minute; a count that the
+    # block's end cuts off goes on in the next block
+    end = F.least(F.coalesce("until", (F.col("block") + 1) * size), (F.col("block") + 1) * size)
+    held = sums.where((F.col("click_count") > 0) & (end > F.col("at"))).select(
+        "adid", F.col("click_count").cast("bigint").alias("click_count"), F.explode(F.sequence("at", end - 1)).alias("ws"))
     fmt = "yyyy-MM-dd HH:mm:ss"
-    return g.select(F.date_format("ws", fmt).alias("window_start"),
-                    F.date_format(F.expr(f"ws + make_dt_interval(0, 0, {int(window_minutes)}, 0)"), fmt)
-                    .alias("window_end"),
-                    "adid", "click_count")
+    start = F.timestamp_seconds(F.col("ws") * 60)
+    return held.select(F.date_format(start, fmt).alias("window_start"),
+                       F.date_format(F.timestamp_seconds((F.col("ws") + int(window_minutes)) * 60), fmt).alias("window_end"),
+                       "adid", "click_count")
 
 
 def sliding_hour(clicks: DataFrame, window_minutes: int = 60) -> DataFrame:
     """ST5b: clicks per (60-minute window sliding by 1 minute, ad).
 
-    First a per-(minute, ad) count (map-side combined), then each minute
-    count is spread to the ``window_minutes`` windows that contain it and
-    summed: the fan-out happens after the reduction, on one row per active
-    minute and ad, not on the raw clicks."""
+    First a per-(minute, ad) count (map-side combined); each then sends the two changes
+    that it brings to the windows (``window_changes``), not a row for every window."""
     per_min = clicks.groupBy(F.date_trunc("minute", F.col("ts")).alias("m"), "adid") \
                     .agg(F.count(F.lit(1)).alias("c"))
     return sliding_from_minutes(per_min, window_minutes)

@@ -32,8 +32,8 @@ def category_pays(actions: DataFrame) -> DataFrame:
     return _exploded(actions, "pay_category_ids").groupBy("category_id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _kinds(actions: DataFrame) -> DataFrame:
-    """One ``(category_id, kind)`` row per click, ordered id and paid id.
+def _kinds(actions: DataFrame, *keep: str) -> DataFrame:
+    """One ``(category_id, kind)`` row per click, ordered id and paid id, and the columns ``keep``.
 
     A single narrow pass: the three sources become one exploded array per
     action, so the counts below need one shuffle instead of three joins."""
@@ -43,7 +43,11 @@ def _kinds(actions: DataFrame) -> DataFrame:
     pays = F.transform(csv_to_longs("pay_category_ids"), lambda x: F.struct(x.alias("c"), F.lit(2).alias("k")))
     empty = F.array().cast("array<struct<c:bigint,k:int>>")
     allk = F.concat(F.coalesce(click, empty), F.coalesce(orders, empty), F.coalesce(pays, empty))
-    return actions.select(F.inline(allk)).select(F.col("c").alias("category_id"), F.col("k").alias("kind"))
+    return actions.select(*keep, F.inline(allk)).select(*keep, F.col("c").alias("category_id"), F.col("k").alias("kind"))
+
+
+def _kind_counts() -> list:
+    return [F.count_if(F.col("kind") == k).cast("bigint").alias(f"{name}_count") for k, name in enumerate(("click", "order", "pay"))]
 
 
 def category_universe(actions: DataFrame) -> DataFrame:
@@ -55,18 +59,29 @@ def category_counts(actions: DataFrame) -> DataFrame:
     """JON3: click / order / pay counts for every category of the universe,
     0 where a kind is missing (the left-outer joins of the original, as one
     partial + final aggregate)."""
-    return _kinds(actions).groupBy("category_id").agg(
-        F.count_if(F.col("kind") == 0).cast("bigint").alias("click_count"),
-        F.count_if(F.col("kind") == 1).cast("bigint").alias("order_count"),
-        F.count_if(F.col("kind") == 2).cast("bigint").alias("pay_count"),
-    )
+    return _kinds(actions).groupBy("category_id").agg(*_kind_counts())
+
+
+def category_session_counts(actions: DataFrame) -> DataFrame:
+    """JON3 and AGG7 in one pass: ``level`` 1 has the counts of each category, ``level`` 0 those
+    of each (category, session).  One expanded table, one aggregate, one exchange; written once
+    (``SessionReport.written``) it serves TOP1 and TOP3."""
+    rows = _kinds(actions, "session_id")
+    key, session = F.col("category_id"), F.col("session_id")
+    return (rows.groupingSets([[key], [key, session]], key, session)
+            .agg(*_kind_counts(), F.grouping("session_id").cast("int").alias("level")))
 
 
 def top_categories(actions: DataFrame, n: int = 10) -> DataFrame:
     """TOP1/TOP2: the ``n`` categories with most clicks, then orders, then pays;
     ties by category id.  Planned as ``TakeOrderedAndProject`` (per-task top-n,
     one small merge)."""
-    return (category_counts(actions)
+    return first_categories(category_counts(actions), n)
+
+
+def first_categories(counts: DataFrame, n: int = 10) -> DataFrame:
+    """TOP1/TOP2 from category counts."""
+    return (counts.select(*CATEGORY_COUNT_COLUMNS)
             .orderBy(F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), F.asc("category_id"))
             .limit(n))
 
@@ -89,7 +104,18 @@ def top_sessions_per_category(actions: DataFrame, top_n_categories: int = 10, n:
     before the shuffle, so a hot category never sends more than ``n`` rows per
     task to its window."""
     top = top_categories(actions, top_n_categories).select("category_id")
-    counts = session_category_clicks(actions, top)
+    return first_sessions(session_category_clicks(actions, top), n)
+
+
+def category_session_clicks(counts: DataFrame, top_n_categories: int) -> DataFrame:
+    """JON6 + AGG7 from ``category_session_counts``: clicks per session of the top categories."""
+    top = F.broadcast(first_categories(counts.where("level = 1"), top_n_categories).select("category_id"))
+    return (counts.where("level = 0 and click_count > 0").join(top, "category_id", "left_semi")
+            .select("category_id", "session_id", "click_count"))
+
+
+def first_sessions(counts: DataFrame, n: int = 10) -> DataFrame:
+    """WIN3 from clicks per (category, session)."""
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return (counts.withColumn("rn", F.row_number().over(w))
             .where(F.col("rn") <= n).drop("rn"))

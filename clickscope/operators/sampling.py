@@ -36,25 +36,41 @@ def sample_quota(sessions: DataFrame, sample_size: int) -> DataFrame:
                     F.expr("least(cnt, (cnt * per_day) div day_cnt)").cast("bigint").alias("quota")))
 
 
-def session_sample(sessions: DataFrame, sample_size: int, seed: str) -> DataFrame:
+#: Standard deviations by which the candidates of an hour exceed its quota.
+SPARE = 6.0
+
+
+def with_cutoff(quota: DataFrame, spare: float = SPARE) -> DataFrame:
+    """``quota`` with ``cutoff``: a bound on the md5 text below which about the quota and
+    ``spare`` deviations more of the hour's sessions lie ('g' is above every md5)."""
+    share = f"(quota + {float(spare)} * sqrt(quota) + {float(spare)}) / cnt"
+    bits = f"lpad(lower(hex(cast({share} * {1 << 48} as bigint))), 12, '0')"
+    return quota.withColumn("cutoff", F.expr(f"case when quota = 0 or {share} <= 0 then '' when {share} >= 1 then 'g' else {bits} end"))
+
+
+def session_sample(sessions: DataFrame, sample_size: int, seed: str, spare: float = SPARE) -> DataFrame:
     """SMP2: per (date, hour), the ``quota`` sessions with the smallest
     ``md5(seed || session_id)`` (ties by id): a seeded, repeatable sample
     without replacement.
 
-    Every quota is at most ``sample_size``, so the literal bound
-    ``rn <= sample_size`` lets Spark plan a WindowGroupLimit that trims each
-    task's rows per hour before the shuffle - a hot hour is never sorted whole
-    in one task."""
+    The quota comes first; only sessions under the hour's cutoff, a little more than the
+    quota, are ranked.  Hours in which chance left fewer than the quota under it are ranked
+    whole, so the sample is exact whatever the cutoff.
+    ``sessions`` is read three times: write it first (``SessionReport.written``)."""
     s = sessions.select("session_id", "start_time", "search_keywords", "click_category_ids",
                         F.substring("start_time", 1, 10).alias("date"),
-                        F.substring("start_time", 12, 2).alias("hour"))
-    quota = sample_quota(sessions, sample_size).select("date", "hour", "quota")
-    w = Window.partitionBy("date", "hour").orderBy(F.md5(F.concat(F.lit(seed), F.col("session_id"))),
-                                                   F.col("session_id"))
-    ranked = s.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(sample_size))
+                        F.substring("start_time", 12, 2).alias("hour"),
+                        F.md5(F.concat(F.lit(seed), F.col("session_id"))).alias("draw"))
     # the quota table has one row per (date, hour): bounded by hours in range
-    picked = ranked.join(F.broadcast(quota), ["date", "hour"], "inner").where(F.col("rn") <= F.col("quota"))
-    return picked.select("session_id", "start_time", "search_keywords", "click_category_ids")
+    quota = with_cutoff(sample_quota(sessions, sample_size).select("date", "hour", "cnt", "quota"), spare)
+    under = (s.select("date", "hour", "draw").join(F.broadcast(quota), ["date", "hour"]).where("draw < cutoff")
+             .groupBy("date", "hour").agg(F.count(F.lit(1)).alias("under")))
+    quota = (quota.join(F.broadcast(under), ["date", "hour"], "left")
+             .withColumn("cutoff", F.expr("case when coalesce(under, 0) < quota then 'g' else cutoff end")).select("date", "hour", "quota", "cutoff"))
+    near = s.join(F.broadcast(quota), ["date", "hour"]).where("draw < cutoff")
+    w = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
+    ranked = near.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(sample_size))
+    return ranked.where("rn <= quota").select("session_id", "start_time", "search_keywords", "click_category_ids")
 
 
 def session_sample_detail(actions: DataFrame, sample: DataFrame, sample_size: int) -> DataFrame:

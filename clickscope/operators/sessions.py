@@ -24,19 +24,23 @@ def session_summary(actions: DataFrame) -> DataFrame:
     ``search_keywords`` / ``click_category_ids``: distinct values, sorted,
     comma-joined ('' when none); ``visit_length``: whole seconds between the
     first and the last action; ``step_length``: number of actions.
-    A single hash aggregate with map-side partial aggregation: the sets grow
-    with distinct keywords / categories per session, never with rows."""
+
+    Two levels: a hash aggregate of fixed-width values per (session, keyword, category)
+    comes first, so raw rows never meet a set, and a session with very many
+    keywords is spread over the tasks; then each session gathers what it has once."""
     t = parse_time("action_time")
     clicked = F.when(F.col("click_category_id") != -1, F.col("click_category_id"))
     keyword = F.when(F.coalesce(F.col("search_keyword"), F.lit("")) != "", F.col("search_keyword"))
-    agg = actions.groupBy("session_id").agg(
+    once = actions.groupBy("session_id", keyword.alias("_keyword"), clicked.alias("_clicked")).agg(
+        F.min("user_id").alias("user_id"), F.min(t).alias("_start"), F.max(t).alias("_end"), F.count(F.lit(1)).alias("_n"))
+    agg = once.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
-        F.array_join(F.array_sort(F.collect_set(keyword)), ",").alias("search_keywords"),
-        F.array_join(F.transform(F.array_sort(F.collect_set(clicked)), lambda x: x.cast("string")), ",")
+        F.array_join(F.array_sort(F.collect_set("_keyword")), ",").alias("search_keywords"),
+        F.array_join(F.transform(F.array_sort(F.collect_set("_clicked")), lambda x: x.cast("string")), ",")
         .alias("click_category_ids"),
-        F.min(t).alias("_start"),
-        F.max(t).alias("_end"),
-        F.count(F.lit(1)).alias("step_length"),
+        F.min("_start").alias("_start"),
+        F.max("_end").alias("_end"),
+        F.sum("_n").alias("step_length"),
     )
     return agg.select(
         "session_id", "user_id", "search_keywords", "click_category_ids",
@@ -90,24 +94,37 @@ def session_bucket_counts(sessions: DataFrame) -> DataFrame:
             .groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def session_stats(sessions: DataFrame) -> DataFrame:
-    """AGG3: one row, ``session_count`` and the 15 bucket ratios (HALF_UP, 2 digits).
+def bucket_totals() -> list[Column]:
+    """AGG2 / AGG3 as aggregate columns over sessions, for ``agg`` or ``observe``: the number of
+    sessions, and of those in each visit-length (``v_``) and step-length (``s_``) bucket."""
+    return ([F.count(F.lit(1)).alias("session_count")]
+            + [F.count_if(visit_bucket("visit_length") == name).alias(f"v_{name}") for name in VISIT_BUCKETS]
+            + [F.count_if(step_bucket("step_length") == name).alias(f"s_{name}") for name in STEP_BUCKETS])
 
-    A single global aggregate of conditional counts: partial per task, one
-    tiny final merge.  Ratios are null for an empty input."""
-    b = with_buckets(sessions)
-    counts = [F.count(F.lit(1)).alias("session_count")]
-    for name in VISIT_BUCKETS:
-        counts.append(F.count_if(F.col("visit_bucket") == name).alias(f"v_{name}"))
-    for name in STEP_BUCKETS:
-        counts.append(F.count_if(F.col("step_bucket") == name).alias(f"s_{name}"))
-    agg = b.agg(*counts)
+
+def stats_of_totals(totals: DataFrame) -> DataFrame:
+    """AGG3 from a row of ``bucket_totals``."""
     out = [F.col("session_count").cast("bigint").alias("session_count")]
     for name in VISIT_BUCKETS:
         out.append(half_up_ratio(f"`v_{name}`", "session_count").alias(f"visit_length_{name}_ratio"))
     for name in STEP_BUCKETS:
         out.append(half_up_ratio(f"`s_{name}`", "session_count").alias(f"step_length_{name}_ratio"))
-    return agg.select(*out)
+    return totals.select(*out)
+
+
+def counts_of_totals(totals: DataFrame) -> DataFrame:
+    """AGG2 from a row of ``bucket_totals``: a row for each bucket that has sessions."""
+    pairs = [F.struct(F.lit(label).alias("bucket"), F.col(f"`{name}`").cast("bigint").alias("cnt"))
+             for name, label in [("session_count", "session_count"), *[(f"v_{n}", n) for n in VISIT_BUCKETS], *[(f"s_{n}", n) for n in STEP_BUCKETS]]]
+    return totals.select(F.inline(F.array(*pairs))).where("cnt > 0")
+
+
+def session_stats(sessions: DataFrame) -> DataFrame:
+    """AGG3: one row, ``session_count`` and the 15 bucket ratios (HALF_UP, 2 digits).
+
+    A single global aggregate of conditional counts: partial per task, one
+    tiny final merge.  Ratios are null for an empty input."""
+    return stats_of_totals(sessions.agg(*bucket_totals()))
 
 
 def actions_of_sessions(actions: DataFrame, sessions: DataFrame) -> DataFrame:

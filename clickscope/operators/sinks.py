@@ -88,8 +88,9 @@ def _exists(spark, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def publish_batch(df: DataFrame, root: str, batch_id: int) -> bool:
-    """Write one micro-batch's rows to ``root/batch_id=N`` exactly once.
+def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by: Sequence[str] = ()) -> bool:
+    """Write one micro-batch's rows to ``root/batch_id=N`` exactly once, in folders of the
+    ``partition_by`` columns when given.
 
     The rows are written to a staging folder, then renamed into place; a
     replayed batch whose folder already exists is skipped.  Readers of
@@ -101,7 +102,8 @@ def publish_batch(df: DataFrame, root: str, batch_id: int) -> bool:
     if _exists(spark, target):
         return False
     staging = f"{root.rstrip('/')}/_staging/batch_id={batch_id}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").parquet(staging)
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(staging)
     # False when a concurrent attempt of the same batch published first
     return fs_publish(spark, staging, target)
 
@@ -122,7 +124,7 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: str = "batch_id"
     return rows.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in vals])
 
 
-__all__ = ["BatchLog", "VersionedTable", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
+__all__ = ["VersionedTable", "upsert_add", "upsert_replace", "replace_group", "insert_new", "lookup_counts", "jdbc_append",
            "save_table", "show", "publish_batch", "read_batches", "latest_per_key"]
 
 
@@ -179,93 +181,3 @@ class VersionedTable:
         for old in self._versions()[:-self.keep]:
             fs_delete(self.spark, f"{self.root}/v={old}")
         return v
-
-
-class BatchLog:
-    """Replay-safe output of a stream: one folder per micro-batch
-    (``root/batch_id=N``) plus periodic compactions (``root/_compact/upto=N``).
-
-    ``view(before)`` merges the newest compaction ``upto=C`` (C <= before) with
-    the batches ``C <= id < before``, so reading the current table costs one
-    compaction plus at most ``compact_every`` small folders, however many
-    batches the stream has run.  ``mode``:
-
-    * ``"latest"`` - per key, the row of the newest batch (upsert-replace);
-    * ``"group"``  - per group key, all rows of the newest batch that wrote
-      the group (replace-group).
-
-    Compactions are partitioned by ``partition_by`` (e.g. the event day), so a
-    filter or a semi-join on it prunes folders."""
-
-    def __init__(self, spark, root: str, keys: Sequence[str], mode: str = "latest",
-                 partition_by: str | None = None, compact_every: int = 100, schema=None):
-        assert mode in ("latest", "group")
-        self.schema = schema  # row schema; keeps partition columns' types on read
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.keys = list(keys)
-        self.mode = mode
-        self.partition_by = partition_by
-        self.compact_every = compact_every
-
-    def _ids(self, pattern: str) -> list[int]:
-        p, fs = _fs(self.spark, f"{self.root}/{pattern}=*")
-        out = []
-        for st in fs.globStatus(p) or []:
-            try:
-                out.append(int(st.getPath().getName().split("=", 1)[1]))
-            except ValueError:
-                pass
-        return sorted(out)
-
-    def publish(self, df: DataFrame, batch_id: int) -> bool:
-        """Publish one batch; first compact the history before it when
-        ``compact_every`` folders or more have come since the last compaction."""
-        if self.compact_every:
-            base = max([c for c in self._ids("_compact/upto") if c <= batch_id], default=0)
-            if sum(base <= b < batch_id for b in self._ids("batch_id")) >= self.compact_every:
-                self.compact(batch_id)
-        return publish_batch(df, self.root, batch_id)
-
-    def batch(self, batch_id: int) -> DataFrame:
-        """The rows of one published batch."""
-        r = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-        return r.parquet(f"{self.root}/batch_id={batch_id}")
-
-    def _merge(self, rows: DataFrame) -> DataFrame:
-        if self.mode == "latest":
-            return latest_per_key(rows, self.keys)
-        newest = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
-        return rows.join(newest, self.keys + ["batch_id"], "left_semi").drop("batch_id")
-
-    def view(self, before: int | None = None) -> DataFrame | None:
-        compacted = [c for c in self._ids("_compact/upto") if before is None or c <= before]
-        base = compacted[-1] if compacted else 0
-        tail = [b for b in self._ids("batch_id") if b >= base and (before is None or b < before)]
-        parts = []
-        if compacted:
-            r = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-            comp = r.parquet(f"{self.root}/_compact/upto={base}")
-            parts.append(comp.withColumn("batch_id", F.lit(base - 1).cast("int")))
-        if tail:
-            t = self.spark.read.option("basePath", self.root).parquet(
-                *[f"{self.root}/batch_id={b}" for b in tail])
-            parts.append(t.withColumn("batch_id", F.col("batch_id").cast("int")))
-        if not parts:
-            return None
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return self._merge(rows)
-
-    def compact(self, upto: int) -> bool:
-        target = f"{self.root}/_compact/upto={upto}"
-        if _exists(self.spark, target):
-            return False
-        current = self.view(before=upto)
-        if current is None:
-            return False
-        staging = f"{self.root}/_staging/compact-{upto}-{uuid.uuid4().hex[:8]}"
-        w = current.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(self.partition_by)
-        w.parquet(staging)
-        return fs_publish(self.spark, staging, target)

@@ -320,6 +320,11 @@ BODIES["sink_lookup_counts"] = """SELECT n.date, n.userid, n.adid, coalesce(o.cn
 BODIES["ads_blacklist_stream"] = BODIES["ads_blacklist"]
 BODIES["ads_city_running_multi"] = BODIES["ads_city_running"]
 BODIES["ads_minute_trend_multi"] = BODIES["ads_minute_trend"]
+BODIES["ads_minute_trend_late"] = BODIES["ads_minute_trend"]
+BODIES["ads_hour_trend_late"] = """SELECT strftime(ts, '%Y%m%d') AS date, strftime(ts, '%H') AS hour, adid,
+        CAST(count(*) AS BIGINT) AS click_count FROM ad_clicks GROUP BY 1, 2, 3"""
+BODIES["ads_province_top3_multi"] = BODIES["ads_province_top3"]
+BODIES["session_stats_observed"] = BODIES["session_stats"]
 
 
 def _fed_back(select: str, parts: int = 4, threshold: int = 2) -> str:

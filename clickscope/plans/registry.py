@@ -96,13 +96,11 @@ def _cat(fn):
 
 
 def q_top_sessions_per_category(spark, sf_dir):
-    return _report(spark, sf_dir).top_sessions().select("category_id", "session_id", "click_count")
+    return _report(spark, sf_dir).written().top_sessions().select("category_id", "session_id", "click_count")
 
 
 def q_session_category_clicks(spark, sf_dir):
-    acts = _report(spark, sf_dir).filtered_actions
-    top = categories.top_categories(acts, P.top_categories).select("category_id")
-    return categories.session_category_clicks(acts, top)
+    return _report(spark, sf_dir).written().session_category_clicks()
 
 
 # --- sampling ---------------------------------------------------------------------
@@ -116,16 +114,20 @@ def q_sessions_per_day(spark, sf_dir):
 
 
 def q_sample_quota(spark, sf_dir):
-    return sampling.sample_quota(_report(spark, sf_dir).filtered, P.sample_size)
+    return _report(spark, sf_dir).written().quota()
 
 
 def q_session_sample(spark, sf_dir):
-    return _report(spark, sf_dir).sample()
+    return _report(spark, sf_dir).written().sample()
 
 
 def q_session_sample_detail(spark, sf_dir):
-    r = _report(spark, sf_dir)
-    return sampling.session_sample_detail(r.actions, r.sample(), P.sample_size)
+    return _report(spark, sf_dir).written().sample_detail()
+
+
+def q_job1_stats(spark, sf_dir):
+    """JOB1's statistics as observed by the job that writes the filtered sessions."""
+    return _report(spark, sf_dir).written().stats()
 
 
 # --- funnel -------------------------------------------------------------------------
@@ -403,6 +405,36 @@ def q_ads_blacklist_multi(spark, sf_dir):
     return ads_stream.blacklist_table(spark, root, P.blacklist_threshold)
 
 
+LATE_DELAY = "1 hour"
+
+
+def _trend_with_late(spark, sf_dir) -> str:
+    """The ad log with state bounded by a watermark of an hour: of every part but the first,
+    what is up to 30 days late goes to the late output."""
+    root = run_dir(spark, "ads-late")
+    _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.start_trend_with_late(
+        ads_stream.parsed_clicks(lines), root, f"{root}/_checkpoint", LATE_DELAY, compact_every=2))
+    return root
+
+
+def q_ads_minute_trend_late(spark, sf_dir):
+    """ST5a with bounded state and late clicks kept."""
+    return ads_stream.minute_trend_table(spark, _trend_with_late(spark, sf_dir))
+
+
+def q_ads_hour_trend_late(spark, sf_dir):
+    """ST5a rolled up by a chained event-time aggregate: clicks per (date, hour, ad)."""
+    return ads_stream.hour_trend_table(spark, _trend_with_late(spark, sf_dir))
+
+
+def q_ads_province_top3_multi(spark, sf_dir):
+    """ST4 over several out-of-order micro-batches, each from the old top rows and the changes."""
+    root = run_dir(spark, "ads-top-multi")
+    _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.start_city_running(
+        ads_stream.parsed_clicks(lines), root, f"{root}/_checkpoint", top_n=P.top_ads, compact_every=2))
+    return ads_stream.province_top_table(spark, root, P.top_ads)
+
+
 def q_ads_job(spark, sf_dir):
     """JOB6 as one job over several micro-batches with blacklist feedback: the running totals."""
     root = run_dir(spark, "ads-job")
@@ -425,6 +457,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_buckets": q_session_buckets,
     "session_bucket_counts": q_session_bucket_counts,
     "session_stats": q_session_stats,
+    "session_stats_observed": q_job1_stats,
     "actions_of_filtered": q_actions_of_filtered,
     # categories
     "category_universe": _cat(categories.category_universe),
@@ -478,6 +511,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_blacklist_multi": q_ads_blacklist_multi,
     "ads_city_running_multi": q_ads_city_running_multi,
     "ads_minute_trend_multi": q_ads_minute_trend_multi,
+    "ads_province_top3_multi": q_ads_province_top3_multi,
+    "ads_minute_trend_late": q_ads_minute_trend_late,
+    "ads_hour_trend_late": q_ads_hour_trend_late,
     "ads_job": q_ads_job,
     # sinks
     "sink_upsert_add": q_sink_upsert_add,

@@ -1,10 +1,10 @@
 """End-to-end runs of the batch jobs: compute every output of a job, tag it
 with the run's task id and write it to a sink (Parquet folder or JDBC).
 
-The filtered sessions feed four outputs of the session report; they are
-checkpointed once to ``spark.checkpoint.dir`` (lineage cut, survives lost
+The filtered sessions feed five outputs of the session report; they are
+written once under ``spark.checkpoint.dir`` (lineage cut, survives lost
 executors), so the visit log is summarised once per run, not once per
-output."""
+output; the statistics are observed while they are written."""
 
 from __future__ import annotations
 
@@ -14,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.operators import area, categories, funnel, sampling, sessions, sinks
+from clickscope.operators import area, funnel, sinks
 from clickscope.params import TaskParams
-from clickscope.session import work_dir
+from clickscope.plans.jobs import SessionReport
 from clickscope.sources.tables import actions_in_range, area_clicks
 
 Writer = Callable[[DataFrame, str], None]
@@ -44,18 +44,12 @@ def run_session_report(spark: SparkSession, visit_log: DataFrame, users: DataFra
     """JOB1: session statistics, stratified sample (+ its action rows), top
     categories and top sessions per category."""
     task_id = task_id or str(uuid.uuid4())
-    work_dir(spark)
-    acts = actions_in_range(visit_log, params)
-    filtered = sessions.filter_sessions(sessions.with_users(sessions.session_summary(acts), users), params)
-    filtered = filtered.checkpoint(eager=True)
-    write(_tag(sessions.session_stats(filtered), task_id), "session_aggr_stat")
-    sample = sampling.session_sample(filtered, params.sample_size, params.sample_seed)
-    write(_tag(sample, task_id), "session_random_extract")
-    write(_tag(sampling.session_sample_detail(acts, sample, params.sample_size), task_id), "session_detail")
-    f_acts = sessions.actions_of_sessions(acts, filtered)
-    write(_tag(categories.top_categories(f_acts, params.top_categories), task_id), "top10_category")
-    write(_tag(categories.top_sessions_per_category(f_acts, params.top_categories, params.top_sessions), task_id),
-          "top10_session")
+    report = SessionReport(actions_in_range(visit_log, params), users, params).written()
+    write(_tag(report.stats(), task_id), "session_aggr_stat")
+    write(_tag(report.sample(), task_id), "session_random_extract")
+    write(_tag(report.sample_detail(), task_id), "session_detail")
+    write(_tag(report.top_categories(), task_id), "top10_category")
+    write(_tag(report.top_sessions(), task_id), "top10_session")
     return task_id
 
 

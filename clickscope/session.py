@@ -16,6 +16,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # lists of values are gathered in a hash table up to so many groups of a task
+    # (the default of 128 makes nearly every such aggregate sort)
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
@@ -85,11 +88,44 @@ def fs_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def fs_status(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, modification time in ms) of what matches a glob pattern; names only, no data."""
+    p, fs = _path(spark, pattern)
+    return [(st.getPath().toString(), int(st.getModificationTime())) for st in fs.globStatus(p) or []]
+
+
 def fs_delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)
 
 
+def fs_mkdirs(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.mkdirs(p)
+
+
+def fs_write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; an existing one is replaced."""
+    p, fs = _path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def fs_read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None where there is none."""
+    p, fs = _path(spark, path)
+    if not fs.exists(p):
+        return None
+    source = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def fs_publish(spark: SparkSession, staging: str, target: str) -> bool:
     """Move a fully written ``staging`` folder to ``target`` atomically.
 

@@ -155,7 +155,7 @@ def test_compaction_keeps_blacklist_and_totals(spark, scratch):
     clean, black = outs[2]
     assert black == [(7,), (8,)]
     assert (2, 7) not in clean and (4, 8) not in clean and (4, 9) in clean
-    assert os.path.isdir(os.path.join(scratch, "a2", "user_totals", "upto=2"))
+    assert os.path.isdir(os.path.join(scratch, "a2", "user_counts", "_compact", "upto=2"))
 
 
 def test_stage_b_compaction_matches_batch(spark, scratch):

@@ -37,15 +37,19 @@ from pyspark.sql import functions as F
 from .common import prepared, written
 
 SCALE = 1_000_000_000
-#: Entries (group, term) of one bucket of terms, and of one flush of a counting task.
-ENTRIES = 1 << 19
+#: Entries (group, term) of one bucket of terms.
+ENTRIES = 1 << 18
+#: Entries that a counting task holds before it sends them on.
+FLUSH = 1 << 19
 #: Groups whose baselines are made together.
 ROWS = 16
 #: Numbers held at once while a histogram meets the peers.
-CELLS = 1 << 21
+CELLS = 1 << 18
 
 _KEPT = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 GROUP = ("lang", "source")
+#: A document in the packed counts of a task, which sees less than 2^23 documents and 2^40 words between flushes.
+ONE_DOC = 1 << 40
 
 
 def terms(text: bytes) -> list[bytes]:
@@ -57,24 +61,25 @@ def counts(docs: DataFrame) -> DataFrame:
     prepared(docs.sparkSession)
 
     def run(batches):
-        total: dict = {}
+        total: dict = {}  # (lang, source) -> term -> occurrences and, above 40 bits, documents
         size = 0
 
         def flush():
-            for (lang, source), (n, d) in total.items():
-                yield pd.DataFrame({"lang": lang, "source": source, "term": [b"", *n], "count": np.array([0, *n.values()], np.int64),
-                                    "n_docs": np.array([0, *map(d.__getitem__, n)], np.int64)})
+            for (lang, source), n in total.items():
+                both = np.array([0, *n.values()], np.int64)
+                yield pd.DataFrame({"lang": lang, "source": source, "term": [b"", *n], "count": both & (ONE_DOC - 1),
+                                    "n_docs": both >> 40})
 
         for pdf in batches:
             for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["text"], strict=True):
-                n, d = total.setdefault((lang, source), (Counter(), Counter()))
-                had = len(n)
+                n = total.setdefault((lang, source), {})
+                had, get = len(n), n.get
                 own = Counter(terms(text))
                 own.pop(b"", None)
-                n.update(own)
-                d.update(own.keys())
+                for term, k in own.items():
+                    n[term] = get(term, 0) + k + ONE_DOC
                 size += len(n) - had
-                if size > ENTRIES:
+                if size > FLUSH:
                     yield from flush()
                     total, size = {}, 0
         yield from flush()
@@ -105,7 +110,7 @@ class Audit:
         all_ = written(counts(docs), "audit-counts")
         found = all_.where("term != ''").select(
             *GROUP, "term", "count", F.sum("count").over(own).alias("lang_count"), F.sum("n_docs").over(own).alias("in_docs"),
-            (F.row_number().over(own.orderBy("source")) == 1).cast("long").alias("first"))
+            (F.min("source").over(own) == F.col("source")).cast("long").alias("first"))
         #: (lang, source, term, count, lang_count, first) of the kept terms
         self.kept = written(found.where(F.col("in_docs") >= min_docs).drop("in_docs"), "audit-kept")
         sums = self.kept.groupBy(*GROUP).agg(F.sum("count").alias("n"), F.count("*").alias("has"), F.sum("first").alias("firsts"))

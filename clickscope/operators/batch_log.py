@@ -168,7 +168,11 @@ class BatchLog:
         ``compact_every`` folders or more have come since the last compaction."""
         if self.compact_every and len(self._tail(self._base(batch_id), batch_id)) >= self.compact_every:
             self.compact(batch_id)
-        return publish_batch(df.select(*self.schema.fieldNames()), self.root, batch_id, self.partition_by)
+        return publish_batch(self._dealt(df.select(*self.schema.fieldNames())), self.root, batch_id, self.partition_by)
+
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """Rows of one folder come from one task: a folder gets one file, not one of every task."""
+        return df.repartition(*self.partition_by) if self.partition_by else df.coalesce(1)
 
     def compact(self, upto: int) -> bool:
         """Merge what came since the last compaction into the partitions that it touches."""
@@ -182,8 +186,7 @@ class BatchLog:
         values = self._touched(tail)
         rows = self._parts(upto, values)
         staging = f"{self.root}/_staging/compact-{upto}-{uuid.uuid4().hex[:8]}"
-        w = self._empty() if rows is None else self.merged(rows)  # no rows: only the mark of the run
-        w = w.repartition(*self.partition_by).write if self.partition_by else w.write
+        w = self._dealt(self._empty() if rows is None else self.merged(rows)).write  # no rows: only the mark of the run
         (w.partitionBy(*self.partition_by) if self.partition_by else w).mode("overwrite").parquet(staging)
         done = fs_publish(self.spark, staging, target)
         if done:

@@ -346,7 +346,8 @@ def q_ads_minute_trend(spark, sf_dir):
 def q_ads_blacklist_stream(spark, sf_dir):
     """ST2 on the stream: stage A over the whole ad log, then the blacklist view."""
     root = run_dir(spark, "ads-black")
-    ads_stream.start_blacklist_stage(_line_stream(spark, sf_dir), root, P.blacklist_threshold, f"{root}/_checkpoint")
+    ads_stream.start_blacklist_stage(_line_stream(spark, sf_dir), root, P.blacklist_threshold, f"{root}/_checkpoint",
+                                     buckets=STREAM_BUCKETS)
     return ads_stream.blacklist_table(spark, root, P.blacklist_threshold)
 
 
@@ -366,6 +367,8 @@ def q_ads_sliding_hour_stream(spark, sf_dir):
     return ads_stream.sliding_hour_table(spark, root)
 
 
+#: User buckets of a day in the stream keys (the ad log has a few hundred clicks a day).
+STREAM_BUCKETS = 4
 #: The multi-batch keys feed the ad log in so many parts (event_id modulo): every
 #: part has clicks of all days, so each but the first arrives out of order.
 STREAM_PARTS = 4
@@ -401,7 +404,7 @@ def q_ads_blacklist_multi(spark, sf_dir):
     clicks in the next; compacted every two."""
     root = run_dir(spark, "ads-black-multi")
     _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.start_blacklist_stage(
-        lines, root, P.blacklist_threshold, f"{root}/_checkpoint", compact_every=2))
+        lines, root, P.blacklist_threshold, f"{root}/_checkpoint", compact_every=2, buckets=STREAM_BUCKETS))
     return ads_stream.blacklist_table(spark, root, P.blacklist_threshold)
 
 
@@ -439,7 +442,7 @@ def q_ads_job(spark, sf_dir):
     """JOB6 as one job over several micro-batches with blacklist feedback: the running totals."""
     root = run_dir(spark, "ads-job")
     _fed_in_parts(spark, sf_dir, root, lambda lines: ads_stream.run_ads_job(
-        spark, lines, threshold=P.blacklist_threshold, top_n=P.top_ads, root=root))
+        spark, lines, threshold=P.blacklist_threshold, top_n=P.top_ads, root=root, buckets=STREAM_BUCKETS))
     return ads_stream.city_running_table(spark, root)
 
 

@@ -114,10 +114,19 @@ COUNTS_SCHEMA = T.StructType([T.StructField("userid", T.LongType()), T.StructFie
                               T.StructField("click_count", T.LongType()), T.StructField("date", T.StringType()),
                               T.StructField("bucket", T.IntegerType())])
 BLACK_SCHEMA = T.StructType([T.StructField("userid", T.LongType()), T.StructField("bucket", T.IntegerType())])
-#: User buckets of the count and blacklist tables.
+#: User buckets of the count and blacklist tables: a folder of one day holds 1 / BUCKETS of its users.
 BUCKETS = 64
 
 
+def _bucket_number(spark: SparkSession, root: str, wanted: int) -> int:
+    """The number of buckets that the tables were started with; ``wanted`` for new ones."""
+    path = f"{root}/user_counts/_buckets"
+    known = fs_read_text(spark, path)
+    if known is None:
+        fs_write_text(spark, path, str(int(wanted)))
+    return int(known or wanted)
+
+
 def user_bucket(buckets: int = BUCKETS):
     return F.expr(f"cast(pmod(xxhash64(userid), {int(buckets)}) as int)")
 
@@ -150,7 +159,7 @@ def _blacklisted(counts: DataFrame, threshold: int) -> DataFrame:
 
 def start_blacklist_stage(lines: DataFrame, root: str, threshold: int, checkpoint: str,
                           trigger: dict | None = None, await_end: bool = True, compact_every: int = 100,
-                          retain_days: int | None = None, sink: TableSink | None = None):
+                          retain_days: int | None = None, sink: TableSink | None = None, buckets: int = BUCKETS):
     """Stage A (ST2, FLT8, SNK2, SNK5, SNK6, rejects).
 
     A batch reads the blacklist and the stored counts of its own days and user buckets,
@@ -160,20 +169,20 @@ def start_blacklist_stage(lines: DataFrame, root: str, threshold: int, checkpoin
     compaction runs.  With ``retain_days`` set, totals older than that many event
     days are dropped when it runs (their blacklisted users stay): only for
     sources that never deliver older days.  A blacklist for a new threshold starts from
-    the counts that are there."""
+    the counts that are there.  ``buckets`` sizes new tables; existing ones keep theirs."""
     spark = lines.sparkSession
+    buckets = _bucket_number(spark, root, buckets)
     clean_root, reject_root = f"{root}/clean", f"{root}/rejects"
     counts, black = _counts_log(spark, root, compact_every), _black_log(spark, root, threshold, compact_every)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         if batch_id > 0 and not black.any() and counts.any():  # the first batch with this threshold
             black.publish(_blacklisted(counts.view(before=batch_id), threshold), batch_id - 1)
-        parsed = ads.with_date(ads.parse_log_lines(df)).withColumn("bucket", user_bucket()).persist()
+        parsed = ads.with_date(ads.parse_log_lines(df)).withColumn("bucket", user_bucket(buckets)).persist()
         try:
             sinks.publish_batch(parsed.where(~F.col("valid")).select("value"), reject_root, batch_id)
             valid = parsed.where("valid")
-            _, buckets = touched(valid)
-            listed = black.view(batch_id, buckets)
+            listed = black.view(batch_id, touched(valid)[1])
             clean = ads.exclude_blacklisted(valid, listed)
             counts.publish(clean.groupBy(*ads.KEY_USER, "bucket").agg(F.count(F.lit(1)).alias("click_count")), batch_id)
             own = counts.batch(batch_id)
@@ -491,7 +500,8 @@ def start_parse_to_files(lines: DataFrame, out: str, checkpoint: str, trigger: d
 def run_ads_job(spark: SparkSession, lines: DataFrame, threshold: int = 100, top_n: int = 3,
                 root: str | None = None, trigger: dict | None = None, await_end: bool = True,
                 max_files_per_trigger: int | None = None, compact_every: int = 100, retain_days: int | None = None,
-                watermark: str | None = None, late_delay: str | None = None, sink: TableSink | None = None) -> dict:
+                watermark: str | None = None, late_delay: str | None = None, sink: TableSink | None = None,
+                buckets: int = BUCKETS) -> dict:
     """JOB6: stage A then stage B (city running + top-n, minute trend).
 
     With the default ``availableNow`` trigger and ``await_end`` each stage
@@ -505,7 +515,7 @@ def run_ads_job(spark: SparkSession, lines: DataFrame, threshold: int = 100, top
     ck = f"{root}/_checkpoints"
     fs_mkdirs(spark, f"{root}/clean")
     more = {"trigger": trigger, "await_end": await_end, "compact_every": compact_every, "sink": sink}
-    qs = [start_blacklist_stage(lines, root, threshold, f"{ck}/stage_a", retain_days=retain_days, **more)]
+    qs = [start_blacklist_stage(lines, root, threshold, f"{ck}/stage_a", retain_days=retain_days, buckets=buckets, **more)]
     clean = lambda: clean_click_stream(spark, root, max_files_per_trigger)
     qs.append(start_city_running(clean(), root, f"{ck}/city", watermark, top_n, **more))
     if late_delay:

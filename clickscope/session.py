@@ -94,6 +94,18 @@ def fs_status(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return [(st.getPath().toString(), int(st.getModificationTime())) for st in fs.globStatus(p) or []]
 
 
+def fs_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time) of a file, or of the data files right in a folder."""
+    p, fs = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    own = fs.getFileStatus(p)
+    found = fs.listStatus(p) if own.isDirectory() else [own]
+    out = [(st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())) for st in found
+           if not st.getPath().getName().startswith(("_", "."))]
+    return sorted(out)
+
+
 def fs_delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)

@@ -1,20 +1,20 @@
 """Derive the visit log, user, product, city and ad-log tables from the
 driver's ``events`` / ``customer`` / ``part`` tables.
 
-All derivations are narrow projections (no shuffle): at any scale they run as
-one pass over the scanned columns, and Catalyst prunes the unused ones.
+All derivations are narrow projections: at any scale they run as one pass over
+the scanned columns, and Catalyst prunes the unused ones.  Only the write of the
+visit log shuffles, to lay its rows out by day and session.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.session import fs_exists, fs_publish, work_dir
+from clickscope.session import fs_exists, fs_files, fs_publish, work_dir
 from clickscope.schemas import AD_LOG, CITY_INFO, PRODUCT_INFO, USER_INFO, VISIT_LOG
 
 # The city dimension of the original jobs (city_id, city_name, area).
@@ -131,15 +131,13 @@ def ad_log_lines(events: DataFrame) -> DataFrame:
 FIXTURE_VERSION = "2"
 
 
-def _source_signature(sf_dir: str) -> str:
-    parts = [FIXTURE_VERSION, os.path.abspath(sf_dir)]
+def _source_signature(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the source files' names, sizes and times, as the file system (any that
+    Spark reads) reports them: a replaced table has another one."""
+    parts = [FIXTURE_VERSION]
     for name in ("events", "customer", "part"):
         path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        try:
-            st = os.stat(path)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
-            parts.append(f"{name}:?")
+        parts += [f"{p}:{size}:{at}" for p, size, at in fs_files(spark, path)]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -152,9 +150,11 @@ class Fixture:
     then scans those tables, as the original jobs scan their Hive tables: a
     ``date`` range prunes partitions and pushes into the Parquet scan.  Each
     table is written to a staging folder and published by rename, so a
-    failed or concurrent build never leaves a partial table behind."""
+    failed or concurrent build never leaves a partial table behind.  Each
+    use looks at the source files again; when they have changed, the
+    tables are derived anew."""
 
-    _cache: dict[tuple, str] = {}
+    _built: set[tuple] = set()
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
@@ -176,13 +176,11 @@ class Fixture:
 
     def root(self) -> str:
         if self._root is None:
-            sc = self.spark.sparkContext
-            key = (id(sc), sc.getCheckpointDir(), os.path.abspath(self.sf_dir))
-            root = Fixture._cache.get(key)
-            if root is None:
-                root = f"{work_dir(self.spark).rstrip('/')}/fixture-{_source_signature(self.sf_dir)}"
+            root = f"{work_dir(self.spark).rstrip('/')}/fixture-{_source_signature(self.spark, self.sf_dir)}"
+            key = (id(self.spark.sparkContext), root)
+            if key not in Fixture._built:
                 self._build(root)
-                Fixture._cache[key] = root
+                Fixture._built.add(key)
             self._root = root
         return self._root
 
@@ -199,9 +197,7 @@ class Fixture:
                 # partitioning on (date, session_id) keeps a day's rows in few
                 # files and each session's rows together, while a large day
                 # is still split over several writers
-                n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                w = (df.repartitionByRange(n, "date", "session_id").write.mode("overwrite")
-                     .partitionBy("date"))
+                w = df.repartitionByRange("date", "session_id").write.mode("overwrite").partitionBy("date")
             w.parquet(staging)
             # False: another build published the same table first (identical content)
             fs_publish(self.spark, staging, target)

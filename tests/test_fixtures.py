@@ -22,3 +22,17 @@ def test_visit_log_is_date_partitioned(spark):
     root = Fixture(spark, SF).root().replace("file:", "")
     dates = sorted(d for d in os.listdir(os.path.join(root, "visit_log")) if d.startswith("date="))
     assert dates[0] == "date=2024-01-01" and len(dates) == 30
+
+
+def test_replaced_source_is_derived_again(spark, tmp_path):
+    """The same folder with another events table, in one session."""
+    for name in ("customer", "part"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    assert Fixture(spark, str(tmp_path)).visit_log().count() == events.count()
+    few = events.limit(100).cache()
+    few.count()
+    few.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+    assert Fixture(spark, str(tmp_path)).visit_log().count() == 100
+    assert Fixture(spark, str(tmp_path)).ad_log().count() == 100

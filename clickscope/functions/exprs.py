@@ -240,6 +240,8 @@ def kv_set(c, field: str, value, delimiter: str = "|") -> Column:
 def json_field(c, field: str) -> Column:
     """``get_json_field``: one top-level field of a JSON string, as text; a dot in
     the name is part of the name."""
+    if set(field) & set("'?"):  # characters that a JSON path cannot hold
+        return F.try_element_at(F.from_json(col_of(c), "map<string,string>"), F.lit(field))
     return F.get_json_object(col_of(c), f"$['{field}']")
 
 

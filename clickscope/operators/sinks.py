@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.session import fs_delete, fs_publish
+from clickscope.session import fs_delete, fs_publish, fs_status
 
 # --- pure merge semantics ---------------------------------------------------
 
@@ -133,13 +133,15 @@ class VersionedTable:
     folder being read: each update writes ``root/v=N+1`` (staging + rename)
     from version N merged with the batch; readers take the newest complete
     version.  Binds the merge semantics above (SNK2-SNK4) to storage outside
-    a stream; old versions are pruned after ``keep`` newer ones exist."""
+    a stream.  A version is deleted when ``keep`` newer ones exist and the one that
+    replaced it is ``keep_ms`` old: readers may still be at it until then."""
 
-    def __init__(self, spark, root: str, schema=None, keep: int = 3):
+    def __init__(self, spark, root: str, schema=None, keep: int = 3, keep_ms: int = 24 * 3600 * 1000):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.keep = keep
+        self.keep_ms = keep_ms
 
     def _versions(self) -> list[int]:
         p, fs = _fs(self.spark, f"{self.root}/v=*")
@@ -178,6 +180,8 @@ class VersionedTable:
         new.write.mode("overwrite").parquet(staging)
         if not fs_publish(self.spark, staging, f"{self.root}/v={v}"):
             raise RuntimeError(f"concurrent update of {self.root} (version {v} exists)")
+        at = {int(path.rsplit("=", 1)[1]): t for path, t in fs_status(self.spark, f"{self.root}/v=*")}
         for old in self._versions()[:-self.keep]:
-            fs_delete(self.spark, f"{self.root}/v={old}")
+            if at[v] - at.get(old + 1, at[v]) >= self.keep_ms:
+                fs_delete(self.spark, f"{self.root}/v={old}")
         return v

@@ -26,7 +26,7 @@ def area_top3_sql(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataF
           SELECT city_id, click_product_id AS pid FROM user_visit_action
           WHERE click_product_id != -1 {date_filter}),
         base AS (
-          SELECT /*+ BROADCAST(c) */ c.area, k.pid, concat_long_string(c.city_id, c.city_name, ':') AS city_info
+          SELECT c.area, k.pid, concat_long_string(c.city_id, c.city_name, ':') AS city_info
           FROM clicks k JOIN city_info c ON k.city_id = c.city_id),
         counts AS (
           SELECT area, pid, count(*) AS click_count,

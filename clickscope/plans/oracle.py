@@ -316,6 +316,11 @@ BODIES["sink_lookup_counts"] = """SELECT n.date, n.userid, n.adid, coalesce(o.cn
       LEFT JOIN (SELECT date, userid, adid, count(*) AS cnt FROM half_old GROUP BY 1, 2, 3) o
       ON n.date = o.date AND n.userid = o.userid AND n.adid = o.adid"""
 
+BODIES["sink_save_table"] = "SELECT date, userid, adid, CAST(count(*) AS BIGINT) AS click_count FROM half_new GROUP BY 1, 2, 3"
+_TODAY = "CAST(now() AT TIME ZONE 'UTC' AS DATE)"
+BODIES["relative_days"] = f"""SELECT event_id, CAST(date AS DATE) < {_TODAY} - 1 AS before_yesterday,
+        CAST({_TODAY} - CAST(date AS DATE) AS BIGINT) AS days_ago FROM visit_log"""
+
 # streaming forms of batch outputs: same result, same SQL
 BODIES["ads_blacklist_stream"] = BODIES["ads_blacklist"]
 BODIES["ads_city_running_multi"] = BODIES["ads_city_running"]

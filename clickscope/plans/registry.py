@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickscope.functions.exprs import (after, area_level, before, date_hour, is_empty, json_field, kv_get, kv_set, pad2, parse_time,
-                                        product_status, round_half_up, trim_comma)
+                                        product_status, round_half_up, today, trim_comma, yesterday)
 from clickscope.operators import ads, area, categories, funnel, sampling, sessions, sinks
 from clickscope.params import FIXTURE_PARAMS, TaskParams
 from clickscope.plans.area_sql import area_top3_sql
@@ -230,6 +230,13 @@ def q_scalar_functions(spark, sf_dir):
                         kv_set(kv_record(), "pageid", "new").alias("record"))
 
 
+def q_relative_days(spark, sf_dir):
+    """FN4: each action's day against today and yesterday (UTC)."""
+    acts = _actions(spark, sf_dir)
+    return acts.select("event_id", (F.col("date") < yesterday()).alias("before_yesterday"),
+                       F.datediff(today().cast("date"), F.col("date").cast("date")).cast("bigint").alias("days_ago"))
+
+
 def q_area_top3_sql(spark, sf_dir):
     """JOB5 as SQL text: UDF1-UDF3 called from SQL."""
     return area_top3_sql(spark, sf_dir, P)
@@ -313,6 +320,15 @@ def q_sink_lookup_counts(spark, sf_dir):
     return sinks.lookup_counts(batch, old, ads.KEY_USER)
 
 
+def q_sink_save_table(spark, sf_dir):
+    """SNK7: a table saved, dropped and saved again, then read."""
+    path = f"{run_dir(spark, 'saved')}/user_counts"
+    old, batch = (ads.user_ad_counts(c) for c in _halves(spark, sf_dir))
+    sinks.save_table(old, path)
+    sinks.save_table(batch, path)
+    return spark.read.parquet(path)
+
+
 # --- ads (streaming) ---------------------------------------------------------------
 
 def _line_stream(spark, sf_dir) -> DataFrame:
@@ -494,6 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_field": q_json_field,
     "kv_get": q_kv_get,
     "scalar_functions": q_scalar_functions,
+    "relative_days": q_relative_days,
     "area_top3": q_area_top3,
     "area_top3_sql": q_area_top3_sql,
     # ads
@@ -524,4 +541,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_replace_group": q_sink_replace_group,
     "sink_insert_new": q_sink_insert_new,
     "sink_lookup_counts": q_sink_lookup_counts,
+    "sink_save_table": q_sink_save_table,
 }

@@ -135,3 +135,9 @@ def test_before_after(spark):
     r = df.select(X.before(X.parse_time("a"), X.parse_time("b")).alias("bf"),
                   X.after(X.parse_time("a"), X.parse_time("b")).alias("af")).first()
     assert (r.bf, r.af) == (True, False)
+
+
+def test_json_field_with_a_quote_in_its_name(spark):
+    df = spark.createDataFrame([('{"it\'s": 5, "a?b": {"c": 1}}',), ("no json",), (None,)], "j string")
+    got = [tuple(r) for r in df.select(X.json_field("j", "it's"), X.json_field("j", "a?b"), X.json_field("j", "none?")).collect()]
+    assert got == [("5", '{"c":1}', None), (None, None, None), (None, None, None)]

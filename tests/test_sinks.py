@@ -76,7 +76,7 @@ def test_save_table(spark, scratch):
 
 def test_versioned_table_updates(spark, scratch):
     keys = ["date", "province", "adid"]
-    t = SK.VersionedTable(spark, os.path.join(scratch, "vt"), keep=2)
+    t = SK.VersionedTable(spark, os.path.join(scratch, "vt"), keep=2, keep_ms=0)
     assert t.read() is None
     t.update(spark.createDataFrame([("d", "p", 1, 5)], SCHEMA), lambda o, b: SK.upsert_add(o, b, keys))
     t.update(spark.createDataFrame([("d", "p", 1, 2), ("d", "p", 2, 1)], SCHEMA),
@@ -86,6 +86,9 @@ def test_versioned_table_updates(spark, scratch):
     assert rows(t.read()) == [("d", "p", 9, 9)]
     assert t.version() == 3
     assert sorted(os.listdir(os.path.join(scratch, "vt"))) == ["_staging", "v=2", "v=3"]
+    slow = SK.VersionedTable(spark, os.path.join(scratch, "vt"), keep=1)  # readers may still be at v=3
+    slow.update(spark.createDataFrame([("d", "p", 1, 1)], SCHEMA), lambda o, b: SK.upsert_add(o, b, keys))
+    assert rows(slow.read(3)) == [("d", "p", 9, 9)]
 
 
 def test_save_as_catalog_table_and_load(spark):

@@ -43,8 +43,7 @@ def op6_language_id(spark, sf_dir):
 
 def op7_substring_dedup(spark, sf_dir):
     """Words that every document loses to passages of documents with smaller ids."""
-    # how long the repeated passages are is the operator's own output, tested by brute force: the SQL has no such column
-    return substring_dedup.dedup(documents(spark, sf_dir)).drop("longest")
+    return substring_dedup.dedup(documents(spark, sf_dir))
 
 
 def op8_lm_scoring(spark, sf_dir):

@@ -25,6 +25,8 @@ gives an empty table; only doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -38,9 +40,11 @@ from .common import mix64, pack, prepared, texts, unpack, written
 
 WINDOW = 13
 #: Text bytes of one chunk; windows of one bucket.
-CHUNK = 4_000_000
-PER_BUCKET = 750_000
+CHUNK = 6_000_000
+PER_BUCKET = 1_500_000
 BUCKETS = 12
+#: Candidates of one task on the levels above the first.
+PER_TASK = 250_000
 LAST = np.iinfo(np.int64).max
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Multiplier of the second hash, and its inverse modulo 2 ** 64.
@@ -49,28 +53,44 @@ _BACK = pow(_DEAL, -1, 1 << 64)
 
 
 class Chunk:
-    """Texts of one chunk, in order of their ids, and their windows of the first level."""
+    """Texts of one chunk, in order of their ids, as numbers of words."""
 
-    def __init__(self, ids: np.ndarray, raw: list[bytes], window: int = WINDOW):
+    def __init__(self, ids: np.ndarray, size: np.ndarray, code: np.ndarray, words: list[bytes]):
+        self.ids, self.size, self.code, self.words = ids, size, code, words
+        self.start = np.cumsum(size) - size
+
+    @classmethod
+    def of(cls, ids: list[int], raw: list[bytes]) -> Chunk:
+        known: dict[bytes, int] = defaultdict(count().__next__)
+        ids = np.array(ids, np.int64)
         order = np.argsort(ids, kind="stable")
-        self.ids, self.raw, self.window = ids[order], [raw[i] for i in order], window
-        known: dict[bytes, int] = {}
-        parts = []
-        for t in self.raw:
-            parts.append(np.fromiter((known.setdefault(w, len(known)) for w in t.split()), np.int64))
-        self.size = np.array([len(p) for p in parts], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]]).astype(np.int64) if len(parts) else np.zeros(0, np.int64)
-        word = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
-        w = word[np.concatenate(parts)] if parts else np.zeros(0, np.uint64)
-        self.n = n = len(w)
-        # windows do not cross texts
-        last = np.repeat(self.start + self.size - window, np.maximum(self.size, 0)) if n else np.zeros(0, np.int64)
-        self.at = np.flatnonzero(np.arange(n) <= last)
-        h = np.zeros(max(0, n - window + 1), np.uint64)
+        parts = [np.array(list(map(known.__getitem__, raw[k].split())), np.uint32) for k in order]
+        return cls(ids[order], np.array([len(p) for p in parts], np.int64), np.concatenate(parts), list(known))
+
+    def packed(self) -> tuple[bytes, bytes, bytes]:
+        z = zstandard.ZstdCompressor(level=3)
+        # numbers of words by their bytes, which pack better apart
+        planes = self.code.astype("<u4").view(np.uint8).reshape(-1, 4).T
+        return pack(np.stack([self.ids, self.size])), z.compress(b" ".join(self.words)), z.compress(np.ascontiguousarray(planes).tobytes())
+
+    @classmethod
+    def opened(cls, head: bytes, words: bytes, code: bytes) -> Chunk:
+        ids, size = unpack(head, np.int64).reshape(2, -1)
+        words = zstandard.ZstdDecompressor().decompress(words)
+        code = np.ascontiguousarray(unpack(code, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+        return cls(ids, size, code, words.split(b" ") if words else [])
+
+    def level(self, window: int = WINDOW) -> Level:
+        """Its windows of the first level; they do not cross texts."""
+        word = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), np.uint64, len(self.words))
+        w = word[self.code]
+        last = np.repeat(self.start + self.size - window, self.size)
+        at = np.flatnonzero(np.arange(len(w)) <= last)
+        h = np.zeros(max(0, len(w) - window + 1), np.uint64)
         for k in range(window):  # a polynomial of the word hashes, made even by the finaliser
             h = h * _STEP + w[k:k + len(h)]
-        doc = np.repeat(np.arange(len(parts)), self.size)[self.at] if n else np.zeros(0, np.int64)
-        self.level = Level(self.at, doc, mix64(h)[self.at], self.ids, _dealing(w, window)[self.at])
+        doc = np.repeat(np.arange(len(self.ids)), self.size)[at]
+        return Level(at, doc, mix64(h)[at], self.ids, _dealing(w, window)[at])
 
 
 def _dealing(w: np.ndarray, window: int) -> np.ndarray:
@@ -105,16 +125,16 @@ class Level:
     def entries(self, buckets: int):
         """Distinct windows in order of (bucket, document): places in ``at``, bucket of each, and
         for each window its entry."""
-        order = np.argsort(self.hash, kind="stable")
+        order = np.argsort(self.hash)
         h = self.hash[order]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        own = np.cumsum(new) - 1
+        begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[:len(h)])
+        if not len(begin):
+            return order, order, order
         entry = np.empty(len(h), np.int64)
-        entry[order] = own
-        first = order[new]  # the smallest document: the sort is stable, documents ascend
+        entry[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(h))))
+        first = np.minimum.reduceat(order, begin)  # the smallest document: documents ascend
         bucket = (self.deal[first] % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((first, bucket))
+        by = np.argsort(bucket * len(h) + first)
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
         return first[by], bucket[by], place[entry]
@@ -154,11 +174,10 @@ class Level:
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
-    """(chunk, head, body): ids and sizes, and the packed texts, of CHUNK bytes or one longer text."""
+    """(chunk, head, words, code): ids and sizes, different words, and word numbers of texts of
+    CHUNK bytes or of one longer text.  Texts are split into words here and nowhere else."""
     def emit(name, ids, raw):
-        sizes = np.array([len(t) for t in raw], np.int64)
-        return pd.DataFrame([(name, pack(np.stack([np.array(ids, np.int64), sizes])),
-                              zstandard.ZstdCompressor(level=3).compress(b"".join(raw)))], columns=["chunk", "head", "body"])
+        return pd.DataFrame([(name, *Chunk.of(ids, raw).packed())], columns=["chunk", "head", "words", "code"])
 
     def run(batches):
         task, k = TaskContext.get().partitionId(), 0
@@ -176,21 +195,15 @@ def _chunks(docs: DataFrame) -> DataFrame:
         if ids:
             yield emit(f"{task}-{k}", ids, raw)
 
-    return texts(docs).mapInPandas(run, "chunk string, head binary, body binary")
-
-
-def _opened(head: bytes, body: bytes) -> Chunk:
-    ids, sizes = unpack(head, np.int64).reshape(2, -1)
-    joined, cut = zstandard.ZstdDecompressor().decompress(body), np.cumsum([0, *sizes])
-    return Chunk(ids, [joined[a:b] for a, b in zip(cut, cut[1:])])
+    return texts(docs).mapInPandas(run, "chunk string, head binary, words binary, code binary")
 
 
 def _sent(chunks: DataFrame, buckets: int) -> DataFrame:
     """(chunk, bucket, head, body): the distinct windows of a chunk by bucket, their documents and hashes."""
     def run(batches):
         for pdf in batches:
-            for name, head, body in zip(pdf["chunk"], pdf["head"], pdf["body"]):
-                yield _opened(head, body).level.sent(name, buckets)
+            for name, *packed in zip(pdf["chunk"], pdf["head"], pdf["words"], pdf["code"]):
+                yield Chunk.opened(*packed).level().sent(name, buckets)
 
     return chunks.mapInPandas(run, "chunk string, bucket int, head binary, body binary")
 
@@ -244,22 +257,23 @@ def _next(name: str, level: Level) -> list[dict]:
 
 def _judge(bits: pd.DataFrame, text: pd.DataFrame, buckets: int, keep_text: bool) -> pd.DataFrame:
     rows = []
-    for name, head, body in zip(text["chunk"], text["head"], text["body"]):
-        c = _opened(head, body)
-        gone, repeated = c.level.verdicts(bits, buckets)
-        cover = np.zeros(c.n + 1, np.int64)
-        np.add.at(cover, c.at[gone], 1)
-        np.add.at(cover, c.at[gone] + c.window, -1)
+    for name, *packed in zip(text["chunk"], text["head"], text["words"], text["code"]):
+        c = Chunk.opened(*packed)
+        level = c.level()
+        gone, repeated = level.verdicts(bits, buckets)
+        cover = np.zeros(len(c.code) + 1, np.int64)
+        np.add.at(cover, level.at[gone], 1)
+        np.add.at(cover, level.at[gone] + WINDOW, -1)
         cover = np.cumsum(cover[:-1]) > 0
-        some = np.bincount(c.level.doc[repeated], minlength=len(c.ids)) > 0
-        for k, (i, t) in enumerate(zip(c.ids.tolist(), c.raw)):
-            words = t.split()
-            own = cover[c.start[k]:c.start[k] + c.size[k]]
-            kept = b" ".join([w for w, g in zip(words, own.tolist()) if not g] if own.any() else words)
-            rows.append({"chunk": name, "row": k, "doc_id": None if i == LAST else i, "n_words": len(words), "n_removed": int(own.sum()),
+        some = np.bincount(level.doc[repeated], minlength=len(c.ids)) > 0
+        for k, i in enumerate(c.ids.tolist()):
+            text_of = slice(c.start[k], c.start[k] + c.size[k])
+            own = cover[text_of]
+            kept = b" ".join([c.words[w] for w in c.code[text_of][~own].tolist()])
+            rows.append({"chunk": name, "row": k, "doc_id": None if i == LAST else i, "n_words": len(own), "n_removed": int(own.sum()),
                          "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept.decode() if keep_text else None,
-                         "longest": c.window if some[k] else 0})
-        rows += _next(name, c.level.doubled(repeated, c.window))
+                         "longest": WINDOW if some[k] else 0})
+        rows += _next(name, level.doubled(repeated, WINDOW))
     return _frame(rows)
 
 
@@ -278,7 +292,7 @@ def _judge_level(buckets: int, length: int):
 
 def _met(sent: DataFrame, buckets: int, by_chunk: DataFrame, chunks: int, judge) -> DataFrame:
     """``judge`` of (bits, rows) of each chunk, after its windows met those of all others."""
-    # a task for each bucket and then for each chunk: their packed rows are large, so they must not be coalesced
+    # tasks are numbered here: packed rows are few and large, so they must not be coalesced by their count
     bits = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, "chunk string, bucket int, bits binary")
     return (bits.repartition(chunks, "chunk").groupBy("chunk").cogroup(by_chunk.repartition(chunks, "chunk").groupBy("chunk"))
             .applyInPandas(judge, FOUND))
@@ -293,8 +307,9 @@ def _double(found: DataFrame) -> DataFrame:
         size = levels.agg(F.count("*").alias("chunks"), F.sum("n").alias("n")).first()
         if not size["chunks"]:
             break
-        buckets = max(BUCKETS, -(-size["n"] // PER_BUCKET))
-        found = written(_met(_sent_level(levels, buckets), buckets, levels, size["chunks"], _judge_level(buckets, length)),
+        # few candidates are few tasks, whatever the number of chunks that they come from
+        buckets = max(1, -(-size["n"] // PER_TASK))
+        found = written(_met(_sent_level(levels, buckets), buckets, levels, min(size["chunks"], buckets), _judge_level(buckets, length)),
                         "substring-level")
         got = found.where("n is null").select("chunk", "row", "longest")
         done = got if done is None else done.unionByName(got)
@@ -322,12 +337,21 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
 
 ORACLE = f"""
-with d as (select row_number() over () as r, doc_id, coalesce(doc_id, {LAST}) as id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+with recursive d as (select row_number() over () as r, doc_id, coalesce(doc_id, {LAST}) as id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
 w as (select r, id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') as s from d, unnest(generate_series(1, len(ws) - {WINDOW - 1})) u(i)),
-f as (select s, min(id) as m from w group by s),
+f as (select s, min(id) as m, max(id) as most from w group by s),
+lv(n, r, id, i, h) as (
+  select {WINDOW}, r, id, i, md5(s) from w join f using (s) where m < most
+  union all
+  select n, r, id, i, h from (
+    select 2 * a.n as n, a.r, a.id, a.i, md5(a.h || b.h) as h, min(a.id) over same as lo, max(a.id) over same as hi
+    from lv a join lv b on a.r = b.r and b.i = a.i + a.n window same as (partition by md5(a.h || b.h))) where lo < hi),
+lo as (select r, max(n)::bigint as longest from lv group by r),
 g as (select distinct r, unnest(generate_series(i, i + {WINDOW - 1})) as p from w join f using (s) where m < id),
 k as (select d.r, u.p, d.ws[u.p] as word, g.p is not null as gone
       from d, unnest(generate_series(1, len(ws))) u(p) left join g on g.r = d.r and g.p = u.p),
 a as (select r, count(*) filter (gone) as n_removed, coalesce(string_agg(word, ' ' order by p) filter (not gone), '') as kept from k group by r)
-select doc_id, len(ws) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join a using (r)
+select doc_id, len(ws) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256,
+  coalesce(longest, 0) as longest
+from d left join a using (r) left join lo using (r)
 """

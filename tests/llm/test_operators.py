@@ -295,7 +295,7 @@ def test_substring_longest_of_passages_of_every_length(spark):
 def test_substring_bucket_adds_to_the_hash():
     rng = random.Random(5)
     text = " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(3000)).encode()
-    a = substring_dedup.Chunk(np.array([1, 2]), [text, b"other words " + text]).level
+    a = substring_dedup.Chunk.of([1, 2], [text, b"other words " + text]).level()
     first = a.deal[a.doc == 0]
     assert np.array_equal(first, a.deal[a.doc == 1][2:]) and len(set(first.tolist())) == len(first) == 2988
     # two windows with one hash, but different words, lie in different buckets

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from clickscope.llm import (components, decontamination, language_id, language_model, line_dedup, quality_classifier,
                             quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup)
 
-from .helpers import SCHEMA, corpus, order, plain
+from .helpers import SCHEMA, corpus, order, plain, sentence
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -109,20 +109,64 @@ def test_components_of_a_chain_and_a_star(spark):
 
 # --- 2 line dedup --------------------------------------------------------------------
 
+def line_docs(spark, texts):
+    return spark.createDataFrame(texts, "doc_id long, text string")
+
+
 def test_line_dedup_drops_templates_and_keeps_the_first(spark, empty):
     line = "Updated {} by Anna on the server"
-    rows = [(k, f"own words of text number{'x' * k} here\n{line.format(k)}\nlast", "en") for k in range(10, 17)]
+    own = random.Random(5)
+    rows = [(k, f"{sentence(own, 9, [f'v{chr(97 + i)}{chr(97 + j)}' for i in range(26) for j in range(26)])}\n{line.format(k)}", "en") for k in range(10, 17)]
     df = corpus(spark, [])
     df = df.unionByName(spark.createDataFrame([(i, t, g, "s", 1, 0.5, "t", 1, 2) for i, t, g in [(100 + i, t, g) for i, t, g in rows]], SCHEMA))
     out = {r["doc_id"]: r["text"] for r in line_dedup.without_recurring(df).collect()}
     assert "Updated" in out[110] and all("Updated" not in out[100 + k] for k in range(11, 17))
-    assert "last" in out[111] and "own words" in out[112]  # short lines and unique ones stay
+    assert all(len(out[100 + k].split()) == 9 for k in range(11, 17))  # lines of one document stay
     assert out[1].startswith("Page 12") and not out[2].startswith("Page 12")
     assert out[50] is None and out[51] == "" and out[52] == " \n\t "
     assert line_dedup.without_recurring(df).columns == df.columns
     assert line_dedup.summary(empty).count() == 0
 
 
+NAMES = ["root", "guest", "anna", "bob", "carl", "dora", "emil", "fred"]
+
+
+def test_line_dedup_generalises_a_field_by_its_values(spark):
+    """Eight documents with 'session closed for user <name>'; the names are plain words."""
+    docs = line_docs(spark, [(k, f"words of {n * 2} alone\nsession closed for user {n}\nend {n}") for k, n in enumerate(NAMES)])
+    out = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.without_recurring(docs).collect()}
+    assert out[0] == ["words of rootroot alone", "session closed for user root", "end root"]
+    assert all(not any(x.startswith("session") for x in out[k]) for k in range(1, 8))
+    assert all(out[k][-1] == f"end {NAMES[k]}" for k in range(8))  # a leading token is no field
+    few = {r["doc_id"]: r["n_dropped"] for r in line_dedup.summary(docs.where("doc_id < 4")).collect()}
+    assert set(few.values()) == {0}  # four documents are no family
+
+
+def test_line_dedup_constants_beside_a_common_value(spark):
+    """A value that many documents share is a constant; rare ones beside it are one field."""
+    texts = [(k, "job done on host alpha") for k in range(6)] + [(10 + k, f"job done on host {n}") for k, n in enumerate(NAMES)]
+    out = {r["doc_id"]: r["n_dropped"] for r in line_dedup.summary(line_docs(spark, texts)).collect()}
+    assert [i for i, n in out.items() if not n] == [0, 10]
+    # lines that differ in most fields are no family, however many share a leaf
+    rng = random.Random(8)
+    prose = [(k, "the old " + " ".join(f"{rng.choice(NAMES)}{chr(97 + rng.randrange(26))}x" for _ in range(6))) for k in range(40)]
+    assert {r["n_dropped"] for r in line_dedup.summary(line_docs(spark, prose)).collect()} == {0}
+
+
+def test_line_dedup_parameters(spark):
+    texts = [(1, "one\ntwo words\nthree of them\n"), (2, "one\ntwo words\nthree of them\n"), (3, "three of them")]
+    n = lambda **p: {r["doc_id"]: r["n_dropped"] for r in line_dedup.summary(line_docs(spark, texts), **p).collect()}
+    assert n() == {1: 0, 2: 3, 3: 1}
+    assert n(min_tokens=3) == {1: 0, 2: 1, 3: 1} and n(min_docs=3) == {1: 0, 2: 1, 3: 1} and n(min_docs=4) == {1: 0, 2: 0, 3: 0}
+
+
+def test_line_dedup_of_a_text_of_very_many_lines(spark):
+    common = "\n".join(f"line {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)} stands here" for k in range(17_000))
+    docs = line_docs(spark, [(k, common + f"\nown {NAMES[k]}") for k in range(3)])
+    out = {r["doc_id"]: r["text"] for r in line_dedup.without_recurring(docs).collect()}
+    assert out[0].startswith("line") and out[1] == "own guest" and out[2] == "own anna"
+
+
 # --- 3 decontamination -----------------------------------------------------------------
 
 def test_decontamination_finds_edited_passages(spark, docs, empty):

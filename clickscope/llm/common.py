@@ -34,11 +34,11 @@ def texts(docs: DataFrame, *keys: str) -> DataFrame:
     return docs.select("doc_id", *keys, F.col("text").cast("binary").alias("text"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 A line's tokens with a digit or an ``@`` are masked (``<*>``), as log parsers do first;
 what is left is its *form*.  The tree has a fixed depth: the token count, then the
-two leading tokens, lead to a leaf.  In a leaf with several forms the fields are
+three leading tokens, lead to a leaf.  In a leaf with several forms the fields are
 generalised: a token that fewer than ``family`` documents have at its position in the
 leaf cannot be a constant of a template that so many share, so it becomes ``<*>``; the
 form with its variable fields is its template.  A template must keep half of its
@@ -37,7 +37,11 @@ from .common import written
 MIN_DOCS = 2
 FAMILY = 5
 MIN_TOKENS = 1
+#: Leading tokens on the way to a leaf.
+LEADING = 3
 LAST = 9223372036854775807
+#: Bits of the marks of a set of hashes, in blocks of Spark's bitmap functions: 4 MB in all.
+MARKS, BLOCK = 1 << 25, 1 << 15
 
 
 def _norm(line: Column) -> Column:
@@ -60,21 +64,26 @@ def line_forms(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     forms = norm.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("id"), "row", "line_no", _count(F.col("norm")).alias("tokens"),
                         form.alias("form")).where(F.col("tokens") >= max(1, int(min_tokens)))
     return forms.select("*", F.xxhash64("form").alias("h1"), F.xxhash64(F.lit(7), "form").alias("h2"),
-                        F.xxhash64("tokens", F.substring_index("form", " ", 2)).alias("leaf"))
+                        F.xxhash64("tokens", F.substring_index("form", " ", LEADING)).alias("leaf"))
 
 
-def templates(lines: DataFrame, family: int = FAMILY) -> DataFrame:
+def _in_marked(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` (a hash) is in ``found``, and a few that share a mark with one of it: a bitmap of
+    ``MARKS`` bits goes to every task, so rows that cannot match stay where they are."""
+    block, bit = F.expr(f"pmod({key}, {MARKS}) div {BLOCK}"), F.expr(f"pmod({key}, {BLOCK})")
+    bitmaps = found.select(block.alias("block"), bit.alias("bit")).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = "cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    return (rows.select("*", block.alias("block"), bit.alias("bit")).join(F.broadcast(bitmaps), "block")
+            .where(F.expr(f"shiftright({byte}, cast(bit % 8 as int)) % 2 = 1")).select(*rows.columns))
+
+
+def templates(lines: DataFrame, forms: DataFrame, leaves: DataFrame, family: int = FAMILY) -> DataFrame:
     """(h1, h2, t1, t2) of the forms whose template has variable fields of its own; equal templates
-    have equal t1 and t2.  ``lines``: written ``line_forms`` ."""
-    forms = written(lines.groupBy("h1", "h2", "leaf", "id", "row").agg(F.first("tokens").alias("tokens"))
-                    .groupBy("h1", "h2", "leaf").agg(F.count("*").alias("docs"), F.first("tokens").alias("tokens")), "line-forms")
-    leaves = (forms.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms"))
-              .where(f"docs >= {int(family)} and forms > 1").select("leaf"))
-    apart = written(forms.join(leaves, "leaf", "left_semi"), "line-leaves")
+    have equal t1 and t2.  Leaves beside ``leaves`` that a mark lets through have no such template."""
     # each form once, with its tokens
-    text = lines.join(apart.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("form").alias("form"))
-    fields = written(apart.join(text, ["h1", "h2"]).select("h1", "h2", "leaf", "docs", "tokens", F.posexplode(F.split("form", " ")).alias("pos", "token")),
-                     "line-fields")
+    text = _in_marked(lines, leaves, "leaf").groupBy("h1", "h2").agg(F.first("form").alias("form"))
+    fields = written(_in_marked(forms, leaves, "leaf").join(text, ["h1", "h2"])
+                     .select("h1", "h2", "leaf", "docs", "tokens", F.posexplode(F.split("form", " ")).alias("pos", "token")), "line-fields")
     constant = (fields.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("docs"))
                 .where(F.col("docs") >= int(family)).select("leaf", "pos", "token", F.lit(True).alias("same")))
     seen = fields.join(constant, ["leaf", "pos", "token"], "left")
@@ -89,18 +98,22 @@ def templates(lines: DataFrame, family: int = FAMILY) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, family: int = FAMILY, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, row, gone): the numbers of the lines that each document loses."""
-    lines = written(line_forms(docs, min_tokens), "line-lines")
-    once = lines.select("h1", "h2", "id", "row").distinct()
+    lines = written(line_forms(docs, min_tokens), "line-lines", "zstd")
+    once = written(lines.groupBy("h1", "h2", "leaf", "id", "row").agg(F.max("tokens").alias("tokens")), "line-once")
+    forms = written(once.groupBy("h1", "h2", "leaf").agg(F.count("*").alias("docs"), F.min("id").alias("first"), F.max("tokens").alias("tokens")),
+                    "line-forms")
+    leaves = written(forms.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms"))
+                     .where(f"docs >= {int(family)} and forms > 1").select("leaf"), "line-leaves")
+    of = written(templates(lines, forms, leaves, family), "line-templates")
     # the first document of what recurs: of a form by itself, and of its template
-    alone = (once.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.min("id").alias("first"))
-             .where(F.col("docs") >= int(min_docs)).select("h1", "h2", "first"))
-    of = written(templates(lines, family), "line-templates")
-    groups = (once.join(of, ["h1", "h2"]).select("t1", "t2", "id", "row").distinct()
+    alone = forms.where(F.col("docs") >= int(min_docs)).select("h1", "h2", "first")
+    groups = (_in_marked(once, leaves, "leaf").join(of, ["h1", "h2"]).select("t1", "t2", "id", "row").distinct()
               .groupBy("t1", "t2").agg(F.count("*").alias("docs"), F.min("id").alias("first"))
               .where(F.col("docs") >= int(family)).select("t1", "t2", "first"))
     often = written(alone.unionByName(of.join(groups, ["t1", "t2"]).select("h1", "h2", "first"))
                     .groupBy("h1", "h2").agg(F.min("first").alias("first")), "line-recurring")
-    gone = lines.select("doc_id", "id", "row", "line_no", "h1", "h2").join(often, ["h1", "h2"]).where("id > first")
+    gone = (_in_marked(lines.select("doc_id", "id", "row", "line_no", "h1", "h2"), often, "h1")
+            .join(often, ["h1", "h2"]).where("id > first"))
     return gone.groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone"))
 
 
@@ -143,7 +156,7 @@ def summary(docs: DataFrame, min_docs: int = MIN_DOCS, family: int = FAMILY, min
 def template_sql(table: str) -> str:
     """DuckDB: (r, id, own, line_no, line, tokens, form, leaf) of the lines of a table with text."""
     return f"""
-  select *, {{'n': tokens, 'h': string_split(form, ' ')[1:2]}} as leaf from (
+  select *, {{'n': tokens, 'h': string_split(form, ' ')[1:{LEADING}]}} as leaf from (
    select *, case when norm = '' then 0 else length(norm) - length(replace(norm, ' ', '')) + 1 end as tokens,
            regexp_replace(norm, '[^ ]*[0-9@][^ ]*', '<*>', 'g') as form
          from (select *, trim(regexp_replace(line, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') as norm

@@ -149,7 +149,7 @@ def test_line_dedup_constants_beside_a_common_value(spark):
     assert [i for i, n in out.items() if not n] == [0, 10]
     # lines that differ in most fields are no family, however many share a leaf
     rng = random.Random(8)
-    prose = [(k, "the old " + " ".join(f"{rng.choice(NAMES)}{chr(97 + rng.randrange(26))}x" for _ in range(6))) for k in range(40)]
+    prose = [(k, "the old tale " + " ".join(f"{rng.choice(NAMES)}{chr(97 + rng.randrange(26))}x" for _ in range(6))) for k in range(40)]
     assert {r["n_dropped"] for r in line_dedup.summary(line_docs(spark, prose)).collect()} == {0}
 
 

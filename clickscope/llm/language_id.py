@@ -10,9 +10,11 @@ n-gram's hashes returns all languages that contain it at once.  Per document
 the bits of each language are counted over all n-grams, false positives are
 taken out with the language's own rate, and the largest share decides.
 
-An n-gram is common in a language at ``MIN_SHARE`` of its n-grams or more, so
-a filter holds at most 1/MIN_SHARE n-grams whatever the corpus; at most
-``SLOTS`` slots are sent to the executors, of one word for every 63 languages.
+A filter holds every n-gram of its language, however rare.  The table has
+``PER_GRAM`` slots for each n-gram of the largest language, between ``LEAST`` and ``MOST`` slots
+(67 MB for every 63 languages); where that is too few, filters fill up and say so:
+the rates of false positives rise and are taken out, and no n-gram is left out.
+It is built by Spark, slot by slot, and only slots reach the driver.
 
 Cases: ``und`` with score 0 for a null text or one without a letter, and for
 every text when nothing could be learned; a text of letters that no filter
@@ -24,41 +26,37 @@ learning) are read.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_of_id, mix64, prepared, written
+from .common import crc32_of_id, mix64, packed, prepared, written
 
-MIN_SHARE = 1e-5
-#: In a language's filter only if it is at least this common beside where it is commonest.
-RELATIVE = 0.2
-SLOTS = 1 << 20
+PER_GRAM, LEAST, MOST = 12, 1 << 16, 1 << 23
 HASHES = 3
-#: Documents whose best language holds fewer of their n-grams are rejected.
-MIN_COVER = 0.2
 #: Languages of one word of a slot: a signed long holds them in Spark.
 BITS = 63
 
-_letters = re.compile(r"[\W\d_]+")
+#: What lies between words: all but letters and the marks that belong to them.
+_letters = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def grams(text: str | None) -> np.ndarray:
     """4-byte n-grams of the letters of a text (empty: no letter)."""
     words = _letters.sub(" ", text).strip() if text else ""
-    if not any(map(str.isalpha, words)):  # number signs such as fractions are no letters
+    if not any(map(str.isalpha, words)):  # marks alone are no letters
         return np.empty(0, np.uint32)
     b = np.frombuffer(f"  {words.lower()}  ".encode(), np.uint8)[1:].astype(np.uint32)
     return b[:-3] | b[1:-2] << 8 | b[2:-1] << 16 | b[3:] << 24
 
 
-def slots(gram: np.ndarray) -> np.ndarray:
-    """(HASHES, n) slots of each n-gram."""
+def slots(gram: np.ndarray, size: int) -> np.ndarray:
+    """(HASHES, n) slots of each n-gram in a table of ``size`` (a power of two)."""
     h = mix64(gram.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return np.stack([(h >> np.uint64(20 * k)) & np.uint64(SLOTS - 1) for k in range(HASHES)]).astype(np.int64)
+    step = mix64(h) | np.uint64(1)
+    return np.stack([(h + np.uint64(k) * step) & np.uint64(size - 1) for k in range(HASHES)]).astype(np.int64)
 
 
 def gram_counts(learn: DataFrame) -> DataFrame:
@@ -91,7 +89,7 @@ class Filters:
 
     def __init__(self, names: list[str], table: np.ndarray, most: int):
         self.names, self.table, self.most = names, table, most
-        full = self._held(table) / SLOTS
+        full = self._held(table) / len(table)
         self.false = np.minimum(full ** HASHES, 0.999)
 
     def _held(self, hit: np.ndarray) -> np.ndarray:
@@ -103,7 +101,7 @@ class Filters:
         g = grams(text)
         if not len(g) or not self.names:
             return "und", 0.0, 0.0
-        at = slots(g)
+        at = slots(g, len(self.table))
         hit = self.table[at[0]]
         for k in range(1, HASHES):
             hit = hit & self.table[at[k]]
@@ -120,35 +118,34 @@ def learn(docs: DataFrame) -> Filters:
     prepared(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & (crc32_of_id() % 4 != 2))
     counts = written(gram_counts(rows), "lang-grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("grams")).orderBy("lang").collect()
     names = [r["lang"] for r in totals]
     if not names:
-        return Filters([], np.zeros((SLOTS, 1), np.uint64), 0)
+        return Filters([], np.zeros((LEAST, 1), np.uint64), 0)
+    size = LEAST
+    while size < min(MOST, PER_GRAM * max(r["grams"] for r in totals)):
+        size *= 2
     words = -(-len(names) // BITS)
-    of = docs.sparkSession.createDataFrame([(r["lang"], r["total"], k // BITS, 1 << k % BITS) for k, r in enumerate(totals)],
-                                           "lang string, total long, word int, bit long")
-    shares = (counts.join(F.broadcast(of), "lang").select("gram", (F.col("n") / F.col("total")).alias("share"), "word", "bit")
-              .where(F.col("share") >= MIN_SHARE))
-    # the masks of common n-grams: at most languages / MIN_SHARE rows
-    common = (shares.groupBy("gram").agg(F.max("share").alias("top"), F.collect_list(F.struct("share", "word", "bit")).alias("of"))
-              .select("gram", F.filter("of", lambda x: x["share"] >= RELATIVE * F.col("top")).alias("of")))
-    zero = F.lit(0).cast("long")
-
-    def mask(w: int) -> Column:
-        return F.aggregate("of", zero, lambda a, x: a.bitwiseOR(F.when(x["word"] == w, x["bit"]).otherwise(zero))).alias(f"m{w}")
-
-    masks = common.select("gram", *map(mask, range(words))).toPandas()
-    table = np.zeros((SLOTS, words), np.uint64)
-    for at in slots(masks["gram"].to_numpy()):
-        for w in range(words):
-            np.bitwise_or.at(table[:, w], at, masks[f"m{w}"].to_numpy().astype(np.uint64))
+    of = docs.sparkSession.createDataFrame([(r["lang"], k // BITS, 1 << k % BITS) for k, r in enumerate(totals)],
+                                           "lang string, word int, bit long")
+
+    def placed(batches):
+        for pdf in batches:
+            at = slots(pdf["gram"].to_numpy(), size)
+            yield pd.DataFrame({"slot": at.reshape(-1), "word": np.tile(pdf["word"], HASHES), "bits": np.tile(pdf["bit"], HASHES)})
+
+    # at most one row for each slot and word of the table
+    found = (counts.join(F.broadcast(of), "lang").select("gram", "word", "bit").mapInPandas(placed, "slot long, word int, bits long")
+             .groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))).toPandas()
+    table = np.zeros((size, words), np.uint64)
+    table[found["slot"].to_numpy(), found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint64)
     return Filters(names, table, int(np.argmax([r["total"] for r in totals])))
 
 
 def predictor(docs: DataFrame):
     """A column function: text -> struct(lang_pred, score, cover)."""
     spark = prepared(docs.sparkSession)
-    sent = spark.sparkContext.broadcast(learn(docs))  # SLOTS x 8 bytes for every BITS languages
+    sent = spark.sparkContext.broadcast(learn(docs))  # MOST x 8 bytes for every BITS languages at most
 
     @F.pandas_udf("lang_pred string, score double, cover double")
     def predict(text: pd.Series) -> pd.DataFrame:
@@ -164,9 +161,9 @@ def predictions(docs: DataFrame) -> DataFrame:
             .select("doc_id", "held_out", "p.lang_pred", "p.score", "p.cover"))
 
 
-def accepted(docs: DataFrame) -> DataFrame:
-    """``docs`` without texts that no learned language holds (``und``, or fewer than
-    MIN_COVER of the n-grams in the best language's filter)."""
+def accepted(docs: DataFrame, min_cover: float = 0.0) -> DataFrame:
+    """``docs`` without the texts that no learned language holds: ``und``, or not more than
+    ``min_cover`` of the n-grams in the best language's filter."""
     predict = predictor(docs)
-    got = docs.select(*docs.columns, predict("text").alias("__lang"))
-    return got.where((F.col("__lang.lang_pred") != "und") & (F.col("__lang.cover") >= MIN_COVER)).select(*docs.columns)
+    got = docs.select(packed(docs), predict("text").alias("p"))
+    return got.where((F.col("p.lang_pred") != "und") & (F.col("p.cover") > min_cover)).select("doc.*")

@@ -1,34 +1,39 @@
 """Quality classifier: attention-based multiple-instance learning.
 
 A document is a bag of passages (64 words each).  Every passage is encoded
-(shares of letter, case, symbol and repetition classes), a hidden layer and
+(shares of its words in ``WORDS`` hashed places, whose embeddings are rows of the hidden layer, and
+shares of letter, case, symbol and repetition classes), the hidden layer and
 gated attention weights are learned from the document labels alone, and the
 attention-weighted passage representation is scored.
 
 The model is fitted on at most ``TRAIN_DOCS`` labelled documents (smallest
-hashes of their ids, only rows whose crc32(doc_id) mod 4 is not 2), of which at
-most ``TRAIN_PASSAGES`` evenly spaced passages each are used; both bounds are
-parameters.  Scoring reads every passage of every document.
+hashes of their ids, only rows whose crc32(doc_id) mod 4 is not 2), fewer if they
+hold more than ``TRAIN_PASSAGES`` passages together; both bounds are
+parameters, and no document is cut.  Scoring reads every passage of every document.
 
 Cases: a null or empty text is one empty passage and gets a score like any
 other; labels without a quality are not learned from; several labels of one id
-count by their mean; if nothing is labelled every score is the prior 0.5;
+count by their mean, several texts of one id by the one with the smallest digest; if nothing is labelled every score is the prior 0.5;
 repeated rows each have a row; an empty table gives an empty table; of
 ``docs`` only doc_id and text are read.
 """
 
 from __future__ import annotations
 
+from hashlib import sha256
+from zlib import crc32
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc32_of_id, pack, prepared, texts, unpack
+from .common import crc32_of_id, pack, prepared, texts, unpack, written
 
 PASSAGE = 64
 TRAIN_DOCS = 4000
-TRAIN_PASSAGES = 64
+TRAIN_PASSAGES = 100_000
+WORDS = 128
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE = 30, 64, 0.01
 THRESHOLD = 0.7
@@ -45,7 +50,7 @@ _CLASS[_MARKS] = 30 + np.arange(len(_MARKS))
 _HIGH = 30 + len(_MARKS)
 _CLASS[128:] = _HIGH
 _CLASSES = _HIGH + 1
-FEATURES = _CLASSES + 5
+FEATURES = _CLASSES + 5 + WORDS
 
 
 def encode(text: bytes | None) -> np.ndarray:
@@ -61,8 +66,10 @@ def encode(text: bytes | None) -> np.ndarray:
         raw = b" ".join(own)
         out[k, :_CLASSES] = np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=_CLASSES) / len(raw)
         same = sum(map(bytes.__eq__, own[1:], own))
-        out[k, _CLASSES:] = (len(set(own)) / len(own), same / len(own), len(raw) / len(own) / 10,
-                             len(own) / PASSAGE, 0)
+        out[k, _CLASSES + WORDS:] = (len(set(own)) / len(own), same / len(own), len(raw) / len(own) / 10,
+                                     len(own) / PASSAGE, 0)
+        place = np.fromiter(map(crc32, own), np.uint32, len(own)) % WORDS
+        out[k, _CLASSES:_CLASSES + WORDS] = np.bincount(place, minlength=WORDS) / len(own)
     return out
 
 
@@ -148,12 +155,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     def run(batches):
         for pdf in batches:
             bags = [encode(t) for t in pdf["text"].tolist()]
-            bags = [b[np.linspace(0, len(b) - 1, min(len(b), TRAIN_PASSAGES)).astype(int)] for b in bags]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "bag": [pack(b) for b in bags]})
-
-    # TRAIN_DOCS rows at most on the broadcast side; of repeated ids the smallest text
-    got = (texts(docs).join(F.broadcast(of), "doc_id").mapInPandas(run, "doc_id long, quality double, bag binary")
-           .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("bag").alias("bag")).orderBy("doc_id").collect())
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "own": [sha256(t or b"").digest() for t in pdf["text"].tolist()],
+                                "n": [len(b) for b in bags], "bag": [pack(b) for b in bags]})
+
+    # TRAIN_DOCS rows at most on the broadcast side
+    every = written(texts(docs).join(F.broadcast(of), "doc_id").mapInPandas(run, "doc_id long, quality double, own binary, n long, bag binary"),
+                    "quality-bags")
+    one = every.groupBy("doc_id").agg(F.min("own").alias("own"))
+    some = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # over TRAIN_DOCS rows at most
+    fit = (every.dropDuplicates(["doc_id", "own"]).join(one, ["doc_id", "own"])
+           .withColumn("sofar", F.sum("n").over(some)))
+    got = fit.where(F.col("sofar") <= TRAIN_PASSAGES).select("doc_id", "quality", "bag").orderBy("doc_id").collect()
     if not got:
         return None
     bags = [unpack(r["bag"], np.float32).reshape(-1, FEATURES) for r in got]

@@ -25,8 +25,10 @@ from .common import written
 
 BITS = 60
 STEP = 15
-#: Production parameter of the registered query.
+#: Bytes of a shard in the registered query.
 LIMIT = 262_144
+#: Slices in which rows of one size in one full bucket are numbered.
+SLICES = 64
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -103,22 +105,28 @@ def _placed(rows: DataFrame, found: DataFrame, limit: int) -> DataFrame:
 
 
 def _overflow(rows: DataFrame, limit: int) -> DataFrame:
-    """Rows of buckets that have no bit left, dealt to shards of half-limit slots: a
-    running byte count inside each (bucket, slice of input), so no bucket is one
-    task; a row over half the limit is a shard by itself."""
-    rows = written(rows.withColumn("slice", F.spark_partition_id()), "shard-overflow")
-    big = rows.where(2 * F.col("bytes") > limit)
-    small = rows.where(2 * F.col("bytes") <= limit)
-    w = Window.partitionBy("shard_id", "slice").orderBy("bytes").rowsBetween(Window.unboundedPreceding, 0)
-    half = max(1, limit // 2)
+    """Rows of buckets that have no bit left, in order of their bytes, dealt to shards of half-limit
+    slots by a running byte count; a row over half the limit is a shard by itself.
+
+    The count is taken over (bytes, slice): rows of equal size take consecutive places, and
+    slices of them are numbered apart, so no bucket and no size is one task.  Which of
+    several rows of one size is where does not change a shard's size or name, so these do not depend on
+    how the rows are partitioned."""
+    rows = written(rows.withColumn("slice", F.pmod(F.monotonically_increasing_id(), F.lit(SLICES))), "shard-overflow")
+    key = ["shard_id", "bytes", "slice"]
+    ahead = Window.partitionBy("shard_id").orderBy("bytes", "slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*key).agg(F.count("*").alias("n")).select(
+        *key, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum(F.col("n") * F.col("bytes")).over(ahead), F.lit(0)).alias("bytes_before"))
+    k = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))) - 1
+    own = rows.withColumn("k", k).join(sizes, key)
     # rows that begin in the same half-limit slot weigh at most the limit together
-    slot = F.floor((F.sum("bytes").over(w) - F.col("bytes")) / F.lit(half))
-    small = small.withColumn("slot", F.concat_ws(".", F.lit("+s"), "slice", slot))
-    v = Window.partitionBy("shard_id", "slice").orderBy("bytes")
-    big = big.withColumn("slot", F.concat_ws(".", F.lit("+b"), "slice", F.row_number().over(v)))
-    both = small.unionByName(big).withColumn("shard_id", F.concat("shard_id", "slot"))
+    start = F.col("bytes_before") + F.col("k") * F.col("bytes")
+    slot = (F.when(2 * F.col("bytes") > limit, F.concat(F.lit("+b"), F.col("rows_before") + F.col("k")))
+            .otherwise(F.concat(F.lit("+s"), F.floor(start / F.lit(max(1, limit // 2))))))
+    both = own.withColumn("shard_id", F.concat("shard_id", slot)).drop("k", "rows_before", "bytes_before")
     sums = written(both.groupBy("shard_id").agg(F.sum("bytes").alias("shard_bytes")), "shard-overflow-sums")
-    return both.drop("slot", "slice", "shard_bytes").join(sums, "shard_id").select(*[c for c in rows.columns if c != "slice"])
+    return both.drop("slice", "shard_bytes").join(sums, "shard_id").select(*[c for c in rows.columns if c != "slice"])
 
 
 ORACLE = f"""

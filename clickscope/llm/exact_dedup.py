@@ -73,11 +73,14 @@ def _located(docs: DataFrame) -> list:
     return [at["file_path"].alias("file"), at["row_index"].alias("row")]
 
 
-def ingest(spark: SparkSession, path: str, root: str, digest=sha256, batch_bytes: int = BATCH_BYTES, **options) -> None:
-    """Take in what is new under ``path``; log, state and checkpoints lie under ``root``."""
+def ingest(spark: SparkSession, path: str, root: str, digest=sha256, batch_bytes: int = BATCH_BYTES,
+           batch_files: int | None = None) -> None:
+    """Take in what is new under ``path``, in micro-batches of so many bytes, or files where given;
+    log, state and checkpoints lie under ``root``."""
     prepared(spark)
     schema = spark.read.parquet(path).select("doc_id", "text").schema
-    docs = spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).options(**options).parquet(_any(path))
+    bound = ("maxFilesPerTrigger", batch_files) if batch_files else ("maxBytesPerTrigger", batch_bytes)
+    docs = spark.readStream.schema(schema).option(*bound).parquet(_any(path))
     rows = docs.select("doc_id", _digest(digest)(F.col("text").cast("binary")).alias("digest"), *_located(docs))
     (rows.writeStream.format("parquet").option("path", f"{root}/digests").option("checkpointLocation", f"{root}/_digests")
      .trigger(availableNow=True).start().awaitTermination())

@@ -42,9 +42,15 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame):
+    """All columns of ``docs`` as one column ``doc``, so that no name of theirs meets one of ours;
+    ``select("doc.*")`` gives them back."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("doc")
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a number of each row, written so that it stays the same at every read."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+    """(ROW, doc): the rows of ``docs`` with a number each, written so that it stays the same at every read."""
+    return written(docs.select(F.monotonically_increasing_id().alias(ROW), packed(docs)), name)
 
 
 def pack(a: np.ndarray) -> bytes:

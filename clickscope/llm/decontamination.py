@@ -29,10 +29,9 @@ item_id, text are read.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
+import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +43,8 @@ WALKS, TABLES_PER_WALK, SAMPLED = 8, 4, 3
 BLOCK_BYTES = 2_000_000
 #: Windows embedded at once by one task.
 AT_ONCE = 4000
-_words = re.compile(r"\w+").findall
+#: Letters, digits and the marks that belong to letters (vowel signs of many scripts).
+_words = regex.compile(r"[\w\p{M}]+").findall
 
 
 def words(text: str | None) -> list[str]:
@@ -282,5 +282,5 @@ class Held:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a benchmark passage; null and repeated ids are decided row by row."""
     rows = numbered(docs, "decontamination-rows")
-    bad = matches(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(ROW)).distinct()
-    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
+    bad = matches(rows.select(F.col(ROW).alias("doc_id"), F.col("doc")["text"].alias("text")), benchmark).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(bad, ROW, "left_anti").select("doc.*")

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import packed, written
 
 MIN_DOCS = 2
 FAMILY = 5
@@ -120,7 +120,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, family: int = FAMIL
 def _marked(docs: DataFrame, **params) -> DataFrame:
     """(doc, gone): every row as one column, and the lines that it loses (null: none)."""
     gone = dropped_lines(docs, **params).select(F.col("doc_id").alias("of"), "row", "gone")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("id"),
+    keyed = docs.select(packed(docs), F.col("doc_id").alias("id"),
                         F.xxhash64("doc_id", "text").alias("key"))
     return keyed.join(gone, (F.col("key") == F.col("row")) & F.col("id").eqNullSafe(F.col("of")), "left").select("doc", "gone")
 

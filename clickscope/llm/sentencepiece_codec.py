@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepared, texts
+from .common import packed, prepared, texts
 
 SPACE = "▁"
 #: Chunks and pairs remembered by one worker; beyond it the older half is forgotten.
@@ -198,8 +198,8 @@ def encode_documents(docs: DataFrame, model: str, with_ids: bool = False) -> Dat
 
 
 def with_round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """``docs`` with the columns ``n_tokens``, ``token_ids`` and a text that went
-    through encoding and decoding; a null text stays null."""
+    """``docs`` with the columns ``n_tokens``, ``token_ids`` (in the place of columns of these
+    names) and a text that went through encoding and decoding; a null text stays null."""
     prepared(docs.sparkSession)
 
     @F.pandas_udf("n_tokens long, token_ids array<int>, text string")
@@ -211,7 +211,7 @@ def with_round_trip(docs: DataFrame, model: str) -> DataFrame:
             rows.append((len(ids), ids, None if t is None else c.decode(ids)))
         return pd.DataFrame(rows, columns=["n_tokens", "token_ids", "text"])
 
-    kept = [c for c in docs.columns if c not in ("n_tokens", "token_ids", "__trip")]
-    got = docs.select(*kept, trip("text").alias("__trip"))
-    cols = [F.col("__trip.text").alias("text") if c == "text" else F.col(c) for c in kept]
-    return got.select(*cols, F.col("__trip.n_tokens").alias("n_tokens"), F.col("__trip.token_ids").alias("token_ids"))
+    got = docs.select(packed(docs), trip("text").alias("trip"))
+    kept = [c for c in docs.columns if c not in ("n_tokens", "token_ids")]
+    cols = [F.col("trip" if c == "text" else "doc")[c].alias(c) for c in kept]
+    return got.select(*cols, F.col("trip")["n_tokens"].alias("n_tokens"), F.col("trip")["token_ids"].alias("token_ids"))

@@ -172,6 +172,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     id, or, if no row of the group has an id, its first row.  Rows are told apart by a
     written number, so null and repeated ids are decided row by row."""
     rows = numbered(docs, "simhash-rows")
-    own = written(fingerprints(rows, shingle, ROW), "simhash-fp")
+    flat = rows.select(ROW, F.col("doc")["doc_id"].alias("doc_id"), F.col("doc")["text"].alias("text"))
+    own = written(fingerprints(flat, shingle, ROW), "simhash-fp")
     _, first = _least(own, F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW)), radius)
-    return rows.join(first.select(F.col(f"least.{ROW}").alias(ROW)), ROW, "left_semi").select(*docs.columns)
+    return rows.join(first.select(F.col(f"least.{ROW}").alias(ROW)), ROW, "left_semi").select("doc.*")

@@ -146,7 +146,7 @@ def test_exact_dedup_over_batches_and_restarts(spark, tmp_path):
     docs = awkward(spark)
     for k in range(3):
         docs.where(f"pmod(xxhash64(doc_id, text), 3) = {k}").coalesce(2).write.mode("append").parquet(path)
-        exact_dedup.ingest(spark, path, root, maxFilesPerTrigger=1)
+        exact_dedup.ingest(spark, path, root, batch_files=1)
         assert exact_dedup.state(spark, root).count() == spark.read.parquet(path).selectExpr(
             "count(distinct translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as n").first()["n"]
     exact_dedup.ingest(spark, path, root)  # nothing new

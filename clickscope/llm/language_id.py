@@ -10,9 +10,14 @@ n-gram's hashes returns all languages that contain it at once.  Per document
 the bits of each language are counted over all n-grams, false positives are
 taken out with the language's own rate, and the largest share decides.
 
-A filter holds every n-gram of its language, however rare.  The table has
+A filter holds every n-gram of its language, however rare, so text that strays into a
+corpus of another language is in its filter as well.  A second filter of the same form
+marks the n-grams that are common in a language: at least ``MIN_SHARE`` of its n-grams, and ``RELATIVE`` of the
+share that they have where they are commonest.  Counts of the second decide first; the first
+decides between equals and where no n-gram is common in any language, and it alone says how much
+of a text a language covers.  A table has
 ``PER_GRAM`` slots for each n-gram of the largest language, between ``LEAST`` and ``MOST`` slots
-(67 MB for every 63 languages); where that is too few, filters fill up and say so:
+(67 MB for every 63 languages and filter); where that is too few, filters fill up and say so:
 the rates of false positives rise and are taken out, and no n-gram is left out.
 It is built by Spark, slot by slot, and only slots reach the driver.
 
@@ -29,11 +34,12 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc32_of_id, mix64, packed, prepared, written
 
+MIN_SHARE, RELATIVE = 1e-5, 0.2
 PER_GRAM, LEAST, MOST = 12, 1 << 16, 1 << 23
 HASHES = 3
 #: Languages of one word of a slot: a signed long holds them in Spark.
@@ -85,12 +91,12 @@ def gram_counts(learn: DataFrame) -> DataFrame:
 
 
 class Filters:
-    """What is sent to the executors: names, the slot table, false-positive rates."""
+    """What is sent to the executors: names, the slot tables of all and of common n-grams,
+    false-positive rates."""
 
-    def __init__(self, names: list[str], table: np.ndarray, most: int):
-        self.names, self.table, self.most = names, table, most
-        full = self._held(table) / len(table)
-        self.false = np.minimum(full ** HASHES, 0.999)
+    def __init__(self, names: list[str], table: np.ndarray, common: np.ndarray, most: int):
+        self.names, self.table, self.common, self.most = names, table, common, most
+        self.false = [np.minimum((self._held(t) / len(t)) ** HASHES, 0.999) for t in (table, common)]
 
     def _held(self, hit: np.ndarray) -> np.ndarray:
         """How many of the slots have the bit of each language."""
@@ -102,15 +108,19 @@ class Filters:
         if not len(g) or not self.names:
             return "und", 0.0, 0.0
         at = slots(g, len(self.table))
-        hit = self.table[at[0]]
-        for k in range(1, HASHES):
-            hit = hit & self.table[at[k]]
-        held = self._held(hit)
-        held = np.maximum(0, (held - len(g) * self.false) / (1 - self.false))
-        if held.sum() <= 0:
+        every, common = (self._counted(t, at, false) for t, false in zip((self.table, self.common), self.false, strict=True))
+        if every.sum() <= 0:
             return self.names[self.most], 0.0, 0.0
-        best = int(np.argmax(held))
-        return self.names[best], float(held[best] / held.sum()), float(min(1.0, held[best] / len(g)))
+        first = common if common.sum() > 0 else every
+        best = int(np.lexsort((-np.arange(len(first)), every, first))[-1])
+        return self.names[best], float(first[best] / first.sum()), float(min(1.0, every[best] / len(g)))
+
+    def _counted(self, table: np.ndarray, at: np.ndarray, false: np.ndarray) -> np.ndarray:
+        """For each language, how many of the n-grams it holds, without its false positives."""
+        hit = table[at[0]]
+        for k in range(1, HASHES):
+            hit = hit & table[at[k]]
+        return np.maximum(0, (self._held(hit) - at.shape[1] * false) / (1 - false))
 
 
 def learn(docs: DataFrame) -> Filters:
@@ -121,31 +131,37 @@ def learn(docs: DataFrame) -> Filters:
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("grams")).orderBy("lang").collect()
     names = [r["lang"] for r in totals]
     if not names:
-        return Filters([], np.zeros((LEAST, 1), np.uint64), 0)
+        return Filters([], np.zeros((LEAST, 1), np.uint64), np.zeros((LEAST, 1), np.uint64), 0)
     size = LEAST
     while size < min(MOST, PER_GRAM * max(r["grams"] for r in totals)):
         size *= 2
     words = -(-len(names) // BITS)
-    of = docs.sparkSession.createDataFrame([(r["lang"], k // BITS, 1 << k % BITS) for k, r in enumerate(totals)],
-                                           "lang string, word int, bit long")
+    of = docs.sparkSession.createDataFrame([(r["lang"], r["total"], k // BITS, 1 << k % BITS) for k, r in enumerate(totals)],
+                                           "lang string, total long, word int, bit long")
+    share = F.col("n") / F.col("total")
+    top = F.max("share").over(Window.partitionBy("gram"))  # a row for each language
+    is_common = (F.col("share") >= MIN_SHARE) & (F.col("share") >= RELATIVE * top)
+    marked = (counts.join(F.broadcast(of), "lang").select("gram", "word", "bit", share.alias("share"))
+              .select("gram", "word", "bit", F.when(is_common, F.col("bit")).otherwise(F.lit(0)).alias("common")))
 
     def placed(batches):
         for pdf in batches:
             at = slots(pdf["gram"].to_numpy(), size)
-            yield pd.DataFrame({"slot": at.reshape(-1), "word": np.tile(pdf["word"], HASHES), "bits": np.tile(pdf["bit"], HASHES)})
+            yield pd.DataFrame({"slot": at.reshape(-1), **{c: np.tile(pdf[c], HASHES) for c in ("word", "bit", "common")}})
 
-    # at most one row for each slot and word of the table
-    found = (counts.join(F.broadcast(of), "lang").select("gram", "word", "bit").mapInPandas(placed, "slot long, word int, bits long")
-             .groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))).toPandas()
-    table = np.zeros((size, words), np.uint64)
-    table[found["slot"].to_numpy(), found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint64)
-    return Filters(names, table, int(np.argmax([r["total"] for r in totals])))
+    # at most one row for each slot and word of the tables
+    found = (marked.mapInPandas(placed, "slot long, word int, bit long, common long")
+             .groupBy("slot", "word").agg(F.bit_or("bit").alias("bit"), F.bit_or("common").alias("common"))).toPandas()
+    table, common = np.zeros((2, size, words), np.uint64)
+    for t, name in ((table, "bit"), (common, "common")):
+        t[found["slot"].to_numpy(), found["word"].to_numpy()] = found[name].to_numpy().astype(np.uint64)
+    return Filters(names, table, common, int(np.argmax([r["total"] for r in totals])))
 
 
 def predictor(docs: DataFrame):
     """A column function: text -> struct(lang_pred, score, cover)."""
     spark = prepared(docs.sparkSession)
-    sent = spark.sparkContext.broadcast(learn(docs))  # MOST x 8 bytes for every BITS languages at most
+    sent = spark.sparkContext.broadcast(learn(docs))  # 2 x MOST x 8 bytes for every BITS languages at most
 
     @F.pandas_udf("lang_pred string, score double, cover double")
     def predict(text: pd.Series) -> pd.DataFrame:

@@ -33,7 +33,7 @@ def test_language_filters_equal_sets_of_all_grams(spark):
     """Without Bloom filters: every n-gram of every learning text, rare ones included."""
     docs = corpus(spark)
     rows = docs.select("doc_id", "text", "lang", crc32_of_id().alias("h")).collect()
-    sets, totals = defaultdict(set), Counter()
+    sets, totals = defaultdict(Counter), Counter()
     for r in rows:
         if r["lang"] is not None and r["h"] % 4 != 2:
             g = language_id.grams(r["text"]).tolist()
@@ -52,10 +52,14 @@ def test_language_filters_equal_sets_of_all_grams(spark):
         g = language_id.grams(text).tolist()
         held = {n: sum(x in sets[n] for x in g) for n in filters.names}
         if not sum(held.values()):
+            assert r["score"] == 0
             continue
-        best = max(held.values())
-        assert held[r["lang_pred"]] >= best - 0.01 * len(g) - 1
-        assert abs(r["score"] - held[r["lang_pred"]] / sum(held.values())) < 0.02
+        share = {n: {x: sets[n][x] / totals[n] for x in g} for n in filters.names}
+        common = {n: sum(share[n][x] >= max(1e-5, 0.2 * max(share[m][x] for m in share)) for x in g) for n in filters.names}
+        decide = common if sum(common.values()) else held
+        assert decide[r["lang_pred"]] >= max(decide.values()) - 0.01 * len(g) - 1
+        assert abs(r["score"] - decide[r["lang_pred"]] / sum(decide.values())) < 0.02
+        assert abs(r["cover"] - held[r["lang_pred"]] / len(g)) < 0.02
 
 
 def test_marks_stay_with_their_letters():

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.session import run_dir
+from clickscope.session import fs_delete, run_dir
 
 #: Rows of one Arrow batch: texts may have 100 kB and more, so batches are small.
 ARROW_ROWS = 256
@@ -39,7 +39,15 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = run_dir(spark, name)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete ``written`` tables that no plan will read again."""
+    for t in tables:
+        fs_delete(t.sparkSession, t.table_path)
 
 
 def packed(docs: DataFrame):

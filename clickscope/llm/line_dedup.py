@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, written
+from .common import drop_tables, packed, written
 
 MIN_DOCS = 2
 FAMILY = 5
@@ -89,11 +89,14 @@ def templates(lines: DataFrame, forms: DataFrame, leaves: DataFrame, family: int
     seen = fields.join(constant, ["leaf", "pos", "token"], "left")
     masked = F.col("token").contains("<*>")
     token = F.when(F.col("same"), F.col("token")).otherwise("<*>")
-    return (seen.groupBy("h1", "h2", "leaf", "tokens").agg(
+    out = (seen.groupBy("h1", "h2", "leaf", "tokens").agg(
         F.bit_xor(F.xxhash64("pos", token)).alias("x"), F.bit_xor(F.xxhash64(token, F.lit(3), "pos")).alias("y"),
         F.count_if(F.col("same").isNull()).alias("own"), F.count_if(masked | F.col("same").isNull()).alias("wild"))
         .where("own > 0 and 2 * wild <= tokens")
         .select("h1", "h2", F.xxhash64("leaf", "x").alias("t1"), F.xxhash64("y", "leaf").alias("t2")))
+    out = written(out, "line-templates")
+    drop_tables(fields)
+    return out
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, family: int = FAMILY, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -104,7 +107,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, family: int = FAMIL
                     "line-forms")
     leaves = written(forms.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms"))
                      .where(f"docs >= {int(family)} and forms > 1").select("leaf"), "line-leaves")
-    of = written(templates(lines, forms, leaves, family), "line-templates")
+    of = templates(lines, forms, leaves, family)
     # the first document of what recurs: of a form by itself, and of its template
     alone = forms.where(F.col("docs") >= int(min_docs)).select("h1", "h2", "first")
     groups = (_in_marked(once, leaves, "leaf").join(of, ["h1", "h2"]).select("t1", "t2", "id", "row").distinct()
@@ -114,7 +117,9 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, family: int = FAMIL
                     .groupBy("h1", "h2").agg(F.min("first").alias("first")), "line-recurring")
     gone = (_in_marked(lines.select("doc_id", "id", "row", "line_no", "h1", "h2"), often, "h1")
             .join(often, ["h1", "h2"]).where("id > first"))
-    return gone.groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone"))
+    out = written(gone.groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone")), "line-gone")
+    drop_tables(lines, once, forms, leaves, of, often)
+    return out
 
 
 def _marked(docs: DataFrame, **params) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, mix64, numbered, prepared, texts, written
+from .common import drop_tables, ROW, mix64, numbered, prepared, texts, written
 from .components import components
 
 SEED = 42
@@ -155,7 +155,9 @@ def _least(own: DataFrame, of: Column, radius: int) -> tuple[DataFrame, DataFram
     star = components(links(prints, radius))
     grouped = written(prints.join(star, prints["fp"] == star["node"], "left")
                       .select("fp", "rep", F.coalesce("root", "fp").alias("root")), "simhash-root")
-    return grouped.select("fp", "root"), written(grouped.groupBy("root").agg(F.min("rep").alias("least")), "simhash-group")
+    least = written(grouped.groupBy("root").agg(F.min("rep").alias("least")), "simhash-group")
+    drop_tables(prints)
+    return grouped.select("fp", "root"), least
 
 
 def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -175,4 +177,5 @@ def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     flat = rows.select(ROW, F.col("doc")["doc_id"].alias("doc_id"), F.col("doc")["text"].alias("text"))
     own = written(fingerprints(flat, shingle, ROW), "simhash-fp")
     _, first = _least(own, F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW)), radius)
+    drop_tables(own)
     return rows.join(first.select(F.col(f"least.{ROW}").alias(ROW)), ROW, "left_semi").select("doc.*")

@@ -2,7 +2,7 @@
 
 Each entry runs over the whole derived tables of ``sf_dir``; the batch jobs
 use the fixture parameters (January 2024, age 20-50, flow 1..7, N = 1000,
-blacklist threshold 2).  Six entries run real streaming queries
+blacklist threshold 2).  Twelve entries run real streaming queries
 (``availableNow``) whose state and outputs live under the session's
 checkpoint folder.
 """

@@ -54,3 +54,21 @@ def test_sessions_per_day_and_hour(spark):
     s = _sessions(spark, {("2024-01-01", "00"): 3, ("2024-01-01", "05"): 2, ("2024-01-02", "05"): 4})
     assert rows(SM.sessions_per_day(s)) == [("2024-01-01", 5), ("2024-01-02", 4)]
     assert rows(SM.sessions_per_hour(s)) == [("2024-01-01", "00", 3), ("2024-01-01", "05", 2), ("2024-01-02", "05", 4)]
+
+
+def test_cutoff_never_changes_the_sample(spark):
+    """Cutoffs that leave no candidate, too few, or all: the hours are topped up exactly."""
+    rows_ = [(f"s{i}", f"2024-01-0{1 + i % 3} {i % 5:02d}:00:00", "", "") for i in range(600)]
+    s = spark.createDataFrame(rows_, "session_id string, start_time string, search_keywords string, click_category_ids string")
+    want = rows(SM.session_sample(s, 90, "7", spare=1e9), "session_id")
+    assert len(want) >= 80
+    for spare in (-50.0, -1.0, 0.0, 6.0):
+        assert rows(SM.session_sample(s, 90, "7", spare=spare), "session_id") == want
+
+
+def test_only_candidates_near_the_quota_are_ranked(spark):
+    rows_ = [(f"s{i}", "2024-01-01 03:00:00", "", "") for i in range(20_000)]
+    s = spark.createDataFrame(rows_, "session_id string, start_time string, search_keywords string, click_category_ids string")
+    q = SM.with_cutoff(SM.sample_quota(s, 100)).first()
+    draws = s.selectExpr("md5(concat('x', session_id)) as d").where(f"d < '{q['cutoff']}'").count()
+    assert q["quota"] == 100 and 100 <= draws <= 250

@@ -100,7 +100,8 @@ class Filters:
 
     def _held(self, hit: np.ndarray) -> np.ndarray:
         """How many of the slots have the bit of each language."""
-        return np.array([np.count_nonzero(hit[:, k // BITS] >> np.uint64(k % BITS) & np.uint64(1)) for k in range(len(self.names))])
+        one = hit.dtype.type
+        return np.array([np.count_nonzero(hit[:, k // BITS] >> one(k % BITS) & one(1)) for k in range(len(self.names))])
 
     def decide(self, text: str | None) -> tuple[str, float, float]:
         """(language, score, share of the n-grams that it holds)."""
@@ -152,9 +153,11 @@ def learn(docs: DataFrame) -> Filters:
     # at most one row for each slot and word of the tables
     found = (marked.mapInPandas(placed, "slot long, word int, bit long, common long")
              .groupBy("slot", "word").agg(F.bit_or("bit").alias("bit"), F.bit_or("common").alias("common"))).toPandas()
-    table, common = np.zeros((2, size, words), np.uint64)
+    # a word is as wide as the languages need: every worker holds the tables
+    word = next((t for t in (np.uint8, np.uint16, np.uint32) if len(names) <= 8 * t().itemsize), np.uint64)
+    table, common = np.zeros((2, size, words), word)
     for t, name in ((table, "bit"), (common, "common")):
-        t[found["slot"].to_numpy(), found["word"].to_numpy()] = found[name].to_numpy().astype(np.uint64)
+        t[found["slot"].to_numpy(), found["word"].to_numpy()] = found[name].to_numpy().astype(word)
     return Filters(names, table, common, int(np.argmax([r["total"] for r in totals])))
 
 

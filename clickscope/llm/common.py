@@ -38,7 +38,8 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    # level 1: the compressors' memory lies beside the heap, one for every column of every task
+    df.write.option("compression", compression).option("parquet.compression.codec.zstd.level", "1").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.table_path = path
     return out

@@ -6,6 +6,8 @@ exactly ``bytes.split()``, and ``bytes.lower()`` lower-cases A-Z only.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -34,21 +36,34 @@ def texts(docs: DataFrame, *keys: str) -> DataFrame:
     return docs.select("doc_id", *keys, F.col("text").cast("binary").alias("text"))
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for a while."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
+def written(df: DataFrame, name: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder (in folders of column ``by``): cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = run_dir(spark, name)
     # level 1: the compressors' memory lies beside the heap, one for every column of every task
-    df.write.option("compression", compression).option("parquet.compression.codec.zstd.level", "1").parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):  # nothing reads its shuffles again
+        (df.select("*").write.option("compression", compression).option("parquet.compression.codec.zstd.level", "1")
+         .parquet(path, partitionBy=by))
     out = spark.read.schema(df.schema).parquet(path)
     out.table_path = path
     return out
 
 
-def drop_tables(*tables: DataFrame) -> None:
-    """Delete ``written`` tables that no plan will read again."""
+def drop_tables(*tables: DataFrame, folder: str = "") -> None:
+    """Delete ``written`` tables, or one folder of them, that no plan will read again."""
     for t in tables:
-        fs_delete(t.sparkSession, t.table_path)
+        fs_delete(t.sparkSession, f"{t.table_path}/{folder}")
 
 
 def packed(docs: DataFrame):

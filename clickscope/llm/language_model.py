@@ -1,19 +1,20 @@
 """LM scoring with a hierarchical Pitman-Yor model.
 
-The context of a token is the whole word before it, dealt to one of 65,536 places by its last byte
-and eight bits of its hash (words that share both share a restaurant).  Its parent restaurant is the
-class of words with that last byte, whose parent is the root; the root's base is uniform over the
+The context of a token is the whole word before it: every word has a restaurant of its own, told
+apart by a 64-bit key, so their number grows with the vocabulary.  Its parent restaurant is the
+class of words with the same last byte, whose parent is the root; the root's base is uniform over the
 learned words and one unknown word.  In a restaurant every customer of a word sits at a
 table (Chinese-restaurant process with discount and strength) and every table
 sends one customer to the parent restaurant.
 
 Seating is sampled by blocked Gibbs sweeps: the customers of one (restaurant, word)
 leave and sit down again, given the parent's predictive probability and the
-restaurant's number of tables after the sweep before.  All restaurants of one
-word lie in one bucket (a word has at most 65,536 contexts, as counts), so parents
-and children meet there; between sweeps only the sums per restaurant (65,793 at
-most) are gathered.  Predictive probabilities are averaged over the sweeps
-after the burn-in.
+restaurant's number of tables after the sweep before.  All customers of one
+word lie in one bucket, as counts, so parents and children meet there.  A restaurant of a word before
+has customers in many buckets: after each sweep every bucket sends its sums of the contexts that it
+knows or is asked for to the context's part, and the totals come back (a shuffle, nothing on the driver).
+Only the sums of the 257 restaurants above are gathered.  Seatings are written after each
+sweep.  Predictive probabilities are averaged over the sweeps after the burn-in.
 
 Texts are read once, in chunks of bounded size: a chunk sends each distinct
 (word, context) once to the word's bucket and gets its probability and count back,
@@ -28,6 +29,7 @@ is one unknown word; an empty table gives an empty table; only doc_id and text a
 
 from __future__ import annotations
 
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_of_id, pack, prepared, unpack, written
+from .common import crc32_of_id, drop_tables, pack, prepared, unpack, written
 
 #: Discount and strength of the root, of the classes of words and of the words before.
 DISCOUNT = (0.5, 0.6, 0.7)
@@ -47,16 +49,23 @@ CHUNK = 12_000_000
 #: Text bytes for each bucket of words.
 PER_BUCKET = 12_000_000
 BUCKETS = 12
+#: Contexts, counted for each bucket, of one part.
+PER_PART = 500_000
 END = b"\n"  # no word holds it
 FIRST = 0  # context of a text's first token
 SEED = 17
 
 
 def _context(word: bytes) -> int:
-    """Place of a word before: its hash in the high byte, its class, the last byte, in the low one."""
+    """Head of a word's key: eight bits of hash and its class, the last byte, in the low byte.  Words may share it."""
     return word[-1] | crc32(word) >> 24 << 8
 
 
+def _key(word: bytes) -> int:
+    """Key of a word as context: its head, then 48 bits of a second hash (never 0, which is FIRST)."""
+    return _context(word) << 48 | (xxhash.xxh64_intdigest(word, SEED) & (1 << 48) - 1 or 1)
+
+
 def _planes(a: np.ndarray) -> bytes:
     """Packed four-byte values: bytes of one weight together pack better."""
     return pack(a.view(np.uint8).reshape(-1, 4).T)
@@ -66,6 +75,15 @@ def _joined(b: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(unpack(b, np.uint8).reshape(4, -1).T).view(dtype).reshape(-1)
 
 
+def _rising(a: np.ndarray) -> bytes:
+    """Packed ascending eight-byte values, by their differences."""
+    return pack(np.diff(a.astype("<u8"), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def _risen(b: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(unpack(b, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1), dtype=np.uint64)
+
+
 def _emit(name: str, rows: list[tuple[int | None, bool, bytes]], buckets: int) -> pd.DataFrame:
     known: dict[bytes, int] = {END: 0}
     parts = []
@@ -76,10 +94,10 @@ def _emit(name: str, rows: list[tuple[int | None, bool, bytes]], buckets: int) -
     ids = np.zeros(int(size.sum()), np.int64)  # the end token is word 0
     for p, b in zip(parts, begin.tolist()):
         ids[b:b + len(p)] = p
-    context = np.fromiter((_context(w) for w in known), np.int64, len(known))
-    before = np.full(len(ids), FIRST, np.int64)
-    before[1:] = context[ids[:-1]]
-    before[begin] = FIRST
+    keys, context = np.unique(np.fromiter(chain([FIRST], map(_key, known)), np.uint64, len(known) + 1), return_inverse=True)
+    before = np.full(len(ids), context[0], np.int64)  # places in ``keys``
+    before[1:] = context[1:][ids[:-1]]
+    before[begin] = context[0]
     learn = np.repeat(np.array([not held for _, held, _ in rows], bool), size)
     word = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
     # words in order of (bucket, hash), so that a chunk's pairs lie bucket by bucket
@@ -87,26 +105,28 @@ def _emit(name: str, rows: list[tuple[int | None, bool, bytes]], buckets: int) -
     by = np.lexsort((word, bucket))
     rank = np.empty(len(by), np.int64)
     rank[by] = np.arange(len(by))
-    pair, of = np.unique(rank[ids] << 16 | before, return_inverse=True)
+    pair, of = np.unique(rank[ids] << 32 | before, return_inverse=True)
     n = np.bincount(of, weights=learn, minlength=len(pair)).astype(np.int64)
-    own = pair >> 16
+    own = pair >> 32
     cut_w = np.searchsorted(bucket[by], np.arange(buckets + 1))
     cut_p = np.searchsorted(own, cut_w)
     out = []
     for b in np.flatnonzero(np.diff(cut_w)).tolist():
         w, p = slice(cut_w[b], cut_w[b + 1]), slice(cut_p[b], cut_p[b + 1])
         many = np.bincount(own[p] - cut_w[b], minlength=cut_w[b + 1] - cut_w[b])
-        out.append((name, b, word[by][w].tobytes(), pack(many.astype(np.uint32)),
-                    pack((pair[p] & 0xFFFF).astype(np.uint16)), pack(n[p].astype(np.uint32))))
+        some, at = np.unique(pair[p] & 0xFFFFFFFF, return_inverse=True)
+        out.append((name, False, b, _rising(word[by][w]), pack(many.astype(np.uint32)),
+                    _planes(at.astype("<u4")), pack(n[p].astype(np.uint32)), _rising(keys[some])))
     held = np.array([h for _, h, _ in rows], bool)
     named = np.array([-1 if i is None else i for i, _, _ in rows], np.int64)
     null = np.array([i is None for i, _, _ in rows], bool)
-    out.append((name, -1, pack(np.stack([named, size, held, null]).astype(np.int64)), _planes(of.astype("<u4")), pack(own.astype(np.uint32)), None))
-    return pd.DataFrame(out, columns=["chunk", "bucket", "a", "b", "c", "d"])
+    out.append((name, True, -1, pack(np.stack([named, size, held, null]).astype(np.int64)), _planes(of.astype("<u4")), pack(own.astype(np.uint32)), None, None))
+    return pd.DataFrame(out, columns=["chunk", "tokens", "bucket", "a", "b", "c", "d", "e"])
 
 
 def _sent(docs: DataFrame, buckets: int) -> DataFrame:
-    """Packed rows: per (chunk, bucket) words, contexts and learned counts; per chunk (bucket -1) its tokens."""
+    """Packed rows: per (chunk, bucket) words, places of their contexts, learned counts and the contexts' keys;
+    per chunk (bucket -1, ``tokens``) its tokens."""
     def run(batches):
         task, k, held, size = TaskContext.get().partitionId(), 0, [], 0
         for pdf in batches:
@@ -122,18 +142,23 @@ def _sent(docs: DataFrame, buckets: int) -> DataFrame:
             yield _emit(f"{task}-{k}", held, buckets)
 
     rows = docs.select("doc_id", (crc32_of_id() % 7 == 2).alias("held_out"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInPandas(run, "chunk string, bucket int, a binary, b binary, c binary, d binary")
+    return rows.mapInPandas(run, "chunk string, tokens boolean, bucket int, a binary, b binary, c binary, d binary, e binary")
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One bucket's learned words (ascending), their contexts and counts; and the restaurants' sums at the start."""
-    words, contexts, counts = [], [], []
-    for a, b, c, d in zip(pdf["a"], pdf["b"], pdf["c"], pdf["d"]):
+    """One bucket's learned words (ascending), their contexts and counts, the keys of all contexts that it
+    holds or is asked for (ascending); and what each chunk asks, as places in these."""
+    keys = [_risen(e) for e in pdf["e"]]
+    every = np.unique(np.concatenate(keys))
+    words, contexts, counts, asked = [], [], [], []
+    for a, b, c, d, e in zip(pdf["a"], pdf["b"], pdf["c"], pdf["d"], keys):
         n = unpack(d, np.uint32)
         keep = n > 0
-        words.append(np.repeat(np.frombuffer(a, np.uint64), unpack(b, np.uint32))[keep])
-        contexts.append(unpack(c, np.uint16)[keep])
+        of, at = _risen(a), np.searchsorted(every, e).astype("<u4")[_joined(c, "<u4")]
+        words.append(np.repeat(of, unpack(b, np.uint32))[keep])
+        contexts.append(at[keep])
         counts.append(n[keep])
+        asked.append((of, at))
     word, context, count = np.concatenate(words), np.concatenate(contexts), np.concatenate(counts).astype(np.int64)
     order = np.lexsort((context, word))
     word, context, count = word[order], context[order], count[order]
@@ -143,20 +168,30 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     word, context = word[first], context[first]
     count = np.add.reduceat(count, first) if len(first) else count
     distinct, many = np.unique(word, return_counts=True)
-    return pd.DataFrame([(int(pdf["bucket"].iloc[0]), len(distinct), int(count.sum()), distinct.tobytes(),
-                          pack(many.astype(np.uint32)), pack(context.astype(np.uint16)), pack(count))],
-                        columns=["bucket", "n_words", "n_tokens", "words", "many", "contexts", "counts"])
+    bucket = int(pdf["bucket"].iloc[0])
+    rows = [(bucket, None, len(distinct), int(count.sum()), len(every), distinct.tobytes(),
+             pack(many.astype(np.uint32)), _planes(context.astype("<u4")), pack(count), _rising(every))]
+    for chunk, b, (of, at) in zip(pdf["chunk"], pdf["b"], asked):
+        place = np.searchsorted(distinct, of)
+        known = np.zeros(len(of), bool)
+        some = place < len(distinct)
+        known[some] = distinct[place[some]] == of[some]
+        rows.append((bucket, chunk, 0, 0, 0, _rising(place), b, _planes(at), pack(known), None))
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in LEARNED.split(", ")])
 
 
-LEARNED = "bucket int, n_words long, n_tokens long, words binary, many binary, contexts binary, counts binary"
+#: A bucket (no chunk), and what a chunk asks of it: places of words, numbers of their contexts, places of these, which words are known.
+LEARNED = ("bucket int, chunk string, n_words long, n_tokens long, n_contexts long, words binary, many binary, contexts binary, "
+           "counts binary, keys binary")
 
 
 class Totals:
-    """Customers and tables of every restaurant, by level: 0 root, 1 class of words, 2 word before."""
+    """Customers and tables of every restaurant, by level: 0 root, 1 class of words, 2 word before
+    (of the ``contexts`` that a bucket knows, by their places there)."""
 
-    def __init__(self, rows):
-        self.c = [np.zeros(n, np.float64) for n in (1, 256, 65536)]
-        self.t = [np.zeros(n, np.float64) for n in (1, 256, 65536)]
+    def __init__(self, rows, contexts: int = 65536):
+        self.c = [np.zeros(n, np.float64) for n in (1, 256, contexts)]
+        self.t = [np.zeros(n, np.float64) for n in (1, 256, contexts)]
         for level, at, c, t in rows:
             self.c[level][at], self.t[level][at] = c, t
 
@@ -184,24 +219,32 @@ def seat(rng, customers: np.ndarray, weight: np.ndarray, discount: float) -> np.
 
 
 class Restaurants:
-    """All restaurants of the words of one bucket."""
+    """All restaurants of the words of one bucket.  Contexts are places in ``keys``; without keys they are
+    heads (``_context``), each of one word."""
 
     def __init__(self, row, vocabulary: int):
         self.words = np.frombuffer(row["words"], np.uint64)
         many = unpack(row["many"], np.uint32)
-        self.context = unpack(row["contexts"], np.uint16).astype(np.int64)
+        self.keys = _risen(row["keys"]) if "keys" in row else None
+        if self.keys is None:
+            self.context, self.heads = unpack(row["contexts"], np.uint16).astype(np.int64), np.arange(65536)
+        else:
+            self.context, self.heads = _joined(row["contexts"], "<u4").astype(np.int64), (self.keys >> np.uint64(48)).astype(np.int64)
         self.c2 = unpack(row["counts"], np.int64).astype(np.float64)
         self.bucket, self.base = int(row["bucket"]), 1 / (vocabulary + 1)
         self.word2 = np.repeat(np.arange(len(many)), many)
-        self.key2 = self.word2 << 16 | self.context
-        self.key1, self.up1 = np.unique(self.word2 << 8 | self.context & 255, return_inverse=True)
+        self.key2 = self.word2 << 32 | self.context
+        self.key1, self.up1 = np.unique(self.word2 << 8 | self.heads[self.context] & 255, return_inverse=True)
         self.word1, self.byte = self.key1 >> 8, self.key1 & 255
         self.count = np.bincount(self.word2, self.c2, len(many))
-        self.t2 = np.ones(len(self.c2))
+        self.seated(np.ones(len(self.c2)), np.ones(len(self.key1)), np.ones(len(many)))
+
+    def seated(self, t2, t1, t0) -> Restaurants:
+        """Take over tables."""
+        self.t2, self.t1, self.t0 = t2, t1, t0
         self._up()
-        self.t1 = np.ones(len(self.key1))
         self._root()
-        self.t0 = np.ones(len(many))
+        return self
 
     def _up(self):
         self.c1 = np.bincount(self.up1, self.t2, len(self.key1))
@@ -228,7 +271,7 @@ class Restaurants:
         out = []
         for level, at, c, t in ((2, self.context, self.c2, self.t2), (1, self.byte, self.c1, self.t1),
                                 (0, np.zeros(len(self.words), np.int64), self.c0, self.t0)):
-            size = (1, 256, 65536)[level]
+            size = (1, 256, len(self.heads))[level]
             cs, ts = np.bincount(at, c, size), np.bincount(at, t, size)
             some = np.flatnonzero(cs)
             out.append(pd.DataFrame({"level": level, "place": some, "c": cs[some], "t": ts[some]}))
@@ -243,10 +286,10 @@ class Restaurants:
             hit = (keys[at] == key) & (word >= 0)
             return np.where(hit, c[at], 0), np.where(hit, t[at], 0)
 
-        byte = context & 255
+        byte = self.heads[context] & 255
         p = self.p0(T, *found(np.arange(len(self.words)), word, self.c0, self.t0))
         p = _predict(*found(self.key1, word << 8 | byte, self.c1, self.t1), T.c[1][byte], T.t[1][byte], 1, p)
-        return _predict(*found(self.key2, word << 16 | context, self.c2, self.t2), T.c[2][context], T.t[2][context], 2, p)
+        return _predict(*found(self.key2, word << 32 | context, self.c2, self.t2), T.c[2][context], T.t[2][context], 2, p)
 
 
 def _predict(c, t, all_c, all_t, level, parent):
@@ -254,9 +297,72 @@ def _predict(c, t, all_c, all_t, level, parent):
     return (np.maximum(c - d * t, 0) + (s + d * all_t) * parent) / (s + all_c)
 
 
-def _totals(sums: DataFrame) -> Totals:
-    rows = sums.groupBy("level", "place").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect()  # 65,793 at most
-    return Totals([(r["level"], r["place"], r["c"], r["t"]) for r in rows])
+#: Contexts of each part that a bucket knows.
+ASKS = "bucket int, part int, a binary"
+#: Of one sweep: a bucket's seating (part -1), its sums of the contexts of each part, and (level given) its other sums.
+SEATED = "bucket int, part int, a binary, b binary, c binary, level int, place int, c_sum double, t_sum double"
+#: Totals of one part's contexts, for one bucket.
+TOTALS = "bucket int, part int, a binary, b binary, c binary"
+
+
+def _state(r: Restaurants, parts: int) -> pd.DataFrame:
+    sums = r.sums()
+    own = sums[sums["level"] == 2]
+    c, t = np.zeros(len(r.keys)), np.zeros(len(r.keys))
+    c[own["place"]], t[own["place"]] = own["c"], own["t"]
+    out = [(r.bucket, -1, *(pack(x.astype(np.uint32)) for x in (r.t2, r.t1, r.t0)))]
+    for j, at in enumerate(_dealt(r.keys, parts)):
+        if len(at):
+            out.append((r.bucket, j, None, pack(c[at].astype(np.int64)), pack(t[at].astype(np.int64))))
+    above = sums[sums["level"] < 2].rename(columns={"c": "c_sum", "t": "t_sum"}).assign(bucket=r.bucket)
+    columns = [x.split()[0] for x in SEATED.split(", ")]
+    both = [pd.DataFrame(out, columns=columns[:5]).reindex(columns=columns), above.reindex(columns=columns)]
+    return pd.concat([x.astype({k: "Int64" if k in ("bucket", "part", "level", "place") else "float64" if k.endswith("sum") else object
+                                for k in columns}) for x in both])
+
+
+def _dealt(keys: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Places of the contexts of each part."""
+    part = (keys % np.uint64(parts)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    return np.split(by, np.searchsorted(part[by], np.arange(1, parts)))
+
+
+def _asks(row, parts: int) -> pd.DataFrame:
+    keys = _risen(row["keys"])
+    out = [(int(row["bucket"]), j, _rising(keys[at])) for j, at in enumerate(_dealt(keys, parts)) if len(at)]
+    return pd.DataFrame(out, columns=["bucket", "part", "a"])
+
+
+def _total(asks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+    """One part: customers and tables of its contexts over all buckets, sent back to each."""
+    asks, own = asks.sort_values("bucket"), own.sort_values("bucket")
+    keys = [_risen(a) for a in asks["a"]]
+    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    c, t = (np.bincount(at, np.concatenate([unpack(x, np.int64) for x in own[k]])).astype(np.int64) for k in ("b", "c"))
+    cut = np.split(at, np.cumsum([len(k) for k in keys])[:-1])
+    return pd.DataFrame({"bucket": own["bucket"].tolist(), "part": own["part"].tolist(), "a": None, "b": [pack(c[x]) for x in cut],
+                         "c": [pack(t[x]) for x in cut]})
+
+
+def _restored(r: Restaurants, above: list, rows: pd.DataFrame, parts: int) -> Totals:
+    """Seat ``r`` as it was after a sweep; the totals after it."""
+    T, dealt = Totals(above, len(r.keys)), _dealt(r.keys, parts)
+    for part, a, b, c in zip(rows["part"].astype(int), rows["a"], rows["b"], rows["c"]):
+        if part < 0:
+            r.seated(*(unpack(x, np.uint32).astype(np.float64) for x in (a, b, c)))
+        else:
+            T.c[2][dealt[part]], T.t[2][dealt[part]] = unpack(b, np.int64), unpack(c, np.int64)
+    return T
+
+
+def in_rows(of):
+    """``of`` every row, as a function of batches."""
+    def run(batches):
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                yield of(row)
+    return run
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -264,46 +370,65 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = prepared(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, -(-size // PER_BUCKET))
-    sent = written(_sent(docs, buckets), "lm-sent")
-    asked = sent.where("bucket >= 0")
+    sent = written(_sent(docs, buckets), "lm-sent", by="tokens")
     # packed rows are large: one task for each bucket, later for each chunk
-    learned = written(asked.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge, LEARNED), "lm-learned")
-    size = learned.agg(F.sum("n_words").alias("v"), F.sum("n_tokens").alias("n")).first()
+    every = written(sent.where("not tokens").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge, LEARNED), "lm-learned")
+    drop_tables(sent, folder="tokens=false")
+    learned, asked = every.where("chunk is null").drop("chunk"), every.where("chunk is not null").drop("keys")
+    size = learned.agg(F.sum("n_words").alias("v"), F.sum("n_tokens").alias("n"), F.sum("n_contexts").alias("c")).first()
     vocabulary, tokens = int(size["v"] or 0), int(size["n"] or 0)
-
-    totals: list[Totals] = []
-    for k in range(SWEEPS + 1):  # the sums at the start, then after every sweep
-        held = spark.sparkContext.broadcast(totals)
-
-        def sums(batches, held=held):
-            for pdf in batches:
-                for _, row in pdf.iterrows():
-                    r = Restaurants(row, vocabulary)
-                    for j, T in enumerate(held.value):
-                        r.sweep(T, j)
-                    yield r.sums()
-
-        totals.append(_totals(learned.mapInPandas(sums, "level int, place int, c double, t double")))
-    held = spark.sparkContext.broadcast(totals)
+    parts = -(-int(size["c"] or 1) // PER_PART)
+
+    asks = written(learned.mapInPandas(in_rows(lambda row: _asks(row, parts)), ASKS), "lm-asks")
+
+    def after(state: DataFrame, name: str) -> tuple[list, DataFrame, DataFrame, list[DataFrame]]:
+        """A sweep's sums of the restaurants above, its seatings, its totals; the tables that hold them."""
+        state = written(state, f"lm-{name}")
+        above = state.where("level is not null").groupBy("level", "place").agg(F.sum("c_sum"), F.sum("t_sum"))
+        own = state.where("part >= 0").select("bucket", "part", "b", "c")
+        totals = written(asks.repartition(parts, "part").groupBy("part").cogroup(own.repartition(parts, "part").groupBy("part"))
+                         .applyInPandas(_total, TOTALS), f"lm-totals-{name}")
+        return [tuple(x) for x in above.collect()], state.where("part = -1").select(*totals.columns), totals, [state, totals]  # 257 rows at most
+
+    def sweep(k, above):
+        def run(mine: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            r = Restaurants(mine.iloc[0], vocabulary)
+            r.sweep(_restored(r, above, rows, parts), k)
+            return _state(r, parts)
+        return run
+
+    above, seats, totals, old = after(
+        learned.mapInPandas(in_rows(lambda row: _state(Restaurants(row, vocabulary), parts)), SEATED), "start")
+    samples, known, kept = [], None, [every, asks]
+    for k in range(SWEEPS):
+        rows = seats.unionByName(totals).repartition(buckets, "bucket").groupBy("bucket")
+        state = learned.repartition(buckets, "bucket").groupBy("bucket").cogroup(rows).applyInPandas(sweep(k, above), SEATED)
+        last = old
+        above, seats, totals, old = after(state, f"sweep-{k}")
+        if k <= BURN_IN:
+            drop_tables(*last)
+        if k >= BURN_IN:
+            kept += old
+            own = seats.unionByName(totals).withColumn("sample", F.lit(len(samples)))
+            samples.append(above)
+            known = own if known is None else known.unionByName(own)
 
     def answer(mine: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(mine):
+        if not len(asked):
             return pd.DataFrame(columns=["chunk", "bucket", "p", "n"])
-        r = Restaurants(mine.iloc[0], vocabulary)
+        r = Restaurants(mine[mine["sample"] < 0].iloc[0], vocabulary)
         found = []
-        for a, b, c in zip(asked["a"], asked["b"], asked["c"]):
-            w = np.frombuffer(a, np.uint64)
-            at = np.minimum(np.searchsorted(r.words, w), max(0, len(r.words) - 1))
-            at = np.where(r.words[at] == w, at, -1) if len(r.words) else np.full(len(w), -1)
-            found.append((at, np.repeat(at, unpack(b, np.uint32)), unpack(c, np.uint16).astype(np.int64)))
+        for a, b, c, known in zip(asked["words"], asked["many"], asked["contexts"], asked["counts"]):
+            at = np.where(unpack(known, bool), _risen(a).astype(np.int64), -1)
+            found.append((at, np.repeat(at, unpack(b, np.uint32)).astype(np.int32), _joined(c, "<u4")))
         total = [np.zeros(len(p)) for _, p, _ in found]
-        for j in range(SWEEPS):
-            r.sweep(held.value[j], j)
-            if j >= BURN_IN:
-                total = [t + r.probability(held.value[j + 1], p, c) for t, (_, p, c) in zip(total, found)]
+        for j, above in enumerate(samples):
+            T = _restored(r, above, mine[mine["sample"] == j], parts)
+            for t, (_, p, c) in zip(total, found):
+                t += r.probability(T, p.astype(np.int64), c.astype(np.int64))
         return pd.DataFrame({
             "chunk": asked["chunk"], "bucket": asked["bucket"],
-            "p": [_planes((t / (SWEEPS - BURN_IN)).astype("<f4")) for t in total],
+            "p": [_planes((t / len(samples)).astype("<f4")) for t in total],
             "n": [pack(np.where(w >= 0, r.count[w], 0).astype(np.int64) if len(r.words) else np.zeros(len(w), np.int64))
                   for w, _, _ in found]})
 
@@ -325,11 +450,13 @@ def scores(docs: DataFrame) -> DataFrame:
         pdf["doc_id"] = pdf["doc_id"].astype("Int64").mask(null > 0)
         return pdf
 
-    chunks = max(1, sent.where("bucket = -1").count())
-    answers = (learned.repartition(buckets, "bucket").groupBy("bucket")
-               .cogroup(asked.drop("d").repartition(buckets, "bucket").groupBy("bucket"))
-               .applyInPandas(answer, "chunk string, bucket int, p binary, n binary"))
+    chunks = max(1, sent.where("tokens").count())
+    mine = learned.withColumn("sample", F.lit(-1)).unionByName(known, allowMissingColumns=True)
+    answers = written(mine.repartition(buckets, "bucket").groupBy("bucket")
+                      .cogroup(asked.repartition(buckets, "bucket").groupBy("bucket"))
+                      .applyInPandas(answer, "chunk string, bucket int, p binary, n binary"), "lm-answers")
+    drop_tables(*kept)
     return (answers.repartition(chunks, "chunk").groupBy("chunk")
-            .cogroup(sent.where("bucket = -1").repartition(chunks, "chunk").groupBy("chunk"))
+            .cogroup(sent.where("tokens").repartition(chunks, "chunk").groupBy("chunk"))
             .applyInPandas(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                    "base_score double, score double"))

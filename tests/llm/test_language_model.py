@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from clickscope.llm import language_model as lm
 from clickscope.llm.common import crc32_of_id
@@ -118,3 +119,15 @@ def test_a_whole_word_is_the_context(spark):
     docs = spark.createDataFrame(rows + [(100, "running fast " * 10), (101, "running still " * 10)], "doc_id long, text string")
     got = {r["doc_id"]: r["score"] for r in lm.scores(docs).collect()}
     assert got[100] > got[101] + 5
+
+
+def test_words_with_one_head_have_restaurants_of_their_own(spark):
+    """Words before that agree in their last byte and eight bits of hash lead to different words."""
+    heads = {}
+    for k in range(100_000):
+        heads.setdefault(lm._context(b"w%d" % k), []).append(f"w{k}")
+    one, other = max(heads.values(), key=len)[:2]
+    docs = spark.range(80).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, f"{one} left " * 20).otherwise(f"{other} right " * 20).alias("text"))
+    got = [r["score"] for r in lm.scores(docs).where("held_out").collect()]
+    # the first word, and whether the text ends, are open; "left" and "right" are nearly sure, where a shared restaurant loses 20 * log10(2)
+    assert len(got) > 5 and min(got) > -5

@@ -27,6 +27,7 @@ table gives an empty result; only doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from clickscope.session import fs_exists
 
-from .common import prepared, written
+from .common import prepared, setting, written
 
 #: Bytes of input in one micro-batch.
 BATCH_BYTES = 64 << 30
@@ -73,6 +74,15 @@ def _located(docs: DataFrame) -> list:
     return [at["file_path"].alias("file"), at["row_index"].alias("row")]
 
 
+@contextmanager
+def _stores(spark: SparkSession):
+    """State in RocksDB, which takes no room ahead: it would be some MB of disk for every partition, however small."""
+    key = "spark.sql.streaming.stateStore"
+    with setting(spark, f"{key}.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"), \
+            setting(spark, f"{key}.rocksdb.allowFAllocate", "false"):
+        yield
+
+
 def ingest(spark: SparkSession, path: str, root: str, digest=sha256, batch_bytes: int = BATCH_BYTES,
            batch_files: int | None = None) -> None:
     """Take in what is new under ``path``, in micro-batches of so many bytes, or files where given;
@@ -86,14 +96,9 @@ def ingest(spark: SparkSession, path: str, root: str, digest=sha256, batch_bytes
      .trigger(availableNow=True).start().awaitTermination())
     log = spark.readStream.schema(_LOG).parquet(f"{root}/digests")
     kept = log.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", "file", "row")).alias("top"))
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
+    with _stores(spark):
         (kept.writeStream.outputMode("update").format("noop").option("checkpointLocation", f"{root}/_state")
          .trigger(availableNow=True).start().awaitTermination())
-    finally:
-        spark.conf.set(key, before) if before else spark.conf.unset(key)
 
 
 def state(spark: SparkSession, root: str) -> DataFrame:
@@ -108,7 +113,8 @@ def decided(spark: SparkSession, path: str, root: str) -> DataFrame:
     """doc_id, digest, keep_id, group_size, kept: one row for each document taken in."""
     prepared(spark)
     log = spark.read.schema(_LOG).parquet(f"{root}/digests") if fs_exists(spark, f"{root}/digests") else spark.createDataFrame([], _LOG)
-    known = written(state(spark, root), "exact-state")
+    with _stores(spark):
+        known = written(state(spark, root), "exact-state")
     hits = log.join(known.where("n > 1").select("digest"), "digest", "left_semi")
     # bytes whose last row is not the retained one differ from the retained row's
     other = _classes(_fetched(spark, path, hits)).select("digest", F.col("top").alias("own"))

@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,14 +32,16 @@ from pyspark.sql import functions as F
 from .common import packed, prepared, texts
 
 SPACE = "▁"
-#: Chunks and pairs remembered by one worker; beyond it the older half is forgotten.
+#: Chunks (of each half) and pairs remembered by one worker; beyond it the older half is forgotten.
 REMEMBERED = 400_000
+#: Places of the marks of chunks that came once: a sparing codec remembers only those that come again.
+SEEN = 1 << 22
 
 
 class Codec:
     """Encoder of one model file; ``decode`` is the library's own."""
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, sparing: bool = False):
         import ahocorasick
         import sentencepiece
 
@@ -65,8 +69,11 @@ class Codec:
         self.shorter = {i: next((self.piece[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.automaton), -1)
                         for p, i in self.piece.items()}
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        # ids as four-byte numbers: a tuple of objects and its decimals would be several times as large
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN if sparing else 0)
+        self.decimal = [str(i) for i in range(sp.get_piece_size())]
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by plain merging: best score first, then leftmost."""
@@ -134,42 +141,45 @@ class Codec:
                 run = k + 1
         return out + (self.known_run(s[run:]) if run < len(s) else [])
 
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """Ids with the end id, and the same as decimals joined by one space."""
-        ids: list[int] = []
-        words: list[str] = []
-        known = self.known
+    def ids(self, text: str) -> array:
+        """Ids with the end id."""
+        parts: list[bytes] = []
+        known, older, seen = self.known, self.older, self.seen
         for c in self.chunks(self.sp.normalize(text)):
             got = known.get(c)
             if got is None:
-                got = self.older.get(c)
+                got = older.get(c)
                 if got is None:
-                    own = self.chunk(c)
-                    got = tuple(own), " ".join(map(str, own))
-                if len(c) < 64:
+                    got = array("i", self.chunk(c)).tobytes()
+                if seen and not seen[at := hash(c) % SEEN]:
+                    seen[at] = 1
+                elif len(c) < 64:
                     if len(known) >= REMEMBERED:
-                        self.older, known = known, {}
-                        self.known = known
+                        self.older, self.known = older, known = known, {}
+                        self.seen = seen = bytearray(len(seen))
                     known[c] = got
-            ids += got[0]
-            words.append(got[1])
-        end = self.sp.eos_id()
-        ids.append(end)
-        words.append(str(end))
-        return ids, " ".join(words)
+            parts.append(got)
+        ids = array("i", b"".join(parts))
+        ids.append(self.sp.eos_id())
+        return ids
+
+    def encode(self, text: str) -> tuple[list[int], str]:
+        """Ids with the end id, and the same as decimals joined by one space."""
+        ids = self.ids(text).tolist()
+        return ids, " ".join(map(self.decimal.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids)
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[tuple[str, bool], Codec] = {}
 
 
-def codec(model: str) -> Codec:
+def codec(model: str, sparing: bool = False) -> Codec:
     """One codec per worker process and model file."""
-    if model not in _CODECS:
-        _CODECS[model] = Codec(model)
-    return _CODECS[model]
+    if (model, sparing) not in _CODECS:
+        _CODECS[model, sparing] = Codec(model, sparing)
+    return _CODECS[model, sparing]
 
 
 def encode_documents(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
@@ -204,11 +214,11 @@ def with_round_trip(docs: DataFrame, model: str) -> DataFrame:
 
     @F.pandas_udf("n_tokens long, token_ids array<int>, text string")
     def trip(text: pd.Series) -> pd.DataFrame:
-        c = codec(model)
+        c = codec(model, sparing=True)  # the worker holds memory of the stages before, too
         rows = []
         for t in text.tolist():
-            ids = c.encode(t or "")[0]
-            rows.append((len(ids), ids, None if t is None else c.decode(ids)))
+            ids = c.ids(t or "")
+            rows.append((len(ids), np.frombuffer(ids, np.int32), None if t is None else c.decode(ids.tolist())))
         return pd.DataFrame(rows, columns=["n_tokens", "token_ids", "text"])
 
     got = docs.select(packed(docs), trip("text").alias("trip"))

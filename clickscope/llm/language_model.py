@@ -18,8 +18,10 @@ sweep.  Predictive probabilities are averaged over the sweeps after the burn-in.
 
 Texts are read once, in chunks of bounded size: a chunk sends each distinct
 (word, context) once to the word's bucket and gets its probability and count back,
-so a word that a third of all tokens are is sent at most once a chunk.  All learned
-counts come from the whole corpus.
+so a word that a third of all tokens are is sent at most once a chunk.  A bucket numbers
+its distinct pairs, learned or only asked for, keeps of every chunk the rising numbers
+of its pairs, and finds the probability of each pair once.  All learned counts come
+from the whole corpus.
 
 Cases: a null or empty text is its end token alone; an unknown word or context
 falls back to the parents; null ids are learned from like the empty id's fold;
@@ -29,7 +31,9 @@ is one unknown word; an empty table gives an empty table; only doc_id and text a
 
 from __future__ import annotations
 
-from itertools import chain
+from collections import defaultdict
+from itertools import count, repeat
+from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
@@ -61,9 +65,32 @@ def _context(word: bytes) -> int:
     return word[-1] | crc32(word) >> 24 << 8
 
 
-def _key(word: bytes) -> int:
-    """Key of a word as context: its head, then 48 bits of a second hash (never 0, which is FIRST)."""
-    return _context(word) << 48 | (xxhash.xxh64_intdigest(word, SEED) & (1 << 48) - 1 or 1)
+def _keys(words: list[bytes]) -> np.ndarray:
+    """Keys of words as contexts: the head (``_context``), then 48 bits of a second hash (never 0, which is FIRST)."""
+    last, crc, rest = (np.fromiter(of, np.uint64, len(words)) for of in (
+        map(itemgetter(-1), words), map(crc32, words), map(xxhash.xxh64_intdigest, words, repeat(SEED))))
+    head = last | crc >> np.uint64(24) << np.uint64(8)
+    return head << np.uint64(48) | np.maximum(rest & np.uint64((1 << 48) - 1), np.uint64(1))
+
+
+def _distinct(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones, ascending, of codes below 2**``bits``; the place of every code among them."""
+    own = len(codes).bit_length()
+    if not len(codes) or bits + own > 63:
+        return np.unique(codes, return_inverse=True)
+    s = np.sort(codes << own | np.arange(len(codes)))  # sorting values costs a fraction of sorting places
+    value = s >> own
+    new = np.ones(len(s), bool)
+    new[1:] = value[1:] != value[:-1]
+    at = np.empty(len(s), np.int64)
+    at[s & (1 << own) - 1] = np.cumsum(new) - 1
+    return value[new], at
+
+
+def _union(parts: list[np.ndarray]) -> np.ndarray:
+    """Distinct values of all parts, ascending."""
+    s = np.sort(np.concatenate(parts))
+    return s[np.flatnonzero(np.concatenate([s[:1] == s[:1], s[1:] != s[:-1]]))]
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -84,49 +111,64 @@ def _risen(b: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(unpack(b, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1), dtype=np.uint64)
 
 
-def _emit(name: str, rows: list[tuple[int | None, bool, bytes]], buckets: int) -> pd.DataFrame:
-    known: dict[bytes, int] = {END: 0}
+def _steps(a: np.ndarray) -> bytes:
+    """Packed four-byte values that mostly rise a little, by their differences."""
+    return _planes(np.diff(a.astype("<u4"), prepend=np.uint32(0)))
+
+
+def _stepped(b: bytes) -> np.ndarray:
+    return np.cumsum(_joined(b, "<u4"), dtype=np.uint32).astype(np.int64)
+
+
+def _emit(name: str, own: int, rows: list[tuple[int | None, bool, bytes]], buckets: int) -> pd.DataFrame:
+    known: dict[bytes, int] = defaultdict(count().__next__)  # a new word gets the next number
+    known[END]
     parts = []
     for _, _, t in rows:
-        parts.append(np.fromiter((known.setdefault(w, len(known)) for w in t.lower().split()), np.int64))
+        words = t.lower().split()
+        parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
     size = np.array([len(p) + 1 for p in parts], np.int64)
     begin = np.cumsum(size) - size
     ids = np.zeros(int(size.sum()), np.int64)  # the end token is word 0
     for p, b in zip(parts, begin.tolist()):
         ids[b:b + len(p)] = p
-    keys, context = np.unique(np.fromiter(chain([FIRST], map(_key, known)), np.uint64, len(known) + 1), return_inverse=True)
+    words = list(known)
+    keys, context = np.unique(np.append(np.uint64(FIRST), _keys(words)), return_inverse=True)
     before = np.full(len(ids), context[0], np.int64)  # places in ``keys``
     before[1:] = context[1:][ids[:-1]]
     before[begin] = context[0]
     learn = np.repeat(np.array([not held for _, held, _ in rows], bool), size)
-    word = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
+    word = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     # words in order of (bucket, hash), so that a chunk's pairs lie bucket by bucket
     bucket = (word % np.uint64(buckets)).astype(np.int64)
-    by = np.lexsort((word, bucket))
+    by = np.argsort(word, kind="stable")
+    by = by[np.argsort(bucket[by].astype(np.min_scalar_type(buckets)), kind="stable")]
     rank = np.empty(len(by), np.int64)
     rank[by] = np.arange(len(by))
-    pair, of = np.unique(rank[ids] << 32 | before, return_inverse=True)
+    low = len(keys).bit_length()
+    pair, of = _distinct(rank[ids] << low | before, len(by).bit_length() + low)
     n = np.bincount(of, weights=learn, minlength=len(pair)).astype(np.int64)
-    own = pair >> 32
+    first, before = pair >> low, pair & (1 << low) - 1
     cut_w = np.searchsorted(bucket[by], np.arange(buckets + 1))
-    cut_p = np.searchsorted(own, cut_w)
+    cut_p = np.searchsorted(first, cut_w)
     out = []
     for b in np.flatnonzero(np.diff(cut_w)).tolist():
         w, p = slice(cut_w[b], cut_w[b + 1]), slice(cut_p[b], cut_p[b + 1])
-        many = np.bincount(own[p] - cut_w[b], minlength=cut_w[b + 1] - cut_w[b])
-        some, at = np.unique(pair[p] & 0xFFFFFFFF, return_inverse=True)
+        many = np.bincount(first[p] - cut_w[b], minlength=cut_w[b + 1] - cut_w[b])
+        some, at = _distinct(before[p], low)
         out.append((name, False, b, _rising(word[by][w]), pack(many.astype(np.uint32)),
                     _planes(at.astype("<u4")), pack(n[p].astype(np.uint32)), _rising(keys[some])))
     held = np.array([h for _, h, _ in rows], bool)
     named = np.array([-1 if i is None else i for i, _, _ in rows], np.int64)
     null = np.array([i is None for i, _, _ in rows], bool)
-    out.append((name, True, -1, pack(np.stack([named, size, held, null]).astype(np.int64)), _planes(of.astype("<u4")), pack(own.astype(np.uint32)), None, None))
+    out.append((name, True, own, pack(np.stack([named, size, held, null]).astype(np.int64)), _planes(of.astype("<u4")),
+                pack(first.astype(np.uint32)), None, None))
     return pd.DataFrame(out, columns=["chunk", "tokens", "bucket", "a", "b", "c", "d", "e"])
 
 
 def _sent(docs: DataFrame, buckets: int) -> DataFrame:
     """Packed rows: per (chunk, bucket) words, places of their contexts, learned counts and the contexts' keys;
-    per chunk (bucket -1, ``tokens``) its tokens."""
+    per chunk (``tokens``, with a negative bucket) its tokens."""
     def run(batches):
         task, k, held, size = TaskContext.get().partitionId(), 0, [], 0
         for pdf in batches:
@@ -134,55 +176,44 @@ def _sent(docs: DataFrame, buckets: int) -> DataFrame:
             for i, no, out, t in zip(pdf["doc_id"].tolist(), null, pdf["held_out"].tolist(), pdf["text"].tolist()):
                 t = t or b""
                 if held and size + len(t) > CHUNK:
-                    yield _emit(f"{task}-{k}", held, buckets)
+                    yield _emit(f"{task}-{k}", -1 - (task << 8 | k) % (1 << 31), held, buckets)
                     held, size, k = [], 0, k + 1
                 held.append((None if no else int(i), out, t))
                 size += len(t)
         if held:
-            yield _emit(f"{task}-{k}", held, buckets)
+            yield _emit(f"{task}-{k}", -1 - (task << 8 | k) % (1 << 31), held, buckets)
 
     rows = docs.select("doc_id", (crc32_of_id() % 7 == 2).alias("held_out"), F.col("text").cast("binary").alias("text"))
     return rows.mapInPandas(run, "chunk string, tokens boolean, bucket int, a binary, b binary, c binary, d binary, e binary")
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One bucket's learned words (ascending), their contexts and counts, the keys of all contexts that it
-    holds or is asked for (ascending); and what each chunk asks, as places in these."""
-    keys = [_risen(e) for e in pdf["e"]]
-    every = np.unique(np.concatenate(keys))
-    words, contexts, counts, asked = [], [], [], []
-    for a, b, c, d, e in zip(pdf["a"], pdf["b"], pdf["c"], pdf["d"], keys):
-        n = unpack(d, np.uint32)
-        keep = n > 0
-        of, at = _risen(a), np.searchsorted(every, e).astype("<u4")[_joined(c, "<u4")]
-        words.append(np.repeat(of, unpack(b, np.uint32))[keep])
-        contexts.append(at[keep])
-        counts.append(n[keep])
-        asked.append((of, at))
-    word, context, count = np.concatenate(words), np.concatenate(contexts), np.concatenate(counts).astype(np.int64)
-    order = np.lexsort((context, word))
-    word, context, count = word[order], context[order], count[order]
-    new = np.ones(len(word), bool)
-    new[1:] = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
-    first = np.flatnonzero(new)
-    word, context = word[first], context[first]
-    count = np.add.reduceat(count, first) if len(first) else count
-    distinct, many = np.unique(word, return_counts=True)
-    bucket = int(pdf["bucket"].iloc[0])
-    rows = [(bucket, None, len(distinct), int(count.sum()), len(every), distinct.tobytes(),
-             pack(many.astype(np.uint32)), _planes(context.astype("<u4")), pack(count), _rising(every))]
-    for chunk, b, (of, at) in zip(pdf["chunk"], pdf["b"], asked):
-        place = np.searchsorted(distinct, of)
-        known = np.zeros(len(of), bool)
-        some = place < len(distinct)
-        known[some] = distinct[place[some]] == of[some]
-        rows.append((bucket, chunk, 0, 0, 0, _rising(place), b, _planes(at), pack(known), None))
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in LEARNED.split(", ")])
-
-
-#: A bucket (no chunk), and what a chunk asks of it: places of words, numbers of their contexts, places of these, which words are known.
-LEARNED = ("bucket int, chunk string, n_words long, n_tokens long, n_contexts long, words binary, many binary, contexts binary, "
-           "counts binary, keys binary")
+    """One bucket's distinct pairs of a word and a context, learned or only asked for, ascending, with learned counts;
+    the keys of their contexts, ascending; and of each chunk the places of its pairs.  A chunk's tokens go through."""
+    names = [x.split()[0] for x in LEARNED.split(", ")]
+    if pdf["tokens"].iloc[0]:
+        return pdf.rename(columns={"a": "words", "b": "contexts", "c": "many"}).reindex(columns=names).fillna(
+            {"n_words": 0, "n_tokens": 0, "n_contexts": 0})
+    hashes, keys = [_risen(a) for a in pdf["a"]], [_risen(e) for e in pdf["e"]]
+    words, every = _union(hashes), _union(keys)
+    low = len(every).bit_length()
+    parts = [np.repeat(np.searchsorted(words, a), unpack(b, np.uint32)) << low | np.searchsorted(every, e)[_joined(c, "<u4")]
+             for a, b, c, e in zip(hashes, pdf["b"], pdf["c"], keys)]
+    pair, at = _distinct(np.concatenate(parts), len(words).bit_length() + low)
+    counts = np.bincount(at, np.concatenate([unpack(d, np.uint32) for d in pdf["d"]]), len(pair)).astype(np.int64)
+    word = pair >> low
+    bucket, n = int(pdf["bucket"].iloc[0]), np.bincount(word, counts, len(words))
+    rows = [(False, bucket, None, np.count_nonzero(n), int(counts.sum()), len(every), None, pack(np.bincount(word).astype(np.uint32)),
+             _planes((pair & (1 << low) - 1).astype("<u4")), pack(counts), _rising(every))]
+    for chunk, b, own in zip(pdf["chunk"], pdf["b"], np.split(at, np.cumsum([len(x) for x in parts])[:-1])):
+        rows.append((False, bucket, chunk, 0, 0, 0, None, b, _steps(own), None, None))
+    return pd.DataFrame(rows, columns=names)
+
+
+#: A bucket (no chunk): its words' numbers of contexts, places of these, counts; what a chunk asks of it: its words' numbers of
+#: contexts, places of its pairs; a chunk's tokens (``tokens``).
+LEARNED = ("tokens boolean, bucket int, chunk string, n_words long, n_tokens long, n_contexts long, words binary, many binary, "
+           "contexts binary, counts binary, keys binary")
 
 
 class Totals:
@@ -200,9 +231,11 @@ def seat(rng, customers: np.ndarray, weight: np.ndarray, discount: float) -> np.
     """Tables after ``customers`` sat down one by one; ``weight``: (strength + discount
     * tables of the restaurant) * probability of the word in the parent.  The
     first 64 come singly; of more, a sixteenth of those seated come at once."""
-    order = np.argsort(-customers, kind="stable")
+    out = (customers > 0).astype(np.float64)
+    order = np.flatnonzero(customers > 1)  # who comes alone has a table
+    order = order[np.argsort(-customers[order], kind="stable")]
     c, a = customers[order], weight[order]
-    t = (c > 0).astype(np.float64)
+    t = np.ones(len(c))
     seated = 1
     while True:
         live = int(np.searchsorted(-c, -seated, side="left"))  # those with more customers than are seated
@@ -213,7 +246,6 @@ def seat(rng, customers: np.ndarray, weight: np.ndarray, discount: float) -> np.
         come = np.minimum(step, c[:live] - seated)
         t[:live] += rng.random(live) < p if step == 1 else rng.binomial(come.astype(np.int64), p)
         seated += step
-    out = np.empty_like(t)
     out[order] = t
     return out
 
@@ -223,21 +255,29 @@ class Restaurants:
     heads (``_context``), each of one word."""
 
     def __init__(self, row, vocabulary: int):
-        self.words = np.frombuffer(row["words"], np.uint64)
-        many = unpack(row["many"], np.uint32)
+        many, counts = unpack(row["many"], np.uint32), unpack(row["counts"], np.int64)
         self.keys = _risen(row["keys"]) if "keys" in row else None
         if self.keys is None:
-            self.context, self.heads = unpack(row["contexts"], np.uint16).astype(np.int64), np.arange(65536)
+            context, self.heads = unpack(row["contexts"], np.uint16).astype(np.int64), np.arange(65536)
+            self.words = np.frombuffer(row["words"], np.uint64)
         else:
-            self.context, self.heads = _joined(row["contexts"], "<u4").astype(np.int64), (self.keys >> np.uint64(48)).astype(np.int64)
-        self.c2 = unpack(row["counts"], np.int64).astype(np.float64)
+            context, self.heads = _joined(row["contexts"], "<u4").astype(np.int64), (self.keys >> np.uint64(48)).astype(np.int64)
         self.bucket, self.base = int(row["bucket"]), 1 / (vocabulary + 1)
-        self.word2 = np.repeat(np.arange(len(many)), many)
-        self.key2 = self.word2 << 32 | self.context
-        self.key1, self.up1 = np.unique(self.word2 << 8 | self.heads[self.context] & 255, return_inverse=True)
+        # of all pairs, asked for or learned: words, contexts, which are learned; of all words: counts, places of the learned ones
+        self.of, self.at, self.held = np.repeat(np.arange(len(many)), many), context, np.flatnonzero(counts)
+        self.count = np.bincount(self.of, counts, len(many))
+        self.place = np.where(self.count > 0, np.cumsum(self.count > 0) - 1, -1)
+        self.n = int(np.count_nonzero(self.count))
+        self.word2, self.context, self.c2 = self.place[self.of[self.held]], context[self.held], counts[self.held].astype(np.float64)
+        self.key1, self.up1 = _distinct(self.word2 << 8 | self.heads[self.context] & 255, self.n.bit_length() + 8)
         self.word1, self.byte = self.key1 >> 8, self.key1 & 255
-        self.count = np.bincount(self.word2, self.c2, len(many))
-        self.seated(np.ones(len(self.c2)), np.ones(len(self.key1)), np.ones(len(many)))
+        self.seated(np.ones(len(self.c2)), np.ones(len(self.key1)), np.ones(self.n))
+
+    def dealt(self, parts: int) -> list[np.ndarray]:
+        """Places of the contexts of each part; found once."""
+        if not hasattr(self, "parts"):
+            self.parts = _dealt(self.keys, parts)
+        return self.parts
 
     def seated(self, t2, t1, t0) -> Restaurants:
         """Take over tables."""
@@ -250,7 +290,7 @@ class Restaurants:
         self.c1 = np.bincount(self.up1, self.t2, len(self.key1))
 
     def _root(self):
-        self.c0 = np.bincount(self.word1, self.t1, len(self.words))
+        self.c0 = np.bincount(self.word1, self.t1, self.n)
 
     def p0(self, T, c, t):
         return _predict(c, t, T.c[0][0], T.t[0][0], 0, self.base)
@@ -265,31 +305,39 @@ class Restaurants:
         self._up()
         self.t1 = seat(rng, self.c1, (s[1] + d[1] * T.t[1][self.byte]) * self.p0(T, self.c0, self.t0)[self.word1], d[1])
         self._root()
-        self.t0 = seat(rng, self.c0, np.full(len(self.words), (s[0] + d[0] * T.t[0][0]) * self.base), d[0])
+        self.t0 = seat(rng, self.c0, np.full(self.n, (s[0] + d[0] * T.t[0][0]) * self.base), d[0])
 
     def sums(self) -> pd.DataFrame:
         out = []
         for level, at, c, t in ((2, self.context, self.c2, self.t2), (1, self.byte, self.c1, self.t1),
-                                (0, np.zeros(len(self.words), np.int64), self.c0, self.t0)):
+                                (0, np.zeros(self.n, np.int64), self.c0, self.t0)):
             size = (1, 256, len(self.heads))[level]
             cs, ts = np.bincount(at, c, size), np.bincount(at, t, size)
             some = np.flatnonzero(cs)
             out.append(pd.DataFrame({"level": level, "place": some, "c": cs[some], "t": ts[some]}))
         return pd.concat(out)
 
-    def probability(self, T: Totals, word: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Of words by their place here (-1: unknown) in their contexts."""
-        def found(keys, key, c, t):
+    def places(self, word: np.ndarray, context: np.ndarray) -> tuple:
+        """Of words by their place here (-1: unknown) in their contexts: places in each level (-1: none), the same in every sample."""
+        def found(keys, key):
             if not len(keys):
-                return np.zeros(len(key)), np.zeros(len(key))
+                return np.full(len(key), -1)
             at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = (keys[at] == key) & (word >= 0)
-            return np.where(hit, c[at], 0), np.where(hit, t[at], 0)
+            return np.where((keys[at] == key) & (word >= 0), at, -1)
+
+        return word, found(self.key1, word << 8 | self.heads[context] & 255), found(self.word2 << 32 | self.context, word << 32 | context)
+
+    def probability(self, T: Totals, word: np.ndarray, context: np.ndarray, places: tuple | None = None) -> np.ndarray:
+        """Of words by their place here (-1: unknown) in their contexts."""
+        at0, at1, at2 = places or self.places(word, context)
+
+        def of(at, *values):
+            return [np.append(v, 0)[at] for v in values]  # nothing at place -1
 
         byte = self.heads[context] & 255
-        p = self.p0(T, *found(np.arange(len(self.words)), word, self.c0, self.t0))
-        p = _predict(*found(self.key1, word << 8 | byte, self.c1, self.t1), T.c[1][byte], T.t[1][byte], 1, p)
-        return _predict(*found(self.key2, word << 32 | context, self.c2, self.t2), T.c[2][context], T.t[2][context], 2, p)
+        p = self.p0(T, *of(at0, self.c0, self.t0))
+        p = _predict(*of(at1, self.c1, self.t1), T.c[1][byte], T.t[1][byte], 1, p)
+        return _predict(*of(at2, self.c2, self.t2), T.c[2][context], T.t[2][context], 2, p)
 
 
 def _predict(c, t, all_c, all_t, level, parent):
@@ -297,7 +345,7 @@ def _predict(c, t, all_c, all_t, level, parent):
     return (np.maximum(c - d * t, 0) + (s + d * all_t) * parent) / (s + all_c)
 
 
-#: Contexts of each part that a bucket knows.
+#: Contexts of each part that a bucket knows: keys, then their places among those of all buckets.
 ASKS = "bucket int, part int, a binary"
 #: Of one sweep: a bucket's seating (part -1), its sums of the contexts of each part, and (level given) its other sums.
 SEATED = "bucket int, part int, a binary, b binary, c binary, level int, place int, c_sum double, t_sum double"
@@ -311,7 +359,7 @@ def _state(r: Restaurants, parts: int) -> pd.DataFrame:
     c, t = np.zeros(len(r.keys)), np.zeros(len(r.keys))
     c[own["place"]], t[own["place"]] = own["c"], own["t"]
     out = [(r.bucket, -1, *(pack(x.astype(np.uint32)) for x in (r.t2, r.t1, r.t0)))]
-    for j, at in enumerate(_dealt(r.keys, parts)):
+    for j, at in enumerate(r.dealt(parts)):
         if len(at):
             out.append((r.bucket, j, None, pack(c[at].astype(np.int64)), pack(t[at].astype(np.int64))))
     above = sums[sums["level"] < 2].rename(columns={"c": "c_sum", "t": "t_sum"}).assign(bucket=r.bucket)
@@ -323,7 +371,7 @@ def _state(r: Restaurants, parts: int) -> pd.DataFrame:
 
 def _dealt(keys: np.ndarray, parts: int) -> list[np.ndarray]:
     """Places of the contexts of each part."""
-    part = (keys % np.uint64(parts)).astype(np.int64)
+    part = (keys % np.uint64(parts)).astype(np.min_scalar_type(parts))
     by = np.argsort(part, kind="stable")
     return np.split(by, np.searchsorted(part[by], np.arange(1, parts)))
 
@@ -334,20 +382,26 @@ def _asks(row, parts: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["bucket", "part", "a"])
 
 
+def _placed(asks: pd.DataFrame) -> pd.DataFrame:
+    """One part: places of each bucket's contexts among those of all buckets, the same in every sweep."""
+    keys = [_risen(a) for a in asks["a"]]
+    every = _union(keys)
+    return asks.assign(a=[_rising(np.searchsorted(every, k)) for k in keys])
+
+
 def _total(asks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
     """One part: customers and tables of its contexts over all buckets, sent back to each."""
     asks, own = asks.sort_values("bucket"), own.sort_values("bucket")
-    keys = [_risen(a) for a in asks["a"]]
-    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    places = [_risen(a).astype(np.int64) for a in asks["a"]]
+    at = np.concatenate(places)
     c, t = (np.bincount(at, np.concatenate([unpack(x, np.int64) for x in own[k]])).astype(np.int64) for k in ("b", "c"))
-    cut = np.split(at, np.cumsum([len(k) for k in keys])[:-1])
-    return pd.DataFrame({"bucket": own["bucket"].tolist(), "part": own["part"].tolist(), "a": None, "b": [pack(c[x]) for x in cut],
-                         "c": [pack(t[x]) for x in cut]})
+    return pd.DataFrame({"bucket": own["bucket"].tolist(), "part": own["part"].tolist(), "a": None, "b": [pack(c[x]) for x in places],
+                         "c": [pack(t[x]) for x in places]})
 
 
 def _restored(r: Restaurants, above: list, rows: pd.DataFrame, parts: int) -> Totals:
     """Seat ``r`` as it was after a sweep; the totals after it."""
-    T, dealt = Totals(above, len(r.keys)), _dealt(r.keys, parts)
+    T, dealt = Totals(above, len(r.keys)), r.dealt(parts)
     for part, a, b, c in zip(rows["part"].astype(int), rows["a"], rows["b"], rows["c"]):
         if part < 0:
             r.seated(*(unpack(x, np.uint32).astype(np.float64) for x in (a, b, c)))
@@ -370,16 +424,18 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = prepared(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, -(-size // PER_BUCKET))
-    sent = written(_sent(docs, buckets), "lm-sent", by="tokens")
-    # packed rows are large: one task for each bucket, later for each chunk
-    every = written(sent.where("not tokens").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge, LEARNED), "lm-learned")
-    drop_tables(sent, folder="tokens=false")
-    learned, asked = every.where("chunk is null").drop("chunk"), every.where("chunk is not null").drop("keys")
+    # packed rows are large: one task for each bucket, later for each chunk; tokens go along, so that no table holds what is sent
+    every = written(_sent(docs, buckets).repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge, LEARNED),
+                    "lm-learned", by="tokens")
+    tokens_of = every.where("tokens").select("chunk", "words", "many", "contexts")
+    learned = every.where("not tokens and chunk is null").drop("tokens", "chunk", "words")
+    asked = every.where("not tokens and chunk is not null").select("bucket", "chunk", "many", "contexts")
     size = learned.agg(F.sum("n_words").alias("v"), F.sum("n_tokens").alias("n"), F.sum("n_contexts").alias("c")).first()
     vocabulary, tokens = int(size["v"] or 0), int(size["n"] or 0)
     parts = -(-int(size["c"] or 1) // PER_PART)
 
-    asks = written(learned.mapInPandas(in_rows(lambda row: _asks(row, parts)), ASKS), "lm-asks")
+    asks = written(learned.mapInPandas(in_rows(lambda row: _asks(row, parts)), ASKS)
+                   .repartition(parts, "part").groupBy("part").applyInPandas(_placed, ASKS), "lm-asks")
 
     def after(state: DataFrame, name: str) -> tuple[list, DataFrame, DataFrame, list[DataFrame]]:
         """A sweep's sums of the restaurants above, its seatings, its totals; the tables that hold them."""
@@ -399,7 +455,7 @@ def scores(docs: DataFrame) -> DataFrame:
 
     above, seats, totals, old = after(
         learned.mapInPandas(in_rows(lambda row: _state(Restaurants(row, vocabulary), parts)), SEATED), "start")
-    samples, known, kept = [], None, [every, asks]
+    samples, known, kept = [], None, [asks]
     for k in range(SWEEPS):
         rows = seats.unionByName(totals).repartition(buckets, "bucket").groupBy("bucket")
         state = learned.repartition(buckets, "bucket").groupBy("bucket").cogroup(rows).applyInPandas(sweep(k, above), SEATED)
@@ -417,31 +473,28 @@ def scores(docs: DataFrame) -> DataFrame:
         if not len(asked):
             return pd.DataFrame(columns=["chunk", "bucket", "p", "n"])
         r = Restaurants(mine[mine["sample"] < 0].iloc[0], vocabulary)
-        found = []
-        for a, b, c, known in zip(asked["words"], asked["many"], asked["contexts"], asked["counts"]):
-            at = np.where(unpack(known, bool), _risen(a).astype(np.int64), -1)
-            found.append((at, np.repeat(at, unpack(b, np.uint32)).astype(np.int32), _joined(c, "<u4")))
-        total = [np.zeros(len(p)) for _, p, _ in found]
+        pairs = r.place[r.of], r.at
+        places, total = r.places(*pairs), np.zeros(len(r.of))
         for j, above in enumerate(samples):
-            T = _restored(r, above, mine[mine["sample"] == j], parts)
-            for t, (_, p, c) in zip(total, found):
-                t += r.probability(T, p.astype(np.int64), c.astype(np.int64))
-        return pd.DataFrame({
-            "chunk": asked["chunk"], "bucket": asked["bucket"],
-            "p": [_planes((t / len(samples)).astype("<f4")) for t in total],
-            "n": [pack(np.where(w >= 0, r.count[w], 0).astype(np.int64) if len(r.words) else np.zeros(len(w), np.int64))
-                  for w, _, _ in found]})
+            total += r.probability(_restored(r, above, mine[mine["sample"] == j], parts), *pairs, places)
+        p = (total / len(samples)).astype("<f4")
+        found = []
+        for b, c in zip(asked["many"], asked["contexts"]):
+            many, at = unpack(b, np.uint32).astype(np.int64), _stepped(c)
+            n = r.count[r.of[at[np.cumsum(many) - many]]]  # of the word of its first pair
+            found.append((_planes(p[at]), pack(n.astype(np.int64))))
+        return pd.DataFrame({"chunk": asked["chunk"], "bucket": asked["bucket"], "p": [p for p, _ in found], "n": [n for _, n in found]})
 
     def gather(answers: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         cols = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         if not len(own):
             return pd.DataFrame(columns=cols)
         row = own.iloc[0]
-        named, size, out, null = unpack(row["a"], np.int64).reshape(4, -1)
-        of = _joined(row["b"], "<u4").astype(np.int64)
+        named, size, out, null = unpack(row["words"], np.int64).reshape(4, -1)
+        of = _joined(row["contexts"], "<u4").astype(np.int64)
         answers = answers.sort_values("bucket")
         p = np.log10(np.concatenate([_joined(x, "<f4") for x in answers["p"]]).astype(np.float64))
-        n = np.concatenate([unpack(x, np.int64) for x in answers["n"]])[unpack(row["c"], np.uint32)]
+        n = np.concatenate([unpack(x, np.int64) for x in answers["n"]])[unpack(row["many"], np.uint32)]
         base = np.log10((n + 1) / (tokens + vocabulary + 1))
         begin = np.cumsum(size) - size
         pdf = pd.DataFrame({"doc_id": named, "held_out": out > 0, "n_tokens": size,
@@ -450,13 +503,14 @@ def scores(docs: DataFrame) -> DataFrame:
         pdf["doc_id"] = pdf["doc_id"].astype("Int64").mask(null > 0)
         return pdf
 
-    chunks = max(1, sent.where("tokens").count())
+    chunks = max(1, tokens_of.count())
     mine = learned.withColumn("sample", F.lit(-1)).unionByName(known, allowMissingColumns=True)
     answers = written(mine.repartition(buckets, "bucket").groupBy("bucket")
                       .cogroup(asked.repartition(buckets, "bucket").groupBy("bucket"))
                       .applyInPandas(answer, "chunk string, bucket int, p binary, n binary"), "lm-answers")
     drop_tables(*kept)
+    drop_tables(every, folder="tokens=false")
     return (answers.repartition(chunks, "chunk").groupBy("chunk")
-            .cogroup(sent.where("tokens").repartition(chunks, "chunk").groupBy("chunk"))
+            .cogroup(tokens_of.repartition(chunks, "chunk").groupBy("chunk"))
             .applyInPandas(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                    "base_score double, score double"))

@@ -2,10 +2,12 @@
 Pitman-Yor rule written out."""
 
 import math
+import os
 import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -131,3 +133,30 @@ def test_words_with_one_head_have_restaurants_of_their_own(spark):
     got = [r["score"] for r in lm.scores(docs).where("held_out").collect()]
     # the first word, and whether the text ends, are open; "left" and "right" are nearly sure, where a shared restaurant loses 20 * log10(2)
     assert len(got) > 5 and min(got) > -5
+
+
+def test_chunks_are_sent_without_a_table(spark, monkeypatch):
+    """Until counts are learned, what chunks send lies in no table of its own, and what they ask for are rising numbers of
+    pairs; chunks change no score."""
+    rng = random.Random(6)
+    words = [f"{rng.choice('abcdefgh')}{k * 7919 % 99991}" for k in range(20_000)]
+    weights = [1 / (k + 3) for k in range(len(words))]
+    rows = [(k, " ".join(rng.choices(words, weights, k=200))) for k in range(3000)]
+    size, held, write = sum(len(t) for _, t in rows), {}, lm.written
+
+    def written(df, name, *a, **b):
+        out = write(df, name, *a, **b)
+        if "lm-learned" not in held:
+            held[name] = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(out.table_path.removeprefix("file:"))
+                             for f in names if f.endswith(".parquet"))
+        return out
+    monkeypatch.setattr(lm, "written", written)
+    got = []
+    for n in (1, 6):
+        held.clear()
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        got.append({r["doc_id"]: (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in lm.scores(docs).collect()})
+    assert sum(held.values()) < 1.2 * size, held
+    assert len(got[0]) == len(rows) and got[0].keys() == got[1].keys()
+    for k, v in got[0].items():
+        assert v == pytest.approx(got[1][k], rel=1e-9)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clickscope import session
 from clickscope.functions import exprs as X
-from clickscope.operators import ads, funnel, ordered, sinks
+from clickscope.operators import ads, batch_log, funnel, ordered, sinks
 from clickscope.params import TaskParams, params_from_properties
 from clickscope.streaming import ads_stream
 
@@ -96,20 +96,20 @@ def test_version_published_meanwhile_fails_the_update(spark, scratch):
 def test_province_top_survives_a_failure_between_the_publishes(spark, scratch, monkeypatch):
     log = [(k, f"{1704067200000 + 60000 * k} p{k % 2} c {k % 5} {k % 4}") for k in range(60)]
     spark.createDataFrame(log, "event_id long, value string").write.parquet(f"{scratch}/in")
-    publish = sinks.publish_batch
+    publish = batch_log.publish_batch
 
-    def fails(df, root, batch_id):
-        if root.endswith("province_top"):
+    def fails(df, root, batch_id, partition_by=()):
+        if "/province_top/" in root:
             raise RuntimeError("lost")
-        return publish(df, root, batch_id)
+        return publish(df, root, batch_id, partition_by)
 
     def start():
         clicks = ads_stream.parsed_clicks(ads_stream.line_files(spark, f"{scratch}/in"))
         ads_stream.start_city_running(clicks, f"{scratch}/out", f"{scratch}/ck")
-    monkeypatch.setattr(sinks, "publish_batch", fails)
+    monkeypatch.setattr(batch_log, "publish_batch", fails)
     with pytest.raises(Exception, match="lost"):
         start()
-    monkeypatch.setattr(sinks, "publish_batch", publish)
+    monkeypatch.setattr(batch_log, "publish_batch", publish)
     start()
     clicks = ads.parse_log_lines(spark.read.parquet(f"{scratch}/in")).where("valid")
     want = ads.province_top(ads.province_counts(ads.city_counts(clicks)), 3)

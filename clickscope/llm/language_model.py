@@ -424,8 +424,9 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = prepared(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, -(-size // PER_BUCKET))
-    # packed rows are large: one task for each bucket, later for each chunk; tokens go along, so that no table holds what is sent
-    every = written(_sent(docs, buckets).repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge, LEARNED),
+    # packed rows are large: one task for each bucket, later for each chunk; tokens go along (to as many tasks), so that no table
+    # holds what is sent
+    every = written(_sent(docs, buckets).repartition(2 * buckets, "bucket").groupBy("bucket").applyInPandas(_merge, LEARNED),
                     "lm-learned", by="tokens")
     tokens_of = every.where("tokens").select("chunk", "words", "many", "contexts")
     learned = every.where("not tokens and chunk is null").drop("tokens", "chunk", "words")
